@@ -1,0 +1,88 @@
+"""Which sampled keys occur in more than one place, without moving all places of a common key to one task.
+
+A task emits a row for a key and document.  Keys that it already finds in several documents are known to be shared: their
+rows carry a slot of their own, so that they are spread, and one row goes to the key's slot to tell other
+tasks.  So a key reaches its slot once a task, however many documents hold it.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .rolling import mix
+from .shared import maybe_broadcast, written
+
+SCHEMA = "slot long, hash long, id long, key long, known boolean, n int"
+#: Keys that a task holds before it emits them.
+FLUSH = 3_000_000
+
+
+class Keys:
+    """Keys of a task's documents."""
+
+    def __init__(self, within: bool) -> None:
+        """within: a key that one document has twice is shared."""
+        self.within = within
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.ids: list[int] = []
+        self.keys: list[int] = []
+        self.size = 0
+
+    def add(self, hashes: np.ndarray, owners: np.ndarray, ids: list[int], keys: list[int]) -> None:
+        """owners: indices into ids and keys."""
+        self.parts.append((hashes, owners + len(self.ids)))
+        self.ids += ids
+        self.keys += keys
+        self.size += len(hashes)
+
+    def take(self) -> pa.RecordBatch:
+        hashes, owners = (np.concatenate(x) for x in zip(*self.parts, strict=True)) if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        ids, keys = np.array(self.ids, np.int64), np.array(self.keys, np.int64)
+        self.__init__(self.within)
+        order = np.lexsort((owners, hashes))
+        hashes, owners = hashes[order], owners[order]
+        fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])]) if len(hashes) else np.zeros(0, bool)
+        at = np.flatnonzero(fresh)
+        times = np.diff(np.concatenate([at, [len(hashes)]]))
+        hashes, owners = hashes[at], owners[at]
+        if not len(hashes):
+            return pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32())], ["slot", "hash", "id", "key", "known", "n"])
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        size = np.diff(np.concatenate([first, [len(hashes)]]))
+        own = ids[owners]
+        if self.within:
+            several = np.add.reduceat(times, first) > 1
+        else:
+            several = np.minimum.reduceat(own, first) < np.maximum.reduceat(own, first)
+        known = np.repeat(several, size)
+        tell = np.zeros(len(hashes), bool)
+        tell[first[several]] = True
+        slots = np.where(known, mix(hashes + np.arange(len(hashes), dtype=np.uint64)), hashes)
+        rows = np.concatenate([np.arange(len(hashes)), np.flatnonzero(tell)])
+        told = np.arange(len(rows)) >= len(hashes)
+        count = np.repeat(size, size)
+        columns = [np.where(told, hashes[rows], slots[rows]).view(np.int64), hashes[rows].view(np.int64), own[rows], keys[owners[rows]], known[rows] & ~told, np.where(told, count[rows], 1).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slot", "hash", "id", "key", "known", "n"])
+
+
+def shared_by_document(rows: DataFrame, hot: int = 0) -> DataFrame:
+    """id, key, hashes: the shared keys of each document that has some; written.
+
+    With hot, also hot_hashes: those that more than so many tasks or documents of a task hold."""
+    w = Window.partitionBy("slot", "hash")
+    told = rows.withColumn("tasks", F.count(F.lit(1)).over(w)).withColumn("docs", F.sum("n").over(w))
+    found = told.where("known or tasks > 1")
+    if not hot:
+        return written(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes")), "shared")
+    found = written(found.select("id", "key", "hash", "known", "docs"), "found")
+    common = written(found.where(f"not known and docs > {hot}").groupBy("hash").agg(F.max("docs").alias("docs")), "common")
+    found = found.join(maybe_broadcast(common.select("hash", F.lit(True).alias("common")), 16), "hash", "left")
+    return written(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes"), F.collect_set(F.when(F.col("common"), F.col("hash"))).alias("hot_hashes")), "shared")
+
+
+def attach(docs: DataFrame, side: DataFrame, how: str, row_bytes: int) -> DataFrame:
+    """docs (id, key, text) with a document's row of a written side."""
+    return docs.join(maybe_broadcast(side, row_bytes), ["id", "key"], how)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, exact_dedup, mixing, word_windows
+from . import byte_bpe, byte_repeats, exact_dedup, mixing, word_windows
 from .shared import table
 
 
@@ -14,6 +14,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_windows.digests(table(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op3_byte_repeats, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,8 @@ find-first-set.  A merge pushes the two new pairs; entries whose pair has change
 Every operation costs the same however long the piece is (but for the heap in a bucket, which keeps leftmost
 first), so a pre-token of a megabyte costs O(n log n).
 
-Words repeat, so each worker remembers the ids of words and of pieces, up to CACHE_PIECES short ones of each;
+Words repeat, so each worker remembers the ids of words and of pieces, up to CACHE_WORDS
+and twice CACHE_PIECES short ones (two generations: pieces in use move to the younger);
 memory is bounded by that and by one Arrow batch.  The vocabulary's bytes are read on the driver from a path that is a parameter and
 broadcast once (under 1 MB a vocabulary); nothing is read from an executor's disk.
 
@@ -29,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_PIECES = 300_000
+CACHE_WORDS, CACHE_PIECES = 300_000, 600_000
 CACHED_CHARS = 64
 
 
+_NONE: dict[int, int] = {}
+
+
 class Coder:
     """Ids of texts by the ranks of one vocabulary, and back."""
 
@@ -45,7 +49,15 @@ class Coder:
         self.names: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for name, rank in ranks.items():
             self.names[rank] = name
-        self.pairs = {ranks[name[:i]] << 32 | ranks[name[i:]]: rank for name, rank in ranks.items() for i in range(1, len(name)) if name[:i] in ranks and name[i:] in ranks}
+        #: By left token: right token to the rank of both.
+        self.right: list[dict[int, int]] = [_NONE] * len(self.names)
+        for name, rank in ranks.items():
+            for i in range(1, len(name)):
+                a, b = ranks.get(name[:i]), ranks.get(name[i:])
+                if a is not None and b is not None:
+                    if self.right[a] is _NONE:
+                        self.right[a] = {}
+                    self.right[a][b] = rank
         self.byte = [ranks[bytes([b])] for b in range(256)]
         #: The rank queue: positions by rank, a bit for each rank in use, a bit for each word of those bits.
         n_words = (len(self.names) >> 8) + 1
@@ -58,47 +70,61 @@ class Coder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        pairs, buckets, words, bits, top, n = self.pairs.get, self.buckets, self.words, self.bits, 0, len(piece)
-        token, after, before = [self.byte[b] for b in piece], list(range(1, n + 1)), list(range(-1, n - 1))
-        fresh = [(pairs(token[i] << 32 | token[i + 1]), i) for i in range(n - 1)]
-        while True:
-            for rank, i in fresh:
-                if rank is None:
-                    continue
+        right, buckets, words, bits, top, n = self.right, self.buckets, self.words, self.bits, 0, len(piece)
+        token, after, before = list(map(self.byte.__getitem__, piece)), list(range(1, n + 1)), list(range(-1, n - 1))
+        left = token[0]
+        for i in range(1, n):
+            rank = right[left].get(left := token[i])
+            if rank is not None:
                 if rank in buckets:
-                    heapq.heappush(buckets[rank], i)
+                    buckets[rank].append(i - 1)  # in order, so a heap
                 else:
-                    buckets[rank] = [i]
+                    buckets[rank] = [i - 1]
                     w = rank >> 8
                     words[w] |= bits[rank & 255]
                     top |= bits[w]
-            while top:
-                w = (top & -top).bit_length() - 1
-                word = words[w]
-                low = word & -word
-                rank = w << 8 | low.bit_length() - 1
-                bucket = buckets[rank]
-                if len(bucket) > 1:
-                    i = heapq.heappop(bucket)
-                else:
-                    i = bucket[0]
-                    del buckets[rank]
-                    words[w] = word = word ^ low
-                    if not word:
-                        top ^= bits[w]
-                j = after[i]
-                if j < n and token[i] >= 0 and pairs(token[i] << 32 | token[j]) == rank:
-                    break  # else stale
+        while top:
+            w = (top & -top).bit_length() - 1
+            word = words[w]
+            low = word & -word
+            rank = w << 8 | low.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heapq.heappop(bucket)
             else:
-                return [t for t in token if t >= 0]
-            k, h = after[j], before[i]
-            token[i], token[j], after[i] = rank, -1, k
-            fresh = []
+                i = bucket[0]
+                del buckets[rank]
+                words[w] = word = word ^ low
+                if not word:
+                    top ^= bits[w]
+            j = after[i]
+            if token[i] < 0 or j >= n or right[token[i]].get(token[j]) != rank:
+                continue  # stale
+            k = after[i] = after[j]
+            token[i], token[j] = rank, -1
             if k < n:
                 before[k] = i
-                fresh.append((pairs(rank << 32 | token[k]), i))
+                new = right[rank].get(token[k])
+                if new is not None:
+                    if new in buckets:
+                        heapq.heappush(buckets[new], i)
+                    else:
+                        buckets[new] = [i]
+                        w = new >> 8
+                        words[w] |= bits[new & 255]
+                        top |= bits[w]
+            h = before[i]
             if h >= 0:
-                fresh.append((pairs(token[h] << 32 | rank), h))
+                new = right[token[h]].get(rank)
+                if new is not None:
+                    if new in buckets:
+                        heapq.heappush(buckets[new], h)
+                    else:
+                        buckets[new] = [h]
+                        w = new >> 8
+                        words[w] |= bits[new & 255]
+                        top |= bits[w]
+        return [t for t in token if t >= 0]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -114,7 +140,7 @@ class _Packed(dict):
 
     def __init__(self, coder: Coder) -> None:
         super().__init__()
-        self.coder, self.pieces = coder, {}
+        self.coder, self.pieces, self.older = coder, {}, {}
 
     def ids(self, text: str) -> bytes:
         """Of any text, by its pieces."""
@@ -122,11 +148,14 @@ class _Packed(dict):
         for piece in coder.split.findall(text):
             packed = known.get(piece)
             if packed is None:
-                ids = coder.merge(piece.encode())
-                packed = struct.pack(f"<{len(ids)}I", *ids)
+                packed = self.older.get(piece)
+                if packed is None:
+                    ids = coder.merge(piece.encode())
+                    packed = struct.pack(f"<{len(ids)}I", *ids)
                 if len(piece) <= CACHED_CHARS:
                     if len(known) >= CACHE_PIECES:
-                        known.clear()
+                        self.older, self.pieces = known, {}
+                        known = self.pieces
                     known[piece] = packed
             out.append(packed)
         return b"".join(out)
@@ -134,7 +163,7 @@ class _Packed(dict):
     def __missing__(self, part: str) -> bytes:
         packed = self.ids(" " + part)
         if len(part) <= CACHED_CHARS:
-            if len(self) >= CACHE_PIECES:
+            if len(self) >= CACHE_WORDS:
                 self.clear()
             self[part] = packed
         return packed

@@ -284,12 +284,12 @@ def repeats(docs: DataFrame) -> DataFrame:
     """id, key, runs of (start, length): windows that also start earlier; written."""
     rows = _rows(docs)
     sampled = shared_keys.shared_by_document(rows.mapInArrow(_minimizers, shared_keys.SCHEMA), HOT)
-    some = shared_keys.attach(rows, sampled, "inner", 400)
+    some = shared_keys.attach(rows, sampled, "inner")
     common = sampled.where(F.size("hot_hashes") > 0).select("id", "key", "hot_hashes")
     if common.take(1):
-        held = shared_keys.attach(rows, common, "inner", 200).select("id", "key", "text", "hot_hashes")
+        held = shared_keys.attach(rows, common, "inner").select("id", "key", "text", "hot_hashes")
         edges = shared_keys.shared_by_document(held.mapInArrow(_hot_edges, shared_keys.SCHEMA)).withColumnRenamed("hashes", "edges")
-        some = shared_keys.attach(some, edges, "left", 800).select("id", "key", "text", "hashes", "hot_hashes", "edges")
+        some = shared_keys.attach(some, edges, "left").select("id", "key", "text", "hashes", "hot_hashes", "edges")
     else:
         some = some.select("id", "key", "text", "hashes")
     dealt = some.mapInArrow(_strings, _STRINGS).repartition("slot").sortWithinPartitions("slot")
@@ -325,7 +325,7 @@ def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_runs(docs: DataFrame) -> DataFrame:
-    return shared_keys.attach(_rows(docs), repeats(docs), "left", 150).select("id", "text", "runs")
+    return shared_keys.attach(_rows(docs), repeats(docs), "left").select("id", "text", "runs")
 
 
 def digests(docs: DataFrame) -> DataFrame:

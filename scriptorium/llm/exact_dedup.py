@@ -54,11 +54,11 @@ def chains(docs: DataFrame, id_col: str, text: Column, capacity: int = CAPACITY)
     slots = F.broadcast(written(directory(keys, capacity).coalesce(1), "directory"))  # at most 2**MAX_DEPTH rows
     several = keys.where("n > 1").withColumn("cell", _cell(F.col("key"))).join(slots, "cell")
     index = written(several.select("bucket", "key").repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key"), "index")
-    found = keyed.join(maybe_broadcast(index, 24), "key")
+    found = keyed.join(maybe_broadcast(index), "key")
     found = found.groupBy("bucket", "key", "t").agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("size"))
     found = found.where("size > 1").select("bucket", "key", F.sha2("t", 256).alias("sha"), "keep", "size")
     chain = written(found, "chains")
-    near = maybe_broadcast(chain.select("key", "sha", "keep"), 100)
+    near = maybe_broadcast(chain.select("key", "sha", "keep"))
     tops = keyed.select("id", "key", F.sha2("t", 256).alias("sha")).join(near, ["key", "sha"]).where("id = keep")
     again = tops.groupBy("key", "sha").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     return chain, written(again.select("key", "sha"), "again")
@@ -70,11 +70,11 @@ def with_groups(docs: DataFrame, id_col: str = "doc_id", text: Column | None = N
     chain, again = chains(docs, id_col, text, capacity)
     t = F.coalesce(text, F.lit(""))
     rows = docs.withColumns({_P + "id": ordered_id(F.col(id_col)), _P + "key": F.xxhash64(t), _P + "sha": F.sha2(t, 256)})
-    side = maybe_broadcast(chain.select(F.col("key").alias(_P + "key"), F.col("sha").alias(_P + "sha"), F.col("keep").alias(_P + "keep"), F.col("size").alias(_P + "size")), 100)
+    side = maybe_broadcast(chain.select(F.col("key").alias(_P + "key"), F.col("sha").alias(_P + "sha"), F.col("keep").alias(_P + "keep"), F.col("size").alias(_P + "size")))
     rows = rows.join(side, [_P + "key", _P + "sha"], "left")
     kept = F.coalesce(F.col(_P + "id") == F.col(_P + "keep"), F.lit(True))
     if again.take(1):  # one of the rows that repeat the kept id stays
-        side = maybe_broadcast(again.select(F.col("key").alias(_P + "key"), F.col("sha").alias(_P + "sha"), F.lit(True).alias(_P + "again")), 100)
+        side = maybe_broadcast(again.select(F.col("key").alias(_P + "key"), F.col("sha").alias(_P + "sha"), F.lit(True).alias(_P + "again")))
         rows = rows.join(side, [_P + "key", _P + "sha"], "left").withColumn(_P + "again", F.coalesce(_P + "again", F.lit(False)) & kept)
         one = Window.partitionBy(_P + "key", _P + "sha").orderBy(_P + "id")
         rows = rows.where(F.col(_P + "again")).withColumn(_P + "kept", F.row_number().over(one) == 1).unionByName(rows.where(~F.col(_P + "again")).withColumn(_P + "kept", kept)).drop(_P + "again")

@@ -75,7 +75,7 @@ def plan(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     per = per.withColumn("room", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
 
     def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
-        return rows.join(maybe_broadcast(side, 200), rows["source"].eqNullSafe(side["source"])).drop(side["source"])
+        return rows.join(maybe_broadcast(side), rows["source"].eqNullSafe(side["source"])).drop(side["source"])
 
     some = sized.where("size > 0")
     coarse = some.groupBy("source", F.floor(F.col("u") * GRID).alias("cell")).agg(F.sum("size").alias("words"))
@@ -108,9 +108,9 @@ def with_copies(docs: DataFrame, seed: int = 7) -> DataFrame:
     rows = docs.withColumns({_M + "key": key, _M + "id": ident, _M + "size": words(F.col("text"))}).withColumn(_M + "u", uniform(seed, F.col(_M + "id"), F.col(_M + "key")))
     sized = written(rows.select(F.col(_M + "key").alias("key"), F.col(_M + "id").alias("id"), "source", F.col(_M + "size").alias("size"), F.col(_M + "u").alias("u")), "sized")
     per, edge = plan(sized)
-    side = maybe_broadcast(per, 200).select(F.col("source").alias(_M + "source"), F.col("source_size").alias(_M + "source_size"), F.col("target").alias(_M + "target"), F.col("whole").alias(_M + "whole"), F.col("floor").alias(_M + "floor"))
+    side = maybe_broadcast(per).select(F.col("source").alias(_M + "source"), F.col("source_size").alias(_M + "source_size"), F.col("target").alias(_M + "target"), F.col("whole").alias(_M + "whole"), F.col("floor").alias(_M + "floor"))
     rows = rows.join(side, F.col("source").eqNullSafe(F.col(_M + "source")), "left")
-    edge = maybe_broadcast(edge, 40).select(F.col("id").alias(_M + "id"), F.col("key").alias(_M + "key"), F.col("n").alias(_M + "edge"))
+    edge = maybe_broadcast(edge).select(F.col("id").alias(_M + "id"), F.col("key").alias(_M + "key"), F.col("n").alias(_M + "edge"))
     rows = rows.join(edge, [_M + "id", _M + "key"], "left")
     if edge.where(F.col(_M + "edge") > 1).take(1) or sized.groupBy("id", "key").count().where("count > 1").take(1):
         turn = F.row_number().over(Window.partitionBy(_M + "id", _M + "key").orderBy(F.lit(0)))

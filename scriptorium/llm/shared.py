@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Tables of at most so many bytes (rows times a stated width) are broadcast; larger ones are joined by a shuffle.
-BROADCAST_BYTES = 48 << 20
+#: Tables of at most so many bytes, as measured, are broadcast; larger ones are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 #: Words, as the contracts state them.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Stands for a null document id where ids are ordered: before all others.
@@ -37,14 +37,23 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether a written table is within the broadcast bound; counts rows from the files' footers."""
-    return df.count() * row_bytes <= limit
+def row_size(df: DataFrame) -> Column:
+    """About the bytes of a row: 16 a column, and what variable columns hold."""
+    size = F.lit(16 * len(df.columns))
+    for field in df.schema:
+        kind, col = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind == "array":
+            size = size + F.greatest(F.size(col), F.lit(0)) * (24 if field.dataType.elementType.typeName() == "struct" else 8)
+        elif kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(col), F.lit(0))
+    return size.cast("long")
 
 
-def maybe_broadcast(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """A broadcast hint behind a check of the size.  Beyond it the join shuffles, and AQE splits skewed keys."""
-    return F.broadcast(df) if small(df, row_bytes, limit) else df
+def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """A written table with a broadcast hint if it is measured to be within the bound.  Beyond it the join
+    shuffles (the hint forbids a broadcast by wrong guesses), and AQE splits skewed keys."""
+    found = df.agg(F.sum(row_size(df)).alias("n")).collect()[0]["n"] or 0
+    return F.broadcast(df) if found <= (limit or BROADCAST_BYTES) else df.hint("merge")
 
 
 def ordered_id(col: Column) -> Column:

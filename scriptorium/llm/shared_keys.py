@@ -79,10 +79,10 @@ def shared_by_document(rows: DataFrame, hot: int = 0) -> DataFrame:
         return written(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes")), "shared")
     found = written(found.select("id", "key", "hash", "known", "docs"), "found")
     common = written(found.where(f"not known and docs > {hot}").groupBy("hash").agg(F.max("docs").alias("docs")), "common")
-    found = found.join(maybe_broadcast(common.select("hash", F.lit(True).alias("common")), 16), "hash", "left")
+    found = found.join(maybe_broadcast(common.select("hash", F.lit(True).alias("common"))), "hash", "left")
     return written(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes"), F.collect_set(F.when(F.col("common"), F.col("hash"))).alias("hot_hashes")), "shared")
 
 
-def attach(docs: DataFrame, side: DataFrame, how: str, row_bytes: int) -> DataFrame:
+def attach(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:
     """docs (id, key, text) with a document's row of a written side."""
-    return docs.join(maybe_broadcast(side, row_bytes), ["id", "key"], how)
+    return docs.join(maybe_broadcast(side), ["id", "key"], how)

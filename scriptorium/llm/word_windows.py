@@ -135,7 +135,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     """id, key, runs of (start, length): the windows of a document that also start in one with a smaller id; written."""
     rows = _rows(docs)
     anchors = shared_keys.shared_by_document(rows.mapInArrow(_anchors, shared_keys.SCHEMA))
-    some = shared_keys.attach(rows, anchors, "inner", 400)
+    some = shared_keys.attach(rows, anchors, "inner")
     found = some.select("id", "key", "text", "hashes").mapInArrow(_windows, _WINDOWS)
     found = found.withColumn("least", F.min("id").over(Window.partitionBy("a", "b"))).where("known or id > least")
     return written(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), "repeats")
@@ -170,7 +170,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_runs(docs: DataFrame) -> DataFrame:
-    return shared_keys.attach(_rows(docs), repeats(docs), "left", 120).select("id", "text", "runs")
+    return shared_keys.attach(_rows(docs), repeats(docs), "left").select("id", "text", "runs")
 
 
 def digests(docs: DataFrame) -> DataFrame:

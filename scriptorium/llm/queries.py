@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, byte_repeats, crf_toxicity, exact_dedup, mixing, pu_quality, word_windows
+from . import byte_bpe, byte_repeats, crf_toxicity, exact_dedup, mixing, near_dedup, pu_quality, word_windows
 from .shared import table
 
 
@@ -14,6 +14,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.decisions(table(spark, sf_dir, "documents"))
+
+
 def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -41,7 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

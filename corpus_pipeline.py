@@ -4,16 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scriptorium.llm import exact_dedup
+from scriptorium.llm import byte_bpe, exact_dedup, mixing, near_dedup, pu_quality
 from scriptorium.llm.shared import table, written
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; labels are learnt from all documents' labels."""
+    return pu_quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.keep_one(docs)
 
 
-STAGES = [("exact dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays."""
+    return near_dedup.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.repeat(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_chars and the ids of the text."""
+    import public_tokenizers
+
+    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("near dedup", near), ("mixing", mix), ("byte-level BPE", encode)]
+#: Learnt models and signatures have no SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 

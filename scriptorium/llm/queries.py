@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, byte_repeats, crf_toxicity, exact_dedup, mixing, near_dedup, pu_quality, spot_signatures, word_windows
+from . import byte_bpe, byte_repeats, chat_roles, crf_toxicity, exact_dedup, mixing, near_dedup, pu_quality, spot_signatures, word_windows
 from .shared import table
 
 
@@ -30,6 +30,10 @@ def op3_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_repeats.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_roles.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot_signatures.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op6_spot_signatures, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op5_chat_roles, op6_spot_signatures, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

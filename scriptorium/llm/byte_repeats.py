@@ -25,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared_keys
 from .rolling import Spans, covered, grouped, mix, runs, sliding_min
-from .shared import ordered_id, shown_id, written
+from .shared import shown_id, written
 from .suffix_arrays import common_prefixes, suffix_array
 
 WIDTH = 100
@@ -39,14 +40,10 @@ EDGE = 24  # bytes at a window's ends that are looked up for hot minimizers
 HOT = 512
 GROUP_BYTES = 1 << 20
 CHUNK = 2 << 20
-HELD = 48 << 20  # bytes of strings that a task holds before it sends them
+HELD = 24 << 20  # bytes of strings that a task holds before it sends them
 _PLACE = np.uint64((1 << 28) - 1)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(ordered_id(F.col("doc_id")).alias("id"), F.xxhash64("text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-
-
 class _Bytes:
     """Neighbouring documents of at least WIDTH bytes in one buffer."""
 
@@ -66,60 +63,60 @@ class _Bytes:
         self.minimizer = (sliding_min(packed, WIDTH - SEED + 1)[self.starts] & _PLACE).astype(np.int64)
 
     def edges(self, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of minimizers of the first and the last EDGE bytes of some windows."""
-        least = sliding_min(self.seeds, EDGE - SEED + 1)
-        return mix(least[self.starts[on]]), mix(least[self.starts[on] + WIDTH - EDGE])
+        """Places in the buffer of the minimizers of the first and of the last EDGE bytes of some windows."""
+        least = sliding_min((self.seeds & ~_PLACE) | np.arange(len(self.seeds), dtype=np.uint64), EDGE - SEED + 1) & _PLACE
+        return least[self.starts[on]].astype(np.int64), least[self.starts[on] + WIDTH - EDGE].astype(np.int64)
 
 
 def _documents(batch: pa.RecordBatch) -> Iterator[tuple[_Bytes, np.ndarray]]:
-    texts = [t.encode() for t in batch.column("text").to_pylist()]
-    long = [i for i, t in enumerate(texts) if len(t) >= WIDTH]
-    for a, b in grouped([len(texts[i]) for i in long], GROUP_BYTES):
-        yield _Bytes([texts[i] for i in long[a:b]]), np.array(long[a:b])
-
+    texts = batch.column("text")
+    for a, z in grouped(pa.compute.binary_length(texts).to_pylist(), GROUP_BYTES):
+        raw = [t.as_py().encode() for t in texts.slice(a, z - a)]
+        long = [i for i, t in enumerate(raw) if len(t) >= WIDTH]
+        if long:
+            yield _Bytes([raw[i] for i in long]), np.array(long) + a
 
-def _each(owner: np.ndarray, n: int) -> Iterator[tuple[int, slice]]:
-    ends = np.searchsorted(owner, np.arange(n + 1))
-    return ((k, slice(ends[k], ends[k + 1])) for k in range(n))
 
-
-def _among(hashes: np.ndarray, owner: np.ndarray, rows: np.ndarray, column: pa.Array) -> np.ndarray:
-    """Which hashes are in the list of their document."""
-    hit = np.zeros(len(hashes), bool)
-    for k, part in _each(owner, len(rows)):
-        known = column[int(rows[k])].values
-        if known is not None and len(known):
-            hit[part] = np.isin(hashes[part].view(np.int64), known.to_numpy())
-    return hit
+def _parts(owner: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(row of the batch, its part) of arrays that are in order of owner."""
+    ends = np.searchsorted(owner, np.arange(len(rows) + 1))
+    return ((int(rows[k]), slice(ends[k], ends[k + 1])) for k in range(len(rows)))
 
 
 def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Keys(within=True)
+    held = shared_keys.Places(within=True)
     for b in batches:
         ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
         for d, rows in _documents(b):
             first = np.flatnonzero(np.concatenate([[True], (np.diff(d.minimizer) != 0) | (np.diff(d.owner) != 0)]))
-            at = d.minimizer[first]
-            held.add(d.seeds[at], d.owner[first], ids[rows].tolist(), keys[rows].tolist())
-            if held.size >= shared_keys.FLUSH:
+            at, owner = d.minimizer[first], d.owner[first]
+            held.add(d.seeds[at], ids[rows[owner]], keys[rows[owner]], at - d.offsets[owner])
+            if held.full():
                 yield held.take()
     yield held.take()
 
 
+def _hot(d: _Bytes, rows: np.ndarray, column: pa.Array) -> np.ndarray:
+    """Which windows have a common minimizer."""
+    hit = np.zeros(len(d.starts), bool)
+    place = d.minimizer - d.offsets[d.owner]
+    for i, part in _parts(d.owner, rows):
+        common = shared_keys.numbers(column[i])
+        if len(common):
+            hit[part] = np.isin(place[part], common)
+    return hit
+
+
 def _hot_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Keys(within=True)
+    held = shared_keys.Places(within=True)
     for b in batches:
-        ids, keys, hot = b.column("id").to_numpy(), b.column("key").to_numpy(), b.column("hot_hashes")
+        ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
         for d, rows in _documents(b):
-            on = np.flatnonzero(_among(d.seeds[d.minimizer], d.owner, rows, hot))
-            hashes, owner = np.concatenate(d.edges(on)), np.concatenate([d.owner[on]] * 2)
-            # within one document, neighbouring windows have the same edge
-            place = np.concatenate([d.starts[on], d.starts[on] + WIDTH - EDGE])
-            _, one = np.unique(np.stack([owner, place]), axis=1, return_index=True)
-            hashes, owner = hashes[one], owner[one]
-            fresh = np.concatenate([[True], (np.diff(owner) != 0) | (hashes[1:] != hashes[:-1])]) if len(one) else np.zeros(0, bool)
-            held.add(hashes[fresh], owner[fresh], ids[rows].tolist(), keys[rows].tolist())
-            if held.size >= shared_keys.FLUSH:
+            on = np.flatnonzero(_hot(d, rows, b.column("common")))
+            at, one = np.unique(np.concatenate(d.edges(on)), return_index=True)
+            owner = np.concatenate([d.owner[on]] * 2)[one]
+            held.add(mix(d.seeds[at]), ids[rows[owner]], keys[rows[owner]], at - d.offsets[owner])
+            if held.full():
                 yield held.take()
     yield held.take()
 
@@ -181,14 +178,16 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
         for d, rows in _documents(b):
-            hashes = d.seeds[d.minimizer]
-            on = _among(hashes, d.owner, rows, b.column("hashes"))
-            hot = np.zeros(len(on), bool)
-            if "edges" in b.schema.names:
-                hot = _among(hashes, d.owner, rows, b.column("hot_hashes")) & on
+            hashes, place = d.seeds[d.minimizer], d.minimizer - d.offsets[d.owner]
+            on, hot = np.zeros(len(place), bool), np.zeros(len(place), bool)
+            for i, part in _parts(d.owner, rows):
+                on[part] = shared_keys.inside(place[part], *(shared_keys.numbers(b.column(c)[i]) for c in ("starts", "ends")))
+            if "common" in b.schema.names:
+                hot = _hot(d, rows, b.column("common"))
                 at = np.flatnonzero(hot)
                 for side in d.edges(at):
-                    on[at] &= _among(side, d.owner[at], rows, b.column("edges"))
+                    for i, part in _parts(d.owner[at], rows):
+                        on[at[part]] &= shared_keys.inside(side[part] - d.offsets[d.owner[at[part]]], *(shared_keys.numbers(b.column(c)[i]) for c in ("edge_starts", "edge_ends")))
             at = np.flatnonzero(on)
             first, size = runs(d.starts[at], d.minimizer[at])
             owner = d.owner[at[first]]
@@ -282,16 +281,19 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """id, key, runs of (start, length): windows that also start earlier; written."""
-    rows = _rows(docs)
-    sampled = shared_keys.shared_by_document(rows.mapInArrow(_minimizers, shared_keys.SCHEMA), HOT)
+    rows = shared_keys.documents(docs)
+    places = shared_keys.shared_places(rows.mapInArrow(_minimizers, shared_keys.SCHEMA), within=True, hot=HOT)
+    # minimizers of neighbouring windows are at most WIDTH - SEED + 1 apart; what lies between shared ones goes along
+    sampled = shared_keys.regions(places, WIDTH - SEED + 1, exact=True)
     some = shared_keys.attach(rows, sampled, "inner")
-    common = sampled.where(F.size("hot_hashes") > 0).select("id", "key", "hot_hashes")
+    common = sampled.where(F.size("common") > 0).select("id", "key", "common")
     if common.take(1):
-        held = shared_keys.attach(rows, common, "inner").select("id", "key", "text", "hot_hashes")
-        edges = shared_keys.shared_by_document(held.mapInArrow(_hot_edges, shared_keys.SCHEMA)).withColumnRenamed("hashes", "edges")
-        some = shared_keys.attach(some, edges, "left").select("id", "key", "text", "hashes", "hot_hashes", "edges")
+        held = shared_keys.attach(rows, written(common, "common"), "inner").select("id", "key", "text", "common")
+        edges = shared_keys.shared_places(held.mapInArrow(_hot_edges, shared_keys.SCHEMA), within=True)
+        edges = shared_keys.regions(edges, 1).withColumnsRenamed({"starts": "edge_starts", "ends": "edge_ends"})
+        some = shared_keys.attach(some, edges, "left").select("id", "key", "text", "starts", "ends", "common", "edge_starts", "edge_ends")
     else:
-        some = some.select("id", "key", "text", "hashes")
+        some = some.select("id", "key", "text", "starts", "ends")
     dealt = some.mapInArrow(_strings, _STRINGS).repartition("slot").sortWithinPartitions("slot")
     found = dealt.mapInArrow(_shard, "id long, key long, start int, length int")
     return written(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), "repeats")
@@ -325,7 +327,7 @@ def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_runs(docs: DataFrame) -> DataFrame:
-    return shared_keys.attach(_rows(docs), repeats(docs), "left").select("id", "text", "runs")
+    return shared_keys.attach(shared_keys.documents(docs), repeats(docs), "left").select("id", "text", "runs")
 
 
 def digests(docs: DataFrame) -> DataFrame:

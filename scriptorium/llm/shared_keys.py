@@ -1,86 +1,132 @@
 """Which sampled keys occur in more than one place, without moving all places of a common key to one task.
 
-A task emits a row for a key and document.  Keys that it already finds in several documents are known to be shared: their
-rows carry a slot of their own, so that they are spread, and one row goes to the key's slot to tell other
-tasks.  So a key reaches its slot once a task, however many documents hold it.
+A task emits a row for each place of a key.  Keys that it already finds in several documents are known to be
+shared: their rows carry a slot of their own, so that they are spread, and one row goes to the key's slot to
+tell other tasks.  So a key reaches its slot once a task, however many documents hold it.
+
+A key is 48 bits of a hash; keys that collide are shared by mistake, which costs work and no result, as what is
+shared is compared afterwards.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rolling import mix
-from .shared import maybe_broadcast, written
+from .shared import maybe_broadcast, ordered_id, written
+
+#: n: 0 for a place known to be shared, else the documents of the task that hold the key.
+SCHEMA = "slot long, id long, key long, pos int, n int"
+_NAMES = ["slot", "id", "key", "pos", "n"]
+#: Places that a task holds before it emits them.
+FLUSH = 1_200_000
+_KEY = (1 << 48) - 1
 
-SCHEMA = "slot long, hash long, id long, key long, known boolean, n int"
-#: Keys that a task holds before it emits them.
-FLUSH = 3_000_000
 
+def documents(docs: DataFrame) -> DataFrame:
+    """id, key, text: key tells rows that repeat an id apart; where none does, it is 0."""
+    ids = docs.select(ordered_id(F.col("doc_id")).alias("id"))
+    repeated = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(1)
+    key: Column = F.xxhash64("text") if repeated else F.lit(0).cast("long")
+    return docs.select(ordered_id(F.col("doc_id")).alias("id"), key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
 
-class Keys:
-    """Keys of a task's documents."""
+
+class Places:
+    """Places of keys in a task's documents."""
 
     def __init__(self, within: bool) -> None:
         """within: a key that one document has twice is shared."""
         self.within = within
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.ids: list[int] = []
-        self.keys: list[int] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, hashes: np.ndarray, owners: np.ndarray, ids: list[int], keys: list[int]) -> None:
-        """owners: indices into ids and keys."""
-        self.parts.append((hashes, owners + len(self.ids)))
-        self.ids += ids
-        self.keys += keys
+    def add(self, hashes: np.ndarray, ids: np.ndarray, keys: np.ndarray, places: np.ndarray) -> None:
+        self.parts.append((hashes & np.uint64(_KEY), ids, keys, places.astype(np.int32)))
         self.size += len(hashes)
 
+    def full(self) -> bool:
+        return self.size >= FLUSH
+
     def take(self) -> pa.RecordBatch:
-        hashes, owners = (np.concatenate(x) for x in zip(*self.parts, strict=True)) if self.parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        ids, keys = np.array(self.ids, np.int64), np.array(self.keys, np.int64)
-        self.__init__(self.within)
-        order = np.lexsort((owners, hashes))
-        hashes, owners = hashes[order], owners[order]
-        fresh = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])]) if len(hashes) else np.zeros(0, bool)
-        at = np.flatnonzero(fresh)
-        times = np.diff(np.concatenate([at, [len(hashes)]]))
-        hashes, owners = hashes[at], owners[at]
-        if not len(hashes):
-            return pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32())], ["slot", "hash", "id", "key", "known", "n"])
-        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        size = np.diff(np.concatenate([first, [len(hashes)]]))
-        own = ids[owners]
-        if self.within:
-            several = np.add.reduceat(times, first) > 1
-        else:
-            several = np.minimum.reduceat(own, first) < np.maximum.reduceat(own, first)
+        parts = self.parts or [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+        hashes, ids, keys, places = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.parts, self.size = [], 0
+        order = np.lexsort((places, keys, ids, hashes))
+        hashes, ids, keys, places = hashes[order], ids[order], keys[order], places[order]
+        n = len(hashes)
+        fresh = np.ones(n, bool)
+        fresh[1:] = hashes[1:] != hashes[:-1]
+        first = np.flatnonzero(fresh)
+        size = np.diff(np.concatenate([first, [n]]))
+        docs = fresh.copy()
+        docs[1:] |= (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+        held = np.add.reduceat(docs, first, dtype=np.int64) if n else size
+        several = size > 1 if self.within else (ids[np.minimum(first + size - 1, max(n - 1, 0))] > ids[first] if n else size > 1)
         known = np.repeat(several, size)
-        tell = np.zeros(len(hashes), bool)
-        tell[first[several]] = True
-        slots = np.where(known, mix(hashes + np.arange(len(hashes), dtype=np.uint64)), hashes)
-        rows = np.concatenate([np.arange(len(hashes)), np.flatnonzero(tell)])
-        told = np.arange(len(rows)) >= len(hashes)
-        count = np.repeat(size, size)
-        columns = [np.where(told, hashes[rows], slots[rows]).view(np.int64), hashes[rows].view(np.int64), own[rows], keys[owners[rows]], known[rows] & ~told, np.where(told, count[rows], 1).astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["slot", "hash", "id", "key", "known", "n"])
-
-
-def shared_by_document(rows: DataFrame, hot: int = 0) -> DataFrame:
-    """id, key, hashes: the shared keys of each document that has some; written.
-
-    With hot, also hot_hashes: those that more than so many tasks or documents of a task hold."""
-    w = Window.partitionBy("slot", "hash")
-    told = rows.withColumn("tasks", F.count(F.lit(1)).over(w)).withColumn("docs", F.sum("n").over(w))
-    found = told.where("known or tasks > 1")
-    if not hot:
-        return written(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes")), "shared")
-    found = written(found.select("id", "key", "hash", "known", "docs"), "found")
-    common = written(found.where(f"not known and docs > {hot}").groupBy("hash").agg(F.max("docs").alias("docs")), "common")
-    found = found.join(maybe_broadcast(common.select("hash", F.lit(True).alias("common"))), "hash", "left")
-    return written(found.groupBy("id", "key").agg(F.collect_set("hash").alias("hashes"), F.collect_set(F.when(F.col("common"), F.col("hash"))).alias("hot_hashes")), "shared")
+        spread = (mix(hashes + np.arange(n, dtype=np.uint64)) << np.uint64(48)) | np.uint64(1 << 48)
+        told = first[several]
+        columns = [
+            np.concatenate([np.where(known, hashes | spread, hashes), hashes[told]]).view(np.int64),
+            np.concatenate([ids, ids[told]]),
+            np.concatenate([keys, keys[told]]),
+            np.concatenate([places, places[told]]),
+            np.concatenate([np.where(known, 0, 1), np.maximum(held[several], 2)]).astype(np.int32),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _NAMES)
+
+
+def shared_places(rows: DataFrame, within: bool, hot: int | None = None) -> DataFrame:
+    """id, key, pos of shared places.
+
+    With hot, also common: whether more than so many documents hold the key, the same for all its places."""
+    w = Window.partitionBy("slot")
+    shared = F.count(F.lit(1)).over(w) > 1 if within else F.min("id").over(w) < F.max("id").over(w)
+    told = rows.withColumn("shared", shared | (F.col("n") > 1))
+    if hot is None:
+        return told.where("n = 0 or shared").select("id", "key", "pos")
+    found = told.withColumn("docs", F.sum("n").over(w)).where("n = 0 or shared")
+    found = written(found.select(F.col("slot").bitwiseAND(F.lit(_KEY)).alias("slot"), "id", "key", "pos", "n", "docs"), "found")
+    common = written(found.where(f"n > 0 and docs > {hot}").select("slot").distinct(), "common")
+    return found.join(maybe_broadcast(common.withColumn("common", F.lit(True))), "slot", "left").select("id", "key", "pos", F.coalesce("common", F.lit(False)).alias("common"))
+
+
+def regions(places: DataFrame, gap: int, exact: bool = False) -> DataFrame:
+    """id, key, starts, ends: a document's places, those at most gap apart joined; written.
+
+    With exact, also common: places that are common, one by one."""
+    lists = [F.collect_set("pos").alias("pos")] + ([F.collect_set(F.when(F.col("common"), F.col("pos"))).alias("common")] if exact else [])
+    kind = "id long, key long, starts array<int>, ends array<int>" + (", common array<int>" if exact else "")
+    ints = pa.list_(pa.int32())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            starts, ends = [], []
+            for x in b.column("pos"):
+                at = np.sort(x.values.to_numpy())
+                cut = np.flatnonzero(np.diff(at) > gap)
+                starts.append(at[np.concatenate([[0], cut + 1])])
+                ends.append(at[np.concatenate([cut, [len(at) - 1]])])
+            columns = [b.column("id"), b.column("key"), pa.array(starts, ints), pa.array(ends, ints)] + ([b.column("common")] if exact else [])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "key", "starts", "ends"] + ["common"] * exact)
+
+    return written(places.groupBy("id", "key").agg(*lists).mapInArrow(run, kind), "regions")
+
+
+def inside(places: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which places lie in one of the regions, which are in order."""
+    if not len(starts):
+        return np.zeros(len(places), bool)
+    at = np.searchsorted(starts, places, "right") - 1
+    return (at >= 0) & (places <= ends[np.maximum(at, 0)])
+
+
+def numbers(cell: pa.ListScalar) -> np.ndarray:
+    return cell.values.to_numpy() if cell.is_valid and len(cell.values) else np.zeros(0, np.int32)
 
 
 def attach(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:

@@ -4,7 +4,7 @@ A window is WIDTH consecutive words.  COVER is a difference cover modulo PERIOD:
 shift under PERIOD brings both to positions in COVER.  So of any two equal windows, both contain an anchor (a
 span of WIDTH - PERIOD + 1 words that starts at a position in COVER) at the same distance from their starts.
 Only these spans, 6 of 31, are hashed and exchanged.  Anchors that several documents hold are extended: the
-windows that contain one are hashed with 128 bits, and a window whose words also start in a document with a
+windows that contain one are hashed with 95 bits, and a window whose words also start in a document with a
 smaller id is a repeat.  A task sends each anchor and each window once, for its smallest id; what it can decide
 itself it does.  No pairs are formed.
 
@@ -19,23 +19,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared_keys
 from .rolling import Spans, covered, grouped, mix, runs
-from .shared import ordered_id, shown_id, written
+from .shared import shown_id, written
 
 WIDTH = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 SPAN = WIDTH - PERIOD + 1
 GROUP_BYTES = 1 << 20
-FLUSH_WINDOWS = 1_500_000
-
-
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(ordered_id(F.col("doc_id")).alias("id"), F.xxhash64("text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+FLUSH_WINDOWS = 600_000
 
 
 class _Words:
@@ -61,26 +58,30 @@ class _Words:
         return at, self.hashes(at, SPAN)
 
 
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[_Words, list[int]]]:
-    words = [t.encode().split() for t in batch.column("text").to_pylist()]
-    long = [i for i, w in enumerate(words) if len(w) >= WIDTH]
-    for a, b in grouped([6 * len(words[i]) for i in long], GROUP_BYTES):
-        yield _Words([words[i] for i in long[a:b]]), long[a:b]
+def _documents(batch: pa.RecordBatch) -> Iterator[tuple[_Words, np.ndarray]]:
+    texts = batch.column("text")
+    sizes = pa.compute.binary_length(texts).to_pylist()
+    for a, z in grouped(sizes, GROUP_BYTES):
+        words = [t.as_py().encode().split() for t in texts.slice(a, z - a)]
+        long = [i for i, w in enumerate(words) if len(w) >= WIDTH]
+        if long:
+            yield _Words([words[i] for i in long]), np.array(long) + a
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Keys(within=False)
+    held = shared_keys.Places(within=False)
     for b in batches:
-        ids, keys = b.column("id").to_pylist(), b.column("key").to_pylist()
+        ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
         for w, rows in _documents(b):
             at, hashes = w.anchors()
-            held.add(hashes, w.owner[at], [ids[i] for i in rows], [keys[i] for i in rows])
-            if held.size >= shared_keys.FLUSH:
+            doc = rows[w.owner[at]]
+            held.add(hashes, ids[doc], keys[doc], w.place[at])
+            if held.full():
                 yield held.take()
     yield held.take()
 
 
-_WINDOWS = "a long, b long, id long, key long, start int, length int, known boolean"
+_WINDOWS = "a long, b int, id long, key long, start int, length int, known boolean"
 
 
 def _decide(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -97,9 +98,9 @@ def _decide(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     owner = np.cumsum(np.concatenate([[0], (np.diff(ids[rep]) != 0) | (np.diff(keys[rep]) != 0)])) if len(rep) else rep
     head, size = runs(start[rep], owner)
     head = rep[head]
-    slot = mix(a[head] ^ keys[head].view(np.uint64) ^ ids[head].view(np.uint64))
+    slot = mix(a[head] ^ keys[head].view(np.uint64) ^ mix(ids[head].view(np.uint64)))
     columns = [np.concatenate(x) for x in ((a[ask], slot), (b[ask], slot), (ids[ask], ids[head]), (keys[ask], keys[head]), (start[ask], start[head]), (np.ones(len(ask), np.int32), size))]
-    types = [pa.int64()] * 4 + [pa.int32()] * 2
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     arrays = [pa.array((c.view(np.int64) if c.dtype == np.uint64 else c).astype(t.to_pandas_dtype())) for c, t in zip(columns, types, strict=True)]
     return pa.RecordBatch.from_arrays([*arrays, pa.array(np.arange(len(columns[0])) >= len(ask))], ["a", "b", "id", "key", "start", "length", "known"])
 
@@ -107,22 +108,18 @@ def _decide(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, size = [], 0
     for b in batches:
-        ids, keys, hashes = b.column("id").to_numpy(), b.column("key").to_numpy(), b.column("hashes")
+        ids, keys, starts, ends = b.column("id").to_numpy(), b.column("key").to_numpy(), b.column("starts"), b.column("ends")
         for w, rows in _documents(b):
-            at, found = w.anchors()
-            ends = np.searchsorted(w.owner[at], np.arange(len(rows) + 1))
-            hit = np.zeros(len(at), bool)
+            # a window contains an anchor if it starts at most PERIOD - 1 words before it
+            on = w.place + WIDTH <= w.counts[w.owner]
             for k, i in enumerate(rows):
-                hit[ends[k] : ends[k + 1]] = np.isin(found[ends[k] : ends[k + 1]].view(np.int64), hashes[i].values.to_numpy())
-            # a window contains the anchor if it starts at most PERIOD - 1 words before it
-            step = np.zeros(len(w.owner) + 1, np.int64)
-            np.add.at(step, np.maximum(at[hit] - PERIOD + 1, w.offsets[w.owner[at[hit]]]), 1)
-            np.add.at(step, at[hit] + 1, -1)
-            on = np.flatnonzero((np.cumsum(step[:-1]) > 0) & (w.place + WIDTH <= w.counts[w.owner]))
+                part = slice(w.offsets[k], w.offsets[k] + w.counts[k])
+                on[part] &= shared_keys.inside(w.place[part], shared_keys.numbers(starts[i]) - PERIOD + 1, shared_keys.numbers(ends[i]))
+            on = np.flatnonzero(on)
             if not len(on):
                 continue
-            doc = np.array(rows)[w.owner[on]]
-            parts.append((w.hashes(on, WIDTH), w.hashes(on, WIDTH, 1), ids[doc], keys[doc], w.place[on]))
+            doc = rows[w.owner[on]]
+            parts.append((w.hashes(on, WIDTH), w.hashes(on, WIDTH, 1) >> np.uint64(33), ids[doc], keys[doc], w.place[on]))
             size += len(on)
             if size >= FLUSH_WINDOWS:
                 yield _decide(parts)
@@ -133,10 +130,11 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """id, key, runs of (start, length): the windows of a document that also start in one with a smaller id; written."""
-    rows = _rows(docs)
-    anchors = shared_keys.shared_by_document(rows.mapInArrow(_anchors, shared_keys.SCHEMA))
-    some = shared_keys.attach(rows, anchors, "inner")
-    found = some.select("id", "key", "text", "hashes").mapInArrow(_windows, _WINDOWS)
+    rows = shared_keys.documents(docs)
+    anchors = shared_keys.shared_places(rows.mapInArrow(_anchors, shared_keys.SCHEMA), within=False)
+    # two anchors at most PERIOD apart may be in one window; what lies between is looked at as well
+    some = shared_keys.attach(rows, shared_keys.regions(anchors, PERIOD), "inner")
+    found = some.select("id", "key", "text", "starts", "ends").mapInArrow(_windows, _WINDOWS)
     found = found.withColumn("least", F.min("id").over(Window.partitionBy("a", "b"))).where("known or id > least")
     return written(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), "repeats")
 
@@ -170,7 +168,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_runs(docs: DataFrame) -> DataFrame:
-    return shared_keys.attach(_rows(docs), repeats(docs), "left").select("id", "text", "runs")
+    return shared_keys.attach(shared_keys.documents(docs), repeats(docs), "left").select("id", "text", "runs")
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -22,15 +22,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rolling import grouped
+
 #: Documents of each label that the field is fitted on, at most.
-SAMPLE = 3000
+SAMPLE = 2000
 SLOTS = 1 << 18
 CACHE_WORDS = 300_000
 FLOOR = 0.3
 CUT = 0.3
+GROUP_BYTES = 2 << 20
 _REACH = 8  # words to each side of a labelled word that are learnt from
 _EDGE = re.compile(r"^\W+|\W+$")
 
@@ -63,26 +67,13 @@ class Field:
         return np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
 
     def marginals(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
-        """Of each sequence; sequences of about one length are run side by side."""
-        out: list[np.ndarray] = [np.zeros(0)] * len(emissions)
-        order = sorted((i for i, e in enumerate(emissions) if len(e)), key=lambda i: len(emissions[i]))
-        a = 0
-        while a < len(order):
-            z = a
-            while z < len(order) and len(emissions[order[z]]) <= 1.3 * len(emissions[order[a]]) + 16 and (z - a) * len(emissions[order[z]]) < 2_000_000:
-                z += 1
-            z = max(z, a + 1)
-            part = order[a:z]
-            n = len(emissions[part[-1]])
-            e = np.zeros((n, len(part)))
-            for k, i in enumerate(part):
-                e[: len(emissions[i]), k] = emissions[i]
-            lengths = np.array([len(emissions[i]) for i in part])
-            p = _marginals(e, lengths, np.exp(self.moves), np.exp(self.start))
-            for k, i in enumerate(part):
-                out[i] = p[: lengths[k], k]
-            a = z
-        return out
+        """Of each sequence."""
+        lengths = np.array([len(e) for e in emissions], np.int64)
+        if not lengths.sum():
+            return [np.zeros(0)] * len(emissions)
+        ends = np.cumsum(lengths)
+        p = _chained(np.concatenate(emissions), (ends - lengths)[lengths > 0], np.exp(self.moves), float(np.exp(self.start)))
+        return np.split(p, ends[:-1])
 
 
 class _Emissions(dict):
@@ -99,6 +90,49 @@ class _Emissions(dict):
         return value
 
 
+_BLOCK = 64
+
+
+def _scan(maps: np.ndarray) -> np.ndarray:
+    """Values r[t] = maps[t](r[t-1]) of maps r -> (a r + b) / (c r + d), given as columns a, b, c, d; the first is constant.
+
+    Maps compose as 2 x 2 matrices: blocks of them are composed side by side, a short pass runs over blocks,
+    and all blocks are run side by side from there."""
+    n = len(maps)
+    blocks = -(-n // _BLOCK)
+    full = np.concatenate([maps, np.tile([1.0, 0.0, 0.0, 1.0], (blocks * _BLOCK - n, 1))]).reshape(blocks, _BLOCK, 4).transpose(1, 2, 0).copy()
+    a, b, c, d = full[0]
+    for k in range(1, _BLOCK):
+        e, f, g, h = full[k]
+        a, b, c, d = e * a + f * c, e * b + f * d, g * a + h * c, g * b + h * d
+        top = np.maximum(np.maximum(a, b), np.maximum(c, d))
+        a, b, c, d = a / top, b / top, c / top, d / top
+    r, before = 0.0, []
+    for w, x, y, z in zip(a.tolist(), b.tolist(), c.tolist(), d.tolist(), strict=True):
+        before.append(r)
+        r = (w * r + x) / (y * r + z)
+    value = np.array(before)
+    out = np.empty((_BLOCK, blocks))
+    for k in range(_BLOCK):
+        e, f, g, h = full[k]
+        out[k] = value = (e * value + f) / (g * value + h)
+    return out.T.ravel()[:n]
+
+
+def _chained(e: np.ndarray, first: np.ndarray, moves: np.ndarray, start: float) -> np.ndarray:
+    """P(toxic) at each place of sequences in one array that begin at first."""
+    x = np.exp(np.clip(e, -25, 25))
+    (cc, ct), (tc, tt) = moves
+    ahead = np.stack([tt * x, ct * x, np.full_like(x, tc), np.full_like(x, cc)], 1)
+    ahead[first] = np.stack([np.zeros(len(first)), start * x[first], np.zeros(len(first)), np.ones(len(first))], 1)
+    behind = np.stack([tt * x, np.full_like(x, tc), ct * x, np.full_like(x, cc)], 1)
+    behind[first] = [0.0, 1.0, 0.0, 1.0]
+    # the odds that place t has from what follows it: the map of place t + 1
+    behind = np.concatenate([[[0.0, 1.0, 0.0, 1.0]], behind[:0:-1]])
+    odds = _scan(ahead) * _scan(behind)[::-1]
+    return odds / (1 + odds)
+
+
 def _marginals(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: float) -> np.ndarray:
     """P(toxic) at each place of padded columns: forward and backward odds of toxic to clean."""
     x = np.exp(np.clip(e, -25, 25))
@@ -132,16 +166,20 @@ def _labelled(toxic: list[list[str]], clean: list[list[str]], tell: float = 0.03
             f = memo[word] = features(word)
         return f
 
-    good: Counter = Counter()
-    for words in clean:
-        good.update(set().union(*map(slots, set(words))))
-    places: dict[int, set[int]] = {}
+    def documents(docs: list[list[str]]) -> Counter:
+        found: Counter = Counter()
+        for words in docs:
+            found.update(set().union(*map(slots, set(words))))
+        return found
+
+    good, bad = documents(clean), documents(toxic)
+    need = max(least, 0.004 * len(toxic))
+    places: dict[int, set[int]] = {f: set() for f, n in bad.items() if n >= need and good[f] <= tell * len(clean)}
     for words in toxic:
         for before, word, after in zip(["", *words[:-1]], words, [*words[1:], ""], strict=True):
             for f in slots(word):
-                if good[f] <= tell * len(clean):
-                    places.setdefault(f, set()).add(hash((before, after)))
-    need = max(least, 0.004 * len(toxic))
+                if f in places:
+                    places[f].add(hash((before, after)))
     return {f for f, found in places.items() if len(found) >= need and (good[f] + 0.5) / max(1, len(clean)) < tell * len(found) / len(toxic)}
 
 
@@ -251,8 +289,9 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
         field = sent.value
         for b in batches:
             texts, scores = b.column(1), []
-            for a in range(0, len(texts), 1024):
-                scores += map(_score, _words((t.as_py() or "" for t in texts.slice(a, 1024)), field)[1])
+            sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
+            for a, z in grouped(sizes, GROUP_BYTES):
+                scores += map(_score, _words((t.as_py() or "" for t in texts.slice(a, z - a)), field)[1])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")

@@ -253,14 +253,14 @@ def classes(docs: DataFrame) -> DataFrame:
     full = reps.select("cls", "registers", F.explode("bands").alias("band"))
     shared = written(full.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
     dealt = _blocks(full.join(maybe_broadcast(shared), "band"), "band", BLOCK).select("slot", "cls", "registers")
-    edges = written(dealt.repartition("slot").sortWithinPartitions("slot").mapInArrow(_candidates, _EDGES).distinct(), "candidates")
+    edges = written(dealt.repartition("slot").sortWithinPartitions("slot", "cls").mapInArrow(_candidates, _EDGES).distinct(), "candidates")
     clusters = components(edges)
     sizes = written(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "clusters")
     member = clusters.join(maybe_broadcast(sizes), "root").withColumnRenamed("node", "cls")
     member = written(reps.select("cls", "registers", "rep").join(maybe_broadcast(written(member, "members")), "cls").select("root", "n", "cls", "registers", "rep.id", "rep.key"), "members")
     texts = rows.join(maybe_broadcast(member), ["id", "key"]).select("root", "n", "cls", "registers", "text")
     dealt = _blocks(texts.mapInArrow(_elements, "root binary, n long, cls binary, registers binary, elements binary"), "root", CLUSTER_BLOCK)
-    dealt = dealt.select("slot", "cls", "registers", "elements").repartition("slot").sortWithinPartitions("slot")
+    dealt = dealt.select("slot", "cls", "registers", "elements").repartition("slot").sortWithinPartitions("slot", "cls")
     links = written(dealt.mapInArrow(_links, _EDGES).where("a != b").distinct(), "links")
     found = components(links).withColumnRenamed("node", "cls")
     joined = reps.where("size > 1").select("cls", "rep", "size").unionAll(reps.where("size = 1").join(maybe_broadcast(written(found.select("cls"), "linked")), "cls", "left_semi").select("cls", "rep", "size"))

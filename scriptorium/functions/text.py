@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLANKS = r"(?:\.{4,}|_{3,}|…{2,})"
 MARK_CODE = r"\b(?:M|A|B|SC)\d+\b|\b(?:FT|cao|oe|nfww|isw)\b"
@@ -24,7 +25,7 @@ def squeezed(t: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(t, F.lit(""))), r"\s+", " "))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of lower-case, space-collapsed texts; 0 if one is empty."""
     tidy = [[" ".join((x or "").lower().split()) for x in s] for s in (a, b)]

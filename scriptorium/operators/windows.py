@@ -60,4 +60,4 @@ def carried(df: DataFrame, group: str, order: str, value: str, out: str) -> Data
 def slot_gaps(df: DataFrame, group: str, ts: str) -> DataFrame:
     """Seconds since the event before, in each group."""
     w = Window.partitionBy(group).orderBy(ts)
-    return df.withColumn("gap_s", F.unix_micros(ts) / 1e6 - F.unix_micros(F.lag(ts).over(w)) / 1e6)
+    return df.withColumn("gap_s", (F.unix_micros(F.col(ts).cast("timestamp")) - F.lag(F.unix_micros(F.col(ts).cast("timestamp"))).over(w)) / 1e6)

@@ -21,6 +21,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,18 +39,39 @@ CELLS = 1 << 18
 CHUNK_ROWS = 128
 
 
+def _any_of(words: list[str]) -> str:
+    """A pattern of some words that branches letter by letter, so that no word is tried after its first letters fail."""
+    ends, tails = "" in words, {}
+    for w in filter(None, words):
+        tails.setdefault(w[0], []).append(w[1:])
+    branches = [letter + _any_of(sorted(set(rest))) for letter, rest in sorted(tails.items())]
+    return "" if not branches else f"(?:{'|'.join(branches)})" + "?" * ends
+
+
+def _spots(words: Column, anchors: list[str]) -> Column:
+    """Hashes of the signatures of all spots.  No pattern repeats a group, as those recurse in the JVM."""
+    marked = F.regexp_replace(words, rf"(?<![^ ])({_any_of(sorted(set(anchors)))})(?= )", "\u0001$1")
+    spots = F.regexp_replace(marked, "\u0001[^ ]+ (?=\u0001)", "")
+    chains = F.regexp_replace(spots, "\u0001([^ ]+) ([^ ]+)(?= (?:\u0001[^ ]+ )?([^ ]+))", "\u0002$1 $2 $3\u0003")
+    return F.transform(F.regexp_extract_all(chains, F.lit("\u0002([^\u0003]*)\u0003"), F.lit(1)), lambda x: F.hash(x))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def signatures(text: Column, anchors: list[str] = ANCHORS) -> Column:
     """The sorted set of a text's signatures."""
-    known = "|".join(sorted(set(anchors)))
+    none = F.array().cast("array<int>")
+
+    def pairs(words: Column) -> Column:
+        every = _let(F.split(words, " "), lambda s: F.zip_with(s, F.slice(s, F.lit(2), F.size(s)), lambda a, b: F.hash(a, b)))
+        return F.when(words == "", none).otherwise(every)
+
     words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    spots = F.regexp_replace(words, rf"(?<![^ ])(?:({known}) )+(?=[^ ])", "\u0001$1:")
-    chains = F.regexp_replace(spots, "\u0001([^ :]+):([^ ]+)(?= (?:\u0001[^ :]+:)?([^ ]+))", "\u0002$1 $2 $3\u0003")
-    found = F.regexp_extract_all(chains, F.lit("\u0002([^\u0003]*)\u0003"), F.lit(1))
-    found = F.transform(found, lambda x: F.hash(x))
-    split = F.split(words, " ")
-    pairs = F.transform(split, lambda x, i: F.hash(x, F.try_element_at(split, i + 2)))
-    every = F.when(F.size(found) >= FEW, found).when(words == "", F.array().cast("array<int>")).otherwise(F.concat(found, pairs))
-    return F.array_sort(F.array_distinct(every))
+    found = _let(words, lambda w: _let(_spots(w, anchors), lambda f: F.when(F.size(f) >= FEW, f).otherwise(F.concat(f, pairs(w)))))
+    return F.array_sort(F.array_distinct(found))
 
 
 def as_text(signatures_: Column) -> Column:
@@ -94,8 +117,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("following", F.lead(F.struct("t", "own")).over(w)).where(~F.col("last"))
     half = F.floor(F.col("n") / 2).cast("int")
     rows = rows.withColumn("n", F.char_length("t")).withColumn("edited", F.concat(F.substring("t", F.lit(1), F.col("n") - half), F.substring(F.col("following.t"), F.lit(1), half)))
-    rows = rows.select("id", F.col("n").cast("long").alias("n"), F.sha2("edited", 256).alias("sha"), "own", signatures(F.col("edited")).alias("changed"), F.col("following.own").alias("next"))
-    return rows.select(shown_id(F.col("id")).alias("doc_id"), F.col("n").alias("n_chars"), F.col("sha").alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))
+    changed = _let(signatures(F.col("edited")), lambda c: F.struct(as_text(c).alias("text"), likeness(F.col("own"), c).alias("near")))
+    rows = rows.select("id", F.col("n").cast("long").alias("n"), F.sha2("edited", 256).alias("sha"), "own", changed.alias("changed"), F.col("following.own").alias("next"))
+    return rows.select(shown_id(F.col("id")).alias("doc_id"), F.col("n").alias("n_chars"), F.col("sha").alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"), F.col("changed.text").alias("edited_fingerprint"), F.col("changed.near").alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))
 
 
 def _part(size: Column, threshold: float) -> Column:

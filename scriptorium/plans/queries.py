@@ -116,10 +116,10 @@ def type_counts(spark, d):
     return agg.counts(tables.parquet(spark, d, "events"), "event_type")
 
 
-@query("""SELECT event_id, round((p * 0.1::DOUBLE + o * 0.4::DOUBLE) / 1e6, 6) AS usd FROM (SELECT event_id, CAST(user_id AS BIGINT) AS p, CAST(floor(abs(value)) AS BIGINT) AS o FROM events)
+@query("""SELECT event_id, round((p * 0.1::DOUBLE + o * 0.4::DOUBLE) / 1e6, 6) AS usd FROM (SELECT event_id, 10 * CAST(user_id AS BIGINT) AS p, 10 * CAST(floor(abs(value)) AS BIGINT) AS o FROM events)
   WHERE o > 0""")
 def token_cost(spark, d):
-    e = tables.parquet(spark, d, "events").select("event_id", F.col("user_id").cast("long").alias("p"), F.floor(F.abs("value")).alias("o")).where("o > 0")
+    e = tables.parquet(spark, d, "events").select("event_id", (10 * F.col("user_id").cast("long")).alias("p"), (10 * F.floor(F.abs("value"))).alias("o")).where("o > 0")
     return e.select("event_id", coerce.token_cost(F.lit("flash-lite"), F.col("p"), F.col("o"), F.lit(0), F.lit(0))["usd"].alias("usd"))
 
 

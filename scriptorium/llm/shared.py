@@ -20,12 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="scriptorium-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="scriptorium-"))
+        found = _own[0]
     return found.rstrip("/")
 
 

@@ -58,6 +58,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_byte_repeats": """
+            WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+            s AS (SELECT doc_id, i, md5(substring(h, 2 * i - 1, 200)) AS k
+                  FROM (SELECT doc_id, h, unnest(range(1, length(h) // 2 - 98)) AS i FROM d)),
+            r AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM s) WHERE n > 1),
+            b AS (SELECT doc_id, h, unnest(range(1, length(h) // 2 + 1)) AS j FROM d),
+            g AS (SELECT b.doc_id, j, substring(h, 2 * j - 1, 2) AS x,
+                         max(r.i) OVER (PARTITION BY b.doc_id ORDER BY j ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+                  FROM b LEFT JOIN r ON r.doc_id = b.doc_id AND r.i = b.j),
+            e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY j), false) AS head FROM g),
+            a AS (SELECT doc_id, count(*) AS n, CAST(count_if(gone) AS BIGINT) AS m, CAST(count_if(head) AS BIGINT) AS p,
+                         sha256(unhex(coalesce(string_agg(x, '' ORDER BY j) FILTER (NOT gone), ''))) AS sha FROM e GROUP BY doc_id)
+            SELECT doc_id, coalesce(n, 0) AS n_bytes, coalesce(m, 0) AS n_removed, coalesce(p, 0) AS n_spans, coalesce(sha, sha256('')) AS kept_sha256
+            FROM d LEFT JOIN a USING (doc_id)""",
+        "op7_word_windows": r"""
+            WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+            s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+                  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+            r AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY k) AS m FROM s) WHERE doc_id > m),
+            b AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS x FROM d),
+            g AS (SELECT b.doc_id, j, x, max(r.i) OVER (PARTITION BY b.doc_id ORDER BY j ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+                  FROM b LEFT JOIN r ON r.doc_id = b.doc_id AND r.i = b.j),
+            a AS (SELECT doc_id, count(*) AS n, CAST(count_if(gone) AS BIGINT) AS m,
+                         sha256(coalesce(string_agg(x, ' ' ORDER BY j) FILTER (NOT gone), '')) AS sha FROM g GROUP BY doc_id)
+            SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(m, 0) AS n_removed, coalesce(sha, sha256('')) AS kept_sha256
+            FROM d LEFT JOIN a USING (doc_id)""",
         "op9_exact_dedup": """
             WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS, CACHE_PIECES = 300_000, 600_000
+CACHE_WORDS, CACHE_PIECES = 150_000, 200_000
 CACHED_CHARS = 64
 
 
@@ -174,7 +174,7 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(name): int(rank) for name, rank in map(bytes.split, raw.splitlines()) if name}
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _coder(raw: bytes, pattern: str) -> Coder:
     return Coder(read_ranks(raw), pattern)
 

@@ -31,7 +31,7 @@ from .rolling import grouped
 #: Documents of each label that the field is fitted on, at most.
 SAMPLE = 2000
 SLOTS = 1 << 18
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 FLOOR = 0.5
 CUT = 0.3
 GROUP_BYTES = 2 << 20

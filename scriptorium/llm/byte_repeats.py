@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes of strings of WIDTH that also start earlier are removed.
 
 1. Sampling.  Of each window of WIDTH bytes one SEED-byte string is its minimizer: the leftmost of least hash.
-   Equal windows have equal minimizers.  About one position in 41 is one; their hashes are exchanged, once a task
+   Equal windows have equal minimizers.  About one position in 31 is one; their hashes are exchanged, once a task
    and hash, and those that occur twice anywhere are shared.
 2. Sharding.  Windows with a shared minimizer go to its shard, neighbours as one string.  A task sends each
    string once, for its earliest place, and marks the other places itself.  The windows of a minimizer that
@@ -35,8 +35,8 @@ from .shared import shown_id, written
 from .suffix_arrays import common_prefixes, suffix_array
 
 WIDTH = 100
-SEED = 20
-EDGE = 24  # bytes at a window's ends that are looked up for hot minimizers
+SEED = 40
+EDGE = 56  # bytes at a window's ends that are looked up for hot minimizers
 HOT = 512
 GROUP_BYTES = 1 << 20
 CHUNK = 2 << 20
@@ -55,11 +55,9 @@ class _Bytes:
         self.spans = Spans(self.buffer)
         self.seeds = self.spans.every(SEED)
         packed = (self.seeds & ~_PLACE) | np.arange(len(self.seeds), dtype=np.uint64)
-        inside = np.zeros(len(self.buffer) + 1, np.int64)
-        np.add.at(inside, self.offsets, 1)
-        np.add.at(inside, self.offsets + self.sizes - WIDTH + 1, -1)
-        self.starts = np.flatnonzero(np.cumsum(inside[:-1]) > 0)  # of windows
-        self.owner = np.searchsorted(self.offsets, self.starts, "right") - 1
+        windows = self.sizes - WIDTH + 1
+        self.owner = np.repeat(np.arange(len(texts)), windows)
+        self.starts = np.arange(len(self.owner)) + (self.offsets - np.cumsum(windows) + windows)[self.owner]
         self.minimizer = (sliding_min(packed, WIDTH - SEED + 1)[self.starts] & _PLACE).astype(np.int64)
 
     def edges(self, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +106,7 @@ def _hot(d: _Bytes, rows: np.ndarray, column: pa.Array) -> np.ndarray:
 
 
 def _hot_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Places(within=True)
+    held = shared_keys.Places(within=True, gap=EDGE - SEED + 1)
     for b in batches:
         ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
         for d, rows in _documents(b):
@@ -290,7 +288,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     if common.take(1):
         held = shared_keys.attach(rows, written(common, "common"), "inner").select("id", "key", "text", "common")
         edges = shared_keys.shared_places(held.mapInArrow(_hot_edges, shared_keys.SCHEMA), within=True)
-        edges = shared_keys.regions(edges, 1).withColumnsRenamed({"starts": "edge_starts", "ends": "edge_ends"})
+        edges = shared_keys.regions(edges, EDGE - SEED + 1).withColumnsRenamed({"starts": "edge_starts", "ends": "edge_ends"})
         some = shared_keys.attach(some, edges, "left").select("id", "key", "text", "starts", "ends", "common", "edge_starts", "edge_ends")
     else:
         some = some.select("id", "key", "text", "starts", "ends")

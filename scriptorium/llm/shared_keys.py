@@ -21,8 +21,9 @@ from .rolling import mix
 from .shared import maybe_broadcast, ordered_id, written
 
 #: n: 0 for a place known to be shared, else the documents of the task that hold the key.
-SCHEMA = "slot long, id long, key long, pos int, n int"
-_NAMES = ["slot", "id", "key", "pos", "n"]
+#: upto: the last place of a run of known ones.
+SCHEMA = "slot long, id long, key long, pos int, upto int, n int"
+_NAMES = ["slot", "id", "key", "pos", "upto", "n"]
 #: Places that a task holds before it emits them.
 FLUSH = 1_200_000
 _KEY = (1 << 48) - 1
@@ -39,9 +40,9 @@ def documents(docs: DataFrame) -> DataFrame:
 class Places:
     """Places of keys in a task's documents."""
 
-    def __init__(self, within: bool) -> None:
-        """within: a key that one document has twice is shared."""
-        self.within = within
+    def __init__(self, within: bool, gap: int | None = None) -> None:
+        """within: a key that one document has twice is shared.  gap: known places so close are sent as one run."""
+        self.within, self.gap = within, gap
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
@@ -69,37 +70,46 @@ class Places:
         several = size > 1 if self.within else (ids[np.minimum(first + size - 1, max(n - 1, 0))] > ids[first] if n else size > 1)
         known = np.repeat(several, size)
         spread = (mix(hashes + np.arange(n, dtype=np.uint64)) << np.uint64(48)) | np.uint64(1 << 48)
-        told = first[several]
+        told, upto, rows = first[several], places.copy(), np.arange(n)
+        if self.gap is not None and known.any():
+            mine = np.flatnonzero(known)
+            mine = mine[np.lexsort((places[mine], keys[mine], ids[mine]))]
+            head = np.ones(len(mine), bool)
+            head[1:] = (ids[mine[1:]] != ids[mine[:-1]]) | (keys[mine[1:]] != keys[mine[:-1]]) | (places[mine[1:]] - places[mine[:-1]] > self.gap)
+            at = np.flatnonzero(head)
+            upto[mine[at]] = places[mine[np.concatenate([at[1:], [len(mine)]]) - 1]]
+            rows = np.concatenate([np.flatnonzero(~known), mine[at]])
         columns = [
-            np.concatenate([np.where(known, hashes | spread, hashes), hashes[told]]).view(np.int64),
-            np.concatenate([ids, ids[told]]),
-            np.concatenate([keys, keys[told]]),
-            np.concatenate([places, places[told]]),
-            np.concatenate([np.where(known, 0, 1), np.maximum(held[several], 2)]).astype(np.int32),
+            np.concatenate([np.where(known, hashes | spread, hashes)[rows], hashes[told]]).view(np.int64),
+            np.concatenate([ids[rows], ids[told]]),
+            np.concatenate([keys[rows], keys[told]]),
+            np.concatenate([places[rows], places[told]]),
+            np.concatenate([upto[rows], places[told]]),
+            np.concatenate([np.where(known, 0, 1)[rows], np.maximum(held[several], 2)]).astype(np.int32),
         ]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _NAMES)
 
 
 def shared_places(rows: DataFrame, within: bool, hot: int | None = None) -> DataFrame:
-    """id, key, pos of shared places.
+    """id, key, pos, upto of shared places.
 
     With hot, also common: whether more than so many documents hold the key, the same for all its places."""
     w = Window.partitionBy("slot")
     shared = F.count(F.lit(1)).over(w) > 1 if within else F.min("id").over(w) < F.max("id").over(w)
     told = rows.withColumn("shared", shared | (F.col("n") > 1))
     if hot is None:
-        return told.where("n = 0 or shared").select("id", "key", "pos")
+        return told.where("n = 0 or shared").select("id", "key", "pos", "upto")
     found = told.withColumn("docs", F.sum("n").over(w)).where("n = 0 or shared")
-    found = written(found.select(F.col("slot").bitwiseAND(F.lit(_KEY)).alias("slot"), "id", "key", "pos", "n", "docs"), "found")
+    found = written(found.select(F.col("slot").bitwiseAND(F.lit(_KEY)).alias("slot"), "id", "key", "pos", "upto", "n", "docs"), "found")
     common = written(found.where(f"n > 0 and docs > {hot}").select("slot").distinct(), "common")
-    return found.join(maybe_broadcast(common.withColumn("common", F.lit(True))), "slot", "left").select("id", "key", "pos", F.coalesce("common", F.lit(False)).alias("common"))
+    return found.join(maybe_broadcast(common.withColumn("common", F.lit(True))), "slot", "left").select("id", "key", "pos", "upto", F.coalesce("common", F.lit(False)).alias("common"))
 
 
 def regions(places: DataFrame, gap: int, exact: bool = False) -> DataFrame:
     """id, key, starts, ends: a document's places, those at most gap apart joined; written.
 
     With exact, also common: places that are common, one by one."""
-    lists = [F.collect_set("pos").alias("pos")] + ([F.collect_set(F.when(F.col("common"), F.col("pos"))).alias("common")] if exact else [])
+    lists = [F.collect_set(F.struct("pos", "upto")).alias("pos")] + ([F.collect_set(F.when(F.col("common"), F.col("pos"))).alias("common")] if exact else [])
     kind = "id long, key long, starts array<int>, ends array<int>" + (", common array<int>" if exact else "")
     ints = pa.list_(pa.int32())
 
@@ -107,10 +117,12 @@ def regions(places: DataFrame, gap: int, exact: bool = False) -> DataFrame:
         for b in batches:
             starts, ends = [], []
             for x in b.column("pos"):
-                at = np.sort(x.values.to_numpy())
-                cut = np.flatnonzero(np.diff(at) > gap)
+                at, upto = (x.values.field(c).to_numpy() for c in ("pos", "upto"))
+                order = np.argsort(at, kind="stable")
+                at, upto = at[order], np.maximum.accumulate(upto[order])
+                cut = np.flatnonzero(at[1:] - upto[:-1] > gap)
                 starts.append(at[np.concatenate([[0], cut + 1])])
-                ends.append(at[np.concatenate([cut, [len(at) - 1]])])
+                ends.append(upto[np.concatenate([cut, [len(at) - 1]])])
             columns = [b.column("id"), b.column("key"), pa.array(starts, ints), pa.array(ends, ints)] + ([b.column("common")] if exact else [])
             yield pa.RecordBatch.from_arrays(columns, ["id", "key", "starts", "ends"] + ["common"] * exact)
 

@@ -69,7 +69,7 @@ def _documents(batch: pa.RecordBatch) -> Iterator[tuple[_Words, np.ndarray]]:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Places(within=False)
+    held = shared_keys.Places(within=False, gap=PERIOD)
     for b in batches:
         ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
         for w, rows in _documents(b):

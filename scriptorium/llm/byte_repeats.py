@@ -1,5 +1,6 @@
 """Suffix-array dedup: bytes of strings of WIDTH that also start earlier are removed.
 
+0. Whole copies of a document with a smaller id repeat throughout, and are set aside.
 1. Sampling.  Of each window of WIDTH bytes one SEED-byte string is its minimizer: the leftmost of least hash.
    Equal windows have equal minimizers.  About one position in 31 is one; their hashes are exchanged, once a task
    and hash, and those that occur twice anywhere are shared.
@@ -280,6 +281,8 @@ def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(docs: DataFrame) -> DataFrame:
     """id, key, runs of (start, length): windows that also start earlier; written."""
     rows = shared_keys.documents(docs)
+    gone = shared_keys.copies(rows)
+    rows = shared_keys.without(rows, gone)
     places = shared_keys.shared_places(rows.mapInArrow(_minimizers, shared_keys.SCHEMA), within=True, hot=HOT)
     # minimizers of neighbouring windows are at most WIDTH - SEED + 1 apart; what lies between shared ones goes along
     sampled = shared_keys.regions(places, WIDTH - SEED + 1, exact=True)
@@ -294,7 +297,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         some = some.select("id", "key", "text", "starts", "ends")
     dealt = some.mapInArrow(_strings, _STRINGS).repartition("slot").sortWithinPartitions("slot")
     found = dealt.mapInArrow(_shard, "id long, key long, start int, length int")
-    return written(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), "repeats")
+    return shared_keys.with_whole(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), gone)
 
 
 def _kept(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -302,7 +305,7 @@ def _kept(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
     for text, found in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
         raw = text.encode()
         gone = np.zeros(len(raw), bool)
-        if found:
+        if found and len(raw) >= WIDTH:
             gone = covered(np.array([r["start"] for r in found]), np.array([r["length"] for r in found]), WIDTH, len(raw))
         yield raw, gone
 

@@ -21,7 +21,7 @@ from .rolling import mix
 from .shared import maybe_broadcast, ordered_id, written
 
 #: n: 0 for a place known to be shared, else the documents of the task that hold the key.
-#: upto: the last place of a run of known ones.
+#: upto: the last place of a run of known ones, else 0.
 SCHEMA = "slot long, id long, key long, pos int, upto int, n int"
 _NAMES = ["slot", "id", "key", "pos", "upto", "n"]
 #: Places that a task holds before it emits them.
@@ -84,7 +84,7 @@ class Places:
             np.concatenate([ids[rows], ids[told]]),
             np.concatenate([keys[rows], keys[told]]),
             np.concatenate([places[rows], places[told]]),
-            np.concatenate([upto[rows], places[told]]),
+            np.concatenate([np.where(upto > places, upto, 0)[rows], np.zeros(len(told), np.int32)]),
             np.concatenate([np.where(known, 0, 1)[rows], np.maximum(held[several], 2)]).astype(np.int32),
         ]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _NAMES)
@@ -119,7 +119,7 @@ def regions(places: DataFrame, gap: int, exact: bool = False) -> DataFrame:
             for x in b.column("pos"):
                 at, upto = (x.values.field(c).to_numpy() for c in ("pos", "upto"))
                 order = np.argsort(at, kind="stable")
-                at, upto = at[order], np.maximum.accumulate(upto[order])
+                at, upto = at[order], np.maximum.accumulate(np.maximum(at, upto)[order])
                 cut = np.flatnonzero(at[1:] - upto[:-1] > gap)
                 starts.append(at[np.concatenate([[0], cut + 1])])
                 ends.append(upto[np.concatenate([cut, [len(at) - 1]])])
@@ -141,6 +141,28 @@ def numbers(cell: pa.ListScalar) -> np.ndarray:
     return cell.values.to_numpy() if cell.is_valid and len(cell.values) else np.zeros(0, np.int32)
 
 
+#: The run that stands for a whole document.
+WHOLE = 1 << 30
+
+
+def copies(rows: DataFrame) -> DataFrame:
+    """id, key of rows whose whole text a row with a smaller id has: all their windows repeat, so none is exchanged; written."""
+    marked = rows.select("id", "key", F.sha2("text", 256).alias("sha"))
+    groups = marked.groupBy("sha").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    found = marked.join(maybe_broadcast(written(groups.select("sha", "least"), "groups")), "sha").where("id > least")
+    return written(found.select("id", "key").distinct(), "copies")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    return rows.join(maybe_broadcast(gone), ["id", "key"], "left_anti")
+
+
+def with_whole(found: DataFrame, gone: DataFrame) -> DataFrame:
+    """found (id, key, runs) and a run of WHOLE for each copy; written."""
+    whole = gone.select("id", "key", F.array(F.struct(F.lit(0).alias("start"), F.lit(WHOLE).alias("length"))).alias("runs"))
+    return written(found.unionByName(whole), "repeats")
+
+
 def attach(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:
     """docs (id, key, text) with a document's row of a written side."""
     return docs.join(maybe_broadcast(side), ["id", "key"], how)

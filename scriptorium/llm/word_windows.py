@@ -6,7 +6,7 @@ span of WIDTH - PERIOD + 1 words that starts at a position in COVER) at the same
 Only these spans, 6 of 31, are hashed and exchanged.  Anchors that several documents hold are extended: the
 windows that contain one are hashed with 95 bits, and a window whose words also start in a document with a
 smaller id is a repeat.  A task sends each anchor and each window once, for its smallest id; what it can decide
-itself it does.  No pairs are formed.
+itself it does.  No pairs are formed.  Whole copies of a document with a smaller id repeat throughout, and are set aside first.
 
 Defined results: a null text has no words; documents of fewer words than WIDTH keep everything; documents with
 the same id do not repeat each other; a null id orders before all others; an empty table gives an empty result.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import shared_keys
 from .rolling import Spans, covered, grouped, mix, runs
-from .shared import shown_id, written
+from .shared import shown_id
 
 WIDTH = 50
 PERIOD = 31
@@ -131,12 +131,14 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(docs: DataFrame) -> DataFrame:
     """id, key, runs of (start, length): the windows of a document that also start in one with a smaller id; written."""
     rows = shared_keys.documents(docs)
+    gone = shared_keys.copies(rows)
+    rows = shared_keys.without(rows, gone)
     anchors = shared_keys.shared_places(rows.mapInArrow(_anchors, shared_keys.SCHEMA), within=False)
     # two anchors at most PERIOD apart may be in one window; what lies between is looked at as well
     some = shared_keys.attach(rows, shared_keys.regions(anchors, PERIOD), "inner")
     found = some.select("id", "key", "text", "starts", "ends").mapInArrow(_windows, _WINDOWS)
     found = found.withColumn("least", F.min("id").over(Window.partitionBy("a", "b"))).where("known or id > least")
-    return written(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), "repeats")
+    return shared_keys.with_whole(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), gone)
 
 
 def _kept(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[bytes]]]:
@@ -144,7 +146,7 @@ def _kept(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[bytes]]]:
     runs_ = batch.column("runs").to_pylist()
     for text, found in zip(batch.column("text").to_pylist(), runs_, strict=True):
         words = text.encode().split()
-        if not found:
+        if not found or len(words) < WIDTH:
             yield words, words
             continue
         gone = covered(np.array([r["start"] for r in found]), np.array([r["length"] for r in found]), WIDTH, len(words))

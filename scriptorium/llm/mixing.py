@@ -3,13 +3,15 @@
 A source with target t and size S gets the rate r = t / S.  Every document is taken floor(r) times for certain.
 The rest, t - floor(r) * S words, is a Pareto sample with inclusion probability p = r - floor(r): documents are
 ranked by q = (u / (1 - u)) / (p / (1 - p)), u a hash of id and text, and taken in this order.  The sample's
-size is fixed in words: documents are taken while they fit; near the cut, documents that no longer fit are
-passed over and later ones tried (the next FILL ones), so that the sum ends within a few words of its target.
+size is fixed in words: a document that no longer fits is passed over and later ones are tried, to the end of the
+source, so the sum ends short of its target by less than any document after the last one passed over.
 
-The cut is found without sorting a source: u (which orders a source as q does, as p is the source's) is dealt
-into GRID cells, word counts by cell are summed, the cell with the cut is divided into GRID cells again, and
-only documents from the cut on are ranked, the first FILL of each task and source before the shuffle.  Sources
-are a dimension: tables with a row for each are handled whole.
+The sample is found without sorting a source, in rounds: u (which orders a source as q does, as p is the source's)
+is dealt into GRID cells, the words of the documents that may still fit are summed by cell, the cell with the cut is
+divided into GRID cells again, and documents before it are taken by a bound on u.  From there on the first FILL that
+fit the gap are tried one by one (the first FILL of each task and source before the shuffle).  A source goes into
+the next round until no document after the last one tried fits what is left.  Sources are a dimension: tables
+with a row for each are handled whole.
 
 Defined results: a null text or one without words has size 0 and is never taken, whatever the rate; a null source is the last one;
 rows that repeat id and text tie, and any of them is taken first; an empty table gives an empty result; other columns pass
@@ -18,6 +20,8 @@ through ``repeat`` untouched.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,40 +69,54 @@ def _cut(cells: DataFrame, room: str) -> DataFrame:
 
 
 def plan(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """sized: key, id, source, size, u, written.  -> (a row for each source, keys taken beyond the plain threshold).
+    """sized: key, id, source, size, u, written.  -> (a row for each source, keys taken beyond the plain bounds).
 
-    Rows of a source: source_size, target, whole, floor (u below it is taken once more)."""
+    Rows of a source: source_size, target, whole, spans (documents of at most cap words with lo < u < hi are taken
+    once more)."""
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     per = written(targets(per), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    per = per.withColumn("rate", rate).withColumn("whole", F.floor(F.col("rate") + 1e-12)).withColumn("p", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
+    per = per.withColumn("whole", F.floor(rate + 1e-12))
     per = per.withColumn("room", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
 
     def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
         return rows.join(maybe_broadcast(side), rows["source"].eqNullSafe(side["source"])).drop(side["source"])
 
     some = sized.where("size > 0")
-    coarse = some.groupBy("source", F.floor(F.col("u") * GRID).alias("cell")).agg(F.sum("size").alias("words"))
-    one = written(_cut(joined(coarse, per.select("source", "room")), "room"), "cut").withColumnsRenamed({"cell": "outer", "before": "outer_before"})
-    inner = joined(some, one).where(F.floor(F.col("u") * GRID) == F.col("outer"))
-    inner = inner.groupBy("source", F.floor(F.col("u") * GRID * GRID).alias("cell")).agg(F.sum("size").alias("words"), F.first("outer_before").alias("outer_before"))
-    inner = joined(inner, per.select("source", "room")).withColumn("left", F.col("room") - F.col("outer_before"))
-    two = _cut(inner, "left").alias("t").join(one.alias("o"), F.col("t.source").eqNullSafe(F.col("o.source")))
-    two = two.select("t.source", "t.cell", (F.col("t.before") + F.col("o.outer_before")).alias("before"))
-    per = per.alias("p").join(two.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source")), "left")
-    # A source without a cut has no fraction, or takes all of it.
-    floor = F.coalesce(F.col("t.cell") / float(GRID * GRID), F.when(F.col("p.room") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    per = written(per.select("p.source", "p.source_size", "p.target", "p.whole", "p.p", floor.alias("floor"), (F.col("p.room") - F.coalesce(F.col("t.before"), F.lit(0))).alias("gap")), "sources")
-
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    edge = joined(some, per.where("gap > 0 and floor < 1").select("source", "floor", "p", "gap")).where("u >= floor").withColumn("q", odds)
-    by_q = Window.partitionBy("source").orderBy("q", "id", "key")
-    edge = edge.select("source", "q", "id", "key", "size", "gap").withColumn("place", F.row_number().over(by_q)).where(F.col("place") <= FILL)
-    lined = edge.groupBy("source", "gap").agg(F.sort_array(F.collect_list(F.struct("place", "id", "key", "size"))).alias("line"))
-    start = "named_struct('left', gap, 'taken', cast(array() as array<int>))"
-    step = "(a, x) -> if(x.size <= a.left, named_struct('left', a.left - x.size, 'taken', array_append(a.taken, x.place)), a)"
-    taken = lined.withColumn("got", F.expr(f"aggregate(line, {start}, {step})")).select(F.explode(F.expr("filter(line, x -> array_contains(got.taken, x.place))")).alias("x"))
-    return per, written(taken.groupBy("x.id", "x.key").agg(F.count(F.lit(1)).alias("n")).select("id", "key", "n"), "edge")
+    start = "named_struct('left', gap, 'taken', cast(array() as array<struct<id: bigint, key: bigint, n: bigint>>))"
+    fits = "least(x.n, cast(floor(a.left / x.size) as bigint))"
+    step = f"(a, x) -> if(x.size <= a.left, named_struct('left', a.left - {fits} * x.size, 'taken', array_append(a.taken, named_struct('id', x.id, 'key', x.key, 'n', {fits}))), a)"
+    state = written(per.where("room >= 1").select("source", F.col("room").alias("left"), F.lit(-1.0).alias("lo")), "state")
+    spans, edges = [], []
+    while True:
+        fitting = joined(some, state).where("size <= left and u > lo")
+        coarse = written(fitting.groupBy("source", "left", F.floor(F.col("u") * GRID).alias("cell")).agg(F.sum("size").alias("words")), "coarse")
+        if not coarse.take(1):
+            break
+        one = written(_cut(coarse, "left"), "cut").withColumnsRenamed({"cell": "outer", "before": "outer_before"})
+        inner = joined(fitting, one).where(F.floor(F.col("u") * GRID) == F.col("outer"))
+        inner = inner.groupBy("source", "left", "outer_before", F.floor(F.col("u") * GRID * GRID).alias("cell")).agg(F.sum("size").alias("words"))
+        two = _cut(inner.withColumn("room", F.col("left") - F.col("outer_before")), "room").alias("t").join(one.alias("o"), F.col("t.source").eqNullSafe(F.col("o.source")))
+        two = two.select("t.source", "t.cell", (F.col("t.before") + F.col("o.outer_before")).alias("before"))
+        cut = state.alias("s").join(two.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")), "left")
+        # A source without a cut takes all that fits.
+        cut = cut.select("s.source", "s.lo", F.coalesce(F.col("t.cell") / float(GRID * GRID), F.lit(1.0)).alias("hi"), F.col("s.left").alias("cap"), (F.col("s.left") - F.coalesce(F.col("t.before"), F.lit(0))).alias("gap"))
+        cut = written(cut, "spans")
+        spans.append(cut.select("source", "lo", "hi", "cap"))
+        edge = joined(some, cut.where("gap >= 1 and hi < 1")).where("u >= hi and u > lo and size <= gap")
+        edge = edge.groupBy("source", "gap", "u", "id", "key", "size").agg(F.count(F.lit(1)).alias("n"))
+        edge = edge.withColumn("place", F.rank().over(Window.partitionBy("source").orderBy("u"))).where(F.col("place") <= FILL)
+        lined = edge.groupBy("source", "gap").agg(F.sort_array(F.collect_list(F.struct("u", "id", "key", "size", "n"))).alias("line"))
+        tried = written(lined.select("source", F.expr(f"aggregate(line, {start}, {step})").alias("got"), F.element_at("line", -1)["u"].alias("lo")), "tried")
+        edges.append(tried.select(F.explode("got.taken").alias("x")).select("x.*"))
+        state = written(tried.where("got.left >= 1").select("source", F.col("got.left").alias("left"), "lo"), "state")
+
+    none = F.array().cast("array<struct<lo: double, hi: double, cap: double>>")
+    found = reduce(DataFrame.unionAll, spans).groupBy("source").agg(F.collect_list(F.struct("lo", "hi", "cap")).alias("spans")) if spans else per.limit(0).select("source", none.alias("spans"))
+    per = per.alias("p").join(found.alias("f"), F.col("p.source").eqNullSafe(F.col("f.source")), "left")
+    per = written(per.select("p.source", "p.source_size", "p.target", "p.whole", F.coalesce("f.spans", none).alias("spans")), "sources")
+    edge = reduce(DataFrame.unionAll, edges) if edges else some.limit(0).select("id", "key", F.lit(1).cast("long").alias("n"))
+    return per, written(edge.groupBy("id", "key").agg(F.sum("n").alias("n")), "edge")
 
 
 def with_copies(docs: DataFrame, seed: int = 7) -> DataFrame:
@@ -108,7 +126,7 @@ def with_copies(docs: DataFrame, seed: int = 7) -> DataFrame:
     rows = docs.withColumns({_M + "key": key, _M + "id": ident, _M + "size": words(F.col("text"))}).withColumn(_M + "u", uniform(seed, F.col(_M + "id"), F.col(_M + "key")))
     sized = written(rows.select(F.col(_M + "key").alias("key"), F.col(_M + "id").alias("id"), "source", F.col(_M + "size").alias("size"), F.col(_M + "u").alias("u")), "sized")
     per, edge = plan(sized)
-    side = maybe_broadcast(per).select(F.col("source").alias(_M + "source"), F.col("source_size").alias(_M + "source_size"), F.col("target").alias(_M + "target"), F.col("whole").alias(_M + "whole"), F.col("floor").alias(_M + "floor"))
+    side = maybe_broadcast(per).select(F.col("source").alias(_M + "source"), F.col("source_size").alias(_M + "source_size"), F.col("target").alias(_M + "target"), F.col("whole").alias(_M + "whole"), F.col("spans").alias(_M + "spans"))
     rows = rows.join(side, F.col("source").eqNullSafe(F.col(_M + "source")), "left")
     edge = maybe_broadcast(edge).select(F.col("id").alias(_M + "id"), F.col("key").alias(_M + "key"), F.col("n").alias(_M + "edge"))
     rows = rows.join(edge, [_M + "id", _M + "key"], "left")
@@ -118,9 +136,10 @@ def with_copies(docs: DataFrame, seed: int = 7) -> DataFrame:
         rows = some.unionByName(rows.where(F.col(_M + "edge").isNull()).withColumn(_M + "more", F.lit(False)))
     else:
         rows = rows.withColumn(_M + "more", F.col(_M + "edge").isNotNull())
-    once = (F.col(_M + "u") < F.col(_M + "floor")) | F.col(_M + "more")
+    plain = F.exists(_M + "spans", lambda s: (F.col(_M + "u") > s["lo"]) & (F.col(_M + "u") < s["hi"]) & (F.col(_M + "size") <= s["cap"]))
+    once = plain | F.col(_M + "more")
     copies = F.when(F.col(_M + "size") > 0, F.col(_M + "whole") + once.cast("long")).otherwise(F.lit(0))
-    return rows.withColumn(_M + "copies", F.coalesce(copies, F.lit(0)).cast("long")).drop(_M + "key", _M + "id", _M + "u", _M + "source", _M + "whole", _M + "floor", _M + "edge", _M + "more")
+    return rows.withColumn(_M + "copies", F.coalesce(copies, F.lit(0)).cast("long")).drop(_M + "key", _M + "id", _M + "u", _M + "source", _M + "whole", _M + "spans", _M + "edge", _M + "more")
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:

@@ -75,6 +75,36 @@ def test_mixing_meets_targets(spark):
     assert len(got) == 7 and all(abs(r.taken - r.target) < 0.005 * r.target for r in got)
 
 
+def test_mixing_goes_on_after_a_large_document(spark):
+    u = mixing.uniform(7, F.col("id") + 100_000, F.xxhash64(F.lit(7), F.lit("w " * 12_000)))
+    large = spark.range(1000).where((u > 0.36) & (u < 0.45)).first().id + 100_000
+    rows = [(i, "w w", "a") for i in range(12_000)] + [(large, "w " * 12_000, "a")] + [(20_000 + i, "w " * 12, "b") for i in range(2000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).groupBy("source_size").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert len(got) == 2 and all(r.target - 12 < r.taken <= r.target for r in got)
+
+
+def test_mixing_like_one_pass(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, "w " * rng.choice([3, 5, 8, 400, 900]), f"s{rng.randrange(3)}") for i in range(900)]
+    rows += [rows[k] for k in range(0, 900, 9)] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = F.xxhash64(F.lit(7), "text")
+    order = {r.doc_id: r.u for r in df.select("doc_id", mixing.uniform(7, F.col("doc_id"), key).alias("u")).collect()}
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    want, target = {}, _targets(sizes)
+    for s, n in sizes.items():
+        left = target[s] - target[s] // n * n
+        for i, t, _ in sorted((r for r in rows if r[2] == s), key=lambda r: order[r[0]]):
+            size = len(t.split())
+            more = size <= left
+            left -= size * more
+            want[i] = want.get(i, 0) + size * int(target[s] // n + more)
+    monkeypatch.setattr(mixing, "FILL", 40)  # many rounds
+    assert {r.doc_id: r.taken for r in mixing.mix(df).groupBy("doc_id").agg(F.sum("taken").alias("taken")).collect()} == want
+
+
 def test_quality(odd, odd_rows, labels, nothing):
     got = pu_quality.predictions(odd, labels).collect()
     assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)

@@ -147,6 +147,8 @@ class _Held:
             self.bytes += len(string) + 150
         else:
             later = (id_, key, start)
+            if later == old[:3]:  # a repeated row
+                return
             if later < old[:3]:
                 self.first[string, hot], later = (*later, slot), old[:3]
             if later[0] == old[0] == id_ or later[0] > min(old[0], id_):

@@ -106,6 +106,14 @@ def test_byte_repeats(spark, odd_rows, nothing):
     assert byte_repeats.digests(nothing).count() == 0
 
 
+def test_byte_repeats_of_rows_in_one_task(spark):
+    rng = random.Random(6)
+    own, passage = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (300, 150))
+    rows = [(7, own + passage), (7, own + passage), (9, passage + own[:40]), (9, passage + own[:40])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert Counter((r.doc_id, r.n_removed) for r in byte_repeats.digests(df).collect()) == {(7, 0): 2, (9, 150): 2}
+
+
 def test_byte_repeats_takes_everything(odd, odd_rows):
     assert byte_repeats.digests(odd).count() == len(odd_rows)
 

@@ -1,10 +1,10 @@
 """Document fingerprints by SpotSigs (DataFrame operations only).
 
 A spot is a run of common words (anchors) followed by a content word.  Its signature is the last anchor of the
-run and the chain of the next two content words, whatever anchors stand between them.  The fingerprint is the
-set of a text's signatures, as 32-bit hashes in order.  Texts with fewer than FEW spots take every pair of
-neighbouring words as well, so that texts without anchors can be told apart.  Likeness is the Jaccard similarity
-of two sets.
+run and the chain of the next two content words, whatever anchors stand between them.  Every pair of neighbouring
+words is a signature as well, in every text, so that texts with few anchors or none can be told apart and an edit
+changes only the signatures that hold it.  The fingerprint is the set of a text's signatures, as 32-bit hashes in
+order.  Likeness is the Jaccard similarity of two sets.
 
 ``similar`` finds all pairs of fingerprints at a threshold: sets are dealt to partitions by length, such that a
 set can be like only sets of its own and the next partition; within them, sets meet on the rarest signatures of
@@ -34,7 +34,6 @@ there they this to was were which will with you au aux avec ce ces dans de des d
 leur mais ne nous ou par pas pour qui sa se ses son sur un une vous auf aus bei das dem den der die ein eine einem einen
 einer er es hat ich im ist mit nach nicht sich sie sind und von vor war wie wir zu zum zur al como con del el ella este
 ha las lo los me mi muy no nos para pero por que si sin sobre su sus te todo una y ya""".split()
-FEW = 8
 CELLS = 1 << 18
 CHUNK_ROWS = 128
 
@@ -70,7 +69,7 @@ def signatures(text: Column, anchors: list[str] = ANCHORS) -> Column:
         return F.when(words == "", none).otherwise(every)
 
     words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    found = _let(words, lambda w: _let(_spots(w, anchors), lambda f: F.when(F.size(f) >= FEW, f).otherwise(F.concat(f, pairs(w)))))
+    found = _let(words, lambda w: F.concat(_spots(w, anchors), pairs(w)))
     return F.array_sort(F.array_distinct(found))
 
 
@@ -112,7 +111,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     base = docs.select(ordered_id(F.col("doc_id")).alias("id"), text.alias("t"))
     rows, sent, _ = chunked(base)
-    rows = rows.unionByName(sent.select(*rows.columns)).withColumn("own", signatures(F.col("t")))
+    # Signatures are computed after the shuffle, which moves texts alone.
+    rows = rows.unionByName(sent.select(*rows.columns)).repartition("chunk").withColumn("own", signatures(F.col("t")))
     w = Window.partitionBy("chunk").orderBy("last", "id", F.xxhash64("t"))
     rows = rows.withColumn("following", F.lead(F.struct("t", "own")).over(w)).where(~F.col("last"))
     half = F.floor(F.col("n") / 2).cast("int")

@@ -178,6 +178,18 @@ def test_fingerprints(odd, odd_rows, nothing, spark):
     assert pairs.count() == sum(len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for k, a in enumerate(each) for b in each[:k])
 
 
+def test_fingerprints_of_near_copies_with_few_spots(spark):
+    for n in (7, 8, 9):
+        words = [f"w{k}" for k in range(60)]
+        for k in range(n):
+            words[6 * k + 3] = "the"
+        edited = [*words[:9], "edited", *words[10:]]
+        docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(edited))], "doc_id long, text string").coalesce(1)
+        assert spot_signatures.fingerprints(docs).first().near_next > 0.8, n
+        pairs, _ = spot_signatures.similar(docs)
+        assert pairs.count() == 1, n
+
+
 def _cost(roles):
     """Cheapest legal repair by trying every sequence of steps."""
     best = {0: 0}

@@ -1,22 +1,23 @@
 """Suffix-array dedup: bytes of strings of WIDTH that also start earlier are removed.
 
-0. Whole copies of a document with a smaller id repeat throughout, and are set aside.
 1. Sampling.  Of each window of WIDTH bytes one SEED-byte string is its minimizer: the leftmost of least hash.
    Equal windows have equal minimizers.  About one position in 31 is one; their hashes are exchanged, once a task
    and hash, and those that occur twice anywhere are shared.
 2. Sharding.  Windows with a shared minimizer go to its shard, neighbours as one string.  A task sends each
    string once, for its earliest place, and marks the other places itself.  The windows of a minimizer that
-   more than HOT documents hold are dealt one by one by their own hash, so that no shard grows with one
-   passage; those whose first or last bytes occur nowhere else (they straddle the passage's edge) can't
-   repeat and stay.
-3. Each shard's strings are sorted by induced sorting (suffix_arrays); permuted common prefixes of WIDTH bytes
+   more than HOT documents hold are dealt by the minimizers of their first and last EDGE bytes as well, so that
+   strings of one shard differ only in the few bytes that none of the three covers, and no shard grows with one passage.
+3. Of equal strings in a shard all but the first are repeats.  A shard's other strings are sorted by induced sorting (suffix_arrays); permuted common prefixes of WIDTH bytes
    or more join neighbours, and all places but a group's first are repeats.
 
-A shard's task takes whole minimizers, about CHUNK bytes at a time, so its memory is bounded.
+Values travel as packed rows (packed).  A shard's task takes whole minimizers, about CHUNK bytes at a time, and very
+long texts are read in pieces, so memory is bounded.  Hashes only bring strings together: what repeats is decided
+by comparing bytes.
 
 Defined results: a null text is empty; texts under WIDTH bytes keep everything; matches never cross documents;
 rows with the same id do not repeat each other, but each of them may repeat itself; a null id orders before
-all others; an empty table gives an empty result.  Cuts may split a character: results are bytes.
+all others; an empty table gives an empty result; columns other than doc_id and text are not read, whatever their
+names.  Cuts may split a character: results are bytes.
 """
 
 from __future__ import annotations
@@ -26,109 +27,74 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared_keys
-from .rolling import Spans, covered, grouped, mix, runs, sliding_min
-from .shared import shown_id, written
+from . import packed
+from .rolling import covered, every, grouped, mix, runs, sliding_min
+from .shared import shown_id
 from .suffix_arrays import common_prefixes, suffix_array
 
 WIDTH = 100
 SEED = 40
-EDGE = 56  # bytes at a window's ends that are looked up for hot minimizers
-HOT = 512
+EDGE = 56  # bytes at a window's ends that deal the windows of common minimizers
 GROUP_BYTES = 1 << 20
 CHUNK = 2 << 20
+#: Documents whose strings of one minimizer surely fit a chunk.
+HOT = CHUNK // 256
 HELD = 24 << 20  # bytes of strings that a task holds before it sends them
 _PLACE = np.uint64((1 << 28) - 1)
 
 
 class _Bytes:
-    """Neighbouring documents of at least WIDTH bytes in one buffer."""
+    """Texts or pieces of at least WIDTH bytes in one buffer."""
 
     def __init__(self, texts: list[bytes]) -> None:
         self.raw = b"".join(texts)
         self.buffer = np.frombuffer(self.raw, np.uint8)
         self.sizes = np.array([len(t) for t in texts], np.int64)
         self.offsets = np.cumsum(self.sizes) - self.sizes
-        self.spans = Spans(self.buffer)
-        self.seeds = self.spans.every(SEED)
-        packed = (self.seeds & ~_PLACE) | np.arange(len(self.seeds), dtype=np.uint64)
+        self.seeds = every(self.buffer, SEED)
+        self.packed = (self.seeds & ~_PLACE) | np.arange(len(self.seeds), dtype=np.uint64)
         windows = self.sizes - WIDTH + 1
         self.owner = np.repeat(np.arange(len(texts)), windows)
         self.starts = np.arange(len(self.owner)) + (self.offsets - np.cumsum(windows) + windows)[self.owner]
-        self.minimizer = (sliding_min(packed, WIDTH - SEED + 1)[self.starts] & _PLACE).astype(np.int64)
+        self.minimizer = (sliding_min(self.packed, WIDTH - SEED + 1)[self.starts] & _PLACE).astype(np.int64)
 
     def edges(self, on: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in the buffer of the minimizers of the first and of the last EDGE bytes of some windows."""
-        least = sliding_min((self.seeds & ~_PLACE) | np.arange(len(self.seeds), dtype=np.uint64), EDGE - SEED + 1) & _PLACE
+        least = sliding_min(self.packed, EDGE - SEED + 1) & _PLACE
         return least[self.starts[on]].astype(np.int64), least[self.starts[on] + WIDTH - EDGE].astype(np.int64)
 
 
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[_Bytes, np.ndarray]]:
-    texts = batch.column("text")
-    for a, z in grouped(pa.compute.binary_length(texts).to_pylist(), GROUP_BYTES):
-        raw = [t.as_py().encode() for t in texts.slice(a, z - a)]
-        long = [i for i, t in enumerate(raw) if len(t) >= WIDTH]
+def _groups(texts: list[bytes]) -> Iterator[tuple[_Bytes, np.ndarray, np.ndarray]]:
+    """(some pieces of texts, the text of each, its place in the text)."""
+    parts, owner, base = packed.pieces(texts, WIDTH - 1)
+    for a, z in grouped([len(t) for t in parts], GROUP_BYTES):
+        long = [i for i in range(a, z) if len(parts[i]) >= WIDTH]
         if long:
-            yield _Bytes([raw[i] for i in long]), np.array(long) + a
+            yield _Bytes([parts[i] for i in long]), owner[long], base[long]
 
 
-def _parts(owner: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, slice]]:
-    """(row of the batch, its part) of arrays that are in order of owner."""
-    ends = np.searchsorted(owner, np.arange(len(rows) + 1))
-    return ((int(rows[k]), slice(ends[k], ends[k + 1])) for k in range(len(rows)))
-
-
-def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Places(within=True)
+def _minimizers(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[packed.Row]:
+    held = packed.Places(buckets, within=True, ask=True)
     for b in batches:
         ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
-        for d, rows in _documents(b):
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(d.minimizer) != 0) | (np.diff(d.owner) != 0)]))
-            at, owner = d.minimizer[first], d.owner[first]
-            held.add(d.seeds[at], ids[rows[owner]], keys[rows[owner]], at - d.offsets[owner])
-            if held.full():
-                yield held.take()
-    yield held.take()
-
-
-def _hot(d: _Bytes, rows: np.ndarray, column: pa.Array) -> np.ndarray:
-    """Which windows have a common minimizer."""
-    hit = np.zeros(len(d.starts), bool)
-    place = d.minimizer - d.offsets[d.owner]
-    for i, part in _parts(d.owner, rows):
-        common = shared_keys.numbers(column[i])
-        if len(common):
-            hit[part] = np.isin(place[part], common)
-    return hit
-
-
-def _hot_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Places(within=True, gap=EDGE - SEED + 1)
-    for b in batches:
-        ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
-        for d, rows in _documents(b):
-            on = np.flatnonzero(_hot(d, rows, b.column("common")))
-            at, one = np.unique(np.concatenate(d.edges(on)), return_index=True)
-            owner = np.concatenate([d.owner[on]] * 2)[one]
-            held.add(mix(d.seeds[at]), ids[rows[owner]], keys[rows[owner]], at - d.offsets[owner])
-            if held.full():
-                yield held.take()
-    yield held.take()
-
-
-_STRINGS = "slot long, id long, key long, start int, length int, string binary"
-_NAMES = ["slot", "id", "key", "start", "length", "string"]
-_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        for i in range(0, b.num_rows, 256):
+            for d, rows, base in _groups([t.as_py().encode() for t in b.column("text").slice(i, 256)]):
+                first = np.flatnonzero(np.concatenate([[True], (np.diff(d.minimizer) != 0) | (np.diff(d.owner) != 0)]))
+                at, owner = d.minimizer[first], d.owner[first]
+                held.add(d.seeds[at], ids[i + rows[owner]], keys[i + rows[owner]], at - d.offsets[owner] + base[owner])
+                if held.full():
+                    yield from held.take()
+    yield from held.take()
 
 
 class _Held:
     """Strings of a task, each once for its earliest place; what repeats them is known here."""
 
-    def __init__(self) -> None:
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
         self.clear()
 
     def clear(self) -> None:
@@ -137,10 +103,10 @@ class _Held:
         self.known: list[tuple] = []
         self.bytes = 0
 
-    def add(self, string: bytes, slot: int, hot: int, id_: int, key: int, start: int, length: int) -> None:
-        old = self.first.get((string, hot))
+    def add(self, string: bytes, slot: int, id_: int, key: int, start: int, length: int) -> None:
+        old = self.first.get((string, slot))
         if old is None:
-            self.first[string, hot] = (id_, key, start, slot)
+            self.first[string, slot] = (id_, key, start, length)
             self.bytes += len(string) + 250
         elif id_ == old[0] and key != old[1]:
             self.asked.append((slot, id_, key, start, length, string))
@@ -150,52 +116,59 @@ class _Held:
             if later == old[:3]:  # a repeated row
                 return
             if later < old[:3]:
-                self.first[string, hot], later = (*later, slot), old[:3]
+                self.first[string, slot], later = (*later, length), old[:3]
             if later[0] == old[0] == id_ or later[0] > min(old[0], id_):
                 self.known.append((*later, length))
                 self.bytes += 150
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        out = self.asked
-        for (string, hot), (id_, key, start, slot) in self.first.items():
-            n = len(string) - WIDTH + 1
-            if not hot:
-                out.append((slot, id_, key, start, n, string))
-                continue
-            spread = Spans(np.frombuffer(string, np.uint8)).every(WIDTH).view(np.int64).tolist()
-            for k in range(n):
-                out.append((spread[k] ^ slot, id_, key, start + k, 1, string[k : k + WIDTH]))
+    def rows(self) -> Iterator[packed.Row]:
+        out = self.asked + [(slot, *place, string) for (string, slot), place in self.first.items()]
+        if out:
+            slot, ids, keys, starts, lengths = (np.array(c, np.int64) for c in list(zip(*out, strict=True))[:5])
+            at = packed.of_hash(slot, self.buckets)
+            order = np.lexsort((starts, ids, slot, at))
+            for part in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                strings = [out[j][5] for j in part.tolist()]
+                meta = packed.pack(slot[part], ids[part], keys[part], starts[part], np.array([len(s) for s in strings], np.int64))
+                yield packed.STRINGS, int(at[part[0]]), meta, packed.pack_strings(strings)
         if self.known:
-            places = np.array([k[1:3] for k in self.known], np.int64)
-            spread = mix(places[:, 0].view(np.uint64) ^ mix(places[:, 1].astype(np.uint64))).view(np.int64).tolist()
-            out += [(s, i, k, a, n, None) for s, (i, k, a, n) in zip(spread, self.known, strict=True)]
-        for a in range(0, len(out), 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[a : a + 20_000], strict=True), _TYPES, strict=True)], _NAMES)
+            yield from packed.runs_by_document(*np.array(self.known, np.int64).T, self.buckets)
         self.clear()
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = _Held()
-    for b in batches:
-        ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
-        for d, rows in _documents(b):
-            hashes, place = d.seeds[d.minimizer], d.minimizer - d.offsets[d.owner]
-            on, hot = np.zeros(len(place), bool), np.zeros(len(place), bool)
-            for i, part in _parts(d.owner, rows):
-                on[part] = shared_keys.inside(place[part], *(shared_keys.numbers(b.column(c)[i]) for c in ("starts", "ends")))
-            if "common" in b.schema.names:
-                hot = _hot(d, rows, b.column("common"))
-                at = np.flatnonzero(hot)
-                for side in d.edges(at):
-                    for i, part in _parts(d.owner[at], rows):
-                        on[at[part]] &= shared_keys.inside(side[part] - d.offsets[d.owner[at[part]]], *(shared_keys.numbers(b.column(c)[i]) for c in ("edge_starts", "edge_ends")))
+def _strings(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[packed.Row]:
+    held = _Held(buckets)
+    for known, ids, keys, texts in packed.meeting(batches, 5):
+        found = [known.of(i, k) for i, k in zip(ids.tolist(), keys.tolist(), strict=True)]
+        some = [j for j, f in enumerate(found) if f is not None]
+        for d, rows, base in _groups([texts[j] for j in some]):
+            rows = np.array(some)[rows]
+            place = d.minimizer - d.offsets[d.owner] + base[d.owner]
+            on, common = np.zeros(len(place), bool), np.zeros(len(place), bool)
+            ends = np.searchsorted(d.owner, np.arange(len(rows) + 1))
+            for k, j in enumerate(rows.tolist()):
+                part = slice(ends[k], ends[k + 1])
+                # minimizers of neighbouring windows are at most WIDTH - SEED + 1 apart; what lies between shared ones goes along
+                on[part] = packed.inside(place[part], *packed.regions(found[j], WIDTH - SEED + 1))
+                hot = found[j][0][found[j][2] > 0]
+                if len(hot):
+                    common[part] = np.isin(place[part], hot)
             at = np.flatnonzero(on)
-            first, size = runs(d.starts[at], d.minimizer[at])
+            if not len(at):
+                continue
+            slot = mix(d.seeds[d.minimizer])
+            run = d.minimizer[at]
+            if (hot := common[at]).any():
+                left, right = d.edges(at)
+                slot[at[hot]] = mix(slot[at[hot]] ^ mix(d.seeds[left[hot]] + np.uint64(1)) ^ mix(mix(d.seeds[right[hot]])))
+                # neighbours with the same three minimizers are one string
+                run = np.cumsum(np.concatenate([[True], (run[1:] != run[:-1]) | (hot[1:] & ((left[1:] != left[:-1]) | (right[1:] != right[:-1])))]))
+            first, size = runs(d.starts[at], run)
             owner = d.owner[at[first]]
-            start, slot = d.starts[at[first]], mix(hashes[at[first]]).view(np.int64)
-            table = zip(start.tolist(), size.tolist(), slot.tolist(), hot[at[first]].tolist(), ids[rows[owner]].tolist(), keys[rows[owner]].tolist(), (start - d.offsets[owner]).tolist(), strict=True)
-            for at_, n, slot_, hot_, id_, key_, start_ in table:
-                held.add(d.raw[at_ : at_ + n + WIDTH - 1], slot_, int(hot_), id_, key_, start_, n)
+            start = d.starts[at[first]]
+            table = zip(start.tolist(), size.tolist(), slot[at[first]].view(np.int64).tolist(), ids[rows[owner]].tolist(), keys[rows[owner]].tolist(), (start - d.offsets[owner] + base[owner]).tolist(), strict=True)
+            for at_, n, slot_, id_, key_, start_ in table:
+                held.add(d.raw[at_ : at_ + n + WIDTH - 1], slot_, id_, key_, start_, n)
             if held.bytes >= HELD:
                 yield from held.rows()
     yield from held.rows()
@@ -242,103 +215,81 @@ def _sorted_repeats(strings: list[bytes], ids: np.ndarray, keys: np.ndarray, sta
     return ids[o], keys[o], starts[o] + at - (ends - sizes)[o], size
 
 
-def _shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by slot."""
-    names, types = ["id", "key", "start", "length"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    held: list[pa.Table] = []
-    size = 0
+def _shard(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[packed.Row]:
+    def sort(slots: np.ndarray, ids: np.ndarray, keys: np.ndarray, starts: np.ndarray, strings: list[bytes]) -> Iterator[packed.Row]:
+        number: dict[tuple[int, bytes], int] = {}
+        equal = np.array([number.setdefault(x, len(number)) for x in zip(slots.tolist(), strings, strict=True)], np.int64)
+        gone = _later(equal, ids, keys, starts)
+        size = np.array([len(s) for s in strings], np.int64)
+        yield from packed.runs_by_document(ids[gone], keys[gone], starts[gone], size[gone] - WIDTH + 1, buckets)
+        # Windows of one minimizer's place differ from each other, so a shard's only string needs no sorting.
+        order = np.flatnonzero(~gone)
+        order = order[np.argsort(slots[order], kind="stable")]
+        fresh = np.concatenate([[True], np.diff(slots[order]) != 0])
+        order = order[np.diff(np.concatenate([np.flatnonzero(fresh), [len(order)]]))[np.cumsum(fresh) - 1] > 1]
+        upto, slots, a = np.cumsum(size[order]), slots[order], 0
+        while a < len(order):  # whole slots, about CHUNK bytes each time
+            z = int(np.searchsorted(upto, (upto[a - 1] if a else 0) + CHUNK, "right"))
+            z = int(np.searchsorted(slots, slots[min(max(z, a + 1), len(order)) - 1], "right"))
+            part = order[a:z]
+            yield from packed.runs_by_document(*_sorted_repeats([strings[j] for j in part.tolist()], ids[part], keys[part], starts[part]), buckets)
+            a = z
+
+    for _, rows in packed.grouped_rows(batches):
+        metas, strings = [], []
+        for row in rows:
+            if row[0] != packed.STRINGS:
+                yield row
+                continue
+            metas.append(packed.unpack(row[2], 5))
+            strings += packed.unpack_strings(row[3], metas[-1][4])
+        if metas:
+            yield from sort(*(np.concatenate(c) for c in list(zip(*metas, strict=True))[:4]), strings)
 
-    def done(t: pa.Table) -> pa.RecordBatch:
-        out = _sorted_repeats(t.column("string").to_pylist(), *(t.column(c).to_numpy() for c in ("id", "key", "start")))
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(y.to_pandas_dtype())) for x, y in zip(out, types, strict=True)], names)
 
-    for b in batches:
-        t = pa.Table.from_batches([b])
-        known = pa.compute.is_null(t.column("string"))
-        if len(own := t.filter(known)):
-            yield own.select(names).combine_chunks().to_batches()[0]
-        t = t.filter(pa.compute.invert(known))
-        if not len(t):
-            continue
-        held.append(t)
-        size += t.column("string").nbytes
-        if size >= CHUNK:
-            t = pa.concat_tables(held)
-            slots = t.column("slot").to_numpy()
-            cut = int(np.searchsorted(slots, slots[-1]))
-            # whole slots, about CHUNK bytes each time
-            lengths = np.cumsum(pa.compute.binary_length(t.column("string")).to_numpy()[:cut].astype(np.int64))
-            a = 0
-            while a < cut:
-                z = int(np.searchsorted(lengths, (lengths[a - 1] if a else 0) + CHUNK, "right"))
-                z = min(cut, int(np.searchsorted(slots, slots[min(max(z, a + 1), len(slots)) - 1], "right")))
-                yield done(t.slice(a, z - a))
-                a = z
-            held = [t.slice(cut)]
-            size = sum(x.column("string").nbytes for x in held) if cut else 0
-    if held and sum(map(len, held)):
-        yield done(pa.concat_tables(held))
-
-
-def repeats(docs: DataFrame) -> DataFrame:
-    """id, key, runs of (start, length): windows that also start earlier; written."""
-    rows = shared_keys.documents(docs)
-    gone = shared_keys.copies(rows)
-    rows = shared_keys.without(rows, gone)
-    places = shared_keys.shared_places(rows.mapInArrow(_minimizers, shared_keys.SCHEMA), within=True, hot=HOT)
-    # minimizers of neighbouring windows are at most WIDTH - SEED + 1 apart; what lies between shared ones goes along
-    sampled = shared_keys.regions(places, WIDTH - SEED + 1, exact=True)
-    some = shared_keys.attach(rows, sampled, "inner")
-    common = sampled.where(F.size("common") > 0).select("id", "key", "common")
-    if common.take(1):
-        held = shared_keys.attach(rows, written(common, "common"), "inner").select("id", "key", "text", "common")
-        edges = shared_keys.shared_places(held.mapInArrow(_hot_edges, shared_keys.SCHEMA), within=True)
-        edges = shared_keys.regions(edges, EDGE - SEED + 1).withColumnsRenamed({"starts": "edge_starts", "ends": "edge_ends"})
-        some = shared_keys.attach(some, edges, "left").select("id", "key", "text", "starts", "ends", "common", "edge_starts", "edge_ends")
-    else:
-        some = some.select("id", "key", "text", "starts", "ends")
-    dealt = some.mapInArrow(_strings, _STRINGS).repartition("slot").sortWithinPartitions("slot")
-    found = dealt.mapInArrow(_shard, "id long, key long, start int, length int")
-    return shared_keys.with_whole(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), gone)
-
-
-def _kept(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
-    """A text's bytes, and which of them go."""
-    for text, found in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
-        raw = text.encode()
-        gone = np.zeros(len(raw), bool)
-        if found and len(raw) >= WIDTH:
-            gone = covered(np.array([r["start"] for r in found]), np.array([r["length"] for r in found]), WIDTH, len(raw))
-        yield raw, gone
+def _repeats(docs: DataFrame) -> DataFrame:
+    """Packed rows of runs of repeated windows, and of texts, by document."""
+    rows, buckets = packed.documents(docs)
+    texts = packed.packed_texts(rows, buckets)
+    places = rows.mapInArrow(lambda b: packed.batches_of(_minimizers(b, buckets)), packed.SCHEMA)
+    places = packed.shared_places(places, buckets, within=True, hot=HOT)
+    dealt = packed.exchanged(places.unionAll(texts)).mapInArrow(lambda b: packed.batches_of(_strings(b, buckets)), packed.SCHEMA)
+    found = packed.exchanged(dealt).mapInArrow(lambda b: packed.batches_of(_shard(b, buckets)), packed.SCHEMA)
+    return packed.exchanged(found.unionAll(texts))
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        n, gone_, spans, sha = [], [], [], []
-        for raw, gone in _kept(b):
-            n.append(len(raw))
-            gone_.append(int(gone.sum()))
-            spans.append(int(np.count_nonzero(np.diff(gone.astype(np.int8)) == 1) + (len(gone) and gone[0])))
-            sha.append(hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest())
-        yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(x, pa.int64()) for x in (n, gone_, spans)), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """A document's id, its bytes, and which of them go."""
+    for known, ids, keys, texts in packed.meeting(batches, 4):
+        for i, k, raw in zip(ids.tolist(), keys.tolist(), texts, strict=True):
+            found = known.of(i, k)
+            yield i, raw, np.zeros(len(raw), bool) if found is None else covered(*found, WIDTH, len(raw))
 
 
-def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        kept = [np.frombuffer(raw, np.uint8)[~gone].tobytes() for raw, gone in _kept(b)]
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(kept, pa.binary())], ["doc_id", "kept"])
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names, types = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], [pa.int64()] * 4 + [pa.string()]
+    out: list[tuple] = []
+    for i, raw, gone in _kept(batches):
+        spans = int(np.count_nonzero(np.diff(gone.astype(np.int8)) == 1) + (len(gone) and gone[0]))
+        out.append((i, len(raw), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(raw, np.uint8)[~gone].tobytes()).hexdigest()))
+        if len(out) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
 
-def _with_runs(docs: DataFrame) -> DataFrame:
-    return shared_keys.attach(shared_keys.documents(docs), repeats(docs), "left").select("id", "text", "runs")
+def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for i, raw, gone in _kept(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([np.frombuffer(raw, np.uint8)[~gone].tobytes()], pa.binary())], ["doc_id", "kept"])
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    found = _with_runs(docs).mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    found = _repeats(docs).mapInArrow(_digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return found.withColumn("doc_id", shown_id(F.col("doc_id")))
 
 
 def removed(docs: DataFrame) -> DataFrame:
     """doc_id, kept: the bytes that stay."""
-    return _with_runs(docs).mapInArrow(_left, "doc_id long, kept binary").withColumn("doc_id", shown_id(F.col("doc_id")))
+    return _repeats(docs).mapInArrow(_left, "doc_id long, kept binary").withColumn("doc_id", shown_id(F.col("doc_id")))

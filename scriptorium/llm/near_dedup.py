@@ -15,17 +15,22 @@ probability of their weighted Jaccard similarity.
    only the components matter; again only spanning edges are emitted.
 4. A component is a class of near-duplicates, named by its least document id.
 
-Buckets and clusters of over BLOCK classes are cut into blocks, and each pair of blocks is a group of its own,
-so nothing is capped and no task gets a whole large group.  A pair at the threshold shares no band with
-probability (1 - 0.8**4)**20 < 0.00003.
+Buckets and clusters of at most BLOCK classes are compared in one task.  Of a larger one every class is compared with PIVOTS
+others only, one from each of the largest components found so far, again for up to ROUNDS rounds or until the group is one component;
+what then still stands outside a group's largest component is compared with the whole group, in pairs of blocks.  So a family
+of any size takes rows in proportion to it, nothing is capped and no task gets a whole large group; only a large group
+that falls into large parts takes pairs of blocks.  A pair at the threshold shares no band with probability (1 - 0.8**4)**20 < 0.00003.
 
 Defined results: texts without words are all equal; a null text has no words; rows that repeat an id are each
-given their class, and one row of a class is kept; a null id orders before all others; an empty table gives an empty result.
+given their class; of rows that repeat the least id of their class those with the least hash of the text are kept, and of whole
+repeated rows one by keep_one; texts with the same shingles are alike however they are ordered or spaced; very long texts are
+shingled whole; a null id orders before all others; an empty table gives an empty result; columns other than doc_id and text
+pass through keep_one untouched, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .rolling import Spans, grouped, mix
+from .rolling import grouped, joined, mix, word_hashes
 from .shared import maybe_broadcast, ordered_id, shown_id, written
 
 SHINGLE = 5
@@ -42,6 +47,7 @@ BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 LOOSE = 0.6
 BLOCK, CLUSTER_BLOCK = 384, 128
+PIVOTS, ROUNDS = 4, 6
 GROUP_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,17 +60,15 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(document, hash) of every shingle of some documents."""
     words = [t.encode().split() for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
-    if not counts.sum():
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    buffer = np.frombuffer(b" ".join(b" ".join(w) for w in words if w), np.uint8)
-    gaps = np.flatnonzero(buffer == 32)
-    starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(buffer)]])
-    offsets = np.cumsum(counts) - counts
+    hashes = word_hashes([x for w in words for x in w])
     owner = np.repeat(np.arange(len(texts)), counts)
-    place = np.arange(len(owner)) - offsets[owner]
+    place = np.arange(len(owner)) - (np.cumsum(counts) - counts)[owner]
     at = np.flatnonzero(place < np.maximum(counts[owner] - SHINGLE + 1, 1))
-    size = np.minimum(SHINGLE, counts[owner[at]])
-    return owner[at], Spans(buffer).of(starts[at], ends[at + size - 1])
+    out = hashes[at]
+    for k in range(1, SHINGLE):
+        on = np.flatnonzero(place[at] + k < counts[owner[at]])
+        out[on] = joined(out[on], hashes[at[on] + k])
+    return owner[at], out
 
 
 def counted(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,16 +133,6 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(cls, pa.binary()), pa.array(regs, pa.binary()), lists], ["id", "key", "cls", "registers", "bands"])
 
 
-def _blocks(rows: DataFrame, group: str, block: int) -> DataFrame:
-    """rows with n (the size of their group) dealt to groups of at most two blocks: slot, one, two."""
-    rows = rows.withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.where("blocks = 1 or other != block")
-    slot = F.xxhash64(F.col(group), F.least("block", "other"), F.greatest("block", "other"))
-    return rows.withColumn("slot", slot).drop("blocks", "block", "other", "n")
-
-
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows with one slot; they come sorted by it."""
     held: list[pa.Table] = []
@@ -190,12 +184,14 @@ def _send(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.binary()) for k in (0, 1)], ["a", "b"])
 
 
+_LEAST = int(np.ceil(LOOSE * REGISTERS))
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple[bytes, bytes]] = []
     for t in _groups(batches):
         regs, cls = _matrix(t.column("registers")), t.column("cls").to_pylist()
-        least = int(np.ceil(LOOSE * REGISTERS))
-        out += [(cls[i], cls[j]) for i, j in _span(lambda i, left, regs=regs: (regs[left] == regs[i]).sum(1) >= least, len(cls))]
+        out += [(cls[i], cls[j]) for i, j in _span(lambda i, left, regs=regs: (regs[left] == regs[i]).sum(1) >= _LEAST, len(cls))]
         if len(out) > 50_000:
             yield _send(out)
             out = []
@@ -203,6 +199,23 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _send(out)
 
 
+def _candidate_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("registers", "p_registers"))
+        on = (x == y).sum(1) >= _LEAST
+        yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(on)) for c in ("cls", "p_cls")], ["a", "b"])
+
+
+def _link_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        on = []
+        for x, y in zip(b.column("elements").to_pylist(), b.column("p_elements").to_pylist(), strict=True):
+            one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            common = len(np.intersect1d(one, two, assume_unique=True)) if min(len(one), len(two)) >= THRESHOLD * max(len(one), len(two)) else 0
+            on.append(bool(common) and common >= THRESHOLD * (len(one) + len(two) - common) - 1e-9)
+        yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(on, pa.bool_())) for c in ("cls", "p_cls")], ["a", "b"])
+
+
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Multisets as sets: the k-th occurrence of a shingle is an element of its own."""
     for b in batches:
@@ -213,12 +226,11 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elements = mix(np.repeat(hashes, counts) + level.astype(np.uint64) * _ODD)
             ends = np.searchsorted(np.repeat(owner, counts), np.arange(z - a + 1))
             out += [np.sort(elements[ends[k] : ends[k + 1]]).tobytes() for k in range(z - a)]
-        yield pa.RecordBatch.from_arrays([b.column("root"), b.column("n"), b.column("cls"), b.column("registers"), pa.array(out, pa.binary())], ["root", "n", "cls", "registers", "elements"])
+        yield pa.RecordBatch.from_arrays([b.column("root"), b.column("n"), b.column("cls"), b.column("registers"), pa.array(out, pa.binary())], ["grp", "n", "cls", "registers", "elements"])
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple[bytes, bytes]] = []
-    least = int(np.ceil(LOOSE * REGISTERS))
     for t in _groups(batches):
         regs, cls = _matrix(t.column("registers")), t.column("cls").to_pylist()
         sets = [np.frombuffer(x, np.uint64) for x in t.column("elements").to_pylist()]
@@ -227,7 +239,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def alike(i: int, left: np.ndarray, regs=regs, sets=sets, sizes=sizes) -> np.ndarray:
             hit = np.zeros(len(left), bool)
             ratio = np.minimum(sizes[left], sizes[i]) >= THRESHOLD * np.maximum(sizes[left], sizes[i])
-            maybe = np.flatnonzero(ratio & ((regs[left] == regs[i]).sum(1) >= least))
+            maybe = np.flatnonzero(ratio & ((regs[left] == regs[i]).sum(1) >= _LEAST))
             if len(maybe):
                 parts = [sets[left[k]] for k in maybe]
                 every = np.concatenate(parts)
@@ -244,6 +256,45 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _send(out)
 
 
+def _linked(rows: DataFrame, block: int, data: list[str], among: Callable, pairs: Callable, tag: str) -> DataFrame:
+    """rows: grp, n (the size of the group), cls and data.  -> edges (a, b) whose components are those of the groups' links; written.
+
+    among compares all rows of a slot, pairs rows with p_ columns beside them."""
+    dealt = lambda df: df.select("slot", "cls", *data).repartition("slot").sortWithinPartitions("slot", "cls").mapInArrow(among, _EDGES)
+    small = dealt(rows.where(F.col("n") <= block).withColumn("slot", F.xxhash64("grp")))
+    edges = written(small.where("a != b").distinct(), tag)
+    big = written(rows.where(F.col("n") > block).select("grp", "cls", *data), f"{tag}_large")
+    if not big.take(1):
+        return edges
+    for turn in range(ROUNDS + 1):
+        found = components(edges).toDF("cls", "comp") if edges.take(1) else edges.select(F.col("a").alias("cls"), F.col("b").alias("comp"))
+        known = written(big.select("grp", "cls").join(maybe_broadcast(found), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "known")
+        per = known.groupBy("grp", "comp").agg(F.min("cls").alias("p_cls"), F.count(F.lit(1)).alias("size"))
+        place = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("size"), "p_cls"))
+        tops = written(per.withColumn("place", place).where(F.col("place") <= PIVOTS), "tops")
+        opened = written(tops.where("place = 2").select("grp"), "open")
+        if not opened.take(1):
+            return edges
+        here = known.join(maybe_broadcast(opened), "grp", "left_semi")
+        if turn == ROUNDS:
+            break
+        pivots = tops.join(maybe_broadcast(opened), "grp", "left_semi").select("grp", F.col("comp").alias("p_comp"), "p_cls")
+        pivots = written(pivots.join(big.withColumnRenamed("cls", "p_cls").withColumnsRenamed({c: f"p_{c}" for c in data}), ["grp", "p_cls"]), "pivots")
+        met = here.join(maybe_broadcast(pivots), "grp").where("comp != p_comp").drop("p_comp", "comp").join(big, ["grp", "cls"])
+        new = met.select("cls", *data, "p_cls", *[f"p_{c}" for c in data]).mapInArrow(pairs, _EDGES)
+        edges = written(edges.unionAll(new).distinct(), tag)
+    main = tops.where("place = 1").select("grp", F.col("comp").alias("main"))
+    sizes = here.join(maybe_broadcast(main), "grp").groupBy("grp", "main").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("comp") != F.col("main")).alias("r"))
+    sizes = written(sizes.select("grp", "main", F.ceil(F.col("n") / block).alias("all"), F.ceil(F.col("r") / block).alias("rest")), "sizes")
+    here = here.join(maybe_broadcast(sizes), "grp")
+    spread = lambda c: F.pmod(F.xxhash64("cls"), F.col(c))
+    every = here.withColumn("j", spread("all")).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest") - 1)))
+    rest = here.where("comp != main").withColumn("i", spread("rest")).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)))
+    slots = every.unionByName(rest).select("grp", "cls", F.xxhash64("grp", "i", "j").alias("slot")).distinct()
+    new = dealt(slots.join(big, ["grp", "cls"]))
+    return written(edges.unionAll(new.where("a != b")).distinct(), tag)
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """id, key, cls of every row and the least id and the size of its class of near-duplicates: written."""
     rows = _rows(docs)
@@ -252,16 +303,15 @@ def classes(docs: DataFrame) -> DataFrame:
     reps = written(reps, "reps")
     full = reps.select("cls", "registers", F.explode("bands").alias("band"))
     shared = written(full.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
-    dealt = _blocks(full.join(maybe_broadcast(shared), "band"), "band", BLOCK).select("slot", "cls", "registers")
-    edges = written(dealt.repartition("slot").sortWithinPartitions("slot", "cls").mapInArrow(_candidates, _EDGES).distinct(), "candidates")
+    dealt = full.join(maybe_broadcast(shared), "band").select(F.col("band").alias("grp"), "n", "cls", "registers")
+    edges = _linked(dealt, BLOCK, ["registers"], _candidates, _candidate_pairs, "candidates")
     clusters = components(edges)
     sizes = written(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "clusters")
     member = clusters.join(maybe_broadcast(sizes), "root").withColumnRenamed("node", "cls")
     member = written(reps.select("cls", "registers", "rep").join(maybe_broadcast(written(member, "members")), "cls").select("root", "n", "cls", "registers", "rep.id", "rep.key"), "members")
     texts = rows.join(maybe_broadcast(member), ["id", "key"]).select("root", "n", "cls", "registers", "text")
-    dealt = _blocks(texts.mapInArrow(_elements, "root binary, n long, cls binary, registers binary, elements binary"), "root", CLUSTER_BLOCK)
-    dealt = dealt.select("slot", "cls", "registers", "elements").repartition("slot").sortWithinPartitions("slot", "cls")
-    links = written(dealt.mapInArrow(_links, _EDGES).where("a != b").distinct(), "links")
+    dealt = texts.mapInArrow(_elements, "grp binary, n long, cls binary, registers binary, elements binary")
+    links = _linked(dealt, CLUSTER_BLOCK, ["registers", "elements"], _links, _link_pairs, "links")
     found = components(links).withColumnRenamed("node", "cls")
     joined = reps.where("size > 1").select("cls", "rep", "size").unionAll(reps.where("size = 1").join(maybe_broadcast(written(found.select("cls"), "linked")), "cls", "left_semi").select("cls", "rep", "size"))
     joined = written(joined.join(maybe_broadcast(found), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "joined")
@@ -275,7 +325,7 @@ def classes(docs: DataFrame) -> DataFrame:
 def decisions(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (the least id of its class), class_size, kept (in a class, the row with that id)."""
     found = classes(docs)
-    first = F.col("id") == F.col("least.id")
+    first = F.struct("id", "key") == F.col("least")
     return found.select(shown_id(F.col("id")).alias("doc_id"), shown_id(F.col("least.id")).alias("class_id"), F.col("rows").alias("class_size"), first.alias("kept"))
 
 

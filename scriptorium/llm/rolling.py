@@ -1,4 +1,4 @@
-"""Vector hashes of any span of a buffer, and what the repeat finders do within one task."""
+"""Vector hashes of spans of bytes and of words, and what the repeat finders do within one task."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
+from pandas.util import hash_array
 
-_BASE = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd
+_BASE = 0x9E3779B97F4A7C15  # odd
+_SIP_KEY = "scriptorium-word"  # sixteen bytes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -21,8 +23,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 @functools.cache
-def _table(k: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE[k]))
+def _table() -> np.ndarray:
+    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
 class _Powers:
@@ -39,26 +41,45 @@ class _Powers:
         return self.up, self.down
 
 
-@functools.cache
-def _powers(k: int) -> _Powers:
-    return _Powers(_BASE[k])
+_POWERS = _Powers(_BASE)
+
+
+def every(buffer: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all spans of a length, by a polynomial modulo 2**64.  Texts can be made whose spans collide, so these
+    hashes pick and deal; they never decide."""
+    n = len(buffer) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = _POWERS.to(len(buffer))
+    sums = np.zeros(len(buffer) + 1, np.uint64)
+    np.cumsum(_table()[buffer] * up[: len(buffer)], out=sums[1:])
+    return mix((sums[length:] - sums[:n]) * down[:n])
+
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Keyed 64-bit hashes (SipHash) of words."""
+    return hash_array(np.array(words, dtype=object), hash_key=_SIP_KEY, categorize=False) if words else np.zeros(0, np.uint64)
 
-class Spans:
-    """64-bit hashes of spans of one buffer; k picks one of two independent hash functions."""
 
-    def __init__(self, buffer: np.ndarray, k: int = 0) -> None:
-        up, self.down = _powers(k).to(len(buffer))
-        self.sums = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(_table(k)[buffer] * up[: len(buffer)], out=self.sums[1:])
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of neighbouring spans from the spans' own; not a sum, so that no pattern of equal parts cancels out."""
+    return mix(a * np.uint64(_BASE) + mix(b + np.uint64(1)))
 
-    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
-    def every(self, length: int) -> np.ndarray:
-        """Of all spans of a length."""
-        n = len(self.sums) - length
-        return mix((self.sums[length:] - self.sums[:n]) * self.down[:n]) if n > 0 else np.zeros(0, np.uint64)
+def spans_of(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of every so many neighbours, by spans of doubled width."""
+    n = len(hashes) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, at, size = None, 0, 1
+    while True:
+        if width & size:
+            part = hashes[at : at + n]
+            out, at = part if out is None else joined(out, part), at + size
+        if 2 * size > width:
+            return out
+        hashes = joined(hashes[:-size], hashes[size:])
+        size *= 2
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

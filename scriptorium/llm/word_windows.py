@@ -4,12 +4,13 @@ A window is WIDTH consecutive words.  COVER is a difference cover modulo PERIOD:
 shift under PERIOD brings both to positions in COVER.  So of any two equal windows, both contain an anchor (a
 span of WIDTH - PERIOD + 1 words that starts at a position in COVER) at the same distance from their starts.
 Only these spans, 6 of 31, are hashed and exchanged.  Anchors that several documents hold are extended: the
-windows that contain one are hashed with 95 bits, and a window whose words also start in a document with a
-smaller id is a repeat.  A task sends each anchor and each window once, for its smallest id; what it can decide
-itself it does.  No pairs are formed.  Whole copies of a document with a smaller id repeat throughout, and are set aside first.
+windows that contain one are told apart by a cryptographic digest of their words (128 bits of BLAKE2), and a window
+whose words also start in a document with a smaller id is a repeat.  A task sends each anchor and each window once, for its
+smallest id; what it can decide itself it does.  No pairs are formed.  Values travel as packed rows (packed).
 
 Defined results: a null text has no words; documents of fewer words than WIDTH keep everything; documents with
-the same id do not repeat each other; a null id orders before all others; an empty table gives an empty result.
+the same id do not repeat each other; a null id orders before all others; an empty table gives an empty result; very long
+texts are looked at in overlapping pieces; columns other than doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,166 +20,189 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import shared_keys
-from .rolling import Spans, covered, grouped, mix, runs
+from . import packed
+from .rolling import covered, grouped, runs, spans_of, word_hashes
 from .shared import shown_id
 
 WIDTH = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 SPAN = WIDTH - PERIOD + 1
-GROUP_BYTES = 1 << 20
+GROUP_WORDS = 1 << 18
 FLUSH_WINDOWS = 600_000
 
 
 class _Words:
-    """Neighbouring documents of at least WIDTH words, normalised into one buffer."""
+    """Texts or pieces of at least WIDTH words."""
 
-    def __init__(self, texts: list[list[bytes]]) -> None:
+    def __init__(self, texts: list[list[bytes]], base: np.ndarray) -> None:
+        self.texts = texts
         self.counts = np.array([len(t) for t in texts], np.int64)
-        self.buffer = np.frombuffer(b" ".join(b" ".join(t) for t in texts), np.uint8)
-        gaps = np.flatnonzero(self.buffer == 32)
-        self.starts, self.ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(self.buffer)]])
         self.offsets = np.cumsum(self.counts) - self.counts
         self.owner = np.repeat(np.arange(len(texts)), self.counts)
-        self.place = np.arange(len(self.owner)) - self.offsets[self.owner]  # of a word in its document
-
-    def hashes(self, at: np.ndarray, width: int, k: int = 0) -> np.ndarray:
-        if not hasattr(self, f"spans{k}"):
-            setattr(self, f"spans{k}", Spans(self.buffer, k))
-        return getattr(self, f"spans{k}").of(self.starts[at], self.ends[at + width - 1])
+        self.part = np.arange(len(self.owner)) - self.offsets[self.owner]  # of a word in its piece
+        self.place = self.part + base[self.owner]  # in its document
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Word indices of the anchors, and their hashes."""
-        at = np.flatnonzero(np.isin(self.place % PERIOD, COVER) & (self.place + SPAN <= self.counts[self.owner]))
-        return at, self.hashes(at, SPAN)
-
-
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[_Words, np.ndarray]]:
-    texts = batch.column("text")
-    sizes = pa.compute.binary_length(texts).to_pylist()
-    for a, z in grouped(sizes, GROUP_BYTES):
-        words = [t.as_py().encode().split() for t in texts.slice(a, z - a)]
-        long = [i for i, w in enumerate(words) if len(w) >= WIDTH]
+        at = np.flatnonzero(np.isin(self.place % PERIOD, COVER) & (self.part + SPAN <= self.counts[self.owner]))
+        return at, spans_of(word_hashes([w for t in self.texts for w in t]), SPAN)[at]
+
+    def digests(self, on: np.ndarray) -> np.ndarray:
+        """Two numbers for each of the windows that start at some words."""
+        words = [w for t in self.texts for w in t]
+        ends = np.cumsum(np.array([len(w) + 1 for w in words], np.int64))
+        raw = memoryview(b" ".join(words))
+        first, last = (ends[on] - np.array([len(words[k]) + 1 for k in on.tolist()], np.int64)).tolist(), (ends[on + WIDTH - 1] - 1).tolist()
+        digest = hashlib.blake2b
+        return np.frombuffer(b"".join([digest(raw[a:z], digest_size=16).digest() for a, z in zip(first, last, strict=True)]), np.int64).reshape(-1, 2)
+
+
+def _groups(texts: list[bytes]) -> Iterator[tuple[_Words, np.ndarray]]:
+    """(some texts or pieces, the text of each)."""
+    parts, owner, base = packed.pieces([t.split() for t in texts], WIDTH - 1)
+    for a, z in grouped([len(t) for t in parts], GROUP_WORDS):
+        long = [i for i in range(a, z) if len(parts[i]) >= WIDTH]
         if long:
-            yield _Words([words[i] for i in long]), np.array(long) + a
+            yield _Words([parts[i] for i in long], base[long]), owner[long]
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = shared_keys.Places(within=False, gap=PERIOD)
+def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[packed.Row]:
+    held = packed.Places(buckets, within=False, gap=PERIOD)
     for b in batches:
         ids, keys = b.column("id").to_numpy(), b.column("key").to_numpy()
-        for w, rows in _documents(b):
-            at, hashes = w.anchors()
-            doc = rows[w.owner[at]]
-            held.add(hashes, ids[doc], keys[doc], w.place[at])
-            if held.full():
-                yield held.take()
-    yield held.take()
-
-
-_WINDOWS = "a long, b int, id long, key long, start int, length int, known boolean"
-
-
-def _decide(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """Windows (two hashes, id, key, start): each once for its smallest id; the rest as runs that are known repeats."""
-    a, b, ids, keys, start = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((b, a))
-    first = np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
-    least = np.minimum.reduceat(ids[order], np.flatnonzero(first))
-    repeat = np.zeros(len(a), bool)
-    repeat[order] = ids[order] > least[np.cumsum(first) - 1]
-    ask = np.flatnonzero(~repeat)
-    rep = np.flatnonzero(repeat)
-    rep = rep[np.lexsort((start[rep], keys[rep], ids[rep]))]
-    owner = np.cumsum(np.concatenate([[0], (np.diff(ids[rep]) != 0) | (np.diff(keys[rep]) != 0)])) if len(rep) else rep
-    head, size = runs(start[rep], owner)
-    head = rep[head]
-    slot = mix(a[head] ^ keys[head].view(np.uint64) ^ mix(ids[head].view(np.uint64)))
-    columns = [np.concatenate(x) for x in ((a[ask], slot), (b[ask], slot), (ids[ask], ids[head]), (keys[ask], keys[head]), (start[ask], start[head]), (np.ones(len(ask), np.int32), size))]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    arrays = [pa.array((c.view(np.int64) if c.dtype == np.uint64 else c).astype(t.to_pandas_dtype())) for c, t in zip(columns, types, strict=True)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.arange(len(columns[0])) >= len(ask))], ["a", "b", "id", "key", "start", "length", "known"])
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i in range(0, b.num_rows, 256):
+            for w, rows in _groups([t.as_py().encode() for t in b.column("text").slice(i, 256)]):
+                at, hashes = w.anchors()
+                doc = i + rows[w.owner[at]]
+                held.add(hashes, ids[doc], keys[doc], w.place[at])
+                if held.full():
+                    yield from held.take()
+    yield from held.take()
+
+
+def _later(digests: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows also start in a document with a smaller id; of the others, which come first in id."""
+    order = np.lexsort((ids, digests[:, 1], digests[:, 0]))
+    d, i = digests[order], ids[order]
+    first = np.concatenate([[True], (d[1:] != d[:-1]).any(1)])
+    least = i[first][np.cumsum(first) - 1]
+    later = np.empty(len(ids), bool)
+    later[order] = i > least
+    return later, ~later
+
+
+def _runs(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, buckets: int) -> Iterator[packed.Row]:
+    """Rows of windows, neighbours as one run."""
+    if len(ids):
+        order = np.lexsort((start, keys, ids))
+        ids, keys, start = ids[order], keys[order], start[order]
+        fresh = np.concatenate([[True], (start[1:] != start[:-1]) | (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])])
+        ids, keys, start = ids[fresh], keys[fresh], start[fresh]
+        owner = np.cumsum(np.concatenate([[0], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])]))
+        head, size = runs(start, owner)
+        yield from packed.runs_by_document(ids[head], keys[head], start[head], size, buckets)
+
+
+def _decide(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[packed.Row]:
+    """Windows (digests, id, key, start): those of the smallest id once for each id and key; the rest are known repeats."""
+    digests, ids, keys, start = (np.concatenate(x) for x in zip(*parts, strict=True))
+    later, ask = _later(digests, ids)
+    ask = np.flatnonzero(ask)
+    at = packed.of_hash(digests[ask, 0], buckets)
+    order = np.lexsort((start[ask], keys[ask], ids[ask], digests[ask, 0], at))
+    yield from packed.split(packed.STRINGS, at, [digests[ask, 0], digests[ask, 1], ids[ask], keys[ask], start[ask]], order)
+    yield from _runs(ids[later], keys[later], start[later], buckets)
+
+
+def _windows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[packed.Row]:
     parts, size = [], 0
-    for b in batches:
-        ids, keys, starts, ends = b.column("id").to_numpy(), b.column("key").to_numpy(), b.column("starts"), b.column("ends")
-        for w, rows in _documents(b):
+    for known, ids, keys, texts in packed.meeting(batches, 5):
+        found = [known.of(i, k) for i, k in zip(ids.tolist(), keys.tolist(), strict=True)]
+        some = [j for j, f in enumerate(found) if f is not None]
+        for w, rows in _groups([texts[j] for j in some]):
+            rows = np.array(some)[rows]
             # a window contains an anchor if it starts at most PERIOD - 1 words before it
-            on = w.place + WIDTH <= w.counts[w.owner]
-            for k, i in enumerate(rows):
+            on = w.part + WIDTH <= w.counts[w.owner]
+            for k, j in enumerate(rows.tolist()):
                 part = slice(w.offsets[k], w.offsets[k] + w.counts[k])
-                on[part] &= shared_keys.inside(w.place[part], shared_keys.numbers(starts[i]) - PERIOD + 1, shared_keys.numbers(ends[i]))
+                starts, ends = packed.regions(found[j], PERIOD)
+                on[part] &= packed.inside(w.place[part], starts - PERIOD + 1, ends)
             on = np.flatnonzero(on)
             if not len(on):
                 continue
             doc = rows[w.owner[on]]
-            parts.append((w.hashes(on, WIDTH), w.hashes(on, WIDTH, 1) >> np.uint64(33), ids[doc], keys[doc], w.place[on]))
+            parts.append((w.digests(on), ids[doc], keys[doc], w.place[on]))
             size += len(on)
             if size >= FLUSH_WINDOWS:
-                yield _decide(parts)
+                yield from _decide(parts, buckets)
                 parts, size = [], 0
     if parts:
-        yield _decide(parts)
-
-
-def repeats(docs: DataFrame) -> DataFrame:
-    """id, key, runs of (start, length): the windows of a document that also start in one with a smaller id; written."""
-    rows = shared_keys.documents(docs)
-    gone = shared_keys.copies(rows)
-    rows = shared_keys.without(rows, gone)
-    anchors = shared_keys.shared_places(rows.mapInArrow(_anchors, shared_keys.SCHEMA), within=False)
+        yield from _decide(parts, buckets)
+
+
+def _compared(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[packed.Row]:
+    for _, rows in packed.grouped_rows(batches):
+        metas = []
+        for row in rows:
+            if row[0] == packed.STRINGS:
+                metas.append(packed.unpack(row[2], 5))
+            else:
+                yield row
+        if metas:
+            one, two, ids, keys, start = (np.concatenate(c) for c in zip(*metas, strict=True))
+            later = _later(np.stack([one, two], 1), ids)[0]
+            yield from _runs(ids[later], keys[later], start[later], buckets)
+
+
+def _repeats(docs: DataFrame) -> DataFrame:
+    """Packed rows of runs of repeated windows, and of texts, by document."""
+    rows, buckets = packed.documents(docs)
+    texts = packed.packed_texts(rows, buckets)
+    places = rows.mapInArrow(lambda b: packed.batches_of(_anchors(b, buckets)), packed.SCHEMA)
     # two anchors at most PERIOD apart may be in one window; what lies between is looked at as well
-    some = shared_keys.attach(rows, shared_keys.regions(anchors, PERIOD), "inner")
-    found = some.select("id", "key", "text", "starts", "ends").mapInArrow(_windows, _WINDOWS)
-    found = found.withColumn("least", F.min("id").over(Window.partitionBy("a", "b"))).where("known or id > least")
-    return shared_keys.with_whole(found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "length")).alias("runs")), gone)
+    places = packed.shared_places(places, buckets, within=False, gap=PERIOD)
+    dealt = packed.exchanged(places.unionAll(texts)).mapInArrow(lambda b: packed.batches_of(_windows(b, buckets)), packed.SCHEMA)
+    found = packed.exchanged(dealt).mapInArrow(lambda b: packed.batches_of(_compared(b, buckets)), packed.SCHEMA)
+    return packed.exchanged(found.unionAll(texts))
 
 
-def _kept(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[bytes]]]:
-    """A document's words and those that stay."""
-    runs_ = batch.column("runs").to_pylist()
-    for text, found in zip(batch.column("text").to_pylist(), runs_, strict=True):
-        words = text.encode().split()
-        if not found or len(words) < WIDTH:
-            yield words, words
-            continue
-        gone = covered(np.array([r["start"] for r in found]), np.array([r["length"] for r in found]), WIDTH, len(words))
-        yield words, [words[i] for i in np.flatnonzero(~gone)]
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
+    """A document's id, its number of words, and those that stay."""
+    for known, ids, keys, texts in packed.meeting(batches, 4):
+        for i, k, text in zip(ids.tolist(), keys.tolist(), texts, strict=True):
+            words, found = text.split(), known.of(i, k)
+            if found is None:
+                yield i, len(words), words
+            else:
+                yield i, len(words), [words[j] for j in np.flatnonzero(~covered(*found, WIDTH, len(words)))]
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        n, gone, sha = [], [], []
-        for words, kept in _kept(b):
-            n.append(len(words))
-            gone.append(len(words) - len(kept))
-            sha.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    names, types = ["doc_id", "n_words", "n_removed", "kept_sha256"], [pa.int64()] * 3 + [pa.string()]
+    out: list[tuple] = []
+    for i, n, kept in _kept(batches):
+        out.append((i, n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+        if len(out) >= 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        kept = [b" ".join(k).decode() for _, k in _kept(b)]
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(kept, pa.string())], ["doc_id", "text"])
-
-
-def _with_runs(docs: DataFrame) -> DataFrame:
-    return shared_keys.attach(shared_keys.documents(docs), repeats(docs), "left").select("id", "text", "runs")
+    for i, _, kept in _kept(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([b" ".join(kept).decode()], pa.string())], ["doc_id", "text"])
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
-    found = _with_runs(docs).mapInArrow(_digests, "doc_id long, n_words long, n_removed long, kept_sha256 string")
-    return found.withColumn("doc_id", shown_id(F.col("doc_id")))
+    return _repeats(docs).mapInArrow(_digests, "doc_id long, n_words long, n_removed long, kept_sha256 string").withColumn("doc_id", shown_id(F.col("doc_id")))
 
 
 def removed(docs: DataFrame) -> DataFrame:
     """doc_id, text: the words that stay, joined by one space."""
-    return _with_runs(docs).mapInArrow(_texts, "doc_id long, text string").withColumn("doc_id", shown_id(F.col("doc_id")))
+    return _repeats(docs).mapInArrow(_texts, "doc_id long, text string").withColumn("doc_id", shown_id(F.col("doc_id")))

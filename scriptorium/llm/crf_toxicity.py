@@ -3,14 +3,19 @@
 Two tags, clean and toxic.  A word's emission is the sum of weights of its features (the word, its prefixes and
 its last letters, hashed); transitions make toxic words follow each other or not.  Forward-backward
 marginals give each word's probability of being toxic; the document's score is a logistic function of
-the logarithm of the sum of those of at least FLOOR, and words of at least a half, joined to runs, are the spans.
+the expected number of toxic words among those of at least FLOOR, and of the odds of the likeliest word, so that documents without a
+likely word are ordered too.  Words of at least a half, joined to runs, are the spans.
 
 Words are labelled from document labels: a feature that many toxic training documents and almost no clean one
-have marks its words in toxic documents; all other words are clean.  The fit uses at most SAMPLE toxic and
-SAMPLE clean documents (by a hash of their ids), brought to the driver; scoring is one pass without a shuffle.
+have marks its words in toxic documents; all other words are clean.  The field is fitted to whole texts, every word of them, by
+the gradient of the likelihood: marginals against labels for weights, pair marginals against pairs for transitions.
+The fit uses at most SAMPLE toxic and SAMPLE clean documents (by a hash of their ids) of at most LONGEST bytes, brought to the driver;
+scoring is one pass over all texts without a shuffle.
 
 Defined results: a null text is the empty text and has no toxic words; without labelled rows of both kinds every
-score is next to 0; rows that repeat an id are scored each; an empty table gives an empty result.
+score is next to 0; of several labels for a doc_id the largest counts; rows that repeat an id are scored each; texts with the same
+words have the same score; very long texts are scored whole; an empty table gives an empty result; columns other than doc_id and text are
+not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,13 +34,15 @@ from pyspark.sql import functions as F
 from .rolling import grouped
 
 #: Documents of each label that the field is fitted on, at most.
-SAMPLE = 2000
+SAMPLE = 3000
+#: Bytes of a text that the field is fitted on, at most.
+LONGEST = 1 << 17
 SLOTS = 1 << 18
 CACHE_WORDS = 200_000
 FLOOR = 0.5
 CUT = 0.3
 GROUP_BYTES = 2 << 20
-_REACH = 8  # words to each side of a labelled word that are learnt from
+WINDOW = 32  # words that are learnt from as one sequence
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -53,10 +60,10 @@ def features(word: str) -> list[int]:
 class Field:
     """The fitted field; a plain object that is sent to executors."""
 
-    def __init__(self, weights: np.ndarray, moves: np.ndarray, start: float, slope: float = 1.0, bias: float = -30.0) -> None:
-        """weights of features for toxic over clean; moves: log weights from a tag (row) to a tag; slope and bias of a document's score."""
+    def __init__(self, weights: np.ndarray, moves: np.ndarray, start: float, rule: tuple[float, float, float] = (1.0, 0.0, -30.0)) -> None:
+        """weights of features for toxic over clean; moves: log weights from a tag (row) to a tag; rule: of a document's score."""
         self.weights, self.moves, self.start = weights.astype(np.float32), moves, start
-        self.slope, self.bias = slope, bias
+        self.rule = rule
         self.known: dict[str, float] | None = None
 
     def __getstate__(self) -> dict:
@@ -68,7 +75,7 @@ class Field:
         return np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
 
     def score(self, p: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * _evidence(p) + self.bias, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(np.dot(self.rule, _evidence(p)), -30, 30))))
 
     def marginals(self, emissions: list[np.ndarray]) -> list[np.ndarray]:
         """Of each sequence."""
@@ -94,21 +101,23 @@ class _Emissions(dict):
         return value
 
 
-def _evidence(p: np.ndarray) -> float:
-    """The logarithm of the expected number of toxic words."""
-    return float(np.log(0.01 + p[p >= FLOOR].sum()))
+def _evidence(p: np.ndarray) -> tuple[float, float, float]:
+    """The logarithm of the expected number of toxic words, the log odds of the likeliest one, and 1."""
+    top = float(np.clip(p.max(initial=0.0), 1e-9, 1 - 1e-9))
+    return float(np.log(0.01 + p[p >= FLOOR].sum())), float(np.log(top / (1 - top))) / 4, 1.0
 
 
 def _calibrated(field: Field, toxic: list[str], clean: list[str]) -> Field:
-    """Slope and bias of the score by logistic regression on documents that the weights were not fitted on."""
-    x = np.array([_evidence(p) for p in _words([*toxic, *clean], field)[1]])
+    """The score's rule by logistic regression on documents that the weights were not fitted on."""
+    design = np.array([_evidence(p) for p in _words([*toxic, *clean], field)[1]])
     y = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
-    design, w = np.stack([x, np.ones(len(x))], 1), np.array([1.0, 0.0])
-    for _ in range(30):
+    prior = np.array([1.0, 0.1, 0.0])
+    w = prior.copy()
+    for _ in range(50):
         f = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        curve = design.T @ (design * (f * (1 - f))[:, None]) + 0.5 * np.eye(2)
-        w = w - np.linalg.solve(curve, design.T @ (f - y) + 0.5 * (w - [1.0, 0.0]))
-    field.slope, field.bias = float(max(w[0], 0.05)), float(w[1])
+        curve = design.T @ (design * (f * (1 - f))[:, None]) + 0.5 * np.eye(3)
+        w = w - np.linalg.solve(curve, design.T @ (f - y) + 0.5 * (w - prior))
+    field.rule = (float(max(w[0], 0.05)), float(max(w[1], 0.001)), float(w[2]))
     return field
 
 
@@ -155,24 +164,24 @@ def _chained(e: np.ndarray, first: np.ndarray, moves: np.ndarray, start: float)
     return odds / (1 + odds)
 
 
-def _marginals(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: float) -> np.ndarray:
-    """P(toxic) at each place of padded columns: forward and backward odds of toxic to clean."""
+def _chains(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic) at each place of padded columns, by forward and backward odds of toxic to clean; and P(tag, next tag)."""
     x = np.exp(np.clip(e, -25, 25))
     n = len(x)
     (cc, ct), (tc, tt) = moves
-    forward = np.empty_like(x)
+    forward, behind = np.empty_like(x), np.ones_like(x)
     r = start * x[0]
     forward[0] = r
     for t in range(1, n):
         r = x[t] * (ct + r * tt) / (cc + r * tc)
         forward[t] = r
-    back = np.ones(x.shape[1])
-    for t in range(n - 1, -1, -1):
-        forward[t] *= back
-        if t:
-            y = x[t] * back
-            back = np.where(t < lengths, (tc + tt * y) / (cc + ct * y), 1.0)
-    return forward / (1 + forward)
+    for t in range(n - 1, 0, -1):
+        y = x[t] * behind[t]
+        behind[t - 1] = np.where(t < lengths, (tc + tt * y) / (cc + ct * y), 1.0)
+    odds = forward * behind
+    ahead = x[1:] * behind[1:]
+    pairs = np.array([[np.full_like(ahead, cc), ct * ahead], [forward[:-1] * tc, forward[:-1] * tt * ahead]])
+    return odds / (1 + odds), pairs / pairs.sum((0, 1))
 
 
 def _labelled(toxic: list[list[str]], clean: list[list[str]], tell: float = 0.03, least: int = 3) -> set[int]:
@@ -197,7 +206,7 @@ def _labelled(toxic: list[list[str]], clean: list[list[str]], tell: float = 0.03
     good, bad = documents(clean), documents(toxic)
     need = max(least, 0.004 * len(toxic))
     places: dict[int, set[int]] = {f: set() for f, n in bad.items() if n >= need and good[f] <= tell * len(clean)}
-    for words in toxic:
+    for words in filter(None, toxic):
         for before, word, after in zip(["", *words[:-1]], words, [*words[1:], ""], strict=True):
             for f in slots(word):
                 if f in places:
@@ -218,71 +227,52 @@ def train_weights(toxic: list[str], clean: list[str], epochs: int = 4, rate: flo
     rng = np.random.default_rng(seed)
     bad, good = [t.split() for t in toxic], [t.split() for t in clean]
     marks = _labelled(bad, good)
-    width = 2 * _REACH + 1
-    memo: dict[str, list[int]] = {}
-
-    def slots(word: str) -> list[int]:
-        f = memo.get(word)
-        if f is None:
-            f = memo[word] = features(word)
-        return f
-
-    pieces, tags = [], []
-    for words in bad:
-        y = [any(f in marks for f in slots(w)) for w in words]
-        at = [i for i, v in enumerate(y) if v]
-        done = -1
-        for i in at[:40]:
-            if i > done:
-                a = max(0, i - _REACH)
-                pieces.append(words[a : a + width])
-                tags.append(y[a : a + width])
-                done = a + width - 1
-    n_bad = len(pieces)
-    for words in good:
-        for a in rng.integers(0, max(1, len(words) - width), size=3 + 3 * n_bad // (3 * max(1, len(good)))):
-            if words:
-                pieces.append(words[a : a + width])
-                tags.append([False] * len(words[a : a + width]))
-    w = np.zeros(SLOTS)
-    seen = np.full(SLOTS, 1e-3)
+    # words by number; their features, filled up with a slot that stays at 0
+    number: dict[str, int] = {}
+    tokens = np.array([number.setdefault(w, len(number)) for words in (*bad, *good) for w in words], np.int64)
+    found = [features(w) for w in number]
+    slots = np.full((len(found) + 1, 6), SLOTS, np.int64)
+    for k, f in enumerate(found):
+        slots[k, : len(f)] = f
+    telling = np.array([any(f in marks for f in fs) for fs in found] + [False])
+    counts = np.array([len(words) for words in (*bad, *good)], np.int64)
+    tagged = telling[tokens] & np.repeat(np.arange(len(counts)) < len(bad), counts)
+    # whole texts as windows, the last of a text filled up
+    each = -(-counts // WINDOW)
+    if not each.sum():
+        return Field(np.zeros(SLOTS), np.array([[0.0, -30.0], [0.0, -30.0]]), -30.0)
+    owner = np.repeat(np.arange(len(counts)), each)
+    first = (np.arange(len(owner)) - (np.cumsum(each) - each)[owner]) * WINDOW
+    lengths = np.minimum(WINDOW, counts[owner] - first)
+    at = ((np.cumsum(counts) - counts)[owner] + first)[:, None] + np.arange(WINDOW)
+    inside = np.arange(WINDOW) < lengths[:, None]
+    at = np.minimum(at, len(tokens) - 1)
+    token, tag = np.where(inside, tokens[at], len(found)), tagged[at] & inside
+    w, seen = np.zeros(SLOTS + 1), np.full(SLOTS + 1, 1e-3)
     moves, start = np.array([[0.0, -4.0], [0.0, -2.0]]), -4.0
-    indexed = [[slots(x) for x in p] for p in pieces]
     for _ in range(epochs):
-        order = rng.permutation(len(pieces))
-        for b in range(0, len(order), 256):
-            part = order[b : b + 256]
-            lengths = np.array([len(pieces[i]) for i in part])
-            n, m = int(lengths.max()), len(part)
-            flat = np.array([f for i in part for s in indexed[i] for f in s], np.int64)
-            owner = np.array([t * m + k for k, i in enumerate(part) for t, s in enumerate(indexed[i]) for _ in s], np.int64)
-            e = np.bincount(owner, w[flat], minlength=n * m).reshape(n, m)
-            p = _marginals(e, lengths, np.exp(moves), np.exp(start))
-            y = np.zeros((n, m))
-            for k, i in enumerate(part):
-                y[: lengths[k], k] = tags[i]
-            inside = np.arange(n)[:, None] < lengths
-            g = ((p - y) * inside).ravel()
-            grad = np.bincount(flat, g[owner], minlength=SLOTS) / m + 1e-6 * w
+        order = rng.permutation(len(owner))
+        for b in range(0, len(order), 512):
+            part = order[b : b + 512]
+            n = int(lengths[part].max())
+            x, y, on = slots[token[part, :n].T], tag[part, :n].T.astype(float), inside[part, :n].T
+            p, q = _chains(w[x].sum(2), lengths[part], np.exp(moves), np.exp(start))
+            g = (p - y) * on
+            grad = np.bincount(x.ravel(), np.repeat(g.ravel(), x.shape[2]), minlength=SLOTS + 1) / len(part)
+            grad[SLOTS] = 0.0
             hit = np.flatnonzero(grad)
+            grad[hit] += 1e-6 * w[hit]
             seen[hit] += grad[hit] ** 2
             w[hit] -= rate * grad[hit] / np.sqrt(seen[hit])
-            # transitions by the expected and the given counts of neighbours
-            both = inside[1:]
-            q = _pairs(e, p, moves)
-            given = np.array([[((1 - y[:-1]) * (1 - y[1:]))[both].sum(), ((1 - y[:-1]) * y[1:])[both].sum()], [(y[:-1] * (1 - y[1:]))[both].sum(), (y[:-1] * y[1:])[both].sum()]])
-            moves[0, 1] += 0.5 * (given[0, 1] - q[0, 1][both].sum()) / max(1.0, both.sum() / 20)
-            moves[1, 1] += 0.5 * (given[1, 1] - q[1, 1][both].sum()) / max(1.0, both.sum() / 20)
-            start += 0.5 * (y[0].sum() - p[0].sum()) / m
-    moves = np.clip(moves, -9, 3)
-    return Field(w, moves, float(np.clip(start, -9, 0)))
-
-
-def _pairs(e: np.ndarray, p: np.ndarray, moves: np.ndarray) -> np.ndarray:
-    """Approximate pair marginals from the marginals and the moves, normalised at each place."""
-    a, b = p[:-1], p[1:]
-    q = np.array([[(1 - a) * (1 - b), (1 - a) * b], [a * (1 - b), a * b]]) * np.exp(moves)[:, :, None, None]
-    return q / np.maximum(q.sum((0, 1)), 1e-12)
+            # transitions by the given and the expected counts of neighbours
+            both = on[1:]
+            scale = 0.5 / max(1.0, both.sum() / 20)
+            for a in (0, 1):
+                given = ((y[:-1] if a else 1 - y[:-1]) * y[1:])[both].sum()
+                moves[a, 1] += scale * (given - q[a, 1][both].sum())
+            start += 0.5 * (y[0].sum() - p[0].sum()) / len(part)
+            moves, start = np.clip(moves, -9, 3), float(np.clip(start, -9, 0))
+    return Field(w[:SLOTS], moves, start)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -291,13 +281,15 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Field:
     """From labels (doc_id, toxic) that are not held out."""
-    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    part = F.lit(0)
+    part = F.lit(0.0)
     for value, n in counts.items():
-        part = F.when(F.col("toxic") == value, F.lit(int(1_000_000 * min(1.0, SAMPLE / n)))).otherwise(part)
-    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < part)  # about 2 * SAMPLE rows
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").select("text", "toxic").limit(3 * SAMPLE).collect()
+        part = F.when(F.col("toxic") == value, F.lit(min(1.0, SAMPLE / n))).otherwise(part)
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(13)), 11).cast("double") / float(1 << 53)
+    picked = known.where(share < part)  # about 2 * SAMPLE rows
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= LONGEST)
+    rows = texts.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id", "text")).limit(3 * SAMPLE).select("text", "toxic").collect()
     return train([r["text"] for r in rows if r["toxic"] == 1], [r["text"] for r in rows if r["toxic"] == 0])
 
 
@@ -306,23 +298,6 @@ def _words(texts: Iterable[str], field: Field) -> tuple[list[list[str]], list[np
     return words, field.marginals([field.emissions(w) for w in words])
 
 
-def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = sent.value
-        for b in batches:
-            texts, scores = b.column(1), []
-            sizes = [n or 0 for n in pa.compute.binary_length(texts).to_pylist()]
-            for a, z in grouped(sizes, GROUP_BYTES):
-                scores += map(field.score, _words((t.as_py() or "" for t in texts.slice(a, z - a)), field)[1])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
-
-    rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
-
-
 def text_spans(text: str, p: np.ndarray) -> list[tuple[int, int, float]]:
     """Runs of words of at least a half, as offsets into the text with their largest marginal."""
     out: list[list] = []
@@ -337,17 +312,22 @@ def text_spans(text: str, p: np.ndarray) -> list[tuple[int, int, float]]:
     return [tuple(x) for x in out]
 
 
-def spans(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, score, spans: array of (start, end, probability), offsets in code points."""
+def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted, spans: array of (start, end, probability), offsets in code points."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = sent.value
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            p = _words(texts, field)[1]
-            found = [[dict(zip(("start", "end", "probability"), s, strict=True)) for s in text_spans(t, x)] for t, x in zip(texts, p, strict=True)]
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(field.score, p), pa.float64()), pa.array(found, kind)], ["doc_id", "score", "spans"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, spans array<struct<start: int, end: int, probability: double>>")
+            column, scores, found = b.column(1), [], []
+            sizes = [n or 0 for n in pa.compute.binary_length(column).to_pylist()]
+            for a, z in grouped(sizes, GROUP_BYTES):
+                texts = [t.as_py() or "" for t in column.slice(a, z - a)]
+                p = _words(texts, field)[1]
+                scores += map(field.score, p)
+                found += [[dict(zip(("start", "end", "probability"), s, strict=True)) for s in text_spans(t, x)] for t, x in zip(texts, p, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(found, kind)], ["doc_id", "score", "spans"])
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, spans array<struct<start: int, end: int, probability: double>>")
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), "spans")

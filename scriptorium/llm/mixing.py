@@ -8,14 +8,14 @@ source, so the sum ends short of its target by less than any document after the
 
 The sample is found without sorting a source, in rounds: u (which orders a source as q does, as p is the source's)
 is dealt into GRID cells, the words of the documents that may still fit are summed by cell, the cell with the cut is
-divided into GRID cells again, and documents before it are taken by a bound on u.  From there on the first FILL that
-fit the gap are tried one by one (the first FILL of each task and source before the shuffle).  A source goes into
-the next round until no document after the last one tried fits what is left.  Sources are a dimension: tables
-with a row for each are handled whole.
+divided into GRID cells again, and documents before it are taken by a bound on u.  From there on those that
+fit the gap are tried one by one, over a stretch of u that holds about TRY of them; the next round goes on behind it, and a source
+goes into it until nothing fits what is left.  So a round brings about TRY rows of a source to one task, whatever its size,
+and no document is left out.  Sources are a dimension: tables with a row for each are handled whole.
 
 Defined results: a null text or one without words has size 0 and is never taken, whatever the rate; a null source is the last one;
-rows that repeat id and text tie, and any of them is taken first; an empty table gives an empty result; other columns pass
-through ``repeat`` untouched.
+rows that repeat id and text tie, and any of them is taken first; very long texts count by their words like others; an empty
+table gives an empty result; other columns pass through ``repeat`` untouched.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from .shared import WORD, maybe_broadcast, written
 MOST = 3.0  # times a source's size that its target may reach, and times its size that a document may be taken
 CYCLE = 3  # weights 1, 2, .. CYCLE, repeating
 GRID = 4096
-FILL = 2048
+TRY = 2048
 _M = "__mix_"
 
 
@@ -71,7 +71,7 @@ def _cut(cells: DataFrame, room: str) -> DataFrame:
 def plan(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     """sized: key, id, source, size, u, written.  -> (a row for each source, keys taken beyond the plain bounds).
 
-    Rows of a source: source_size, target, whole, spans (documents of at most cap words with lo < u < hi are taken
+    Rows of a source: source_size, target, whole, spans (documents of at most cap words with lo <= u < hi are taken
     once more)."""
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     per = written(targets(per), "targets")
@@ -86,30 +86,37 @@ def plan(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     start = "named_struct('left', gap, 'taken', cast(array() as array<struct<id: bigint, key: bigint, n: bigint>>))"
     fits = "least(x.n, cast(floor(a.left / x.size) as bigint))"
     step = f"(a, x) -> if(x.size <= a.left, named_struct('left', a.left - {fits} * x.size, 'taken', array_append(a.taken, named_struct('id', x.id, 'key', x.key, 'n', {fits}))), a)"
-    state = written(per.where("room >= 1").select("source", F.col("room").alias("left"), F.lit(-1.0).alias("lo")), "state")
+    state = written(per.where("room >= 1").select("source", F.col("room").alias("left"), F.lit(0.0).alias("lo")), "state")
     spans, edges = [], []
     while True:
-        fitting = joined(some, state).where("size <= left and u > lo")
-        coarse = written(fitting.groupBy("source", "left", F.floor(F.col("u") * GRID).alias("cell")).agg(F.sum("size").alias("words")), "coarse")
+        fitting = joined(some, state).where("size <= left and u >= lo")
+        coarse = fitting.groupBy("source", "left", "lo", F.floor(F.col("u") * GRID).alias("cell")).agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows"))
+        coarse = written(coarse, "coarse")
         if not coarse.take(1):
             break
+        # the stretch of u that holds about TRY of the documents that may still fit
+        reach = coarse.groupBy("source").agg(F.sum("rows").alias("rows"), F.max("lo").alias("from"))
+        reach = written(reach.select("source", (TRY * (1 - F.col("from")) / F.col("rows")).alias("reach")), "reach")
         one = written(_cut(coarse, "left"), "cut").withColumnsRenamed({"cell": "outer", "before": "outer_before"})
         inner = joined(fitting, one).where(F.floor(F.col("u") * GRID) == F.col("outer"))
         inner = inner.groupBy("source", "left", "outer_before", F.floor(F.col("u") * GRID * GRID).alias("cell")).agg(F.sum("size").alias("words"))
         two = _cut(inner.withColumn("room", F.col("left") - F.col("outer_before")), "room").alias("t").join(one.alias("o"), F.col("t.source").eqNullSafe(F.col("o.source")))
         two = two.select("t.source", "t.cell", (F.col("t.before") + F.col("o.outer_before")).alias("before"))
-        cut = state.alias("s").join(two.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")), "left")
+        cut = state.alias("s").join(two.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")), "left").join(reach.alias("r"), F.col("s.source").eqNullSafe(F.col("r.source")), "left")
         # A source without a cut takes all that fits.
-        cut = cut.select("s.source", "s.lo", F.coalesce(F.col("t.cell") / float(GRID * GRID), F.lit(1.0)).alias("hi"), F.col("s.left").alias("cap"), (F.col("s.left") - F.coalesce(F.col("t.before"), F.lit(0))).alias("gap"))
+        hi = F.coalesce(F.greatest(F.col("t.cell") / float(GRID * GRID), F.col("s.lo")), F.lit(1.0))
+        cut = cut.select("s.source", "s.lo", hi.alias("hi"), F.col("s.left").alias("cap"), (F.col("s.left") - F.coalesce(F.col("t.before"), F.lit(0))).alias("gap"), (hi + F.coalesce("r.reach", F.lit(1.0))).alias("upto"))
         cut = written(cut, "spans")
         spans.append(cut.select("source", "lo", "hi", "cap"))
-        edge = joined(some, cut.where("gap >= 1 and hi < 1")).where("u >= hi and u > lo and size <= gap")
+        going = cut.where("gap >= 1 and hi < 1")
+        edge = joined(some, going).where("u >= hi and u < upto and size <= gap")
         edge = edge.groupBy("source", "gap", "u", "id", "key", "size").agg(F.count(F.lit(1)).alias("n"))
-        edge = edge.withColumn("place", F.rank().over(Window.partitionBy("source").orderBy("u"))).where(F.col("place") <= FILL)
         lined = edge.groupBy("source", "gap").agg(F.sort_array(F.collect_list(F.struct("u", "id", "key", "size", "n"))).alias("line"))
-        tried = written(lined.select("source", F.expr(f"aggregate(line, {start}, {step})").alias("got"), F.element_at("line", -1)["u"].alias("lo")), "tried")
+        tried = written(lined.select("source", F.expr(f"aggregate(line, {start}, {step})").alias("got")), "tried")
         edges.append(tried.select(F.explode("got.taken").alias("x")).select("x.*"))
-        state = written(tried.where("got.left >= 1").select("source", F.col("got.left").alias("left"), "lo"), "state")
+        on = going.alias("s").join(tried.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source")), "left")
+        on = on.select("s.source", F.coalesce("t.got.left", "s.gap").alias("left"), F.col("s.upto").alias("lo"))
+        state = written(on.where("left >= 1 and lo < 1"), "state")
 
     none = F.array().cast("array<struct<lo: double, hi: double, cap: double>>")
     found = reduce(DataFrame.unionAll, spans).groupBy("source").agg(F.collect_list(F.struct("lo", "hi", "cap")).alias("spans")) if spans else per.limit(0).select("source", none.alias("spans"))
@@ -136,7 +143,7 @@ def with_copies(docs: DataFrame, seed: int = 7) -> DataFrame:
         rows = some.unionByName(rows.where(F.col(_M + "edge").isNull()).withColumn(_M + "more", F.lit(False)))
     else:
         rows = rows.withColumn(_M + "more", F.col(_M + "edge").isNotNull())
-    plain = F.exists(_M + "spans", lambda s: (F.col(_M + "u") > s["lo"]) & (F.col(_M + "u") < s["hi"]) & (F.col(_M + "size") <= s["cap"]))
+    plain = F.exists(_M + "spans", lambda s: (F.col(_M + "u") >= s["lo"]) & (F.col(_M + "u") < s["hi"]) & (F.col(_M + "size") <= s["cap"]))
     once = plain | F.col(_M + "more")
     copies = F.when(F.col(_M + "size") > 0, F.col(_M + "whole") + once.cast("long")).otherwise(F.lit(0))
     return rows.withColumn(_M + "copies", F.coalesce(copies, F.lit(0)).cast("long")).drop(_M + "key", _M + "id", _M + "u", _M + "source", _M + "whole", _M + "spans", _M + "edge", _M + "more")

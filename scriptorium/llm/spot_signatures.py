@@ -2,7 +2,7 @@
 
 A spot is a run of common words (anchors) followed by a content word.  Its signature is the last anchor of the
 run and the chain of the next two content words, whatever anchors stand between them.  Every pair of neighbouring
-words is a signature as well, in every text, so that texts with few anchors or none can be told apart and an edit
+words, and the last word, is a signature as well, in every text, so that texts with few anchors or none can be told apart and an edit
 changes only the signatures that hold it.  The fingerprint is the set of a text's signatures, as 32-bit hashes in
 order.  Likeness is the Jaccard similarity of two sets.
 
@@ -10,13 +10,16 @@ order.  Likeness is the Jaccard similarity of two sets.
 set can be like only sets of its own and the next partition; within them, sets meet on the rarest signatures of
 their prefix, and pairs whose lengths or places already rule them out are pruned before the sets are compared.
 
-The document after each one is found without a global sort: ids are dealt to equally filled chunks by a
-histogram of at most CELLS cells, a chunk's rows are ordered in one window, and the first row of a chunk is sent
-to the chunk before it as well.  So a text is shuffled once.
+The document after each one is found without a global sort.  Ids are cut at up to RANGES quantiles of a sample of at
+most about SAMPLE ids, and each range into CELLS equal parts; cells, in order, make chunks of CHUNK_ROWS rows.  A chunk's rows
+are ordered in one window, and the first row of a chunk is sent to the chunk before it as well.  So a text is
+shuffled once, and however unevenly ids lie, a chunk has few rows or at most those of one range, a small share of all.  Where
+the sample cuts changes no result.
 
 Defined results: a null text is the empty text, with an empty fingerprint; two empty fingerprints are alike (1);
-rows that repeat an id are ordered by their text's hash; a null id orders before all others; an empty table
-gives an empty result.
+rows that repeat an id are ordered by their text's hash (and share a chunk); a null id orders before all others; ids may span
+all 64 bits; very long texts are read whole; an empty table gives an empty result; columns other than doc_id and text are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +37,9 @@ there they this to was were which will with you au aux avec ce ces dans de des d
 leur mais ne nous ou par pas pour qui sa se ses son sur un une vous auf aus bei das dem den der die ein eine einem einen
 einer er es hat ich im ist mit nach nicht sich sie sind und von vor war wie wir zu zum zur al como con del el ella este
 ha las lo los me mi muy no nos para pero por que si sin sobre su sus te todo una y ya""".split()
-CELLS = 1 << 18
+RANGES = 2048
+CELLS = 64
+SAMPLE = 64 * RANGES
 CHUNK_ROWS = 128
 
 
@@ -84,25 +89,44 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(both / every)
 
 
+def _ranges(ids: DataFrame) -> list[int]:
+    """Where ranges of ids begin; the first begins at the least id."""
+    n, least = ids.agg(F.count(F.lit(1)), F.min("id")).first()
+    if not n:
+        return [0]
+    some = ids.where(F.pmod(F.xxhash64("id", F.lit(29)), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLE / n) * (1 << 30)))).distinct()
+    found = sorted(r["id"] for r in some.select("id").limit(4 * SAMPLE).collect())
+    return sorted({least, *found[:: max(1, -(-len(found) // RANGES))]})
+
+
+def _cell(id_: Column, starts: list[int]) -> Column:
+    """Order-preserving: equal parts of the range that holds an id, found by binary search."""
+    listed = F.expr(f"cast(split('{','.join(map(str, starts))}', ',') as array<bigint>)")
+    at = F.aggregate(F.array(*[F.lit(1 << k) for k in range(len(starts).bit_length() - 1, -1, -1)]), F.lit(1), lambda a, step: F.when((a + step <= len(starts)) & (F.get(listed, F.least(a + step, F.lit(len(starts))) - 1) <= id_), a + step).otherwise(a))
+
+    def part(k: Column) -> Column:
+        low = F.get(listed, k - 1).cast("double")
+        high = F.coalesce(F.get(listed, k).cast("double"), low + 1)
+        share = F.floor((id_.cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * CELLS)
+        return k * CELLS + F.greatest(F.lit(0), F.least(share, F.lit(CELLS - 1))).cast("int")
+
+    return _let(at, part)
+
+
 def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """docs (id, ...) with chunk, rows that start a chunk sent to the chunk before as well (last = true)."""
     ids = docs.select("id")
-    least, most, n = ids.agg(F.min(F.when(F.col("id") != F.lit(-(1 << 63)), F.col("id"))), F.max("id"), F.count(F.lit(1))).first()
-    least = 0 if least is None else least
-    cells = max(1, min(CELLS, n // 16))
-    width = max(1.0, (most - least + 1) / cells) if n else 1.0
-    cell = F.greatest(F.lit(-1), F.least(F.lit(cells - 1), F.floor((F.col("id") - F.lit(least)) / F.lit(width)))).cast("int")
-    cell = F.when(F.col("id") < least, F.lit(-1)).otherwise(cell)
+    cell = _cell(F.col("id"), _ranges(ids))
     filled = ids.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("rows"), F.min("id").alias("first"))
     upto = F.sum("rows").over(Window.orderBy("cell")) - F.col("rows")
     filled = filled.withColumn("place", F.floor(upto / CHUNK_ROWS)).withColumn("chunk", F.dense_rank().over(Window.orderBy("place")) - 1)
-    filled = written(filled.select("cell", "chunk", "first"), "cells")  # at most CELLS + 1 rows
+    filled = written(filled.select("cell", "chunk", "first"), "cells")  # at most (RANGES + 1) * CELLS rows
     chunks = filled.agg(F.max("chunk")).first()[0]
     chunks = 0 if chunks is None else chunks + 1
-    rows = docs.withColumn("cell", cell).join(F.broadcast(filled.select("cell", "chunk")), "cell").drop("cell").withColumn("last", F.lit(False))
+    rows = docs.withColumn("cell", cell).join(maybe_broadcast(filled.select("cell", "chunk")), "cell").drop("cell").withColumn("last", F.lit(False))
     heads = filled.groupBy("chunk").agg(F.min("first").alias("id"))
     heads = heads.select("id", F.pmod(F.col("chunk") - 1, F.lit(max(1, chunks))).alias("chunk"))
-    sent = docs.join(F.broadcast(heads), "id").withColumn("last", F.lit(True))
+    sent = docs.join(maybe_broadcast(heads), "id").withColumn("last", F.lit(True))
     return rows, sent, chunks
 
 

@@ -5,8 +5,9 @@ from collections import Counter
 
 import numpy as np
 
-from scriptorium.llm import byte_repeats, exact_dedup, near_dedup, shared_keys, word_windows
+from scriptorium.llm import byte_repeats, exact_dedup, near_dedup, packed, word_windows
 from scriptorium.llm.components import components
+from scriptorium.llm.rolling import every
 from scriptorium.llm.shared import written
 from scriptorium.llm.suffix_arrays import common_prefixes, suffix_array
 
@@ -34,17 +35,27 @@ def test_exact(odd, odd_rows, nothing):
 
 
 def test_directory_splits_overfull_buckets(spark):
-    keys = spark.range(5000).selectExpr("xxhash64(id) as key")
-    rows = exact_dedup.directory(keys, capacity=100).collect()
-    cells = Counter(r["key"] >> 48 & 0xFFFF for r in keys.collect())
-    sizes, depths = Counter(), {}
-    for r in rows:
-        sizes[r.bucket] += cells[r.cell]
-        depths[r.bucket] = r.local_depth
-    assert max(sizes.values()) <= 100 and sum(sizes.values()) == 5000
-    for b, depth in depths.items():  # the bucket above each was overfull
-        top = b >> (17 - depth)
-        assert sum(n for c, n in cells.items() if c >> (17 - depth) == top) > 100
+    """Keys that are spread, and keys that agree on their first forty bits."""
+    for column, capacity in (("xxhash64(id)", 100), ("shiftleft(77L, 50) + shiftleft(id, 10)", 100), ("xxhash64(id)", 1)):
+        keys = spark.range(3000).selectExpr(f"{column} as key")
+        slots, depth = exact_dedup.directory(keys, capacity)
+        rows = slots.collect()
+        cells = Counter((r["key"] & (2**64 - 1)) >> (64 - depth) for r in keys.collect())
+        sizes, depths = Counter(), {}
+        assert len(rows) == len(cells)
+        for r in rows:
+            sizes[r.bucket] += cells[r.cell]
+            depths[r.bucket] = r.local_depth
+            assert r.cell >> (depth - r.local_depth) << (depth - r.local_depth) == r.bucket
+        assert max(sizes.values()) <= capacity and sum(sizes.values()) == 3000
+        for b, local in depths.items():  # the bucket above each was overfull
+            top = b >> (depth - local + 1)
+            assert sum(n for c, n in cells.items() if c >> (depth - local + 1) == top) > capacity
+
+
+def test_exact_in_small_buckets(odd):
+    want = sorted(map(str, exact_dedup.decisions(odd).collect()))
+    assert sorted(map(str, exact_dedup.decisions(odd, capacity=2).collect())) == want
 
 
 def _words_brute(rows):
@@ -68,7 +79,52 @@ def test_word_windows(odd, odd_rows, nothing):
     got = Counter((_id(r.doc_id), *r[1:]) for r in word_windows.digests(odd).collect())
     assert got == _words_brute(odd_rows)
     assert word_windows.digests(nothing).count() == 0
-    assert word_windows.removed(odd).count() == len(odd_rows)
+    kept = Counter((_id(r.doc_id), hashlib.sha256(r.text.encode()).hexdigest()) for r in word_windows.removed(odd).collect())
+    want = Counter()
+    for (i, _, _, sha), n in got.items():
+        want[i, sha] += n
+    assert kept == want
+
+
+def test_words_whose_polynomial_hashes_collide(spark):
+    """Thue-Morse words: every polynomial modulo 2**64 in an odd base takes them for equal."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    assert len(set(every(np.frombuffer((one + other).encode(), np.uint8), 2048)[[0, 2048]].tolist())) == 1
+    around = [f"w{k}" for k in range(49)]
+    rows = [(1, " ".join([*around[:25], one, *around[25:]])), (2, " ".join([*around[:25], other, *around[25:]])), (3, " ".join([*around[:25], one, *around[25:]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in word_windows.digests(df).collect()} == {1: 0, 2: 0, 3: 50}
+    x = near_dedup.shingles([t for _, t in rows])
+    assert (x[1][:46] == x[1][46:92]).sum() == 41 and (x[1][:46] == x[1][92:]).all()
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = rng.integers(97, 101, 5000, dtype=np.uint8).tobytes()
+    words = b" ".join(b"w%d" % k for k in rng.integers(0, 9, 3000))
+
+    def places():
+        byte, word = set(), set()
+        for d, rows, base in byte_repeats._groups([b"x" * 120, text]):
+            byte |= set(zip(rows[d.owner].tolist(), (d.starts - d.offsets[d.owner] + base[d.owner]).tolist(), d.seeds[d.minimizer].tolist()))
+        for w, rows in word_windows._groups([b"too short", words]):
+            at, hashes = w.anchors()
+            word |= set(zip(rows[w.owner[at]].tolist(), w.place[at].tolist(), hashes.tolist()))
+        return byte, word
+
+    whole = places()
+    monkeypatch.setattr(packed, "PIECE", 700)
+    assert places() == whole
+
+
+def test_packing(nothing):
+    rng = np.random.default_rng(1)
+    columns = [rng.integers(-(1 << 62), 1 << 62, 1000) for _ in range(3)]
+    assert all((a == b).all() for a, b in zip(packed.unpack(packed.pack(*columns), 3), columns))
+    strings = [b"", b"abc", b"\0" * 9]
+    assert packed.unpack_strings(packed.pack_strings(strings), np.array([0, 3, 9])) == strings
+    assert packed.packed_texts(packed.documents(nothing)[0], 5).count() == 0
 
 
 def test_difference_cover():
@@ -97,7 +153,7 @@ def test_byte_repeats(spark, odd_rows, nothing):
         kept = bytes(x for x, g in zip(w, gone) if not g)
         want[i, len(w), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()] += 1
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-    for hot in (512, 2):  # with and without minimizers dealt window by window
+    for hot in (8192, 2):  # with and without common minimizers
         byte_repeats.HOT, old = hot, byte_repeats.HOT
         try:
             assert Counter((_id(r.doc_id), *r[1:]) for r in byte_repeats.digests(df).collect()) == want, hot
@@ -115,7 +171,9 @@ def test_byte_repeats_of_rows_in_one_task(spark):
 
 
 def test_byte_repeats_takes_everything(odd, odd_rows):
-    assert byte_repeats.digests(odd).count() == len(odd_rows)
+    want = Counter((r.doc_id, r.kept_sha256) for r in byte_repeats.digests(odd).collect())
+    assert Counter((r.doc_id, hashlib.sha256(r.kept).hexdigest()) for r in byte_repeats.removed(odd).collect()) == want
+    assert sum(want.values()) == len(odd_rows)
 
 
 def test_suffix_arrays():
@@ -209,4 +267,3 @@ def test_components(spark):
         parent[find(a)] = find(b)
     assert len(got) == len(parent)
     assert {(find(a) == find(b)) == (root[a] == root[b]) for a in list(parent)[:60] for b in parent} == {True}
-    assert shared_keys.FLUSH > 0

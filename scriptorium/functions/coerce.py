@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Strings that mean no value.
 BLANK = ("", "N/A", "None", "null")
+#: Fixed value: ids that stand for none.
 PLACEHOLDER = r"(?i)^\s*(?:unknown|unk|invalid|n/?a|none|null|\?+)(?:[\s_.\-]*\w*)?\s*$"
 
 
@@ -47,8 +48,23 @@ def without_warnings(warnings: Column, prefix: str) -> Column:
 
 
 def clean_urls(urls: Column) -> Column:
-    """Flattened one level, links and data only, without blanks."""
-    return F.filter(F.flatten(urls), lambda x: x.isNotNull() & x.rlike(r"^(?:https?://|data:image/|/)"))
+    """Flattened one level and trimmed; links, data and marks only."""
+    flat = F.transform(F.flatten(urls), lambda x: F.trim(x))
+    return F.coalesce(F.filter(flat, lambda x: x.rlike(r"^(?:http|data:image|//)|^\[NEEDS_CROP\]$|cloudinary")), F.array().cast("array<string>"))
+
+
+def variable_names(raw: Column) -> Column:
+    """Names from a JSON list of strings, numbers, or objects with a name, variable, label or symbol, else with options."""
+    none = F.array().cast("array<string>")
+    texts = F.from_json(F.coalesce(raw, F.lit("")), "array<string>")
+
+    def names(x: Column) -> Column:
+        found = F.from_json(x, "name string, variable string, label string, symbol string, options array<string>")
+        one = F.coalesce(*[F.nullif(F.trim(found[f]), F.lit("")) for f in ("name", "variable", "label", "symbol")])
+        return F.when(~x.startswith("{"), F.array(x)).when(one.isNotNull(), F.array(one)).otherwise(F.coalesce(found["options"], none))
+
+    flat = F.transform(F.flatten(F.transform(F.filter(F.coalesce(texts, none), lambda x: x.isNotNull()), names)), lambda x: F.trim(x))
+    return F.filter(flat, lambda x: x.isNotNull() & (x != ""))
 
 
 def first_of(*columns: Column) -> Column:
@@ -63,17 +79,18 @@ def fingerprint(c: Column) -> Column:
 def healed_json(raw: Column) -> Column:
     """Without code fences, and with lone backslashes doubled."""
     s = F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?s)^\s*```(?:json)?\s*|\s*```\s*$", "")
-    return F.regexp_replace(s, r'(?<!\\)\\(?![\\"/bfnrtu])', r"\\\\\\\\")
+    return F.regexp_replace(s, r'(?<!\\)\\(?![\\"/bfnrtu])', r"\\\\")
 
 
 def parsed_json(raw: Column, schema: str) -> Column:
     """Parsed as it is, else healed; null if neither can be read."""
-    return F.coalesce(F.from_json(raw, schema, {"mode": "PERMISSIVE"}), F.from_json(healed_json(raw), schema))
+    healed = healed_json(raw)
+    return F.when(F.try_parse_json(raw).isNotNull(), F.from_json(raw, schema)).when(F.try_parse_json(healed).isNotNull(), F.from_json(healed, schema))
 
 
 #: US dollars a million tokens in and out, by model, and rupees a dollar.
 RATES = {"flash-lite": (0.10, 0.40), "flash": (0.30, 2.50)}
-INR = 84.0
+INR = 84.0  # fixed value
 
 
 def token_cost(model: Column, prompt: Column, output: Column, thoughts: Column, total: Column) -> Column:

@@ -8,35 +8,48 @@ from pyspark.sql import functions as F
 from .coerce import nullif_blank
 
 
+#: Tags that are no part of a paper's name.
+TAGS = r"\s*\((?:extended|core|higher|foundation|standard)\)\s*|\s*\(\d+\)\s*|\s+"
+
+
 def file_stem(name: Column) -> Column:
     """Lower case, without tier tags, copy markers and white space."""
-    s = F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), r"\.(?:pdf|jpe?g|png)$", "")
-    s = F.regexp_replace(s, r"[\[(](?:extended|core|hl|sl)[\])]", "")
-    return F.regexp_replace(F.regexp_replace(s, r"\(\d+\)$|[-_ ]copy$", ""), r"\s+", "")
+    return F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), TAGS, "")
 
 
-#: Months of each session.
-SESSIONS = {"m": ("feb(?:ruary)?", "mar(?:ch)?"), "s": ("may", "june?"), "w": ("oct(?:ober)?", "nov(?:ember)?")}
+#: Months of each session, those that may stand in a pair, and words that count with a year only;
+#: so many characters may lie between a month and its year.
+SESSIONS = {"m": (("feb(?:ruary)?", "mar(?:ch)?"), ""), "s": (("may", "june?", "july?"), "summer"), "w": (("oct(?:ober)?", "nov(?:ember)?"), "winter")}
+YEAR_REACH = 24
 
 
 def session_of_text(t: Column) -> Column:
-    """m, s or w from month/month, or a month within 24 characters of a year; null otherwise."""
-    s, out = F.lower(F.coalesce(t, F.lit(""))), F.lit(None).cast("string")
-    for letter, (a, b) in reversed(SESSIONS.items()):
-        month = f"(?:{a}|{b})"
-        out = F.when(s.rlike(rf"\b{a}\s*/\s*{b}\b|\b{month}\b.{{0,24}}\b20\d\d\b|\b20\d\d\b.{{0,24}}\b{month}\b"), letter).otherwise(out)
+    """A letter alone; else by month/month; else by a month or season near a year; null otherwise."""
+    s = F.lower(F.trim(F.coalesce(t, F.lit(""))))
+    out = F.when(s.isin(*SESSIONS), s)
+    for letter, (months, _) in SESSIONS.items():
+        month = f"(?:{'|'.join(months)})"
+        out = out.when(s.rlike(rf"\b{month}\s*/\s*{month}\b"), letter)
+    for letter, (months, season) in SESSIONS.items():
+        word = f"(?:{'|'.join(filter(None, [*months, season]))})"
+        out = out.when(s.rlike(rf"\b{word}\b.{{0,{YEAR_REACH}}}\b20\d\d\b|\b20\d\d\b.{{0,{YEAR_REACH}}}\b{word}\b"), letter)
     return out
 
 
+#: Fixed value: the pattern of the first board's file names.
 _IGCSE = r"(\d{4})_([smw])(\d{2})_(qp|ms|er|gt)_(\d)(\d)?"
 
 
 def paper_key(name: Column, session: Column | None = None) -> Column:
     """igcse_0580_s18_qp_22 from a file name; a session found in the text goes before the name's; null without a match."""
-    s = file_stem(name)
-    group = lambda k: F.regexp_extract(s, _IGCSE, k)
-    letter = F.coalesce(session, group(2)) if session is not None else group(2)
-    return F.when(group(1) != "", F.concat(F.lit("igcse_"), group(1), F.lit("_"), letter, group(3), F.lit("_"), group(4), F.lit("_"), group(5), group(6)))
+
+    def made(found: Column) -> Column:
+        letter = found[1] if session is None else F.coalesce(session, found[1])
+        return F.when(found[0] != "", F.concat(F.lit("igcse_"), found[0], F.lit("_"), letter, found[2], F.lit("_"), found[3], F.lit("_"), found[4], found[5]))
+
+    # groups are taken once, so the stem is not computed again for each
+    groups = F.transform(F.array(file_stem(name)), lambda s: F.array(*[F.regexp_extract(s, _IGCSE, k) for k in range(1, 7)]))
+    return F.get(F.transform(groups, made), F.lit(0))
 
 
 #: Courses of the second board, by words of the file name.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -18,7 +19,7 @@ def clean(t: Column) -> Column:
     t = F.regexp_replace(t, BLANKS, " ")
     t = F.regexp_replace(t, r"(?mi)^\s*(?:\[?turn over\]?|blank page|page \d+ of \d+|\d{1,3})\s*$", "")
     t = F.regexp_replace(t, r"[ \t\x0B\f]+", " ")
-    return F.trim(F.regexp_replace(t, r"\s*\n\s*", "\n"))
+    return F.regexp_replace(F.regexp_replace(t, r"\s*\n\s*", "\n"), r"^\s+|\s+$", "")
 
 
 def squeezed(t: Column) -> Column:
@@ -32,6 +33,49 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(*tidy, strict=True)])
 
 
+#: Fixed value: labels within a text, with or without a number before them.
+_LABELS = r"(?i)(?:\b\d{1,2}\s*)?(?:\(\s*(?:xviii|xvii|xvi|xiv|xiii|xii|xi|viii|vii|vi|iv|ix|iii|ii|i|xx|xix|xv|x|v|[a-z])\s*\)\s*)+"
+
+
+def task(t: Column) -> Column:
+    """What the last labelled part of a text asks: its letters and digits, in lower case."""
+    from .labels import remainder
+
+    rest = F.trim(remainder(t))
+    last = F.element_at(F.filter(F.split(F.when(rest != "", rest).otherwise(t), _LABELS), lambda x: F.trim(x) != ""), -1)
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(last, F.lit("")), r"\\[a-zA-Z]+", " ")), "[^a-z0-9]+", " "))
+
+
+#: What tells that another question begins, and how many characters of it count.
+TAIL = re.compile(r"\[\s*\d+\s*\]|\.{6,}|calculate|work out|find|show that|write down|solve|complete|give your answer|another swimmer|blessy|rashid|adam|diagram|table|graph|curve|histogram")
+TAIL_REACH, TAIL_LEAST, LATER_ROOTS = 260, 8, 4
+
+
+def _tail(t: str) -> bool:
+    probe = " ".join(t.split()).lower()[:TAIL_REACH]
+    return len(probe) >= TAIL_LEAST and bool(TAIL.search(probe))
+
+
+def _trimmed(t: str, own: str, expected: list[str]) -> str:
+    t, parts = t.strip(), own.split(".")
+    if not t or len(parts) < 2:
+        return t
+    least = max(len(parts[0]) + sum(len(p) + 2 for p in parts[1:]) + 24, 45)
+    others = [e.split(".") for e in expected if e != own]
+    patterns = [rf"(?i)\b{re.escape(e[0])}\b" + "".join(rf"\s*\(\s*{re.escape(p)}\s*\)" for p in e[1:]) for e in others if e[0] == parts[0]]
+    later = sorted({int(e[0]) for e in others if e[0].isdigit() and parts[0].isdigit() and int(e[0]) > int(parts[0])})
+    patterns += [rf"(?<![A-Za-z0-9]){root}\s+(?=[A-Z])" for root in later[:LATER_ROOTS]]
+    cuts = [m.start() for p in patterns for m in re.finditer(p, t) if m.start() >= least and _tail(t[m.start() :])]
+    cut = t[: min(cuts)].rstrip(" .;,\n\t") if cuts else t
+    return cut if len(cut) >= least else t
+
+
+@F.pandas_udf(T.StringType())
+def trimmed_siblings(t: pd.Series, own: pd.Series, expected: pd.Series) -> pd.Series:
+    """Texts up to where a sibling's label, or a later root's number, begins another question."""
+    return pd.Series([_trimmed(x or "", o or "", [] if e is None else list(e)) for x, o, e in zip(t, own, expected, strict=True)])
+
+
 def numbered_blocks(t: Column) -> Column:
     """Texts from each line that starts with a number and . or ); a preamble is dropped if there is one such line."""
     found = F.filter(F.split(t, r"(?m)(?=^\s*\d+\s*[.)]\s+)"), lambda x: F.trim(x) != "")

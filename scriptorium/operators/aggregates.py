@@ -45,6 +45,17 @@ def merged_spans(df: DataFrame, group: list[str], order: str, body: str, marks:
     return df.groupBy(*group).agg(F.array_join(F.array_distinct(F.transform(rows, lambda r: r[body])), "\n").alias("merged"), F.sum(marks).alias("marks"), F.count(F.lit(1)).alias("rows"))
 
 
+def accumulated(lines: DataFrame, table: str, order: str, label: str, parts: list[str]) -> DataFrame:
+    """Lines of a table under the last label shown: each part's non-blank lines in order, one below the other; lines before a first label go."""
+    from . import windows
+
+    blank = F.nullif(F.trim(F.coalesce(label, F.lit(""))), F.lit(""))
+    held = windows.filled_forward(lines, table, order, blank, "__label").where("__label is not null")
+    rows = F.array_sort(F.collect_list(F.struct(order, *parts)))
+    texts = lambda p: F.array_join(F.filter(F.transform("__rows", lambda r: r[p]), lambda x: F.trim(x) != ""), "\n")
+    return held.groupBy(table, F.col("__label").alias(label)).agg(rows.alias("__rows")).select(table, label, *[texts(p).alias(p) for p in parts])
+
+
 def clusters(df: DataFrame, group: str, start: str, end: str, gap: float) -> DataFrame:
     """Intervals joined unless they start over gap after all before them have ended."""
     w = Window.partitionBy(group).orderBy(start, end)
@@ -64,6 +75,17 @@ def first_by(df: DataFrame, group: str, value: str, order: list[str]) -> DataFra
     return df.groupBy(group).agg(F.min_by(value, F.struct(*order)).alias(value))
 
 
+def envelope(rows: DataFrame, paper: str, number: str, fields: list[str]) -> DataFrame:
+    """A response for each paper: its rows in order (a paper has tens), and the report on its distinct root numbers."""
+    row = F.struct("seq", *fields)
+    found = rows.groupBy(paper).agg(F.array_sort(F.collect_list(row)).alias("__rows"), F.collect_set(number).alias("__have"))
+    missing = F.array_sort(F.array_except(F.sequence(F.array_min("__have"), F.array_max("__have")), "__have"))
+    gap = F.size("__have") > 0
+    gone = F.when(gap, missing).otherwise(F.array().cast(rows.select(F.array(number)).schema[0].dataType))
+    report = F.struct(F.when(F.size(gone) > 0, "warning").otherwise("ok").alias("status"), F.when(F.size(gone) > 0, "review").otherwise("proceed").alias("recommendation"), gone.alias("missing"))
+    return found.select(paper, F.transform("__rows", lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias("questions"), report.alias("report"))
+
+
 def response_summary(df: DataFrame, urls: str) -> DataFrame:
     full = F.filter(F.col(urls), lambda u: F.trim(u) != "")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(full)).alias("urls"), F.sum(F.aggregate(full, F.lit(0), lambda a, u: a + F.char_length(u))).alias("url_chars"))

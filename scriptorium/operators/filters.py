@@ -68,22 +68,33 @@ def root_allowed(parts: Column) -> Column:
 
 
 def wrong_deep_terminal(parts: Column, t: Column) -> Column:
-    """Another (letter) in the first 420 characters of a row four or more parts deep; null without one."""
-    found = F.regexp_extract_all(F.substring(t, 1, 420), F.lit(r"\(([a-z])\)"), F.lit(1))
-    other = F.filter(found, lambda x: x != F.element_at(parts, -1))
-    return F.when(F.size(parts) >= 4, F.get(other, F.lit(0)))
+    """The least other (letter) in the first 420 characters behind the label of a row four or more parts deep that ends in a letter."""
+    rest = labels.remainder(t)
+    probe = F.substring(F.when(rest != "", rest).otherwise(t), 1, 420)
+    found = F.regexp_extract_all(F.lower(probe), F.lit(r"(?<![a-z0-9])\(\s*([a-z])\s*\)"), F.lit(1))
+    other = F.array_min(F.filter(found, lambda x: x != F.element_at(parts, -1)))
+    return F.when((F.size(parts) >= 4) & labels.is_letter(F.element_at(parts, -1)), other)
+
+
+#: What a local skeleton writes, and words that speak of a picture or of its labels.
+SKELETON = "local qp skeleton created"
+PICTURE = "diagram shows|not to scale|graph|grid|table shows|cumulative frequency|histogram|venn diagram|pie chart|triangle|quadrilateral|circle|sector"
+PICTURE_LABELS = " scale |not to scale| north |angle |°"
+NOISE = 0.42
 
 
 def repair_candidate(parts: Column, t: Column, review: Column, urls: Column, warnings: Column) -> Column:
-    polluted = (F.char_length(t) > 80) & (F.regexp_count(t, F.lit(r"\(([a-z])\)")) > 3)
-    poor = (is_visual(t) & (F.size(urls) == 0)) | polluted | (text.math_noise(t) >= 0.42)
-    return (F.size(parts) >= 2) & (F.exists(warnings, lambda w: w.contains("skeleton")) | (review & poor))
+    """Rows below a root that a skeleton made, or that are to be reviewed and speak of a picture they lack, or whose text is polluted."""
+    low = F.trim(F.regexp_replace(F.lower(t), r"\s+", " "))
+    bare = F.size(urls) == 0
+    poor = (bare & low.rlike(PICTURE)) | (bare & low.rlike(PICTURE_LABELS) & (F.char_length(t) > 80)) | (text.math_noise(t) >= NOISE) | low.rlike(r"\b\d+\([a-z]\).*\b\d+\([a-z]\)")
+    return (F.size(parts) >= 2) & (F.exists(warnings, lambda w: F.lower(w).contains(SKELETON)) | (review & poor))
 
 
-def valid_repair(parts: Column, t: Column) -> Column:
-    """A body of 1..1800 characters, no blank page, no sibling's marker near the start of deep rows."""
-    body = labels.remainder(t)
-    return F.char_length(body).between(1, 1800) & ~F.lower(t).contains("blank page") & wrong_deep_terminal(parts, t).isNull()
+def valid_repair(t: Column) -> Column:
+    """Behind its label a text of at most 1800 characters, no blank page; under 6 it must hold a letter or digit."""
+    body = F.trim(F.regexp_replace(labels.remainder(t), r"\s+", " "))
+    return (body != "") & ~F.lower(body).contains("blank page") & (F.char_length(body) <= 1800) & ((F.char_length(body) >= 6) | body.rlike("[A-Za-z0-9→⃗]"))
 
 
 def ms_continuation(marks: Column, t: Column) -> Column:
@@ -104,6 +115,20 @@ def covered_area(cells: DataFrame, drawings: DataFrame, least: float = 800.0, th
     return cells.join(d, "page").groupBy("page", "cell").agg(F.sum(w * h).alias("area")).where(F.col("area") > least)
 
 
+def accepted_rescues(rescued: DataFrame, missing: DataFrame, rows: DataFrame, deep: bool = False) -> DataFrame:
+    """Rescued rows (paper, label, body, urls, warnings, needs_review) whose id is missing, that copy no sibling's task and are under
+    four parts deep (unless deep); pictures are taken off and the row is to be reviewed."""
+    from . import joins
+
+    found = rescued.join(missing.select("paper", F.col("id").alias("label")).distinct(), ["paper", "label"], "left_semi")
+    if not deep:
+        found = found.where(F.size(F.split("label", r"\.")) < 4)
+    copied = joins.copied_tasks(found, rows)
+    found = found.join(copied.select("paper", "label").distinct(), ["paper", "label"], "left_anti")
+    said = coerce.with_warning(F.col("warnings"), F.lit("pictures of a rescue are not copied"))
+    return found.withColumns({"urls": F.array().cast("array<string>"), "warnings": said, "needs_review": F.lit(True)})
+
+
 def accepted_scores(proposals: DataFrame, least: float) -> DataFrame:
     """The first accepted proposal of each row: a second score stands in for a low first one."""
     from pyspark.sql import Window

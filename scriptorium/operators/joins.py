@@ -32,11 +32,14 @@ def inherited(rows: DataFrame, registry: DataFrame, key: str, fields: list[str],
 
 
 def siblings(rows: DataFrame, key: str, parent: str, body: str) -> DataFrame:
-    """Each row with its longest sibling text and the number of siblings; no pairs are formed."""
-    w = Window.partitionBy(parent)
-    best = F.sort_array(F.collect_set(F.struct(F.char_length(body).alias("n"), F.col(key).alias("id"), F.col(body).alias("body"))).over(w), asc=False)
-    other = F.get(F.filter(best, lambda x: x["id"] != F.col(key)), F.lit(0))
-    return rows.withColumn("siblings", F.size(F.collect_set(key).over(w)) - 1).withColumn("sibling_text", other["body"])
+    """Each row with its longest sibling text and the number of siblings; no pairs are formed: the two longest texts of a parent do."""
+    one = rows.groupBy(parent, key).agg(F.max(F.struct(F.char_length(body).alias("n"), F.col(body).alias("body"))).alias("own"))
+    best = F.struct(F.col("own.n").alias("n"), F.col(key).alias("id"), F.col("own.body").alias("body"))
+    top = one.groupBy(parent).agg(F.count(F.lit(1)).alias("__keys"), F.max(best).alias("__first"))
+    second = one.join(top.select(parent, F.col("__first.id").alias("__id")), parent).where(F.col(key) != F.col("__id")).groupBy(parent).agg(F.max(best).alias("__second"))
+    out = rows.join(top, parent, "left").join(second, parent, "left")
+    other = F.when(F.col("__first.id") != F.col(key), F.col("__first.body")).otherwise(F.col("__second.body"))
+    return out.withColumns({"siblings": F.col("__keys") - 1, "sibling_text": other}).drop("__keys", "__first", "__second")
 
 
 def neighbours(rows: DataFrame, group: str, order: str, body: str, reach: int = 2) -> DataFrame:
@@ -51,6 +54,48 @@ def clones(rows: DataFrame, key: str, parent: str, body: str, least: int = 8) ->
     return rows.withColumn("clones", F.count(F.lit(1)).over(w)).withColumn("first_clone", F.min(key).over(w)).where((F.col("clones") > 1) & (F.char_length(sig) >= least))
 
 
+#: The least length of a task, and from when on a nearly equal one is a copy.
+TASK, LONG_TASK, SAME_TASK = 8, 24, 0.96
+
+
+def copied_tasks(rescued: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rescued rows (paper, label, body) whose task a sibling among rows has too: equal, or nearly so if both are long."""
+    def tasks(df: DataFrame, label: str, task: str) -> DataFrame:
+        p = F.split("label", r"\.")
+        out = df.select("paper", F.col("label").alias(label), F.array_join(F.slice(p, F.lit(1), F.size(p) - 1), ".").alias("parent"), text.task(F.col("body")).alias(task))
+        return out.where((F.col("parent") != "") & (F.char_length(task) >= TASK))
+
+    met = tasks(rescued, "label", "task").join(tasks(rows, "sibling", "sibling_task"), ["paper", "parent"]).where("label <> sibling")
+    # a ratio of 0.96 needs lengths that close
+    near = F.least(F.char_length("task"), F.char_length("sibling_task")) >= F.greatest(F.lit(LONG_TASK), 0.92 * F.greatest(F.char_length("task"), F.char_length("sibling_task")))
+    met = met.where((F.col("task") == F.col("sibling_task")) | near)
+    return met.where((F.col("task") == F.col("sibling_task")) | (text.similarity("task", "sibling_task") >= SAME_TASK)).select("paper", "label", "sibling")
+
+
+def expected_ids(raw: DataFrame) -> DataFrame:
+    """raw (paper, pos, value) -> paper, pos, id, root: canonical ids, each at its first place."""
+    from ..functions import labels
+
+    p = labels.parts(F.col("value"))
+    found = raw.select("paper", "pos", labels.canonical(p).alias("id"), F.get(p, F.lit(0)).alias("root")).where(F.col("id") != labels.UNKNOWN)
+    return found.groupBy("paper", "id").agg(F.min(F.struct("pos", "root")).alias("first")).select("paper", "first.pos", "id", "first.root")
+
+
+def regions_kept(raster: DataFrame, vector: DataFrame, near: float = 3.0) -> DataFrame:
+    """Regions (page, y0, y1) of pictures and, from the top, of drawings that lie near no region kept before; kind tells which."""
+    r = raster.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("y0", "y1"))).alias("r"))
+    v = vector.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("y0", "y1"))).alias("v"))
+    none = F.array().cast("array<struct<y0: double, y1: double>>")
+    both = r.join(v, "page", "full").select("page", F.coalesce("r", none).alias("r"), F.coalesce("v", none).alias("v"))
+
+    def step(kept: Column, x: Column) -> Column:
+        return F.when(F.exists(kept, lambda k: (F.abs(k["y0"] - x["y0"]) < near) & (F.abs(k["y1"] - x["y1"]) < near)), kept).otherwise(F.array_append(kept, x))
+
+    kept = both.withColumn("kept", F.aggregate("v", F.col("r"), step))
+    out = kept.select("page", F.size("r").alias("n"), F.posexplode("kept").alias("at", "x"))
+    return out.select("page", F.col("x.y0").alias("y0"), F.col("x.y1").alias("y1"), F.when(F.col("at") < F.col("n"), "image").otherwise("drawing").alias("kind"))
+
+
 def fuzzy_best(left: DataFrame, right: DataFrame, block: str, least: float) -> DataFrame:
     """The most similar right row (r_id, r_text) of each left row (l_id, l_text) in the same block, at least so similar."""
     met = left.join(right, block).withColumn("ratio", text.similarity("l_text", "r_text")).where(F.col("ratio") >= least)
@@ -98,6 +143,21 @@ def consumed_once(wanted: DataFrame, coords: DataFrame, key: str) -> DataFrame:
     return met.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+#: What hints of a page are worth for a wanted id.
+HINTS = {"expected": 8, "root": 5, "exact": 20, "digit": 3}
+
+
+def page_hints(pages: DataFrame, wanted: DataFrame) -> DataFrame:
+    """target, page, score: a page (paper, page, page_text) shows a wanted id (paper, target, shown, root): exactly, or its root at a line's start,
+    or the root's number anywhere."""
+    met = pages.join(wanted, "paper")
+    squeezed = F.regexp_replace("page_text", r"\s+", "")
+    digit = F.regexp_like("page_text", F.concat(F.lit(r"(?<!\d)"), F.col("root"), F.lit(r"(?!\d)")))
+    head = F.regexp_like("page_text", F.concat(F.lit(r"(?m)^\s*"), F.col("root"), F.lit(r"(?!\d)")))
+    score = F.when(F.contains(squeezed, F.col("shown")), HINTS["exact"]).otherwise(0) + F.when(head, HINTS["root"]).otherwise(0) + F.when(digit, HINTS["digit"]).otherwise(0)
+    return met.select("target", "page", score.alias("score")).where("score > 0")
+
+
 def page_scores(hints: DataFrame, keep: int) -> DataFrame:
     """Pages by the sum of their hints' scores: the best so many, in page order; neighbours may be added by the caller."""
     total = hints.groupBy("target", "page").agg(F.sum("score").alias("score"))

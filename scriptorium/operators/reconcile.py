@@ -1,12 +1,14 @@
 """Question rows brought in line with the ids that the marking scheme expects.
 
 Rows of a paper (tens of rows) are decided in order, as each decision takes an id; papers are hashed to
-partitions, and a partition is read as a stream that holds one paper at a time."""
+partitions, and a partition is read as a stream that holds one paper at a time.  Labels are taken off texts, and put
+back, by column expressions; the pass itself only moves ids, texts and links."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -15,100 +17,168 @@ from pyspark.sql import types as T
 
 from ..functions import labels
 
-_ROMAN = set(labels.ROMANS)
-_VISIBLE = re.compile(r"\(([a-h])\)")
+#: X alone is a letter here; what a guard wrote that the scheme may settle; how much of a text counts.
+ROMANS = frozenset(labels.ROMANS) - {"x"}
+SETTLED = ("QP embedded subpart guard promoted ", "QP embedded subpart guard corrected ")
+MARKER_REACH, STEM_REACH = 900, 80
+
+
+def _letter(part: str) -> bool:
+    return len(part) == 1 and part.isalpha()
 
 
 class Tree:
-    """Expected ids, all that is above them, and the letters of each root."""
+    """Expected ids in order; what lies between them and their roots; the letters under each root."""
 
     def __init__(self, expected: list[str]) -> None:
-        self.exact = set(expected)
-        self.known = {".".join(p[: k + 1]) for p in (e.split(".") for e in expected) for k in range(len(p))}
+        self.leaves = [tuple(e.split(".")) for e in dict.fromkeys(expected)]
+        self.known = {leaf[:k] for leaf in self.leaves for k in range(2, len(leaf) + 1)} | set(self.leaves)
         self.letters: dict[str, list[str]] = {}
-        for e in expected:
-            p = e.split(".")
-            if len(p) > 1 and p[1] not in self.letters.setdefault(p[0], []):
-                self.letters[p[0]].append(p[1])
-
-    def covers(self, label: str) -> bool:
-        """The id or anything above it but the root is expected."""
-        p = label.split(".")
-        return label in self.exact or any(".".join(p[:k]) in self.exact for k in range(2, len(p)))
-
-
-def with_letters(ids: list[str], tree: Tree) -> list[str]:
-    """A roman straight under a root gets the letter that it lost, where only one is possible and free."""
-    used, out, current = set(ids), [], {}
-    for label in ids:
-        p = label.split(".")
-        if len(p) > 1 and p[1] not in _ROMAN:
-            current[p[0]] = p[1]
-        if len(p) < 2 or p[1] not in _ROMAN or tree.covers(label):
-            out.append(label)
+        for leaf in self.leaves:
+            if len(leaf) > 1 and _letter(leaf[1]) and leaf[1] not in self.letters.setdefault(leaf[0], []):
+                self.letters[leaf[0]].append(leaf[1])
+        self.parents = {leaf[0] for leaf in self.leaves if len(leaf) > 1}
+
+    def covers(self, parts: tuple[str, ...]) -> bool:
+        """The id or anything above it is known."""
+        return any(parts[:k] in self.known for k in range(1, len(parts) + 1))
+
+
+@dataclass
+class Row:
+    at: int  # place in the input
+    parts: tuple[str, ...]
+    rest: str  # the text without its label
+    urls: list[str]
+    warnings: list[str]
+    review: bool
+    stem: str = ""  # comes between label and rest
+    moved: bool = field(default=False)
+
+    def move(self, parts: tuple[str, ...], tree: Tree) -> None:
+        self.parts, self.moved = parts, True
+        if tree.covers(parts):
+            self.settle(always=True)
+
+    def settle(self, always: bool = False) -> None:
+        kept = [w for w in self.warnings if not w.startswith(SETTLED)]
+        if always or len(kept) < len(self.warnings):
+            self.warnings = kept
+            self.review = self.review and bool(kept)
+
+
+def _squeezed(text: str) -> str:
+    return " ".join(text.lower().split())
+
+
+def _settle_roots(rows: list[Row], tree: Tree) -> list[Row]:
+    """A root row that is not expected itself becomes its one visible free child, or lends its text to the first child."""
+    ids = {r.parts for r in rows}
+    out, stems = [], {}
+    for row in rows:
+        root = row.parts[0] if len(row.parts) == 1 else ""
+        if not root.isdigit() or row.parts in tree.leaves or root not in tree.parents:
+            out.append(row)
             continue
-        letters = [x for x in tree.letters.get(p[0], []) if x not in _ROMAN]
-        exact = [x for x in letters if ".".join([p[0], x, *p[1:]]) in tree.exact]
-        missing = [x for x in letters if not any(i.split(".")[:2] == [p[0], x] for i in ids)]
-        pick = exact if len(exact) == 1 else missing if len(missing) == 1 else []
-        if not pick and not exact:
-            pick = [current[p[0]]] if current.get(p[0]) in letters else letters if len(letters) == 1 else []
-        new = ".".join([p[0], pick[0], *p[1:]]) if pick else label
-        if new in used and new != label:
-            new = label
-        used.add(new)
-        out.append(new)
+        seen = [x for x in tree.letters.get(root, []) if (root, x) not in ids and re.search(rf"\(\s*{x}\s*\)", row.rest[:MARKER_REACH], re.IGNORECASE)]
+        if len(seen) == 1:
+            row.move((root, seen[0]), tree)
+            out.append(row)
+        elif any(len(r.parts) > 1 and r.parts[0] == root for r in rows):
+            if row.rest.strip():
+                stems[root] = row
+        else:
+            out.append(row)
+    for row in out:
+        stem = stems.pop(row.parts[0], None) if len(row.parts) > 1 else None
+        if stem:
+            if _squeezed(stem.rest) and _squeezed(stem.rest)[:STEM_REACH] not in _squeezed(row.rest):
+                row.stem = stem.rest
+            row.urls = list(dict.fromkeys([*row.urls, *stem.urls])) if stem.urls else row.urls
     return out
 
 
-def _paper(rows: pd.DataFrame) -> pd.DataFrame:
-    tree = Tree([e for e in rows["expected"].iloc[0] if e])
-    rows = rows.assign(label=with_letters(rows["label"].tolist(), tree))
-    ids, drop = rows["label"].tolist(), []
-    texts, urls = rows["body"].tolist(), [list(u) if u is not None else [] for u in rows["urls"]]
-    for k, label in enumerate(ids):
-        letters = tree.letters.get(label)
-        if "." in label or label in tree.exact or not letters:
-            continue
-        free = {x for x in _VISIBLE.findall(texts[k] or "") if x in letters and f"{label}.{x}" not in ids}
-        below = [j for j, i in enumerate(ids) if i.startswith(f"{label}.")]
-        if len(free) == 1:
-            ids[k] = f"{label}.{free.pop()}"
-        elif below:
-            first, stem = below[0], (texts[k] or "").strip()
-            if stem and stem[:80] not in (texts[first] or ""):
-                texts[first] = f"{stem}\n{texts[first] or ''}".strip()
-            urls[first] = list(dict.fromkeys([*urls[k], *urls[first]]))
-            drop.append(k)
-    known = [tree.covers(i) for i in ids]
-    warned = [[w for w in (list(x) if x is not None else []) if not (c and w.startswith("numbering"))] for x, c in zip(rows["warnings"], known, strict=True)]
-    review = [bool(r) and not (c and not w and len(x if x is not None else [])) for r, c, w, x in zip(rows["needs_review"], known, warned, rows["warnings"], strict=True)]
-    out = rows.assign(label=ids, body=texts, urls=urls, warnings=warned, needs_review=review)
-    return out.drop(index=out.index[drop])
+def _put_letters_back(rows: list[Row], tree: Tree) -> None:
+    """A roman straight under a root gets the letter that it lost: the one that makes it an expected id, else the only letter that
+    no row has, else the current one, else the only one; never an id that a row before it has taken."""
+    ids, used, current = {r.parts for r in rows}, set(), {}
+    for row in rows:
+        if len(row.parts) > 1 and _letter(row.parts[1]):
+            current[row.parts[0]] = row.parts[1]
+        if len(row.parts) > 1 and row.parts[1] in ROMANS and row.parts not in tree.known:
+            root, tail = row.parts[0], row.parts[1:]
+            letters = tree.letters.get(root, [])
+            tiers = (
+                [x for x in letters if (root, x, *tail) in tree.leaves],
+                [x for x in letters if (root, x) not in ids],
+                [x for x in letters if x == current.get(root)],
+                letters,
+            )
+            pick = next((t[0] for t in tiers if len(t) == 1), None)
+            if pick and (root, pick, *tail) not in used:
+                row.move((root, pick, *tail), tree)
+        used.add(row.parts)
+
+
+def decided(rows: list[Row], expected: list[str]) -> list[Row]:
+    tree = Tree([e for e in expected if e])
+    if not tree.leaves:
+        return rows
+    rows = _settle_roots(rows, tree)
+    _put_letters_back(rows, tree)
+    for row in rows:
+        if tree.covers(row.parts):
+            row.settle()
+    return rows
+
+
+def by_paper(df: DataFrame, paper: str, order: list[str], run: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
+    """run on each paper's rows in order; a null paper is a paper.  One paper is held at a time."""
+
+    def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        current: object = None
+        for frame in frames:
+            keys = frame[paper].astype(object).where(frame[paper].notna(), None)
+            cuts = [0, *[k for k in range(1, len(keys)) if keys.iloc[k] != keys.iloc[k - 1]], len(keys)]
+            for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+                if z > a:
+                    if held and keys.iloc[a] != current:
+                        yield run(pd.concat(held, ignore_index=True))
+                        held = []
+                    current = keys.iloc[a]
+                    held.append(frame.iloc[a:z])
+        if held:
+            yield run(pd.concat(held, ignore_index=True))
+
+    return df.repartition(paper).sortWithinPartitions(paper, *order).mapInPandas(stream, schema)
+
+
+def _list(value: object) -> list:
+    return [] if value is None else list(value)
 
 
 def reconciled(rows: DataFrame, expected: DataFrame) -> DataFrame:
     """rows (paper, seq, label, body, urls, warnings, needs_review) against expected (paper, pos, id).
 
-    Lost letters are put back, root rows with one visible letter are promoted, and other root rows go to their
-    first child with text and urls; warnings about numbering go where the id is now expected."""
+    Root rows with one visible letter are promoted, others give text and urls to their first child; lost letters are put
+    back; texts of moved rows get the new label; guards' warnings go where the scheme confirms the id."""
     lists = expected.groupBy("paper").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("expected"))
     held = rows.select("paper", "seq", "label", "body", "urls", "warnings", "needs_review")
-    schema = T.StructType(held.schema.fields)
     joined = held.join(lists, "paper", "left").withColumn("expected", F.coalesce("expected", F.array().cast("array<string>")))
+    joined = joined.withColumns({"rest": labels.remainder(F.col("body")), "span": F.trim(labels.span(F.col("body")))})
+    schema = T.StructType([*held.schema.fields, T.StructField("rest", T.StringType()), T.StructField("span", T.StringType()), T.StructField("stem", T.StringType()), T.StructField("moved", T.BooleanType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: list[pd.DataFrame] = []
-        for frame in frames:
-            for paper, part in frame.groupby("paper", sort=False, dropna=False):
-                if parts and parts[0]["paper"].iloc[0] != paper:
-                    yield _paper(pd.concat(parts, ignore_index=True))[schema.names]
-                    parts = []
-                parts.append(part)
-        if parts:
-            yield _paper(pd.concat(parts, ignore_index=True))[schema.names]
+    def run(paper: pd.DataFrame) -> pd.DataFrame:
+        found = [Row(k, tuple(r.label.split(".")), r.rest or "", _list(r.urls), _list(r.warnings), bool(r.needs_review)) for k, r in enumerate(paper.itertuples())]
+        out = decided(found, list(paper["expected"].iloc[0]))
+        kept = paper.iloc[[r.at for r in out]].assign(label=[".".join(r.parts) for r in out], urls=[r.urls for r in out], warnings=[r.warnings for r in out], needs_review=[r.review for r in out], stem=[r.stem for r in out], moved=[r.moved for r in out])
+        return kept[schema.names]
 
-    return joined.repartition("paper").sortWithinPartitions("paper", "seq").mapInPandas(run, schema)
+    out = by_paper(joined, "paper", ["seq"], run, schema)
+    visible = F.when(F.col("moved"), labels.shown(F.split("label", r"\."))).otherwise(F.col("span"))
+    body = F.trim(F.concat_ws(" ", *[F.nullif(c, F.lit("")) for c in (visible, F.col("stem"), F.col("rest"))]))
+    return out.withColumn("body", F.when(F.col("moved") | (F.col("stem") != ""), body).otherwise(F.col("body"))).select(*held.columns)
 
 
 def split_hints(rows: DataFrame, missing: DataFrame) -> DataFrame:
@@ -124,3 +194,26 @@ def split_hints(rows: DataFrame, missing: DataFrame) -> DataFrame:
     met = met.withColumn("tier", F.when(F.contains(squeezed(F.col("body")), F.col("shown")), 1).when(near, 2)).where("tier is not null")
     w = Window.partitionBy("paper", "id").orderBy("tier", F.abs(F.col("rank.rank") - F.col("source_rank.rank")), "seq")
     return met.withColumn("n", F.row_number().over(w)).where("n = 1").select("paper", F.col("id").alias("missing_id"), "source_id", "tier")
+
+
+def split_warnings(rows: DataFrame, hints: DataFrame) -> DataFrame:
+    """rows with a warning for each id that a hint says they hold; the row is to be reviewed."""
+    message = F.concat(F.lit("may also hold "), F.col("missing_id"))
+    found = hints.groupBy("paper", F.col("source_id").alias("label")).agg(F.array_sort(F.collect_set(message)).alias("__said"))
+    out = rows.join(found, ["paper", "label"], "left")
+    said = F.coalesce("__said", F.array().cast("array<string>"))
+    return out.withColumns({"warnings": F.array_union(F.coalesce("warnings", F.array().cast("array<string>")), said), "needs_review": F.coalesce("needs_review", F.lit(False)) | (F.size(said) > 0)}).drop("__said")
+
+
+def rescue_sources(rows: DataFrame, missing: DataFrame) -> DataFrame:
+    """For each missing id the row to split: its first sibling in order, else its parent, else its grandparent."""
+    parts = F.split("id", r"\.")
+    up = lambda k: F.array_join(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - k, F.lit(0))), ".")
+    tiers = [F.struct(F.lit(k).alias("tier"), up(max(k, 1)).alias("key"), F.lit(k == 0).alias("sibling")) for k in range(3)]
+    want = missing.select("paper", "id", F.explode(F.filter(F.array(*tiers), lambda x: x["key"] != "")).alias("x")).select("paper", "id", "x.*")
+    own = F.split("label", r"\.")
+    above = F.array_join(F.slice(own, F.lit(1), F.greatest(F.size(own) - 1, F.lit(0))), ".")
+    have = rows.select("paper", "seq", "label", F.explode(F.array(F.struct(F.lit(True).alias("sibling"), above.alias("key")), F.struct(F.lit(False).alias("sibling"), F.col("label").alias("key")))).alias("x")).select("paper", "seq", "label", "x.*").where("key <> ''")
+    met = want.join(have, ["paper", "key", "sibling"]).where("label <> id")
+    w = Window.partitionBy("paper", "id").orderBy("tier", "seq")
+    return met.withColumn("n", F.row_number().over(w)).where("n = 1").select("paper", F.col("id").alias("missing_id"), F.col("label").alias("source_id"), F.element_at(F.array(F.lit("sibling"), F.lit("parent"), F.lit("grandparent")), F.col("tier") + 1).alias("kind"))

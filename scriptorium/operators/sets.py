@@ -29,6 +29,11 @@ def multiplied(df: DataFrame, items: Column, out: str) -> DataFrame:
     return df.select("*", F.posexplode(items).alias("place", out))
 
 
+def reading_order(df: DataFrame, page: list[str], order: list[str]) -> DataFrame:
+    """Rows of each page numbered from the top, and from the left where they are as high; later columns of order break ties."""
+    return df.withColumn("place", F.row_number().over(Window.partitionBy(*page).orderBy(*order)))
+
+
 def in_order_of(df: DataFrame, expected: DataFrame, key: str, seq: str) -> DataFrame:
     """By expected position; unknown ids last, by seq."""
     return df.join(expected.select(key, "pos"), key, "left").orderBy(F.col("pos").asc_nulls_last(), seq)

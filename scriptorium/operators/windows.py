@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
+
 
 def filled_forward(df: DataFrame, group: str, order: str, label: Column, out: str = "label") -> DataFrame:
     """The last visible label up to each row."""
@@ -27,20 +29,32 @@ def synced(df: DataFrame, group: str, order: str, usable: Column, field: str) ->
     return out.withColumn(field, F.when(F.col(order) > 0, F.coalesce("__authority", field)).otherwise(F.col(field))).drop("__authority")
 
 
-def shared_prefix(a: Column, b: Column) -> Column:
-    """The length of the common prefix of two texts (b may be null)."""
-    n = F.least(F.char_length(a), F.char_length(F.coalesce(b, F.lit(""))))
-    at = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: (k <= n) & (F.substring(a, k, F.lit(1)) != F.substring(b, k, F.lit(1))))
-    return F.coalesce(F.get(at, F.lit(0)) - 1, n)
+def shared_prefix(a: Column, b: Column, steps: int = 31) -> Column:
+    """The length of the common prefix of two texts (b may be null), by halving: a few comparisons, whatever their length."""
+    b = F.coalesce(b, F.lit(""))
+    n = F.least(F.char_length(a), F.char_length(b))
+
+    def step(k: Column, size: Column) -> Column:
+        return F.when((k + size <= n) & (F.left(a, k + size) == F.left(b, k + size)), k + size).otherwise(k)
+
+    return F.aggregate(F.array(*[F.lit(1 << s) for s in range(steps - 1, -1, -1)]), F.lit(0), step)
+
+
+#: When texts are alike, and the least shared preamble and rest.
+ALIKE, PREAMBLE, REST = 0.62, 60, 12
 
 
-def compacted(df: DataFrame, group: str, order: str, body: str, least: int = 60, rest: int = 12) -> DataFrame:
-    """Texts without the preamble they share with the original text before them."""
+def compacted(df: DataFrame, group: str, order: str, body: str, least: int = PREAMBLE, rest: int = REST) -> DataFrame:
+    """Texts without the preamble, in whole words, that they share with the original text before them, if both are alike."""
     out = df.withColumn("__before", F.lag(body).over(Window.partitionBy(group).orderBy(order)))
-    k = shared_prefix(F.col(body), F.col("__before"))
-    out = out.withColumn("__k", F.when(F.col("__before").isNull(), 0).otherwise(k))
-    cut = (F.col("__k") >= least) & (F.char_length(body) - F.col("__k") >= rest)
-    return out.withColumn(body, F.when(cut, F.ltrim(F.substring(F.col(body), F.col("__k") + 1, F.char_length(body)))).otherwise(F.col(body))).withColumn("stripped", F.when(cut, F.col("__k")).otherwise(0)).drop("__before", "__k")
+    k = F.when(F.col("__before").isNull(), 0).otherwise(shared_prefix(F.col(body), F.col("__before")))
+    whole = F.char_length(F.regexp_extract(F.left(F.col(body), k), r"(?s)^.*\s", 0))
+    out = out.withColumn("__k", whole)
+    cut = (F.col("__k") >= least) & (F.char_length(F.ltrim(F.substring(F.col(body), F.col("__k") + 1, F.char_length(body)))) >= rest)
+    # only pairs that share a preamble are compared in full
+    out = out.withColumn("__cut", cut & (F.when(cut, text.similarity(F.coalesce("__before", F.lit("")), F.col(body))).otherwise(0.0) >= ALIKE))
+    shorter = F.ltrim(F.substring(F.col(body), F.col("__k") + 1, F.char_length(body)))
+    return out.withColumns({body: F.when(F.col("__cut"), shorter).otherwise(F.col(body)), "stripped": F.when(F.col("__cut"), F.col("__k")).otherwise(0)}).drop("__before", "__k", "__cut")
 
 
 def backward(df: DataFrame, group: str, order: str, root: str) -> DataFrame:
@@ -57,7 +71,7 @@ def carried(df: DataFrame, group: str, order: str, value: str, out: str) -> Data
     return filled_forward(df, group, order, F.col(value), out)
 
 
-def slot_gaps(df: DataFrame, group: str, ts: str) -> DataFrame:
+def slot_gaps(df: DataFrame, group: str, ts: str, *ties: str) -> DataFrame:
     """Seconds since the event before, in each group."""
-    w = Window.partitionBy(group).orderBy(ts)
+    w = Window.partitionBy(group).orderBy(ts, *ties)
     return df.withColumn("gap_s", (F.unix_micros(F.col(ts).cast("timestamp")) - F.lag(F.unix_micros(F.col(ts).cast("timestamp"))).over(w)) / 1e6)

@@ -4,9 +4,7 @@ Labels are made from lineitem: l_orderkey(letter of l_linenumber)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import coerce, keys, labels, text
@@ -14,21 +12,8 @@ from ..operators import aggregates as agg
 from ..operators import filters, joins, sequence, sets, validate, windows
 from ..sources import tables
 from ..streaming import ledger
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
+from . import cases, tables_cases  # noqa: F401  they register their queries
+from .registry import QUERIES, SQL, query  # noqa: F401
 
 def _label() -> Column:
     return F.concat(F.col("l_orderkey").cast("string"), F.lit("("), F.char(F.lit(96) + F.col("l_linenumber")), F.lit(")"))
@@ -89,9 +74,9 @@ def label_parse(spark, d):
 
 
 @query("""SELECT l_orderkey, l_linenumber, concat(l_orderkey, '.', chr(97 + l_linenumber)) AS following, concat('text of ', l_comment) AS remainder
-  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag AS l_comment FROM lineitem WHERE l_linenumber NOT IN (5))""")
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag AS l_comment FROM lineitem)""")
 def label_increment(spark, d):
-    rows = tables.parquet(spark, d, "lineitem").where("l_linenumber <> 5").select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
+    rows = tables.parquet(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
     raw = F.concat(F.col("l_orderkey").cast("string"), F.lit("("), F.char(F.lit(96) + F.col("l_linenumber")), F.lit(") text of "), F.col("l_returnflag"))
     return rows.select("l_orderkey", "l_linenumber", labels.canonical(labels.incremented(labels.parts(raw))).alias("following"), labels.remainder(raw).alias("remainder"))
 
@@ -234,19 +219,6 @@ def fixed_batches(spark, d):
     return sets.batches(tables.parquet(spark, d, "conversations"), "role", ["conv_id", "turn"], 10).select("conv_id", "turn", "batch", "role")
 
 
-@query("""SELECT user_id, event_id, round((epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 1e6, 3) AS gap_s FROM events""")
-def slot_gaps(spark, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return tables.parquet(spark, d, "events").select("user_id", "event_id", F.round((F.unix_micros(F.col("ts").cast("timestamp")) - F.lag(F.unix_micros(F.col("ts").cast("timestamp"))).over(w)) / 1e6, 3).alias("gap_s"))
-
-
-@query("""SELECT user_id, event_type AS status FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1""")
-def job_status(spark, d):
-    return tables.parquet(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("status"))
-
-
 @query("""SELECT page_id, lower(regexp_replace(regexp_replace(url, '^https?://', ''), '[/:?#].*$', '')) AS host, sha256(html) AS cache_key FROM pages""")
 def cache_keys(spark, d):
     host = F.lower(F.regexp_replace(F.regexp_replace("url", "^https?://", ""), "[/:?#].*$", ""))
@@ -258,12 +230,6 @@ def table_catalog(spark, d):
     return tables.catalog(spark, d, ["customer", "nation", "orders", "region"])
 
 
-@query("""SELECT n_name, array_to_string(list(c_custkey ORDER BY c_custkey)[1:8], ',') AS first_items, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
-def limited_lists(spark, d):
-    c = tables.parquet(spark, d, "customer").join(F.broadcast(tables.parquet(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))  # nation has 25 rows at every scale
-    return c.groupBy("n_name").agg(F.array_join(sets.first_items(F.array_sort(F.collect_list("c_custkey")), 8), ",").alias("first_items"), F.count(F.lit(1)).alias("n"))
-
-
 @query("""SELECT conv_id, turn, lag(turn, 1) OVER w AS before_1, lag(turn, 2) OVER w AS before_2, lead(turn, 1) OVER w AS after_1, lead(turn, 2) OVER w AS after_2 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")
 def sibling_neighbours(spark, d):
     return joins.neighbours(tables.parquet(spark, d, "conversations"), "conv_id", "turn", "turn").drop("role", "text")
@@ -282,13 +248,15 @@ def coercions(spark, d):
     return o.select("o_orderkey", F.element_at(coerce.to_list(F.col("o_custkey")), 1).alias("coerced_text"), coerce.to_bool(flag).alias("flag"), coerce.to_int(F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit(" "))).alias("number"))
 
 
-@query("""SELECT o_orderkey, concat('igcse_', lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0'), '_s', CAST(year(o_orderdate) % 100 AS VARCHAR), '_22') AS unified, CAST(year(o_orderdate) AS INTEGER) AS year,
-  CASE WHEN lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0') = '0580' THEN 'Extended' END AS tier FROM orders WHERE year(o_orderdate) % 100 >= 10 AND year(o_orderdate) < 2100 AND year(o_orderdate) >= 2000""")
+@query("""SELECT o_orderkey, concat('igcse_', lpad(CAST(o_custkey % 10000 AS VARCHAR), 4, '0'), '_', l, lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0'), '_', CAST(o_orderkey % 4 + 1 AS VARCHAR), '2') AS unified,
+  CAST(2000 + year(o_orderdate) % 100 AS INTEGER) AS year, l AS session FROM (SELECT *, ['s', 'w', 'm'][CAST(o_orderkey % 3 AS INTEGER) + 1] AS l FROM orders)""")
 def paper_keys(spark, d):
-    o = tables.parquet(spark, d, "orders").where("year(o_orderdate) % 100 >= 10 and year(o_orderdate) between 2000 and 2099")
-    name = F.concat(F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"), F.lit("_s"), (F.year("o_orderdate") % 100).cast("string"), F.lit("_QP_22 (Extended).pdf"))
-    key = keys.paper_key(F.regexp_replace(name, r" \(", "("))
-    return o.select("o_orderkey", keys.unified_key(key).alias("unified"), keys.key_parts(key)["year"].alias("year"), keys.tier_of_key(key).alias("tier"))
+    two = F.lpad((F.year("o_orderdate") % 100).cast("string"), 2, "0")
+    letter = F.element_at(F.array(*map(F.lit, "swm")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    name = F.concat(F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0"), F.lit("_"), letter, two, F.lit("_QP_"), (F.col("o_orderkey") % 4 + 1).cast("string"), F.lit("(Extended)2 (1).pdf"))
+    rows = tables.parquet(spark, d, "orders").select("o_orderkey", keys.paper_key(name).alias("key"))
+    parts = keys.key_parts(F.col("key"))
+    return rows.select("o_orderkey", keys.unified_key(F.col("key")).alias("unified"), parts["year"].alias("year"), parts["session"].alias("session"))
 
 
 @query("""SELECT l_orderkey, chr(97) AS x, string_agg(l_linenumber, ',' ORDER BY l_linenumber) AS children FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY 1""")
@@ -319,12 +287,6 @@ def duplicate_guard(spark, d):
     return sequence.ordered_pass(rows, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], "label", sequence.DuplicateGuard)
 
 
-@query()
-def root_tracker(spark, d):
-    rows = tables.parquet(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 3 == 0, F.col("turn").cast("string")).when(F.col("turn") % 3 == 1, "a").otherwise("ii").alias("label"))
-    return sequence.ordered_pass(rows, "conv_id", ["turn"], "label", sequence.RootTracker)
-
-
 @query("""WITH RECURSIVE s AS (SELECT source, doc_id, length(text) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
   b AS (SELECT source, doc_id, n, k, 0::BIGINT AS bin, n AS total, 1 AS held FROM s WHERE k = 1 UNION ALL
   SELECT s.source, s.doc_id, s.n, s.k, CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN b.bin + 1 ELSE b.bin END, CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN s.n ELSE b.total + s.n END,
@@ -334,11 +296,6 @@ def batch_pack(spark, d):
     return sequence.packed(docs, "source", ["doc_id"], "n", 7500, 8).select("source", "doc_id", "bin")
 
 
-@query()
-def preamble_compact(spark, d):
-    return windows.compacted(tables.parquet(spark, d, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn", "text")
-
-
 @query("""SELECT source, to_json({'questions': list({'doc_id': CAST(doc_id AS VARCHAR), 'lang': coalesce(lang, 'N/A')} ORDER BY doc_id)}) AS document FROM documents GROUP BY 1""")
 def nested_output(spark, d):
     docs = tables.parquet(spark, d, "documents").select("source", "doc_id", "lang").withColumn("seq", F.col("doc_id"))
@@ -354,21 +311,3 @@ def demand_from_marks(spark, d):
 def ledger_hours(spark, d):
     """The batch form of the streaming rollup."""
     return ledger.rollup(tables.parquet(spark, d, "events"), "ts", "event_type", "value")
-
-
-@query("""SELECT doc_id, CAST(k - 1 AS INTEGER) AS page_index, string_split(text, chr(10) || chr(10))[k] AS page_text FROM documents, range(1, 2) r(k) WHERE k <= len(string_split(text, chr(10) || chr(10)))""")
-def page_scan(spark, d):
-    docs = tables.parquet(spark, d, "documents").select("doc_id", F.replace("text", F.lit("\n\n"), F.lit("\f")).alias("text"))
-    return tables.pages(docs, "doc_id", "text").where("page_index < 1")
-
-
-@query("""SELECT o_custkey, o_orderkey, place FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders) WHERE place <= 3""")
-def page_prune(spark, d):
-    return sets.top(tables.parquet(spark, d, "orders"), ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 3).select("o_custkey", "o_orderkey", "place")
-
-
-@query("""SELECT o_orderkey, l_linenumber, o_totalprice FROM (SELECT o_orderkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, o_custkey FROM orders) a JOIN (SELECT c_custkey, c_nationkey AS l_linenumber FROM customer) b ON a.o_custkey = b.c_custkey AND k = 1""")
-def kth_to_kth(spark, d):
-    regions = tables.parquet(spark, d, "customer").select(F.col("c_custkey").alias("page"), F.col("c_nationkey").alias("l_linenumber"))
-    rows = tables.parquet(spark, d, "orders").select(F.col("o_custkey").alias("page"), "o_orderkey", "o_totalprice")
-    return joins.kth_to_kth(regions, rows, "page", "l_linenumber", "o_orderkey").select("o_orderkey", "l_linenumber", "o_totalprice")

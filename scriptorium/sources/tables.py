@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,12 @@ def requests(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)
 
 
+def parsed_requests(rows: DataFrame, body: str, schema: str) -> DataFrame:
+    """rows with request (parsed from JSON text) and corrupt (the text, where it can't be read)."""
+    found = F.from_json(F.col(body), f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return rows.withColumn("request", found).withColumn("corrupt", F.col("request._corrupt_record"))
+
+
 def binary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path)
 
@@ -67,11 +75,116 @@ def fresh(entries: DataFrame, now: Column, hours: float = 4.0) -> DataFrame:
     return entries.where(F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")) < int(hours * 3600e6))
 
 
+def cached(entries: DataFrame, wanted: DataFrame, compute, now: Column, hours: float = 4.0) -> tuple[DataFrame, DataFrame]:
+    """(answers, new entries): wanted (key, ...) from entries (key, ts, answer) that are fresh, the rest by compute(rest) -> key, answer.
+
+    Of several fresh entries the latest answers."""
+    kept = fresh(entries, now, hours).groupBy("key").agg(F.max_by("answer", "ts").alias("answer"))
+    keys = wanted.select("key").distinct()
+    new = compute(wanted.join(kept.select("key"), "key", "left_anti")).select("key", "answer")
+    held = kept.join(keys, "key", "left_semi").withColumn("hit", F.lit(True))
+    return held.unionByName(new.withColumn("hit", F.lit(False))), new.withColumn("ts", now)
+
+
+def errors(rows: DataFrame, failed: Column, stage: str, message: Column, status: int = 500) -> DataFrame:
+    """A detail for each failed row: stage, message, status and the row itself."""
+    detail = F.struct(F.lit(stage).alias("stage"), F.coalesce(message, F.lit("unknown error")).alias("message"), F.lit(status).alias("status"), F.to_json(F.struct(*rows.columns)).alias("details"))
+    return rows.where(failed).select(detail.alias("error")).select("error.*")
+
+
+def normalised_rows(raw: DataFrame, metadata: DataFrame, paper: str, fields: dict[str, Column], identity: list[str], forced: Column) -> DataFrame:
+    """raw rows with the metadata of their paper: a field is the row's own value, else the paper's, else its default; where
+    forced holds, identity fields are the paper's if it has them."""
+    m = metadata.select(F.col(paper).alias("__paper"), *[F.col(f).alias(f"__{f}") for f in metadata.columns if f != paper])
+    joined = raw.join(m, raw[paper] == F.col("__paper"), "left")
+    known = set(metadata.columns)
+
+    def value(f: str, default: Column) -> Column:
+        theirs = coerce.nullif_blank(F.col(f"__{f}")) if f in known else F.lit(None)
+        own = coerce.nullif_blank(F.col(f)) if f in raw.columns else F.lit(None)
+        first, second = (F.when(forced, theirs), F.coalesce(own, theirs)) if f in identity else (own, theirs)
+        return F.coalesce(first, second, default)
+
+    return joined.withColumns({f: value(f, d) for f, d in fields.items()}).drop("__paper", *[f"__{f}" for f in metadata.columns if f != paper])
+
+
+def updated(rows: DataFrame, payload: DataFrame, key: str) -> DataFrame:
+    """rows overwritten by the columns of payload, where it has the key; new columns are added."""
+    mine = [c for c in payload.columns if c != key]
+    p = payload.select(key, *[F.col(c).alias(f"__{c}") for c in mine], F.lit(True).alias("__hit"))
+    out = rows.join(p, key, "left")
+    out = out.withColumns({c: F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)) if c in rows.columns else F.col(f"__{c}") for c in mine})
+    return out.drop("__hit", *[f"__{c}" for c in mine])
+
+
 def sample(df: DataFrame, n: int, key: str, seed: int = 7) -> DataFrame:
     """n rows at random, the same ones in every run."""
     return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
 
 
+#: Furniture of a marking scheme, symbols without a glyph, and the line from which on it is read.
+SCHEME_FURNITURE = r"(?i)^\s*page\s\d+\s+of\s+\d+\s*$|^(?:www\.exam-mate\.com|\[turn ove\r|© ucles \d{4}\s+page\s\d+\s+of\s+\d+\s*|\d{6}/\d{2}\s+cambridge\s+igcse\s+–\s+mark\s+scheme\s+published\s+may/june\s+\d{4}|generic marking principles|maths-specific marking principles(?:\s+\d+)?|question answer marks partial marks)$"
+SCHEME_SYMBOLS = "\uf028\uf029\uf03d\uf0b4\uf02b\uf02d\uf0e6\uf0f6\uf0e7\uf0f7\uf0e8\uf0f8"
+SCHEME_BEGINS = r"^\s*1\s*\(a\)\(i\)"
+_SCHEME_ID = re.compile(r"^\s*(\d+)(?:([a-z]))?(?:\(([ivx]+|\d+)\))?(?:\(([a-z])\))?(?:\(([ivx]+|\d+)\))?(?![a-zA-Z0-9])")
+_SCHEME_PART = re.compile(r"^\s*\(?([ivx]+|[a-z])\)?\s*(.*)$")
+_ROMAN = {r: str(k) for k, r in enumerate("i ii iii iv v vi vii viii ix x".split(), 1)}
+
+
+def scheme_lines(texts: DataFrame, paper: str, body: str) -> DataFrame:
+    """Lines of marking schemes without furniture, symbols and [marks], from the first question on."""
+    rows = lines(texts, [paper], body).where(~F.col("line").rlike(SCHEME_FURNITURE))
+    clean = F.translate(F.regexp_replace("line", "\\s*\uf0b7\\s*", ""), SCHEME_SYMBOLS, "")
+    rows = rows.withColumn("line", F.trim(F.regexp_replace(clean, r"\[\d+\]", ""))).where("line <> ''")
+    from pyspark.sql import Window
+
+    begun = F.max(F.col("line").rlike(SCHEME_BEGINS)).over(Window.partitionBy(paper).orderBy("line_no"))
+    return rows.withColumn("__begun", begun).where("__begun").drop("__begun")
+
+
+class SchemeLabel:
+    """The id that a line of a marking scheme belongs to, and what of the line is text."""
+
+    def __init__(self) -> None:
+        self.id = ""
+
+    def __call__(self, line: str) -> tuple[str, str]:
+        own = _SCHEME_ID.match(line)
+        if own:
+            self.id = ".".join(p if p.isdigit() or len(p) == 1 else _ROMAN.get(p, p) for p in own.groups() if p)
+            return self.id, line[own.end() :].strip()
+        part = _SCHEME_PART.match(line)
+        if part and self.id and part[2].strip():
+            self.id = f"{self.id}.{_ROMAN.get(part[1], part[1])}"
+            return self.id, part[2].strip()
+        return self.id, line
+
+
+def scheme_questions(texts: DataFrame, paper: str, body: str) -> DataFrame:
+    """paper, question_id, content: what a marking scheme's text says of each id, in one piece for each time it is begun."""
+    from ..operators import sequence
+
+    def guard():
+        state, last, n = SchemeLabel(), [""], [0]
+
+        def step(line: str) -> tuple[str, bool]:
+            before = state.id
+            found, rest = state(line)
+            fresh = _SCHEME_ID.match(line) is not None or found != before
+            n[0] += fresh
+            last[0] = found
+            return f"{n[0]}\x1f{found}\x1f{rest}", fresh
+
+        return step
+
+    rows = sequence.ordered_pass(scheme_lines(texts, paper, body), paper, ["line_no"], "line", guard)
+    part = F.split("new_label", "\x1f")
+    rows = rows.select(paper, "line_no", F.get(part, F.lit(0)).cast("int").alias("turn"), F.get(part, F.lit(1)).alias("question_id"), F.get(part, F.lit(2)).alias("rest"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "rest"))), lambda x: x["rest"]), " ")
+    out = rows.where("question_id <> ''").groupBy(paper, "turn", "question_id").agg(F.trim(F.regexp_replace(joined, r"\s+", " ")).alias("content"))
+    return out
+
+
 def catalog(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
     """Names and row counts, from the files' footers."""
     parts = [parquet(spark, folder, n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n in sorted(names)]

@@ -23,11 +23,12 @@ def deduplicated(events: DataFrame, key: str, ts: str, late: str = "4 hours") ->
 
 
 def latest(jobs: DataFrame, job: str, ts: str, status: str) -> DataFrame:
-    return jobs.groupBy(job).agg(F.max_by(status, ts).alias(status), F.max(ts).alias(ts))
+    """The last status of each job; of equal times the largest."""
+    return jobs.groupBy(job).agg(F.max(F.struct(ts, status)).alias("__last")).select(job, F.col(f"__last.{status}").alias(status), F.col(f"__last.{ts}").alias(ts))
 
 
-def run_once(df: DataFrame, name: str, mode: str, checkpoint: str) -> StreamingQuery:
-    """All that is there now, into a table in memory."""
-    query = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_once(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """All that is there now, appended to parquet files."""
+    query = df.writeStream.format("parquet").option("path", path).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query

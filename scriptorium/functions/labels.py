@@ -90,8 +90,13 @@ def metadata(p: Column) -> Column:
     )
 
 
+def behind(raw: Column, taken: Column) -> Column:
+    """What follows the text that a label takes up."""
+    return F.ltrim(F.substring(_text(raw), F.char_length(taken) + 1, F.char_length(_text(raw))))
+
+
 def remainder(raw: Column) -> Column:
-    return F.ltrim(F.substring(_text(raw), F.char_length(span(raw)) + 1, F.char_length(_text(raw))))
+    return behind(raw, span(raw))
 
 
 def squashed(raw: Column) -> Column:

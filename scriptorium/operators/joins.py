@@ -96,19 +96,44 @@ def regions_kept(raster: DataFrame, vector: DataFrame, near: float = 3.0) -> Dat
     return out.select("page", F.col("x.y0").alias("y0"), F.col("x.y1").alias("y1"), F.when(F.col("at") < F.col("n"), "image").otherwise("drawing").alias("kind"))
 
 
+def alike(left: DataFrame, right: DataFrame, block: str, least: float) -> DataFrame:
+    """Pairs of left (l_id, l_text) and right (r_id, r_text) of a block, a paper's tens of rows, that are at least so similar.  A ratio is at most
+    what the lengths allow, so other pairs are not compared."""
+    size = lambda c: F.char_length(text.squeezed(F.col(c)))
+    met = left.join(right, block).withColumns({"__l": size("l_text"), "__r": size("r_text")})
+    met = met.where(2 * F.least("__l", "__r") >= F.lit(least) * (F.col("__l") + F.col("__r")) - 1e-9).drop("__l", "__r")
+    return met.withColumn("ratio", text.similarity("l_text", "r_text")).where(F.col("ratio") >= least)
+
+
 def fuzzy_best(left: DataFrame, right: DataFrame, block: str, least: float) -> DataFrame:
-    """The most similar right row (r_id, r_text) of each left row (l_id, l_text) in the same block, at least so similar."""
-    met = left.join(right, block).withColumn("ratio", text.similarity("l_text", "r_text")).where(F.col("ratio") >= least)
-    return met.groupBy("l_id").agg(F.max_by(F.struct("r_id", "ratio"), F.struct("ratio", (-F.col("r_id")).alias("first"))).alias("best")).select("l_id", "best.r_id", "best.ratio")
-
-
-def cascade(exact: DataFrame, fuzzy: DataFrame, suffix: DataFrame) -> DataFrame:
-    """Matches (l_id, r_id, score) of three tiers: exact ones first; a source of the others is used once, best row first."""
-    tiers = [t.select("l_id", "r_id", "score", F.lit(k).alias("tier")) for k, t in enumerate((exact, fuzzy, suffix))]
-    every = tiers[0].unionByName(tiers[1]).unionByName(tiers[2])
-    one = every.withColumn("n", F.row_number().over(Window.partitionBy("l_id").orderBy("tier", F.desc("score"), "r_id"))).where("n = 1")
-    once = one.withColumn("n", F.row_number().over(Window.partitionBy("r_id").orderBy("tier", F.desc("score"), "l_id")))
-    return once.where("tier = 0 or n = 1").drop("n")
+    """The most similar right row (r_id, r_text) of each left row (l_id, l_text) in the same block, at least so similar; of equal ones the first."""
+    met = alike(left, right, block, least)
+    return met.groupBy(block, "l_id").agg(F.max_by(F.struct("r_id", "ratio"), F.struct("ratio", (-F.col("r_id")).alias("first"))).alias("best")).select(block, "l_id", "best.r_id", "best.ratio")
+
+
+#: How much text a fuzzy match needs, and the least ratios of fuzzy and suffix matches.
+SIGNAL, FUZZY, SUFFIX = 10, 0.78, 0.90
+
+
+def match_cascade(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
+    """left (l_id, l_label, l_text) to right (r_id, r_label, r_text) of a block, as kind and score: the same id; else the most alike text; else
+    the same id but for the root and an alike text.  A right row that an id took is not taken again, another one once, by its best left row."""
+    exact = left.join(right.withColumnRenamed("r_label", "l_label"), [block, "l_label"]).groupBy(block, "l_id").agg(F.min("r_id").alias("r_id"))
+    l_rest = left.join(exact, [block, "l_id"], "left_anti")
+    r_rest = right.join(exact.select(block, "r_id"), [block, "r_id"], "left_anti")
+    signal = lambda c: F.char_length(F.regexp_replace(c, r"\W+", "")) >= SIGNAL
+    texts = alike(l_rest.where(signal("l_text")), r_rest.where(signal("r_text")), block, FUZZY).select(block, "l_id", "r_id", F.col("ratio").alias("score"), F.lit(1).alias("tier"))
+    tail = lambda c: F.nullif(F.regexp_replace(c, r"^[^.]*\.?", ""), F.lit(""))
+    ends = l_rest.withColumn("__end", tail("l_label")).join(r_rest.withColumn("__end", tail("r_label")), [block, "__end"])
+    ends = ends.withColumn("score", 0.5 + 0.5 * text.similarity("l_text", "r_text")).where(F.col("score") >= SUFFIX).select(block, "l_id", "r_id", "score", F.lit(2).alias("tier"))
+    once = texts.unionByName(ends)
+    # a match stands if it is the best of both its rows
+    for key in ("l_id", "r_id"):
+        w = Window.partitionBy(block, key).orderBy("tier", F.desc("score"), "l_id", "r_id")
+        once = once.withColumn(f"__{key}", F.row_number().over(w))
+    once = once.where("__l_id = 1 and __r_id = 1").select(block, "l_id", "r_id", "score", "tier")
+    every = exact.select(block, "l_id", "r_id", F.lit(1.0).alias("score"), F.lit(0).alias("tier")).unionByName(once)
+    return every.select(block, "l_id", "r_id", F.element_at(F.array(F.lit("exact"), F.lit("fuzzy"), F.lit("suffix")), F.col("tier") + 1).alias("kind"), F.round("score", 4).alias("score"))
 
 
 def gap_filled(rows: DataFrame, candidates: DataFrame, expected: DataFrame, key: str) -> DataFrame:

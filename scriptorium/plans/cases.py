@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce, keys, labels, text
-from ..operators import filters, reconcile, sequence
+from ..operators import filters, joins, reconcile, sequence, skeleton
 from ..sources import tables
 from .registry import QUERIES, SQL
 
@@ -556,3 +556,65 @@ def _hinted(rows: DataFrame) -> DataFrame:
     have = rows.select("paper", "seq", "label", "body", F.array().cast("array<string>").alias("warnings"), F.lit(False).alias("needs_review"))
     hints = reconcile.split_hints(have, rows.where("missing <> ''").select("paper", F.explode(F.split("missing", ",")).alias("id")))
     return reconcile.split_warnings(have, hints).withColumn("warned", F.array_join("warnings", "|"))
+
+
+_PAGES = [
+    ("0", "50", "10", "INSTRUCTIONS answer all questions 1 (a) no", "1,2.a.i,2.a.ii,2.b,3.a"),
+    ("1", "40", "10", "1 Work out {k}", ""),
+    ("1", "60", "30", "when x is one.", ""),
+    ("1", "40", "50", "2 A bag holds balls.", ""),
+    ("1", "50", "60", "(a) (i) Find p.", ""),
+    ("1", "50", "70", "(ii) Find q {k}", ""),
+    ("1", "200", "72", "(b) too far right", ""),
+    ("1", "50", "800", "below the page", ""),
+    ("4", "50", "5", "Turn over", ""),
+    ("4", "50", "10", "(b) Draw it", ""),
+    ("4", "40", "20", "3", ""),
+    ("4", "45", "25", "A tree stands.", ""),
+    ("4", "60", "30", "(a) How tall?", ""),
+]
+_FOUND = [
+    ("0", "1", "1 Work out {k} when x is one."),
+    ("1", "2.a.i", "2 A bag holds balls. 2(a)(i) Find p."),
+    ("2", "2.a.ii", "2 A bag holds balls. 2(a)(ii) Find q {k} (b) too far right"),
+    ("3", "2.b", "2 A bag holds balls. 2(b) Draw it"),
+    ("4", "3.a", "3 A tree stands. 3(a) How tall?"),
+]
+
+
+def _paper_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    lines = rows.select("paper", F.col("page").cast("int").alias("page"), F.col("seq").alias("line_no"), F.col("x0").cast("double").alias("x0"), F.col("y0").cast("double").alias("y0"), "line")
+    return lines, rows.where("expected <> ''").select("paper", F.posexplode(F.split("expected", ",")).alias("pos", "id"))
+
+
+papers("paper_skeletons", [(_PAGES, _FOUND)], ["page", "x0", "y0", "line", "expected"], ["pos", "id", "body"], lambda rows: skeleton.skeleton(*_paper_lines(rows)))
+
+papers(
+    "page_roots",
+    [(_PAGES[1:4] + [("2", "90", "1", "nothing here", "1,2.a,2.b,3"), ("3", "30", "9", "3 Draw", ""), ("3", "30", "8", "9 Unknown", "")], [("1", "1", "1"), ("2", "1", "1"), ("3", "3", "3")])],
+    ["page", "x0", "y0", "line", "expected"],
+    ["page", "root", "shown"],
+    lambda rows: skeleton.page_roots(*_paper_lines(rows)).withColumn("shown", F.array_join("ids", ",")),
+)
+
+
+def _cascade(rows: DataFrame) -> DataFrame:
+    left = rows.where("side = 'want'").select("paper", F.col("seq").alias("l_id"), F.col("id").alias("l_label"), F.col("body").alias("l_text"))
+    right = rows.where("side = 'have'").select("paper", F.col("seq").alias("r_id"), F.col("id").alias("r_label"), F.col("body").alias("r_text"))
+    return joins.match_cascade(left, right, "paper")
+
+
+papers(
+    "match_cascade",
+    [
+        (
+            [("want", "{k}.a", "Find the value of x"), ("want", "{k}.b", "Draw the graph of the function on the grid"), ("want", "9.c.ii", "Find y"), ("want", "7", "zzz qqq"),
+             ("have", "{k}.a", "Find the value of x"), ("have", "4.z", "draw  the GRAPH of the function on the grid"), ("have", "8.c.ii", "Find x"), ("have", "8.d", "nothing of the kind")],
+            [("0", "4", "exact", "1.0"), ("1", "5", "fuzzy", "1.0"), ("2", "6", "suffix", "0.9167")],
+        ),
+        ([("want", "1.a", "Same text in both rows {k}"), ("want", "1.b", "Same text in both rows {k}"), ("have", "5.x", "same text in both rows {k}")], [("0", "2", "fuzzy", "1.0")]),
+    ],
+    ["side", "id", "body"],
+    ["l_id", "r_id", "kind", "score"],
+    lambda rows: _cascade(rows),
+)

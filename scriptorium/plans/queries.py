@@ -69,7 +69,7 @@ def prefix_cover(spark, d):
   concat(l_orderkey, '(', chr(96 + l_linenumber), ')') AS shown, count(*) AS n FROM lineitem GROUP BY ALL""")
 def label_parse(spark, d):
     rows = tables.parquet(spark, d, "lineitem").groupBy(_label().alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    p = labels.parts(F.col("label"))
+    rows, p = rows.withColumn("p", labels.parts(F.col("label"))), F.col("p")
     return rows.select("label", labels.canonical(p).alias("canonical"), labels.root(p).alias("root"), labels.immediate_parent(p).alias("above"), labels.metadata(p)["depth"].alias("depth"), labels.squashed(F.col("label")).alias("squashed"), labels.shown(p).alias("shown"), "n")
 
 
@@ -78,7 +78,9 @@ def label_parse(spark, d):
 def label_increment(spark, d):
     rows = tables.parquet(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
     raw = F.concat(F.col("l_orderkey").cast("string"), F.lit("("), F.char(F.lit(96) + F.col("l_linenumber")), F.lit(") text of "), F.col("l_returnflag"))
-    return rows.select("l_orderkey", "l_linenumber", labels.canonical(labels.incremented(labels.parts(raw))).alias("following"), labels.remainder(raw).alias("remainder"))
+    rows = rows.withColumn("raw", raw)
+    rows = rows.withColumns({"p": labels.parts(F.col("raw")), "span": labels.span(F.col("raw"))})
+    return rows.select("l_orderkey", "l_linenumber", labels.canonical(labels.incremented(F.col("p"))).alias("following"), labels.behind(F.col("raw"), F.col("span")).alias("remainder"))
 
 
 @query("""SELECT o_orderkey, coalesce(CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END, o_orderpriority) AS segment, c_nationkey
@@ -262,7 +264,7 @@ def paper_keys(spark, d):
 @query("""SELECT l_orderkey, chr(97) AS x, string_agg(l_linenumber, ',' ORDER BY l_linenumber) AS children FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) GROUP BY 1""")
 def children_by_parent(spark, d):
     rows = tables.parquet(spark, d, "lineitem").select("l_orderkey", "l_linenumber", _label().alias("label")).distinct()
-    p = labels.parts(F.col("label"))
+    rows, p = rows.withColumn("p", labels.parts(F.col("label"))), F.col("p")
     ids = rows.select(labels.canonical(p).alias("id"), F.col("l_linenumber").alias("pos"), labels.prefixes(p).alias("prefixes"))
     out = agg.children(ids, F.col("prefixes"), "id", "pos")
     number = F.transform("children", lambda c: (F.ascii(F.substring_index(c, ".", -1)) - 96).cast("string"))
@@ -271,14 +273,11 @@ def children_by_parent(spark, d):
 
 @query()
 def fuzzy_match(spark, d):
-    docs = tables.parquet(spark, d, "documents")
-    left = tables.parquet(spark, d, "benchmark").select(F.col("item_id").alias("l_id"), F.col("text").alias("l_text"), F.explode(F.expr("array_distinct(transform(split(text, ' '), w -> xxhash64(w)))")).alias("w"))
-    sentences = docs.select("doc_id", F.posexplode(F.split("text", r"(?<=[.!?])\s+|\n")).alias("place", "r_text"))
-    right = sentences.where(F.char_length("r_text") >= 20).select(F.xxhash64("doc_id", "place").alias("r_id"), "r_text", F.explode(F.expr("array_distinct(transform(split(r_text, ' '), w -> xxhash64(w)))")).alias("w"))
-    rare = left.groupBy("w").count().where("count = 1").select("w")
-    met = left.join(rare, "w").join(right, "w").groupBy("l_id", "r_id").agg(F.first("l_text").alias("l_text"), F.first("r_text").alias("r_text"), F.count(F.lit(1)).alias("met")).where("met >= 5")
-    scored = met.withColumn("ratio", text.similarity("l_text", "r_text")).where("ratio >= 0.62")
-    return scored.groupBy("l_id").agg(F.max_by(F.struct("r_id", "ratio"), F.struct("ratio", "r_id")).alias("best")).select("l_id", "best.r_id", F.round("best.ratio", 6).alias("ratio"))
+    """Of each user's turn the answer of its conversation that is most like it; the tests hold it against all pairs."""
+    c = tables.parquet(spark, d, "conversations")
+    left = c.where("role = 'user'").select("conv_id", F.col("turn").alias("l_id"), F.col("text").alias("l_text"))
+    right = c.where("role <> 'user'").select("conv_id", F.col("turn").alias("r_id"), F.col("text").alias("r_text"))
+    return joins.fuzzy_best(left, right, "conv_id", 0.3).select("conv_id", "l_id", "r_id", F.round("ratio", 6).alias("ratio"))
 
 
 @query()

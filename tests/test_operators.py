@@ -95,9 +95,27 @@ def test_windows(spark):
 
 
 def test_cascade_uses_a_source_once(spark):
-    m = lambda rows: spark.createDataFrame(rows, "l_id int, r_id int, score double")
-    out = joins.cascade(m([(1, 10, 1.0)]), m([(2, 11, 0.8), (3, 11, 0.9)]), m([(1, 12, 0.9)]))
-    assert {(r.l_id, r.r_id) for r in out.collect()} == {(1, 10), (3, 11)}
+    m = lambda rows, side: spark.createDataFrame([(1, *r) for r in rows], f"paper int, {side}_id int, {side}_label string, {side}_text string")
+    left = m([(1, "1.a", "x"), (2, "1.b", "A text of some length"), (3, "1.c", "A text of some length here")], "l")
+    right = m([(10, "1.a", "whatever"), (11, "9.z", "A text of some length")], "r")
+    assert {tuple(r) for r in joins.match_cascade(left, right, "paper").select("l_id", "r_id", "kind").collect()} == {(1, 10, "exact"), (2, 11, "fuzzy")}
+
+
+def test_fuzzy_best_like_all_pairs(spark, small):
+    import difflib
+
+    c = spark.read.parquet(f"{small}/conversations.parquet").orderBy("conv_id", "turn").limit(60).collect()
+    rows = [(r.conv_id % 3, r.conv_id * 100 + r.turn, (r.text or "")[:90]) for r in c]
+    left, right = rows[::2], rows[1::2]
+    want = {}
+    for least in (0.3, 0.62):
+        for b, i, t in left:
+            scores = [(difflib.SequenceMatcher(None, " ".join(t.lower().split()), " ".join(u.lower().split())).ratio(), -j) for k, j, u in right if k == b and t.strip() and u.strip()]
+            if scores and max(scores)[0] >= least:
+                want[least, i] = (-max(scores)[1], round(max(scores)[0], 9))
+        got = joins.fuzzy_best(spark.createDataFrame(left, "b int, l_id int, l_text string"), spark.createDataFrame(right, "b int, r_id int, r_text string"), "b", least).collect()
+        assert {(least, r.l_id): (r.r_id, round(r.ratio, 9)) for r in got} == {k: v for k, v in want.items() if k[0] == least}
+    assert want
 
 
 def test_retry(spark):

@@ -15,11 +15,11 @@ probability of their weighted Jaccard similarity.
    only the components matter; again only spanning edges are emitted.
 4. A component is a class of near-duplicates, named by its least document id.
 
-Buckets and clusters of at most BLOCK classes are compared in one task.  Of a larger one every class is compared with PIVOTS
-others only, one from each of the largest components found so far, again for up to ROUNDS rounds or until the group is one component;
-what then still stands outside a group's largest component is compared with the whole group, in pairs of blocks.  So a family
-of any size takes rows in proportion to it, nothing is capped and no task gets a whole large group; only a large group
-that falls into large parts takes pairs of blocks.  A pair at the threshold shares no band with probability (1 - 0.8**4)**20 < 0.00003.
+A bucket or cluster of at most FEW blocks of BLOCK classes is compared in pairs of blocks.  A larger one is spanned block by block
+first; REPS classes of each part found, and all that stand alone, go on to the next level, until they fill one block or no longer
+get fewer.  What then still stands outside the largest component is compared with the whole group, in pairs of blocks.  So a family of
+any size takes rows in proportion to it, nothing is capped and no task gets a whole large group; only a large group that falls into large
+parts takes pairs of blocks.  A pair at the threshold shares no band with probability (1 - 0.8**4)**20 < 0.00003.
 
 Defined results: texts without words are all equal; a null text has no words; rows that repeat an id are each
 given their class; of rows that repeat the least id of their class those with the least hash of the text are kept, and of whole
@@ -47,7 +47,7 @@ BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 LOOSE = 0.6
 BLOCK, CLUSTER_BLOCK = 384, 128
-PIVOTS, ROUNDS = 4, 6
+FEW, REPS = 4, 4
 GROUP_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,21 +163,20 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 _EDGES = "a binary, b binary"
 
 
-def _span(alike, n: int) -> list[tuple[int, int]]:
-    """Edges that span the components of 0..n-1; alike(i, others) tells which others are like i."""
-    left, edges = np.arange(n), []
+def _parts(alike: Callable[[int, np.ndarray], np.ndarray], n: int) -> np.ndarray:
+    """Of each of 0..n-1 the first of its component; alike(i, others) tells which others are like i."""
+    first, left = np.arange(n), np.arange(n)
     while len(left):
-        queue = [int(left[0])]
-        left = left[1:]
+        head = int(left[0])
+        queue, left = [head], left[1:]
         while queue and len(left):
             i = queue.pop()
             hit = alike(i, left)
-            found = left[hit]
-            if len(found):
-                edges += [(i, int(j)) for j in found]
-                queue += found.tolist()
+            if hit.any():
+                first[left[hit]] = head
+                queue += left[hit].tolist()
                 left = left[~hit]
-    return edges
+    return first
 
 
 def _send(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -187,33 +186,63 @@ def _send(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 _LEAST = int(np.ceil(LOOSE * REGISTERS))
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out: list[tuple[bytes, bytes]] = []
-    for t in _groups(batches):
-        regs, cls = _matrix(t.column("registers")), t.column("cls").to_pylist()
-        out += [(cls[i], cls[j]) for i, j in _span(lambda i, left, regs=regs: (regs[left] == regs[i]).sum(1) >= _LEAST, len(cls))]
-        if len(out) > 50_000:
+def _by_registers(t: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+    regs = _matrix(t.column("registers"))
+    return lambda i, left: (regs[left] == regs[i]).sum(1) >= _LEAST
+
+
+def _by_elements(t: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+    regs = _matrix(t.column("registers"))
+    sets = [np.frombuffer(x, np.uint64) for x in t.column("elements").to_pylist()]
+    sizes = np.array([len(s) for s in sets])
+
+    def alike(i: int, left: np.ndarray) -> np.ndarray:
+        hit = np.zeros(len(left), bool)
+        ratio = np.minimum(sizes[left], sizes[i]) >= THRESHOLD * np.maximum(sizes[left], sizes[i])
+        maybe = np.flatnonzero(ratio & ((regs[left] == regs[i]).sum(1) >= _LEAST))
+        if len(maybe):
+            parts = [sets[left[k]] for k in maybe]
+            every = np.concatenate(parts)
+            at = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
+            common = np.add.reduceat(sets[i][at] == every, np.cumsum([0, *map(len, parts[:-1])]), dtype=np.int64)
+            hit[maybe] = common >= THRESHOLD * (sizes[left[maybe]] + sizes[i] - common) - 1e-9
+        return hit
+
+    return alike
+
+
+def _edges_of(alike: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Edges that span the components of each slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[bytes, bytes]] = []
+        for t in _groups(batches):
+            cls = t.column("cls").to_pylist()
+            out += [(cls[i], cls[j]) for i, j in enumerate(_parts(alike(t), len(cls)).tolist()) if i != j]
+            if len(out) > 50_000:
+                yield _send(out)
+                out = []
+        if out:
             yield _send(out)
-            out = []
-    if out:
-        yield _send(out)
 
+    return run
 
-def _candidate_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("registers", "p_registers"))
-        on = (x == y).sum(1) >= _LEAST
-        yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(on)) for c in ("cls", "p_cls")], ["a", "b"])
 
+def _spanned(alike: Callable, data: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """grp, cls and head (the first of its component in the slot) of each row, and data of those that go on to the next level."""
 
-def _link_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        on = []
-        for x, y in zip(b.column("elements").to_pylist(), b.column("p_elements").to_pylist(), strict=True):
-            one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(one, two, assume_unique=True)) if min(len(one), len(two)) >= THRESHOLD * max(len(one), len(two)) else 0
-            on.append(bool(common) and common >= THRESHOLD * (len(one) + len(two) - common) - 1e-9)
-        yield pa.RecordBatch.from_arrays([b.column(c).filter(pa.array(on, pa.bool_())) for c in ("cls", "p_cls")], ["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches):
+            part = _parts(alike(t), len(t))
+            order = np.argsort(part, kind="stable")
+            fresh = np.concatenate([[True], np.diff(part[order]) != 0])
+            on = np.zeros(len(part), bool)
+            on[order] = np.arange(len(part)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1] < REPS
+            cls = t.column("cls")
+            held = [pa.array([v if k else None for v, k in zip(t.column(c).to_pylist(), on.tolist(), strict=True)], pa.binary()) for c in data]
+            yield pa.RecordBatch.from_arrays([t.column("grp").combine_chunks(), cls.combine_chunks(), cls.take(pa.array(part)).combine_chunks(), pa.array(on), *held], ["grp", "cls", "head", "goes_on", *data])
+
+    return run
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,70 +258,44 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("root"), b.column("n"), b.column("cls"), b.column("registers"), pa.array(out, pa.binary())], ["grp", "n", "cls", "registers", "elements"])
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out: list[tuple[bytes, bytes]] = []
-    for t in _groups(batches):
-        regs, cls = _matrix(t.column("registers")), t.column("cls").to_pylist()
-        sets = [np.frombuffer(x, np.uint64) for x in t.column("elements").to_pylist()]
-        sizes = np.array([len(s) for s in sets])
-
-        def alike(i: int, left: np.ndarray, regs=regs, sets=sets, sizes=sizes) -> np.ndarray:
-            hit = np.zeros(len(left), bool)
-            ratio = np.minimum(sizes[left], sizes[i]) >= THRESHOLD * np.maximum(sizes[left], sizes[i])
-            maybe = np.flatnonzero(ratio & ((regs[left] == regs[i]).sum(1) >= _LEAST))
-            if len(maybe):
-                parts = [sets[left[k]] for k in maybe]
-                every = np.concatenate(parts)
-                at = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
-                common = np.add.reduceat(sets[i][at] == every, np.cumsum([0, *map(len, parts[:-1])]), dtype=np.int64)
-                hit[maybe] = common >= THRESHOLD * (sizes[left[maybe]] + sizes[i] - common) - 1e-9
-            return hit
-
-        out += [(cls[i], cls[j]) for i, j in _span(alike, len(cls))]
-        if len(out) > 50_000:
-            yield _send(out)
-            out = []
-    if out:
-        yield _send(out)
-
+def _linked(rows: DataFrame, block: int, data: list[str], alike: Callable, tag: str) -> DataFrame:
+    """rows: grp, n (the size of the group), cls and data.  -> edges (a, b) whose components are those of the groups' links; written."""
+    compare = _edges_of(alike)
 
-def _linked(rows: DataFrame, block: int, data: list[str], among: Callable, pairs: Callable, tag: str) -> DataFrame:
-    """rows: grp, n (the size of the group), cls and data.  -> edges (a, b) whose components are those of the groups' links; written.
+    def compared(slots: DataFrame) -> DataFrame:
+        return slots.select("slot", "cls", *data).repartition("slot").sortWithinPartitions("slot", "cls").mapInArrow(compare, _EDGES)
 
-    among compares all rows of a slot, pairs rows with p_ columns beside them."""
-    dealt = lambda df: df.select("slot", "cls", *data).repartition("slot").sortWithinPartitions("slot", "cls").mapInArrow(among, _EDGES)
-    small = dealt(rows.where(F.col("n") <= block).withColumn("slot", F.xxhash64("grp")))
-    edges = written(small.where("a != b").distinct(), tag)
-    big = written(rows.where(F.col("n") > block).select("grp", "cls", *data), f"{tag}_large")
+    few = rows.where(F.col("n") <= FEW * block).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    few = few.withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    few = few.where("blocks = 1 or other != block").withColumn("slot", F.xxhash64("grp", F.least("block", "other"), F.greatest("block", "other")))
+    edges = written(compared(few).distinct(), tag)
+    big = written(rows.where(F.col("n") > FEW * block).select("grp", "cls", *data), f"{tag}_large")
     if not big.take(1):
         return edges
-    for turn in range(ROUNDS + 1):
-        found = components(edges).toDF("cls", "comp") if edges.take(1) else edges.select(F.col("a").alias("cls"), F.col("b").alias("comp"))
-        known = written(big.select("grp", "cls").join(maybe_broadcast(found), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "known")
-        per = known.groupBy("grp", "comp").agg(F.min("cls").alias("p_cls"), F.count(F.lit(1)).alias("size"))
-        place = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("size"), "p_cls"))
-        tops = written(per.withColumn("place", place).where(F.col("place") <= PIVOTS), "tops")
-        opened = written(tops.where("place = 2").select("grp"), "open")
-        if not opened.take(1):
-            return edges
-        here = known.join(maybe_broadcast(opened), "grp", "left_semi")
-        if turn == ROUNDS:
+    kind = f"grp {big.schema['grp'].dataType.simpleString()}, cls binary, head binary, goes_on boolean, " + ", ".join(f"{c} binary" for c in data)
+    level, depth = big, 0
+    while True:
+        sizes = written(level.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        dealt = level.join(maybe_broadcast(sizes), "grp").withColumn("slot", F.xxhash64("grp", F.pmod(F.xxhash64("cls", F.lit(depth)), F.ceil(F.col("n") / block))))
+        dealt = dealt.select("slot", "grp", "cls", *data).repartition("slot").sortWithinPartitions("slot", "cls")
+        level = written(dealt.mapInArrow(_spanned(alike, data), kind), f"{tag}_level")
+        edges = edges.unionAll(level.where("cls != head").select(F.col("cls").alias("a"), F.col("head").alias("b")))
+        level, depth = level.where("goes_on").select("grp", "cls", *data), depth + 1
+        before, most, now = sizes.agg(F.sum("n"), F.max("n")).first()[0], sizes.agg(F.max("n")).first()[0], level.count()
+        if most <= block or now > 0.9 * before:
             break
-        pivots = tops.join(maybe_broadcast(opened), "grp", "left_semi").select("grp", F.col("comp").alias("p_comp"), "p_cls")
-        pivots = written(pivots.join(big.withColumnRenamed("cls", "p_cls").withColumnsRenamed({c: f"p_{c}" for c in data}), ["grp", "p_cls"]), "pivots")
-        met = here.join(maybe_broadcast(pivots), "grp").where("comp != p_comp").drop("p_comp", "comp").join(big, ["grp", "cls"])
-        new = met.select("cls", *data, "p_cls", *[f"p_{c}" for c in data]).mapInArrow(pairs, _EDGES)
-        edges = written(edges.unionAll(new).distinct(), tag)
-    main = tops.where("place = 1").select("grp", F.col("comp").alias("main"))
-    sizes = here.join(maybe_broadcast(main), "grp").groupBy("grp", "main").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("comp") != F.col("main")).alias("r"))
-    sizes = written(sizes.select("grp", "main", F.ceil(F.col("n") / block).alias("all"), F.ceil(F.col("r") / block).alias("rest")), "sizes")
-    here = here.join(maybe_broadcast(sizes), "grp")
+    edges = written(edges.distinct(), tag)
+    found = components(edges).toDF("cls", "comp") if edges.take(1) else edges.toDF("cls", "comp")
+    known = written(big.select("grp", "cls").join(maybe_broadcast(found), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), "known")
+    per = known.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("size")).groupBy("grp")
+    per = per.agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("n")).where(F.col("main.size") < F.col("n"))
+    sizes = written(per.select("grp", F.col("main.comp").alias("main"), F.ceil(F.col("n") / block).alias("all"), F.ceil((F.col("n") - F.col("main.size")) / block).alias("rest")), "sizes")
+    here = known.join(maybe_broadcast(sizes), "grp")
     spread = lambda c: F.pmod(F.xxhash64("cls"), F.col(c))
     every = here.withColumn("j", spread("all")).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest") - 1)))
     rest = here.where("comp != main").withColumn("i", spread("rest")).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)))
     slots = every.unionByName(rest).select("grp", "cls", F.xxhash64("grp", "i", "j").alias("slot")).distinct()
-    new = dealt(slots.join(big, ["grp", "cls"]))
-    return written(edges.unionAll(new.where("a != b")).distinct(), tag)
+    return written(edges.unionAll(compared(slots.join(big, ["grp", "cls"]))).distinct(), tag)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -304,14 +307,14 @@ def classes(docs: DataFrame) -> DataFrame:
     full = reps.select("cls", "registers", F.explode("bands").alias("band"))
     shared = written(full.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bands")
     dealt = full.join(maybe_broadcast(shared), "band").select(F.col("band").alias("grp"), "n", "cls", "registers")
-    edges = _linked(dealt, BLOCK, ["registers"], _candidates, _candidate_pairs, "candidates")
+    edges = _linked(dealt, BLOCK, ["registers"], _by_registers, "candidates")
     clusters = components(edges)
     sizes = written(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "clusters")
     member = clusters.join(maybe_broadcast(sizes), "root").withColumnRenamed("node", "cls")
     member = written(reps.select("cls", "registers", "rep").join(maybe_broadcast(written(member, "members")), "cls").select("root", "n", "cls", "registers", "rep.id", "rep.key"), "members")
     texts = rows.join(maybe_broadcast(member), ["id", "key"]).select("root", "n", "cls", "registers", "text")
     dealt = texts.mapInArrow(_elements, "grp binary, n long, cls binary, registers binary, elements binary")
-    links = _linked(dealt, CLUSTER_BLOCK, ["registers", "elements"], _links, _link_pairs, "links")
+    links = _linked(dealt, CLUSTER_BLOCK, ["registers", "elements"], _by_elements, "links")
     found = components(links).withColumnRenamed("node", "cls")
     joined = reps.where("size > 1").select("cls", "rep", "size").unionAll(reps.where("size = 1").join(maybe_broadcast(written(found.select("cls"), "linked")), "cls", "left_semi").select("cls", "rep", "size"))
     joined = written(joined.join(maybe_broadcast(found), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "joined")

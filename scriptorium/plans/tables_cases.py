@@ -403,3 +403,69 @@ def label_counts(spark, d):
     raw = F.concat(F.lit(" Q "), F.col("l_orderkey"), F.lit(" [ "), F.char(F.lit(96) + F.col("l_linenumber")), F.lit(" ]"))
     rows = tables.parquet(spark, d, "lineitem").groupBy("l_orderkey", raw.alias("raw")).agg(F.count(F.lit(1)).alias("n"))
     return rows.select(F.col("l_orderkey").alias("paper"), labels.canonical(labels.parts(F.col("raw"))).alias("id"), "n")
+
+
+@query("""WITH a AS (SELECT l_orderkey AS call, l_linenumber AS attempt, l_shipmode_ AS model, l_returnflag = 'R' AS failed FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 'lite' ELSE 'full' END AS l_shipmode_,
+  row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS k FROM lineitem) WHERE k = 1),
+  p AS (SELECT call, model, count(*) AS n, arg_max(failed, attempt) AS lost FROM a GROUP BY 1, 2) SELECT model, count(*) AS calls, count_if(n > 1) AS retried, CAST(sum(n) AS BIGINT) AS attempts, count_if(lost) AS lost FROM p GROUP BY 1""")
+def call_attempts(spark, d):
+    from pyspark.sql import Window
+
+    k = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice"))
+    rows = tables.parquet(spark, d, "lineitem").withColumn("k", k).where("k = 1")
+    rows = rows.select(F.col("l_orderkey").alias("call"), F.col("l_linenumber").alias("attempt"), F.when(F.col("l_orderkey") % 3 == 0, "lite").otherwise("full").alias("model"), (F.col("l_returnflag") == "R").alias("failed"))
+    return ledger.attempts(rows, "call", "model", "failed")
+
+
+@query("""WITH c AS (SELECT user_id, epoch_us(ts) // 1000000 AS s, epoch_us(ts) // 1000000 + 3600 * (1 + event_id % 40) AS e FROM events), x AS (SELECT user_id, s AS t, 1 AS step FROM c UNION ALL SELECT user_id, e, -1 FROM c),
+  p AS (SELECT user_id, t, sum(step) AS step FROM x GROUP BY 1, 2), l AS (SELECT user_id, sum(step) OVER (PARTITION BY user_id ORDER BY t) AS level FROM p),
+  g AS (SELECT user_id, s - lag(s) OVER (PARTITION BY user_id ORDER BY s) AS gap FROM c)
+  SELECT user_id, CAST(max(level) AS BIGINT) AS at_once, (SELECT min(gap) FROM g WHERE g.user_id = l.user_id) AS least_gap FROM l GROUP BY 1""")
+def calls_running(spark, d):
+    s = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    e = tables.parquet(spark, d, "events").select("user_id", s.alias("s"), (s + 3600 * (1 + F.col("event_id") % 40)).alias("e"))
+    return ledger.running(e, "user_id", "s", "e")
+
+
+@query("""SELECT c_custkey AS paper, CAST(c AS BIGINT) AS chunk, CAST(n AS BIGINT) AS blocks, CAST(n * (6 + length(CAST(c_custkey AS VARCHAR))) AS INTEGER) AS size FROM customer, (VALUES (0, 3), (1, 3), (2, 1)) x(c, n)""")
+def block_chunks(spark, d):
+    k = F.col("c_custkey").cast("string")
+    body = F.concat(F.lit("intro\n"), *[x for i in range(1, 8) for x in (F.lit(f"{i}. "), k, F.lit(" x\n"))])
+    texts = tables.parquet(spark, d, "customer").select(F.col("c_custkey").alias("paper"), body.alias("body"))
+    return tables.chunks(texts, "paper", "body", most=45, blocks=3).select("paper", "chunk", "blocks", F.char_length("text").alias("size"))
+
+
+@query("""SELECT c_custkey AS paper, i AS place, x.label, replace(x.body, '#', CAST(c_custkey AS VARCHAR)) AS body, x.warned, x.review AS needs_review, 'warning' AS status, '2' AS missing FROM customer, (VALUES
+  (0, '1.a', '1 Stem # 1(a) Find p', '', false), (1, '1.b', '1 Stem # 1(b) Find q, and 1(d) too', 'may also hold 1.d', true), (2, '1.c', '1(c) from the model', '', true), (3, '3', '3 Last', '', false)) x(i, label, body, warned, review)""")
+def paper_runs(spark, d):
+    from . import lifecycle
+
+    c = tables.parquet(spark, d, "customer").select(F.col("c_custkey").alias("paper"))
+    line = lambda k, x, y, t: F.struct(F.lit(k).cast("long").alias("line_no"), F.lit(float(x)).alias("x0"), F.lit(float(y)).alias("y0"), t.alias("line"))
+    shown = [F.concat(F.lit("1 Stem "), F.col("paper")), F.lit("(a) Find p"), F.lit("(b) Find q, and 1(d) too"), F.lit("3 Last")]
+    lines = c.select("paper", F.lit(0).alias("page"), F.explode(F.array(*[line(k, 50, 10 * k, t) for k, t in enumerate(shown)])).alias("x")).select("paper", "page", "x.*")
+    raw = c.select("paper", F.posexplode(F.array(*[F.lit(x) for x in ("1(a)", "1 (b)", "1(c)", "1(d)", "3", "1(a)")])).alias("pos", "value"))
+    answers = c.select("paper", F.explode(F.array(F.struct(F.lit(90).cast("long").alias("seq"), F.lit("1.c").alias("label"), F.lit("1(c) from the model").alias("body")), F.struct(F.lit(91).cast("long").alias("seq"), F.lit("8").alias("label"), F.lit("8 not expected").alias("body")))).alias("x")).select("paper", "x.*")
+    out = lifecycle.question_paper(lines, raw, answers)
+    rows = out.select("paper", "report", F.posexplode("questions").alias("place", "q"))
+    return rows.select("paper", "place", "q.label", "q.body", F.array_join("q.warnings", "|").alias("warned"), "q.needs_review", "report.status", F.array_join("report.missing", ",").alias("missing"))
+
+
+@query("""SELECT c_custkey AS table_id, i AS place, x.id, replace(x.answer, '#', CAST(c_custkey AS VARCHAR)) AS answer, x.marks AS total_marks, x.demand, x.steps, 'ok' AS status FROM customer, (VALUES
+  (0, '1.a', 'x = #', 1, 'LOW', 'B1'), (1, '1.b.i', 'first' || chr(10) || 'second', 3, 'HIGH', 'M2,A1'), (2, '2', 'last', 2, 'MEDIUM', '')) x(i, id, answer, marks, demand, steps)""")
+def scheme_runs(spark, d):
+    from . import lifecycle
+
+    c = tables.parquet(spark, d, "customer").select(F.col("c_custkey").alias("table_id"))
+    row = lambda k, *cells: F.struct(F.lit(k).alias("row_no"), F.array(*cells).alias("cells"))
+    t = F.lit
+    rows = [
+        row(0, t("Question"), t("Answer"), t("Marks"), t("Partial marks")),
+        row(1, t("1(a)"), F.concat(t("x = "), F.col("table_id")), t("1"), t("B1")),
+        row(2, t("1(b)(i)"), t("first"), t("M2"), t("")),
+        row(3, t(""), t("second"), t("A1"), t("")),
+        row(4, t("2"), t("last"), t("2"), t("")),
+    ]
+    out = lifecycle.marking_scheme(c.select("table_id", F.explode(F.array(*rows)).alias("x")).select("table_id", "x.*"))
+    found = out.select("table_id", "report.status", F.posexplode("questions").alias("place", "q"))
+    return found.select("table_id", "place", "q.id", "q.answer", "q.total_marks", "q.demand", F.array_join(F.transform("q.steps", lambda s: s["type"]), ",").alias("steps"), "status")

@@ -66,6 +66,17 @@ def table_cells(cells: DataFrame) -> DataFrame:
     return rows.where("__ok and not __head").drop("__head", "__ok")
 
 
+def chunks(texts: DataFrame, paper: str, body: str, most: int = 7500, blocks: int = 8) -> DataFrame:
+    """Numbered blocks of texts packed in order into chunks of at most so many characters and blocks (one longer block alone)."""
+    from ..functions import text
+    from ..operators import sequence
+
+    rows = texts.select(paper, F.posexplode(text.numbered_blocks(F.col(body))).alias("seq", "block")).withColumn("n", F.char_length("block").cast("long"))
+    packed = sequence.packed(rows, paper, ["seq"], "n", most, blocks)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "block"))), lambda x: x["block"]), "")
+    return packed.groupBy(paper, F.col("bin").alias("chunk")).agg(joined.alias("text"), F.count(F.lit(1)).alias("blocks"))
+
+
 def cache_key(payload: Column) -> Column:
     return F.sha2(payload, 256)
 

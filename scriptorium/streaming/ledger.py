@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,6 +27,22 @@ def latest(jobs: DataFrame, job: str, ts: str, status: str) -> DataFrame:
     return jobs.groupBy(job).agg(F.max(F.struct(ts, status)).alias("__last")).select(job, F.col(f"__last.{status}").alias(status), F.col(f"__last.{ts}").alias(ts))
 
 
+def attempts(ledger: DataFrame, call: str, model: str, failed: str) -> DataFrame:
+    """By model: calls, those that were tried again, attempts, and calls whose last attempt failed (rows: call, attempt, model, failed)."""
+    per = ledger.groupBy(call, model).agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("attempt", failed)).alias("last"))
+    return per.groupBy(model).agg(F.count(F.lit(1)).alias("calls"), F.count_if(F.col("n") > 1).alias("retried"), F.sum("n").alias("attempts"), F.count_if(F.col(f"last.{failed}")).alias("lost"))
+
+
+def running(ledger: DataFrame, group: str, start: str, end: str) -> DataFrame:
+    """By group: the most calls that ran at once, and the least gap between two starts; calls that end as others start do not overlap."""
+    steps = ledger.select(group, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("step")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("step")))).alias("x")).select(group, "x.*")
+    per = steps.groupBy(group, "at").agg(F.sum(F.when(F.col("step") > 0, 1).otherwise(0)).alias("begun"), F.sum("step").alias("step"))
+    w = Window.partitionBy(group).orderBy("at")
+    level = per.withColumn("level", F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    starts = ledger.select(group, F.col(start).alias("at")).withColumn("gap", F.col("at") - F.lag("at").over(w))
+    return level.groupBy(group).agg(F.max("level").alias("at_once")).join(starts.groupBy(group).agg(F.min("gap").alias("least_gap")), group)
+
+
 def run_once(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """All that is there now, appended to parquet files."""
     query = df.writeStream.format("parquet").option("path", path).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -58,6 +58,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_near_dedup": r"""
+            WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+            s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+            c AS (SELECT doc_id, md5(g) AS g, count(*) AS n FROM s GROUP BY 1, 2),
+            t AS (SELECT d.doc_id, coalesce(sum(n), 0) AS m FROM d LEFT JOIN c USING (doc_id) GROUP BY 1),
+            p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS o FROM c a JOIN c b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+            e AS (SELECT a, b FROM p JOIN t x ON x.doc_id = a JOIN t y ON y.doc_id = b WHERE o >= CAST(0.8 AS DOUBLE) * (x.m + y.m - o) - 1e-9
+                  UNION ALL SELECT x.doc_id, y.doc_id FROM t x JOIN t y ON x.m = 0 AND y.m = 0 AND x.doc_id < y.doc_id),
+            f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+            r AS (SELECT doc_id AS n, doc_id AS r FROM d UNION SELECT f.b, r.r FROM r JOIN f ON f.a = r.n),
+            k AS (SELECT n AS doc_id, min(r) AS class_id, count(*) AS class_size FROM r GROUP BY 1)
+            SELECT doc_id, class_id, class_size, doc_id = class_id AS kept FROM k""",
         "op3_byte_repeats": """
             WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
             s AS (SELECT doc_id, i, md5(substring(h, 2 * i - 1, 200)) AS k

@@ -220,7 +220,7 @@ def test_near_duplicates(odd, odd_rows, nothing):
     assert near_dedup.decisions(nothing).count() == 0 and near_dedup.keep_one(nothing).count() == 0
 
 
-def test_near_duplicates_in_blocks(spark):
+def test_near_duplicates_in_blocks(spark, monkeypatch):
     rng = random.Random(9)
     base = [f"w{k}" for k in range(200)]
     rows = []
@@ -231,12 +231,34 @@ def test_near_duplicates_in_blocks(spark):
         rows.append((i, " ".join(w)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     whole = {tuple(r) for r in near_dedup.decisions(df).select("doc_id", "class_id").collect()}
-    old = near_dedup.BLOCK, near_dedup.CLUSTER_BLOCK
-    near_dedup.BLOCK, near_dedup.CLUSTER_BLOCK = 7, 5
-    try:
-        assert {tuple(r) for r in near_dedup.decisions(df).select("doc_id", "class_id").collect()} == whole
-    finally:
-        near_dedup.BLOCK, near_dedup.CLUSTER_BLOCK = old
+    # small blocks and levels, and groups that fall into parts
+    for block, few in ((7, 100), (7, 1), (4, 1)):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "CLUSTER_BLOCK", block - 1)
+        monkeypatch.setattr(near_dedup, "FEW", few)
+        assert {tuple(r) for r in near_dedup.decisions(df).select("doc_id", "class_id").collect()} == whole, (block, few)
+
+
+def test_rows_of_a_large_family(spark, monkeypatch):
+    """Every class of a family reaches the comparison a few times, not once for each block of it."""
+    monkeypatch.setattr(near_dedup, "CLUSTER_BLOCK", 16)
+    n = 2000
+    registers = np.random.default_rng(1).integers(0, 1 << 16, near_dedup.REGISTERS, dtype=np.uint16)
+    rows = []
+    for k in range(n):
+        own = registers.copy()
+        own[k % 70] = k
+        rows.append((1, n, k.to_bytes(16, "big"), own.tobytes()))
+    df = spark.createDataFrame(rows, "grp long, n long, cls binary, registers binary")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(t):
+        seen.add(len(t))
+        return near_dedup._by_registers(t)
+
+    edges = near_dedup._linked(df, 16, ["registers"], counted, "family")
+    assert components(edges).select("root").distinct().count() == 1
+    assert seen.value < 3 * n
 
 
 def test_signatures_are_unbiased():

@@ -112,6 +112,45 @@ def test_quality(odd, odd_rows, labels, nothing):
     assert pu_quality.accepted(odd, labels).columns == odd.columns
 
 
+def test_class_prior_and_risk():
+    """The prior of a known mixture, and weights at which the non-negative risk's own gradient, taken by differences, is followed."""
+    rng = np.random.default_rng(4)
+    for prior in (0.2, 0.5, 0.8):
+        n = 4000
+        p, hidden = rng.normal(3, 1, n), rng.random(n) < prior
+        u = np.where(hidden, rng.normal(3, 1, n), rng.normal(-3, 1, n))
+        assert abs(pu_quality.class_prior(p, u) - prior) < 0.05
+        x = lambda v: np.stack([v, np.ones(len(v))], 1).astype(np.float32)
+        w = pu_quality._fit(x(p), x(u), prior, 300)
+        found = 1 / (1 + np.exp(-(x(u) @ w)))
+        assert ((found > 0.5) == hidden).mean() > 0.97
+
+    def risk(w, p, u, prior):
+        log = lambda z: np.logaddexp(0, z).mean()
+        negative = log(u @ w) - prior * log(p @ w)
+        return prior * log(-(p @ w)) + negative if negative >= 0 else -negative
+
+    p, u = (rng.normal(m, 1, (50, 3)).astype(np.float32) for m in (1, 0))
+    for prior in (0.3, 0.97):  # the second makes the negative part fall below zero
+        w, steps = np.array([0.1, -0.2, 0.3]), []
+        class Step:
+            def __init__(self, n, rate):
+                pass
+
+            def step(self, g):
+                steps.append(g.copy())
+                return np.zeros_like(g)
+
+        old, pu_quality._Adam = pu_quality._Adam, Step
+        zeros, pu_quality.np.zeros = pu_quality.np.zeros, lambda n, t=float: w.astype(t) if n == 3 else zeros(n, t)
+        try:
+            pu_quality._fit(p, u, prior, 1, l2=0.0)
+        finally:
+            pu_quality._Adam, pu_quality.np.zeros = old, zeros
+        want = [(risk(w + d, p, u, prior) - risk(w - d, p, u, prior)) / 2e-4 for d in np.eye(3) * 1e-4]
+        assert np.allclose(steps[0], want, atol=2e-3), prior
+
+
 def _area(y, s):
     order = np.argsort(s, kind="stable")
     rank = np.empty(len(s))
@@ -280,6 +319,41 @@ def test_chat_repair(spark):
         assert sum(r.cost for r in mine) + extra == want[conv]
 
 
+def test_chat_costs_of_every_sequence():
+    """Against all ways to keep, relabel, merge or put a turn in between, spelt out here."""
+    import itertools
+
+    follows = {None: "su", "s": "u", "u": "a", "a": "u"}
+    ids = {"s": 1, "u": 2, "a": 3, "?": None}
+
+    def cheapest(roles):
+        best = []
+        ways = [(to, way) for to in "sua" for way in ("plain", "merge", *"sua")]
+        for choice in itertools.product(ways, repeat=len(roles)):
+            last, cost = None, 0
+            for role, (to, way) in zip(roles, choice):
+                cost += 0 if role == to else 1 if role == "?" else 3
+                if way == "plain":
+                    ok = to in follows[last]
+                elif way == "merge":
+                    ok, cost = last == to, cost + 1
+                else:
+                    ok, cost = way in follows[last] and to in follows[way], cost + 2
+                if not ok:
+                    break
+                last = to
+            else:
+                best.append(cost + (0 if last in "ua" else 2))
+        return min(best)
+
+    for n in (1, 2, 3):
+        for roles in itertools.product("sua?", repeat=n):
+            numbers = [ids[r] for r in roles]
+            path = chat_roles.states([chat_roles.matrix(numbers)])
+            steps = chat_roles.repair(numbers, path[0], path[1])
+            assert sum(x.cost for x in steps) + (0 if path[1] in chat_roles.FINAL else chat_roles.INSERT) == cheapest(roles) == _cost(numbers), roles
+
+
 def test_chat_trees_and_full_chunks(spark, monkeypatch):
     """Long conversations by small chunks and fans, and many turns of one number, cost as much as in one chunk."""
     rng = random.Random(3)

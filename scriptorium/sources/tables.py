@@ -14,6 +14,11 @@ def parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Rows that are used again, computed once: a checkpoint in the folder of spark.checkpoint.dir, or where none is set a cached table."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+
+
 def requests(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines of requests; rows that can't be read keep their text in _corrupt_record."""
     return spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(path)

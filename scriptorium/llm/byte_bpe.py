@@ -7,12 +7,14 @@ Every operation costs the same however long the piece is (but for the heap in a
 first), so a pre-token of a megabyte costs O(n log n).
 
 Words repeat, so each worker remembers the ids of words and of pieces, up to CACHE_WORDS
-and twice CACHE_PIECES short ones (two generations: pieces in use move to the younger);
-memory is bounded by that and by one Arrow batch.  The vocabulary's bytes are read on the driver from a path that is a parameter and
+and twice CACHE_PIECES short ones (two generations: pieces in use move to the younger; some 200 bytes each; fewer where a
+caller says so); memory is bounded by that and by one Arrow batch.  The vocabulary's bytes are read on the driver from a path that is a parameter and
 broadcast once (under 1 MB a vocabulary); nothing is read from an executor's disk.
 
 Defined results: a null text is the empty text, which has no ids; every text decodes to its own UTF-8 bytes;
-strings that look like special tokens are ordinary text; an empty table gives an empty result.
+strings that look like special tokens are ordinary text; repeated rows are coded each; very long texts and pre-tokens are coded
+whole; an empty table gives an empty result; other columns pass through, whatever their names.  Texts are cut at single spaces before they are
+split, which is right for patterns whose pieces may begin with a space but hold none inside, and never look behind one.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS, CACHE_PIECES = 150_000, 200_000
+CACHE_WORDS, CACHE_PIECES = 150_000, 600_000
 CACHED_CHARS = 64
 
 
@@ -40,7 +42,8 @@ _NONE: dict[int, int] = {}
 class Coder:
     """Ids of texts by the ranks of one vocabulary, and back."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, pieces: int = CACHE_PIECES) -> None:
+        """pieces: as many are remembered, in each of two generations, and at most as many words."""
         import regex
 
         self.ranks, self.split = ranks, regex.compile(pattern)
@@ -63,7 +66,7 @@ class Coder:
         n_words = (len(self.names) >> 8) + 1
         self.buckets: dict[int, list[int]] = {}
         self.words, self.bits = [0] * n_words, [1 << i for i in range(max(256, n_words))]
-        self.packed = _Packed(self)
+        self.packed = _Packed(self, pieces)
 
     def merge(self, piece: bytes) -> list[int]:
         """The ids of one piece; push and pop of the queue are written out, as calls would take most of the time."""
@@ -138,9 +141,10 @@ class Coder:
 class _Packed(dict):
     """Packed ids by what follows a space at which a text was cut."""
 
-    def __init__(self, coder: Coder) -> None:
+    def __init__(self, coder: Coder, most: int) -> None:
         super().__init__()
-        self.coder, self.pieces, self.older = coder, {}, {}
+        self.coder, self.most, self.pieces, self.older = coder, most, {}, {}
+        self.most_words = min(CACHE_WORDS, most)
 
     def ids(self, text: str) -> bytes:
         """Of any text, by its pieces."""
@@ -153,7 +157,7 @@ class _Packed(dict):
                     ids = coder.merge(piece.encode())
                     packed = struct.pack(f"<{len(ids)}I", *ids)
                 if len(piece) <= CACHED_CHARS:
-                    if len(known) >= CACHE_PIECES:
+                    if len(known) >= self.most:
                         self.older, self.pieces = known, {}
                         known = self.pieces
                     known[piece] = packed
@@ -163,7 +167,7 @@ class _Packed(dict):
     def __missing__(self, part: str) -> bytes:
         packed = self.ids(" " + part)
         if len(part) <= CACHED_CHARS:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= self.most_words:
                 self.clear()
             self[part] = packed
         return packed
@@ -175,26 +179,27 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
 
 
 @functools.lru_cache(maxsize=1)
-def _coder(raw: bytes, pattern: str) -> Coder:
-    return Coder(read_ranks(raw), pattern)
+def _coder(raw: bytes, pattern: str, pieces: int) -> Coder:
+    return Coder(read_ranks(raw), pattern, pieces)
 
 
-def _shipped(df: DataFrame, vocabulary: str, pattern: str) -> Callable[[], Coder]:
+def _shipped(df: DataFrame, vocabulary: str, pattern: str, pieces: int = CACHE_PIECES) -> Callable[[], Coder]:
     """What gives a worker its coder, one for all its tasks."""
     with open(vocabulary, "rb") as f:  # the driver's; executors get the bytes
         sent = df.sparkSession.sparkContext.broadcast(f.read())
-    return lambda: _coder(sent.value, pattern)
+    return lambda: _coder(sent.value, pattern, pieces)
 
 
 def _texts(column: pa.Array) -> Iterator[str]:
     return (x.as_py() or "" for x in column)
 
 
-def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """df with its ids as array<int> in place of text_col."""
-    coder = _shipped(df, vocabulary, pattern)
+def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ids_col: str = "ids", pieces: int = CACHE_PIECES, decoded_col: str | None = None) -> DataFrame:
+    """df with its ids as array<int> in place of text_col; decoded_col gets the SHA-256 of the bytes that the ids decode to."""
+    coder = _shipped(df, vocabulary, pattern, pieces)
     others = [c for c in df.columns if c != text_col]
-    schema = T.StructType([df.schema[c] for c in others] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    more = [decoded_col] if decoded_col else []
+    schema = T.StructType([df.schema[c] for c in others] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))] + [T.StructField(c, T.StringType()) for c in more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder()
@@ -202,7 +207,8 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
             packed = [c.encode(t) for t in _texts(b.column(text_col))]
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in others), ids], [*others, ids_col])
+            sha = [pa.array([hashlib.sha256(c.decode(np.frombuffer(p, "<u4").tolist())).hexdigest() for p in packed], pa.string())] if more else []
+            yield pa.RecordBatch.from_arrays([*(b.column(x) for x in others), ids, *sha], [*others, ids_col, *more])
 
     return df.mapInArrow(run, schema)
 

@@ -28,10 +28,11 @@ SCHEMA = "kind int, bucket int, meta binary, data binary"
 _KIND = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("meta", pa.binary()), ("data", pa.binary())])
 #: Kinds of rows in the order in which a reducer reads them.
 KEYS, REPLIES, HELD, PLACES, STRINGS, RUNS, TEXTS = range(7)
-#: Bytes of text to a bucket, about.
-BUCKET_BYTES = 32 << 20
+#: Bytes of text to a bucket, about, until there are MOST buckets (at 4 TB); from there on buckets grow, as a row must hold many
+#: values to be worth its overhead.
+BUCKET_BYTES, MOST = 8 << 20, 1 << 19
 #: Buckets of a small table.
-LEAST = 48
+LEAST = 24
 #: Bytes of text that a task holds before it packs them.
 TEXT_FLUSH = 8 << 20
 #: A longer text is looked at in pieces of so many bytes.
@@ -131,8 +132,8 @@ def documents(docs: DataFrame) -> tuple[DataFrame, int]:
     ids = docs.select(ordered_id(F.col("doc_id")).alias("id"), F.octet_length(text).cast("long").alias("size"))
     found = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).agg(F.max("n").alias("n"), F.sum("size").alias("size")).first()
     key: Column = F.xxhash64(text) if (found["n"] or 0) > 1 else F.lit(0).cast("long")
-    buckets = max(LEAST, (found["size"] or 0) // BUCKET_BYTES)
-    return docs.select(ordered_id(F.col("doc_id")).alias("id"), key.alias("key"), text.alias("text")), int(min(buckets, 1 << 30))
+    buckets = max(LEAST, min(MOST, (found["size"] or 0) // BUCKET_BYTES))
+    return docs.select(ordered_id(F.col("doc_id")).alias("id"), key.alias("key"), text.alias("text")), buckets
 
 
 def packed_texts(rows: DataFrame, buckets: int) -> DataFrame:

@@ -9,12 +9,13 @@ of unlabelled and of positive texts above a threshold.  The second model minimis
 with the logistic loss; when the second part falls below zero, its gradient is followed upwards.
 
 A text's features are square roots of the shares of its bytes and of pairs of byte classes, and a few ratios
-of its words and lines; they are computed from the whole text.  The fit uses at most SAMPLE positives and SAMPLE
-unlabelled texts, picked by a hash of their ids, and only feature vectors reach the driver; scoring is one pass
+of its words and lines; they are computed from the whole text.  The fit uses at most about SAMPLE positives and SAMPLE
+unlabelled texts (both bounds are of the fit alone), picked by a hash of their ids, and only feature vectors reach the driver; scoring is one pass
 over the table without a shuffle.
 
 Defined results: a null text is the empty text and gets a score like any other; without positives every score
-is 0.5; rows that repeat an id are scored each; an empty table gives an empty result.
+is 0.5; a doc_id with several labels is a positive if one of them is; rows that repeat an id are scored each; equal texts have equal
+scores; very long texts are read whole; an empty table gives an empty result; other columns pass through accepted, whatever their names.
 """
 
 from __future__ import annotations
@@ -143,8 +144,8 @@ def held_out(doc_id: Column) -> Column:
 
 def _sampled(ids: DataFrame, n: int, most: int) -> DataFrame:
     """About most of n ids, by a hash."""
-    part = min(1.0, most / max(1, n))
-    return ids.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(part * 1_000_000))
+    share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(11)), 11).cast("double") / float(1 << 53)
+    return ids.where(share < min(1.0, most / max(1, n)))
 
 
 def _vectors(rows: DataFrame) -> np.ndarray:
@@ -152,7 +153,8 @@ def _vectors(rows: DataFrame) -> np.ndarray:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([features(t or "").tobytes() for t in b.column(0).to_pylist()], pa.binary())], ["x"])
 
-    found = rows.select("text").mapInArrow(run, "x binary").limit(2 * SAMPLE).collect()  # at most 2 * SAMPLE vectors of 2 KB
+    # at most 2 * SAMPLE vectors of 2 KB, the same in every run
+    found = rows.orderBy(F.xxhash64("doc_id", "text")).limit(2 * SAMPLE).select("text").mapInArrow(run, "x binary").collect()
     return np.array([np.frombuffer(r["x"], np.float32) for r in found]).reshape(-1, N_FEATURES)
 
 

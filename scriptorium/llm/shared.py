@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -21,14 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _own: list[str] = []
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder in spark.checkpoint.dir.  Only a local session, as in tests, may leave it unset and gets a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[[^,]*(,\s*\d+)?\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="scriptorium-"))
+            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
         found = _own[0]
     return found.rstrip("/")
 
@@ -37,10 +44,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what was written so far; only when no result that reads it is still to be used."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_size(df: DataFrame) -> Column:
     """About the bytes of a row: 16 a column, and what variable columns hold."""
     size = F.lit(16 * len(df.columns))

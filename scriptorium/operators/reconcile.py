@@ -10,10 +10,11 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import labels
 
@@ -132,30 +133,31 @@ def decided(rows: list[Row], expected: list[str]) -> list[Row]:
     return rows
 
 
-def by_paper(df: DataFrame, paper: str, order: list[str], run: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
-    """run on each paper's rows in order; a null paper is a paper.  One paper is held at a time."""
-
-    def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        current: object = None
-        for frame in frames:
-            keys = frame[paper].astype(object).where(frame[paper].notna(), None)
-            cuts = [0, *[k for k in range(1, len(keys)) if keys.iloc[k] != keys.iloc[k - 1]], len(keys)]
-            for a, z in zip(cuts[:-1], cuts[1:], strict=True):
-                if z > a:
-                    if held and keys.iloc[a] != current:
-                        yield run(pd.concat(held, ignore_index=True))
-                        held = []
-                    current = keys.iloc[a]
-                    held.append(frame.iloc[a:z])
-        if held:
-            yield run(pd.concat(held, ignore_index=True))
+SENT = 5000  # rows that are sent at once
 
-    return df.repartition(paper).sortWithinPartitions(paper, *order).mapInPandas(stream, schema)
 
+def by_paper(df: DataFrame, paper: str, order: list[str], run: Callable[[list[dict]], list[dict]], schema: T.StructType) -> DataFrame:
+    """run on each paper's rows in order; a null paper is a paper.  One paper is held at a time."""
+    kind = to_arrow_schema(schema)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        out: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0][paper] != row[paper]:
+                    out += run(held)
+                    held = []
+                    if len(out) >= SENT:
+                        yield pa.RecordBatch.from_pylist(out, schema=kind)
+                        out = []
+                held.append(row)
+        if held:
+            out += run(held)
+        if out:
+            yield pa.RecordBatch.from_pylist(out, schema=kind)
 
-def _list(value: object) -> list:
-    return [] if value is None else list(value)
+    return df.repartition(paper).sortWithinPartitions(paper, *order).mapInArrow(stream, schema)
 
 
 def reconciled(rows: DataFrame, expected: DataFrame) -> DataFrame:
@@ -169,11 +171,10 @@ def reconciled(rows: DataFrame, expected: DataFrame) -> DataFrame:
     joined = joined.withColumns({"rest": labels.remainder(F.col("body")), "span": F.trim(labels.span(F.col("body")))})
     schema = T.StructType([*held.schema.fields, T.StructField("rest", T.StringType()), T.StructField("span", T.StringType()), T.StructField("stem", T.StringType()), T.StructField("moved", T.BooleanType())])
 
-    def run(paper: pd.DataFrame) -> pd.DataFrame:
-        found = [Row(k, tuple(r.label.split(".")), r.rest or "", _list(r.urls), _list(r.warnings), bool(r.needs_review)) for k, r in enumerate(paper.itertuples())]
-        out = decided(found, list(paper["expected"].iloc[0]))
-        kept = paper.iloc[[r.at for r in out]].assign(label=[".".join(r.parts) for r in out], urls=[r.urls for r in out], warnings=[r.warnings for r in out], needs_review=[r.review for r in out], stem=[r.stem for r in out], moved=[r.moved for r in out])
-        return kept[schema.names]
+    def run(paper: list[dict]) -> list[dict]:
+        found = [Row(k, tuple(r["label"].split(".")), r["rest"] or "", r["urls"] or [], r["warnings"] or [], bool(r["needs_review"])) for k, r in enumerate(paper)]
+        out = decided(found, paper[0]["expected"])
+        return [paper[r.at] | {"label": ".".join(r.parts), "urls": r.urls, "warnings": r.warnings, "needs_review": r.review, "stem": r.stem, "moved": r.moved} for r in out]
 
     out = by_paper(joined, "paper", ["seq"], run, schema)
     visible = F.when(F.col("moved"), labels.shown(F.split("label", r"\."))).otherwise(F.col("span"))

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import coerce, keys, labels, text
 from ..operators import filters, joins, reconcile, sequence, skeleton
@@ -480,14 +481,12 @@ papers(
 
 
 def _shifted(rows: DataFrame) -> DataFrame:
-    import pandas as pd
+    def run(paper: list[dict]) -> list[dict]:
+        given = [{"label": r["label"], "text": r["body"], "marks": int(r["marks"]), "method": r["kind"] == "method", "answer": r["kind"] == "answer"} for r in paper]
+        return [{"paper": paper[0]["paper"], "label": r["label"], "body": r["text"], "marks": r["marks"]} for r in sequence.shifted_romans(given)]
 
-    def run(paper: pd.DataFrame) -> pd.DataFrame:
-        given = [{"label": r.label, "text": r.body, "marks": int(r.marks), "method": r.kind == "method", "answer": r.kind == "answer", "seq": r.seq} for r in paper.itertuples()]
-        out = sequence.shifted_romans(given)
-        return pd.DataFrame({"paper": paper["paper"].iloc[0], "label": [r["label"] for r in out], "body": [r["text"] for r in out], "marks": [r["marks"] for r in out]})
-
-    return reconcile.by_paper(rows, "paper", ["seq"], run, "paper long, label string, body string, marks int")
+    schema = T.StructType([T.StructField("paper", T.LongType()), T.StructField("label", T.StringType()), T.StructField("body", T.StringType()), T.StructField("marks", T.IntegerType())])
+    return reconcile.by_paper(rows, "paper", ["seq"], run, schema)
 
 
 papers(

@@ -216,9 +216,9 @@ def expected_missing(spark, d):
     return o.join(gone, "o_orderkey", "left_semi").select("o_orderkey", "o_orderstatus", F.lit(1).cast("long").alias("rows"))
 
 
-@query("""SELECT conv_id, turn, CAST(floor((row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1) / 10) AS BIGINT) AS batch, role FROM conversations""")
+@query("""SELECT o_custkey, o_orderkey, CAST(floor((row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) / 10) AS BIGINT) AS batch FROM orders""")
 def fixed_batches(spark, d):
-    return sets.batches(tables.parquet(spark, d, "conversations"), "role", ["conv_id", "turn"], 10).select("conv_id", "turn", "batch", "role")
+    return sets.batches(tables.parquet(spark, d, "orders"), "o_custkey", ["o_orderkey"], 10).select("o_custkey", "o_orderkey", "batch")
 
 
 @query("""SELECT page_id, lower(regexp_replace(regexp_replace(url, '^https?://', ''), '[/:?#].*$', '')) AS host, sha256(html) AS cache_key FROM pages""")
@@ -286,19 +286,19 @@ def duplicate_guard(spark, d):
     return sequence.ordered_pass(rows, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"], "label", sequence.DuplicateGuard)
 
 
-@query("""WITH RECURSIVE s AS (SELECT source, doc_id, length(text) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents),
-  b AS (SELECT source, doc_id, n, k, 0::BIGINT AS bin, n AS total, 1 AS held FROM s WHERE k = 1 UNION ALL
-  SELECT s.source, s.doc_id, s.n, s.k, CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN b.bin + 1 ELSE b.bin END, CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN s.n ELSE b.total + s.n END,
-  CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN 1 ELSE b.held + 1 END FROM b JOIN s ON s.source = b.source AND s.k = b.k + 1) SELECT source, doc_id, bin FROM b""")
+@query("""WITH RECURSIVE s AS (SELECT o_custkey, o_orderkey, CAST(floor(o_totalprice / 50) AS BIGINT) AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+  b AS (SELECT o_custkey, o_orderkey, n, k, 0::BIGINT AS bin, n AS total, 1 AS held FROM s WHERE k = 1 UNION ALL
+  SELECT s.o_custkey, s.o_orderkey, s.n, s.k, CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN b.bin + 1 ELSE b.bin END, CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN s.n ELSE b.total + s.n END,
+  CASE WHEN b.total + s.n > 7500 OR b.held >= 8 THEN 1 ELSE b.held + 1 END FROM b JOIN s ON s.o_custkey = b.o_custkey AND s.k = b.k + 1) SELECT o_custkey, o_orderkey, bin FROM b""")
 def batch_pack(spark, d):
-    docs = tables.parquet(spark, d, "documents").select("source", "doc_id", F.char_length("text").cast("long").alias("n"))
-    return sequence.packed(docs, "source", ["doc_id"], "n", 7500, 8).select("source", "doc_id", "bin")
+    rows = tables.parquet(spark, d, "orders").select("o_custkey", "o_orderkey", F.floor(F.col("o_totalprice") / 50).cast("long").alias("n"))
+    return sequence.packed(rows, "o_custkey", ["o_orderkey"], "n", 7500, 8).select("o_custkey", "o_orderkey", "bin")
 
 
-@query("""SELECT source, to_json({'questions': list({'doc_id': CAST(doc_id AS VARCHAR), 'lang': coalesce(lang, 'N/A')} ORDER BY doc_id)}) AS document FROM documents GROUP BY 1""")
+@query("""SELECT conv_id, to_json({'questions': list({'turn': CAST(turn AS VARCHAR), 'role': coalesce(role, 'N/A')} ORDER BY turn)}) AS document FROM conversations GROUP BY 1""")
 def nested_output(spark, d):
-    docs = tables.parquet(spark, d, "documents").select("source", "doc_id", "lang").withColumn("seq", F.col("doc_id"))
-    return tables.nested(docs, "source", "seq", ["doc_id", "lang"])
+    turns = tables.parquet(spark, d, "conversations").select("conv_id", "turn", "role").withColumn("seq", F.col("turn"))
+    return tables.nested(turns, "conv_id", "seq", ["turn", "role"])
 
 
 @query("""SELECT event_id, CAST(len(regexp_extract_all(props, '[0-9]+')) AS INTEGER) AS numbers, CASE WHEN value <= 1 THEN 'LOW' WHEN value = 2 THEN 'MEDIUM' WHEN value IS NULL THEN 'MEDIUM' ELSE 'HIGH' END AS demand FROM events""")

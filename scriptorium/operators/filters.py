@@ -129,6 +129,19 @@ def accepted_rescues(rescued: DataFrame, missing: DataFrame, rows: DataFrame, de
     return found.withColumns({"urls": F.array().cast("array<string>"), "warnings": said, "needs_review": F.lit(True)})
 
 
+def repaired_rows(rows: DataFrame, proposals: DataFrame, least: float) -> DataFrame:
+    """rows (row_id, parent, label, body) with the first accepted proposal (row_id, page_order, attempt, score, second_score, text) whose text is
+    valid, else with the longest sibling's text in front of their own; source tells which: model, sibling or none."""
+    from . import joins
+
+    best = accepted_scores(proposals.where(valid_repair(F.col("text"))), least).select("row_id", F.col("text").alias("__text"))
+    out = joins.siblings(rows, "row_id", "parent", "body").join(best, "row_id", "left")
+    said = F.trim(F.coalesce("sibling_text", F.lit(""))) != ""
+    beside = F.concat_ws(" ", labels.remainder(F.col("sibling_text")), F.col("body"))
+    source = F.when(F.col("__text").isNotNull(), "model").when(said, "sibling").otherwise("none")
+    return out.withColumns({"source": source, "body": F.coalesce("__text", F.when(said, beside), F.col("body"))}).select("row_id", "label", "body", "source")
+
+
 def accepted_scores(proposals: DataFrame, least: float) -> DataFrame:
     """The first accepted proposal of each row: a second score stands in for a low first one."""
     from pyspark.sql import Window

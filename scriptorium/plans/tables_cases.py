@@ -469,3 +469,38 @@ def scheme_runs(spark, d):
     out = lifecycle.marking_scheme(c.select("table_id", F.explode(F.array(*rows)).alias("x")).select("table_id", "x.*"))
     found = out.select("table_id", "report.status", F.posexplode("questions").alias("place", "q"))
     return found.select("table_id", "place", "q.id", "q.answer", "q.total_marks", "q.demand", F.array_join(F.transform("q.steps", lambda s: s["type"]), ",").alias("steps"), "status")
+
+
+@query("""SELECT c_custkey AS page, '7(a)' AS question_number, CAST(5 AS DOUBLE) AS y0, CAST(20 + c_custkey % 40 AS DOUBLE) AS y1 FROM customer WHERE c_custkey % 4 <> 3
+  UNION ALL SELECT c_custkey, '8', CAST(60 AS DOUBLE), CAST(95 AS DOUBLE) FROM customer WHERE c_custkey % 4 <> 3""")
+def regions_read(spark, d):
+    k = F.col("c_custkey")
+    entry = lambda n, a, b: F.concat(F.lit(f'{{"question_number": {n}, "y_start_pct": {a}, "y_end_pct": '), b.cast("string"), F.lit("}"))
+    items = F.concat_ws(", ", entry('" 7(a) "', 2, 20 + k % 40), entry("8", 60, F.lit(99)), entry('"9"', 50, F.lit(40)), entry('"9"', 50, F.lit(52)), entry('""', 20, F.lit(40)), entry("null", 20, F.lit(40)), entry('"9"', -1, F.lit(40)), entry('"9"', 6, F.lit(90)), F.lit('"text"'))
+    listed = F.concat(F.lit("["), items, F.lit("]"))
+    body = F.when(k % 4 == 0, listed).when(k % 4 == 1, F.concat(F.lit('{"items": '), listed, F.lit("}"))).when(k % 4 == 2, F.concat(F.lit("```json\n"), listed, F.lit("\n```"))).otherwise(F.lit("sorry"))
+    return tables.vision_regions(tables.parquet(spark, d, "customer").select(k.alias("page"), body.alias("body")), ["page"], "body")
+
+
+@query("""SELECT c_custkey AS paper, CASE WHEN c_custkey % 3 = 0 THEN c_name END AS subject_name, CASE WHEN c_custkey % 3 < 2 THEN 'HL' END AS level, NULL AS paper_number, NULL AS timezone, CASE WHEN c_custkey % 3 = 0 THEN 'May' END AS session,
+  CASE WHEN c_custkey % 3 < 2 THEN '2023' END AS year, NULL AS document_type FROM customer""")
+def first_pages(spark, d):
+    k = F.col("c_custkey") % 3
+    full = F.concat(F.lit('{"subject_name": "'), F.col("c_name"), F.lit('", "level": " HL ", "paper_number": null, "timezone": "N/A", "session": "May", "year": 2023}'))
+    body = F.when(k == 0, full).when(k == 1, F.lit('```json\n{"level": "HL", "year": "2023", "subject_name": ""}\n```')).otherwise(F.lit("no answer"))
+    return tables.page_metadata(tables.parquet(spark, d, "customer").select(F.col("c_custkey").alias("paper"), body.alias("body")), ["paper"], "body")
+
+
+@query("""SELECT c_custkey AS row_id, '7(a)' AS label, CASE WHEN c_custkey % 4 = 0 THEN '7(a) Second try ' || c_custkey WHEN c_custkey % 4 = 1 THEN '7(a) First try ' || c_custkey ELSE 'Stem ' || c_nationkey || repeat('x', 40) || ' 7(a) own' END AS body,
+  CASE WHEN c_custkey % 4 < 2 THEN 'model' ELSE 'sibling' END AS source FROM customer""")
+def rows_repaired(spark, d):
+    c = tables.parquet(spark, d, "customer")
+    rows = c.select(F.col("c_custkey").alias("row_id"), F.col("c_nationkey").alias("parent"), F.lit("7(a)").alias("label"), F.lit("7(a) own").alias("body"))
+    stems = c.select("c_nationkey").distinct().select((-F.col("c_nationkey") - 1).alias("row_id"), F.col("c_nationkey").alias("parent"), F.lit("7").alias("label"), F.concat(F.lit("7 Stem "), F.col("c_nationkey"), F.repeat(F.lit("x"), F.lit(40))).alias("body"))
+    try_ = lambda n, score, second, body: F.struct(F.lit(1).alias("page_order"), F.lit(n).alias("attempt"), score.alias("score"), F.lit(second).cast("double").alias("second_score"), body.alias("text"))
+    k = F.col("c_custkey")
+    first = try_(1, F.when(k % 4 == 1, 0.95).otherwise(0.5), None, F.concat(F.lit("7(a) First try "), k))
+    second = try_(2, F.when(k % 4 == 0, 0.8).otherwise(0.2), None, F.concat(F.lit("7(a) Second try "), k))
+    blank = try_(0, F.lit(0.99), None, F.lit("7(a) Blank page"))
+    proposals = c.select(k.alias("row_id"), F.explode(F.array(blank, first, second)).alias("x")).select("row_id", "x.*")
+    return filters.repaired_rows(rows.unionByName(stems), proposals, 0.7).where("row_id > 0 or label = '7(a)'").select("row_id", "label", "body", "source")

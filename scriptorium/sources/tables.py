@@ -57,6 +57,36 @@ def model_rows(raw: DataFrame, keys: list[str], body: str, schema: str) -> DataF
     return good.unionByName(bad, allowMissingColumns=True)
 
 
+#: Keys under which a model may put its list of regions, the zone that is cut off, and the heights that are kept.
+REGION_KEYS, REGION_EDGE, REGION_HEIGHTS = ("diagrams", "coordinates", "vision_results", "items"), 5.0, (5.0, 65.0)
+
+
+def vision_regions(raw: DataFrame, keys: list[str], body: str) -> DataFrame:
+    """Regions (keys, question_number, y0, y1) of model answers: a JSON list, or an object with one; entries without a number or
+    with bounds that are no percents go, others are clamped to the page's inside and kept if neither thin nor nearly the page."""
+    items = "array<string>"
+    text = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(body, F.lit("")), r"^\s*```[a-z]*\n?", ""), r"```\s*$", ""))
+    held = F.from_json(text, "struct<" + ", ".join(f"{k}: {items}" for k in REGION_KEYS) + ">")
+    listed = F.coalesce(F.when(text.startswith("["), F.from_json(text, items)), *[held[k] for k in REGION_KEYS])
+    entry = F.from_json("entry", "question_number string, y_start_pct string, y_end_pct string")
+    rows = raw.select(*keys, F.explode(listed).alias("entry")).select(*keys, entry.alias("e"))
+    y = lambda f: F.col(f"e.{f}").try_cast("double")
+    rows = rows.select(*keys, F.trim("e.question_number").alias("question_number"), y("y_start_pct").alias("a"), y("y_end_pct").alias("b"))
+    rows = rows.where("question_number <> '' and a < b and a >= 0 and b <= 100")
+    rows = rows.select(*keys, "question_number", F.greatest("a", F.lit(REGION_EDGE)).alias("y0"), F.least("b", F.lit(100 - REGION_EDGE)).alias("y1"))
+    return rows.where((F.col("y1") - F.col("y0")).between(*REGION_HEIGHTS))
+
+
+#: What the first page of the second board's papers tells.
+PAGE_FIELDS = ("subject_name", "level", "paper_number", "timezone", "session", "year", "document_type")
+
+
+def page_metadata(raw: DataFrame, keys: list[str], body: str) -> DataFrame:
+    """The fields of a JSON answer on a first page; blank ones, and all of an unreadable answer, are null."""
+    found = coerce.parsed_json(F.col(body), ", ".join(f"{f} string" for f in PAGE_FIELDS))
+    return raw.select(*keys, found.alias("m")).select(*keys, *[coerce.nullif_blank(F.trim(F.col(f"m.{f}"))).alias(f) for f in PAGE_FIELDS])
+
+
 def table_cells(cells: DataFrame) -> DataFrame:
     """Rows (table_id, row_no, cells) folded to question, answer, marks, partial; tables without that header go."""
     c = F.filter(F.col("cells"), lambda x: x.isNotNull())

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import coerce, labels, text
 
@@ -107,6 +110,26 @@ def contaminated_tail(t: Column) -> Column:
     return F.substring(t, 1, 260).rlike(r"(?i)\[\d{1,2}\]|\.{6,}|\b(?:find|calculate|show that|write down|work out|solve|explain)\b")
 
 
+#: The least width, height and variance of a crop, what is white, how many of so many sampled pixels a side are not.
+CROP_SIZE, CROP_VARIANCE, WHITE, CROP_GRID, CROP_PIXELS = (60, 40), 18.0, 245, 80, 35
+
+
+@F.pandas_udf(T.BooleanType())
+def crop_has_content(pixels: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
+    """Whether a crop of grey pixels, a byte each, is large and varied enough; one that can't be read passes."""
+
+    def one(raw: bytes | None, w: int, h: int) -> bool:
+        if raw is None or w * h != len(raw) or not raw:
+            return True
+        grey = np.frombuffer(raw, np.uint8).reshape(int(h), int(w))
+        if w < CROP_SIZE[0] or h < CROP_SIZE[1] or grey.var() < CROP_VARIANCE:
+            return False
+        at = lambda n: np.arange(CROP_GRID) * int(n) // CROP_GRID
+        return int((grey[np.ix_(at(h), at(w))] < WHITE).sum()) >= CROP_PIXELS
+
+    return pd.Series([one(p, w, h) for p, w, h in zip(pixels, width, height, strict=True)])
+
+
 def covered_area(cells: DataFrame, drawings: DataFrame, least: float = 800.0, thin: float = 6.0) -> DataFrame:
     """Cells (page, cell, x0, y0, x1, y1) with the area of drawings (page, x0, y0, x1, y1) inside them, if over least."""
     d = drawings.where((F.col("x1") - F.col("x0") >= thin) & (F.col("y1") - F.col("y0") >= thin)).toDF(*[c if c == "page" else f"d_{c}" for c in drawings.columns])

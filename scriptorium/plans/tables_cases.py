@@ -504,3 +504,14 @@ def rows_repaired(spark, d):
     blank = try_(0, F.lit(0.99), None, F.lit("7(a) Blank page"))
     proposals = c.select(k.alias("row_id"), F.explode(F.array(blank, first, second)).alias("x")).select("row_id", "x.*")
     return filters.repaired_rows(rows.unionByName(stems), proposals, 0.7).where("row_id > 0 or label = '7(a)'").select("row_id", "label", "body", "source")
+
+
+@query("SELECT c_custkey AS crop, c_custkey % 7 = 0 OR (c_custkey % 5 <> 0 AND c_custkey % 3 = 2) AS content FROM customer")
+def crop_contents(spark, d):
+    k = F.col("c_custkey")
+    width = F.when(k % 5 == 0, 59).otherwise(80)
+    black = F.when(k % 3 == 2, 400).when(k % 3 == 1, 10).otherwise(0)
+    pixels = F.unhex(F.concat(F.expr("repeat('00', black)"), F.expr("repeat('FF', width * 50 - black)")))
+    c = tables.parquet(spark, d, "customer").select(k.alias("crop"), width.alias("width"), black.alias("black")).withColumn("pixels", pixels)
+    c = c.withColumn("pixels", F.when(F.col("crop") % 7 == 0, F.lit(None)).otherwise(F.col("pixels")))
+    return c.select("crop", filters.crop_has_content("pixels", "width", F.lit(50)).alias("content"))

@@ -36,14 +36,16 @@ def _filled(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.withColumns({c: F.replace(c, F.lit("{k}"), F.col("k").cast("string")) for c in columns})
 
 
-def scalar(name: str, inputs: dict[tuple[Cell, ...], tuple[Cell, ...]], out: list[str], make: Callable[..., list[Column]]) -> None:
-    """Each input (a, b, ..) with what make(a, b, ..) must give, as strings."""
+def scalar(name: str, inputs: dict[tuple[Cell, ...], tuple[Cell, ...]], out: list[str], make: Callable[..., list[Column]], first: Callable[[Column], Column] | None = None) -> None:
+    """Each input (a, b, ..) with what make(a, b, ..) must give, as strings; make gets first(a) in place of a."""
     width = len(next(iter(inputs)))
     given = [chr(97 + i) for i in range(width)]
 
     def run(spark: SparkSession, d: str) -> DataFrame:
         rows = spark.createDataFrame([(i, *x) for i, x in enumerate(inputs)], "case_no int, " + ", ".join(f"{c} string" for c in given))
         rows = _filled(_customers(spark, d, len(inputs)).join(F.broadcast(rows), "case_no"), given)  # a row for each case
+        if first:
+            rows = rows.withColumn("a", first(F.col("a")))
         found = make(*map(F.col, given))
         return rows.select("k", *[c.cast("string").alias(o) for o, c in zip(out, found, strict=True)])
 
@@ -83,14 +85,15 @@ scalar(
         ("nothing {k}",): (None, "", "1", "true", "", ""),
     },
     ["parent", "subparts", "depth", "orphan", "above", "kinds"],
-    lambda a: [
-        labels.metadata(_P(a))["parent"],
-        _joined(labels.metadata(_P(a))["subparts"]),
-        labels.metadata(_P(a))["depth"],
-        labels.metadata(_P(a))["is_orphaned"],
-        labels.immediate_parent(_P(a)),
-        F.array_join(F.transform(labels.metadata(_P(a))["subparts"], lambda x: F.concat_ws(":", x, labels.is_roman(x).cast("string"), labels.is_letter(x).cast("string"))), ","),
+    lambda p: [
+        labels.metadata(p)["parent"],
+        _joined(labels.metadata(p)["subparts"]),
+        labels.metadata(p)["depth"],
+        labels.metadata(p)["is_orphaned"],
+        labels.immediate_parent(p),
+        F.array_join(F.transform(labels.metadata(p)["subparts"], lambda x: F.concat_ws(":", x, labels.is_roman(x).cast("string"), labels.is_letter(x).cast("string"))), ","),
     ],
+    first=labels.parts,
 )
 
 scalar(

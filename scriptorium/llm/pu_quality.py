@@ -151,10 +151,11 @@ def _sampled(ids: DataFrame, n: int, most: int) -> DataFrame:
 def _vectors(rows: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([features(t or "").tobytes() for t in b.column(0).to_pylist()], pa.binary())], ["x"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([features(t or "").tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["place", "x"])
 
+    placed = rows.select(F.xxhash64("doc_id", "text").alias("place"), "text").mapInArrow(run, "place long, x binary")
     # at most 2 * SAMPLE vectors of 2 KB, the same in every run
-    found = rows.orderBy(F.xxhash64("doc_id", "text")).limit(2 * SAMPLE).select("text").mapInArrow(run, "x binary").collect()
+    found = placed.orderBy("place", "x").limit(2 * SAMPLE).collect()
     return np.array([np.frombuffer(r["x"], np.float32) for r in found]).reshape(-1, N_FEATURES)
 
 

@@ -225,7 +225,8 @@ def train_weights(toxic: list[str], clean: list[str], epochs: int = 4, rate: flo
     if not toxic or not clean:
         return Field(np.zeros(SLOTS), np.array([[0.0, -30.0], [0.0, -30.0]]), -30.0)
     rng = np.random.default_rng(seed)
-    bad, good = [t.split() for t in toxic], [t.split() for t in clean]
+    pool: dict[str, str] = {}  # one object for a word, however often it occurs
+    bad, good = ([[pool.setdefault(w, w) for w in t.split()] for t in texts] for texts in (toxic, clean))
     marks = _labelled(bad, good)
     # words by number; their features, filled up with a slot that stays at 0
     number: dict[str, int] = {}

@@ -232,7 +232,7 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     whole = {tuple(r) for r in near_dedup.decisions(df).select("doc_id", "class_id").collect()}
     # small blocks and levels, and groups that fall into parts
-    for block, few in ((7, 100), (7, 1), (4, 1)):
+    for block, few in ((7, 100), (4, 1)):
         monkeypatch.setattr(near_dedup, "BLOCK", block)
         monkeypatch.setattr(near_dedup, "CLUSTER_BLOCK", block - 1)
         monkeypatch.setattr(near_dedup, "FEW", few)

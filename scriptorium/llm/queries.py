@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, byte_repeats, chat_roles, crf_toxicity, exact_dedup, mixing, near_dedup, pu_quality, spot_signatures, word_windows
+from . import byte_bpe, byte_repeats, chat_roles, crf_toxicity, exact_dedup, filter_audit, mixing, near_dedup, pu_quality, source_divergence, spot_signatures, word_windows
 from .shared import table
 
 
@@ -52,8 +52,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op5_chat_roles, op6_spot_signatures, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op5_chat_roles, op6_spot_signatures, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing, op12_source_divergence, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -102,4 +110,44 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                    doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
             FROM d WINDOW g AS (PARTITION BY t)""",
+        "op12_source_divergence": r"""
+            WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+            g AS (SELECT DISTINCT lang, source FROM d),
+            o AS (SELECT lang, source, i, unnest(w) AS term FROM d),
+            k AS (SELECT lang, term, count(*) AS n_lang FROM o GROUP BY 1, 2 HAVING count(DISTINCT i) >= 10),
+            c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY 1, 2, 3),
+            l AS (SELECT lang, count(*) AS v, sum(n_lang) AS total FROM k GROUP BY 1),
+            e AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, n_lang FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+            s AS (SELECT lang, source, sum(n) AS total FROM e GROUP BY 1, 2),
+            x AS (SELECT e.lang, e.source, term, n, CAST(1 + 1000000000 * (n + 2) // (s.total + 2 * v) AS HUGEINT) AS p,
+                         CAST(1 + 1000000000 * (n_lang + 2) // (l.total + 2 * v) AS HUGEINT) AS q
+                  FROM e JOIN s USING (lang, source) JOIN l ON l.lang = e.lang),
+            f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                  FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source GROUP BY 1, 2, 3),
+            r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source != b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+                  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM x WHERE n > 0 AND p > q),
+            z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+            SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM z WHERE part = 'pair' OR rank <= 10""",
+        "op13_filter_audit": r"""
+            WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+            m AS (SELECT doc_id, part, concat(
+                         CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+                         CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' END, CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+                         CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END) AS f FROM d),
+            y AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY 1),
+            c AS (SELECT part, f, count(*) AS n, count_if(coalesce(good, false)) AS good, count_if(coalesce(toxic, false)) AS toxic FROM m LEFT JOIN y USING (doc_id) GROUP BY 1, 2),
+            l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+            o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a JOIN l b ON a.x != b.x JOIN l c ON c.x NOT IN (a.x, b.x)
+                  JOIN l d ON d.x NOT IN (a.x, b.x, c.x) JOIN l e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+            s AS (SELECT filter_order, step, filter_order[step] AS own, list_transform(range(1, step), lambda i: filter_order[i]) AS gone FROM o, range(1, 6) r(step)),
+            h AS (SELECT part, filter_order, step, own, f, n, good, toxic, contains(f, own) AS fails, list_has_any(gone, string_split(f, '')) AS gone FROM c, s),
+            r AS (SELECT part, filter_order, step, own, sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept, sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS removed,
+                         sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS redundant, sum(CASE WHEN f = own THEN n ELSE 0 END) AS unique_fails,
+                         sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END) AS toxic_lost
+                  FROM h GROUP BY 1, 2, 3, 4)
+            SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+                   CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+                   CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r""",
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, byte_repeats, chat_roles, crf_toxicity, exact_dedup, filter_audit, mixing, near_dedup, pu_quality, source_divergence, spot_signatures, word_windows
+from . import byte_bpe, byte_repeats, chat_roles, crf_toxicity, exact_dedup, filter_audit, mixing, near_dedup, pu_quality, sentence_pieces, source_divergence, spot_signatures, word_windows
 from .shared import table
 
 
@@ -52,6 +52,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sentence_pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -61,7 +67,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_dedup, op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op5_chat_roles, op6_spot_signatures, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing, op12_source_divergence, op13_filter_audit)}
+    return {f.__name__: f for f in (op1_near_dedup, op2_pu_quality, op3_byte_repeats, op4_crf_toxicity, op5_chat_roles, op6_spot_signatures, op7_word_windows, op8_byte_bpe, op9_exact_dedup, op10_mixing, op11_sentence_pieces, op12_source_divergence, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -42,7 +42,7 @@ def terms(text: str) -> list[bytes]:
     return text.encode().translate(_BYTES).split()
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """lang, source, term, occurrences, documents: partial counts, and a row with the term '' for a group."""
     groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     held = 0
@@ -64,16 +64,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.update(found)
             df.update(found.keys())
             held += len(n) - before
-            if held >= HELD:
+            if held >= most:
                 yield from given()
                 held = 0
     yield from given()
 
 
-def counts(docs: DataFrame) -> DataFrame:
+def counts(docs: DataFrame, held: int = HELD) -> DataFrame:
     """lang, source, term, n, df: occurrences and documents of each term of a group; the term '' stands for the group, with 0."""
     docs = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("text", *_GROUP)))
-    parts = docs.mapInArrow(_counted, "lang string, source string, term string, n long, df long")
+    parts = docs.mapInArrow(lambda batches: _counted(batches, held), "lang string, source string, term string, n long, df long")
     return parts.groupBy(*_GROUP, "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 

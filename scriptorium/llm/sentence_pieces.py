@@ -7,8 +7,9 @@ character begins to where the next piece's does, so the spans of a text follow o
 
 No piece of a vocabulary that allows it has a space after another character, so what lies before and after such a place merges apart; the same holds
 beside characters that no longer piece has.  Texts are cut there, and a worker remembers what a cut part becomes, up to CACHED parts of at most
-CACHED_CHARS in each of two generations.  A vocabulary that has such pieces is merged in whole texts, as are texts of a model that has a map or strips
-spaces.  A heap of pairs makes a part of any length cost O(n log n).  The model's bytes are read on the driver from a path that is a parameter and broadcast (under 1 MB).
+CACHED_CHARS in each of two generations.  A vocabulary that has such pieces is merged in whole texts; a model that has a map, strips spaces or has no byte pieces, and a
+text with U+2581 in it, takes each text as one.  Short parts that are new are merged side by side, a row of an array each; a heap of pairs
+makes a part of any length cost O(n log n).  The model's bytes are read on the driver from a path that is a parameter and broadcast (under 1 MB).
 
 Defined results: a null text is the empty text, which has the begin and end ids alone; strings that look like control pieces are ordinary text;
 repeated rows are coded each; very long texts are coded whole; an empty table gives an empty result; other columns pass through, whatever their names.
@@ -30,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CACHED, CACHED_CHARS = 400_000, 64
+#: Characters of text whose parts are looked up together; parts that are merged in one block.
+AT_ONCE, ROWS = 1_000_000, 8192
 SPACE = "▁"
 #: Fixed values of the model format: kinds of pieces, and the kind of model that merges pairs.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -116,7 +119,7 @@ class Model:
         fallback = {int(name[3:5], 16): i for i, (name, _, kind) in enumerate(pieces) if kind == BYTE}
         self.fallback = [fallback[b] for b in range(256)] if trainer.get(35, 0) else None
         order = {score: k for k, score in enumerate(sorted({score for _, score, _ in pieces}, reverse=True))}
-        self.rank = {name: order[score] << 64 for name, score, kind in pieces if kind == NORMAL}
+        self.rank = {name: order[score] for name, score, kind in pieces if kind == NORMAL}
         self.dummy, self.strip, self.suffix = bool(normal.get(3, 1)), bool(normal.get(4, 1)), bool(trainer.get(24, 0))
         self.escape = SPACE if normal.get(5, 1) else " "
         self.map = CharacterMap(normal[2]) if normal.get(2) else None
@@ -126,8 +129,17 @@ class Model:
         mixed = any(re.search(f"[^{self.escape}]{self.escape}", name) for name in self.ids)
         spaces = f" {SPACE}" if self.escape == SPACE else " "
         self.parts = re.compile("(?s).+" if mixed else f"[{spaces}]*[^{spaces}{alone}]+|[{spaces}]+" + (f"|[{alone}]" if alone else ""))
-        self.apart = not (self.map or self.strip or self.suffix or mixed)
-        self.known, self.older, self.most = {}, {}, cached
+        self.apart = not (self.map or self.strip or self.suffix or mixed) and self.fallback is not None
+        self.known = _Parts(self, cached)
+        #: Every two pieces that make one: their ids as one number, in order, and the id that they make; the rank of ids.
+        made = sorted((a << 32 | b, i) for name, i in self.ids.items() for k in range(1, len(name)) if (a := self.ids.get(name[:k])) is not None and (b := self.ids.get(name[k:])) is not None)
+        self.pairs, self.makes = np.array([x for x, _ in made] or [-1], np.int64), np.array([i for _, i in made] or [0], np.int64)
+        self.rank_of = np.array([order[score] for _, score, _ in pieces], np.int64)
+        #: Source bytes of a piece; of byte pieces, as leads, how many make their character.
+        self.width = np.array([len(name.replace(SPACE, " ").encode()) if kind == NORMAL else 0 for name, kind in zip(self.names, self.kinds)], np.int64)
+        self.lead = np.zeros(len(pieces), np.int64)
+        for b, i in fallback.items():
+            self.lead[i] = 1 if b < 128 else 0 if b < 192 else 2 if b < 224 else 3 if b < 240 else 4
         self.bytes_ = [bytes([int(n[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else self.surface.encode() if k == UNKNOWN else n.replace(SPACE, " ").encode() for n, k in zip(self.names, self.kinds)]
 
     def normalised(self, text: str) -> tuple[str, list[int]]:
@@ -183,36 +195,34 @@ class Model:
 
     def merged(self, text: str) -> list[str]:
         """The symbols that are left of a normalised text when no two neighbours make a piece: best score first, then leftmost."""
-        rank, n = self.rank, len(text)
-        if text in rank and n == 1:
-            return [text]
-        token: list[str] = list(text)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
+        rank, n, token = self.rank.get, len(text), list(text)
+        after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
+        bits = n.bit_length()
+        low = (1 << bits) - 1
         for i in range(n - 1):
-            r = rank.get(token[i] + token[i + 1])
+            r = rank(token[i] + token[i + 1])
             if r is not None:
-                heap.append(r | i << 24 | 2)
+                heap.append((r << bits | i) << bits | 2)
         heapq.heapify(heap)
         while heap:
             x = heapq.heappop(heap)
-            i = x >> 24 & (1 << 40) - 1
+            i = x >> bits & low
             left, j = token[i], after[i]
-            if not left or j >= n or len(left) + len(token[j]) != x & (1 << 24) - 1:
+            if not left or j >= n or len(left) + len(token[j]) != x & low:
                 continue  # stale
             left = token[i] = left + token[j]
             token[j] = ""
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                r = rank.get(left + token[k])
+                r = rank(left + token[k])
                 if r is not None:
-                    heapq.heappush(heap, r | i << 24 | len(left) + len(token[k]))
+                    heapq.heappush(heap, (r << bits | i) << bits | len(left) + len(token[k]))
             h = before[i]
             if h >= 0:
-                r = rank.get(token[h] + left)
+                r = rank(token[h] + left)
                 if r is not None:
-                    heapq.heappush(heap, r | h << 24 | len(token[h]) + len(left))
+                    heapq.heappush(heap, (r << bits | h) << bits | len(token[h]) + len(left))
         return [t for t in token if t]
 
     def _coded(self, done: str, at: list[int]) -> tuple[list[int], list[int]]:
@@ -239,34 +249,109 @@ class Model:
                 lost = found is None and not self.fallback
         return ids, ends
 
-    def _part(self, part: str) -> tuple[bytes, bytes]:
-        """Packed ids and source bytes of each id, of a part that merges apart."""
-        found = self.known.get(part)
-        if found is None:
-            found = self.older.get(part)
-            if found is None:
-                at = [0]
-                for c in part:
-                    at.append(at[-1] + len(c.encode()))
-                ids, ends = self._coded(part.replace(" ", self.escape), at)
-                found = np.array(ids, "<u4").tobytes(), np.diff(np.array(ends, np.int64), prepend=0).astype("<u4").tobytes()
-            if len(part) <= CACHED_CHARS:
-                if len(self.known) >= self.most:
-                    self.older, self.known = self.known, {}
-                self.known[part] = found
-        return found
+    def plain(self, text: str) -> list[int]:
+        """Ids of a normalised text, without offsets."""
+        ids: list[int] = []
+        for part in self.parts.findall(text):
+            for symbol in self.merged(part):
+                found = self.ids.get(symbol)
+                if found is not None:
+                    ids.append(found)
+                else:
+                    ids.extend(self.fallback[b] for b in symbol.encode())
+        return ids
+
+    def _makes(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ids that pairs make, or -1."""
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.makes[at], -1)
+
+    def side_by_side(self, parts: list[str]) -> list[bytes | None]:
+        """Packed ids of short normalised parts, merged all at once: a row a part, in each round the best pair of every row that has one.  None
+        for a part with a character that is no piece."""
+        n = np.array([len(x) for x in parts])
+        chars = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")
+        kinds, of = np.unique(chars, return_inverse=True)
+        ids = np.array([self.ids.get(chr(c), -1) for c in kinds.tolist()], np.int64)[of]
+        inside = np.arange(n.max(initial=1)) < n[:, None]
+        token = np.full(inside.shape, -1, np.int64)
+        token[inside] = ids
+        unknown = (inside & (token < 0)).any(axis=1)
+        done = np.full_like(token, -1)
+        row = np.flatnonzero(~unknown)
+        token = token[row]
+        none = len(self.rank_of) + 1
+        rank = lambda made: np.where(made < 0, none, self.rank_of[made])
+        # A -1 at a row's end makes no number that is a pair's.
+        best = rank(self._makes(token[:, :-1], token[:, 1:]))
+        while len(row):
+            at = best.argmin(axis=1) if best.shape[1] else np.zeros(len(row), np.int64)
+            line = np.arange(len(row))
+            going = best[line, at] < none if best.shape[1] else np.zeros(len(row), bool)
+            done[row[~going], : token.shape[1]] = token[~going]
+            row, token, best, at = row[going], token[going], best[going], at[going]
+            if not len(row):
+                break
+            line, place = np.arange(len(row)), np.arange(token.shape[1])
+            left = self._makes(token[line, at], token[line, at + 1])
+            # What lies behind the pair moves up by one.
+            token[:, :-1] = np.where(place[:-1] > at[:, None], token[:, 1:], token[:, :-1])
+            token[:, -1] = -1
+            token[line, at] = left
+            best[:, :-1] = np.where(place[:-2] >= at[:, None], best[:, 1:], best[:, :-1])
+            best[:, -1] = none
+            after = token[line, np.minimum(at + 1, token.shape[1] - 1)]
+            best[line, np.minimum(at, best.shape[1] - 1)] = rank(np.where(after < 0, -1, self._makes(left, after)))
+            before = np.flatnonzero(at)
+            best[before, at[before] - 1] = rank(self._makes(token[before, at[before] - 1], left[before]))
+            if not (token[:, -2:] >= 0).any() and token.shape[1] > 2:
+                token, best = token[:, :-1].copy(), best[:, :-1].copy()
+        kept = done >= 0
+        raw, stops = done[kept].astype("<u4").tobytes(), (np.cumsum(kept.sum(axis=1)) * 4).tolist()
+        return [None if u else raw[a:b] for u, a, b in zip(unknown.tolist(), [0, *stops], stops)]
+
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        """The source bytes at which pieces end, where a space stands for each U+2581: the last byte piece of a character has its width."""
+        width, lead = self.width[ids], self.lead[ids]
+        first = np.flatnonzero(lead)
+        width[first + lead[first] - 1] = lead[first]
+        return np.cumsum(width)
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
         """Ids without begin and end, the source byte at which each ends, and at which the first begins."""
-        if not self.apart:
+        if not text:
+            return np.array([], "<u4"), np.array([], np.int64), 0
+        if not self.apart or SPACE in text:
             done, at = self.normalised(text)
             ids, ends = self._coded(done, at)
             return np.array(ids, "<u4"), np.array(ends, np.int64), at[0]
-        if not text:
-            return np.array([], "<u4"), np.array([], np.int64), 0
-        coded = list(map(self._part, self.parts.findall(" " + text if self.dummy else text)))
-        ends = np.cumsum(np.frombuffer(b"".join([x[1] for x in coded]), "<u4"), dtype=np.int64)
-        return np.frombuffer(b"".join([x[0] for x in coded]), "<u4"), ends - 1 if self.dummy else ends, 0
+        return self._found(self.parts.findall(" " + text if self.dummy else text))
+
+    def _found(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+        found = np.frombuffer(b"".join(map(self.known.__getitem__, parts)), "<u4")
+        return found, self.ends(found) - self.dummy, 0
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """What encode gives for each text; parts that are not remembered are merged side by side, for some AT_ONCE characters of text at a time."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= AT_ONCE:
+                yield from self._held(held)
+                held, size = [], 0
+        yield from self._held(held)
+
+    def _held(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        if not self.apart:
+            yield from map(self.encode, texts)
+            return
+        cut = [None if SPACE in t or not t else self.parts.findall(" " + t if self.dummy else t) for t in texts]
+        self.known.learn(set().union(*filter(None, cut)))
+        for t, parts in zip(texts, cut):
+            yield self._found(parts) if parts else self.encode(t)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of ids; bytes that are no UTF-8 become U+FFFD each, and a control piece ends a run of bytes."""
@@ -285,6 +370,39 @@ class Model:
         return "".join(b"".join(raw[a:b]).decode("utf-8", "scriptorium_bytes") for a, b in zip([0, *inner], [*inner, len(raw)]))
 
 
+class _Parts(dict):
+    """Packed ids of parts that merge apart; those in use move to the younger of two generations."""
+
+    def __init__(self, model: Model, most: int) -> None:
+        super().__init__()
+        self.model, self.most, self.older = model, most, {}
+
+    def learn(self, parts: set[str]) -> None:
+        """Remember parts that are now needed, and forget those not met since the last time that there were too many."""
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        new = []
+        for part in parts.difference(self):
+            packed = self.older.get(part)
+            if packed is not None:
+                self[part] = packed
+            elif len(part) <= CACHED_CHARS:
+                new.append(part)
+        new.sort(key=len)  # rows of a block are about as long
+        for k in range(0, len(new), ROWS):
+            block = new[k : k + ROWS]
+            made = self.model.side_by_side([x.replace(" ", self.model.escape) for x in block])
+            self.update((part, packed) for part, packed in zip(block, made) if packed is not None)
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.model.plain(part.replace(" ", self.model.escape))
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(part) <= CACHED_CHARS:
+            self[part] = packed
+        return packed
+
+
 def _replace_byte(e: UnicodeError) -> tuple[str, int]:
     return "�", e.start + 1
 
@@ -321,7 +439,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model()
         for b in batches:
-            coded = [m.encode(t) for t in _texts(b.column(text_col))]
+            coded = list(m.encode_all(_texts(b.column(text_col))))
             around = [(np.concatenate([[m.begin], i, [m.end]]), np.concatenate([[first], e, e[-1:] if len(e) else [first]])) if ends else (i, e) for i, e, first in coded]
             yield pa.RecordBatch.from_arrays([*b.columns, _lists([i for i, _ in around], pa.int32()), _lists([e for _, e in around], pa.int64())], [*names, ids_col, ends_col])
 
@@ -352,8 +470,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         head, tail = struct.pack("<I", m.begin), struct.pack("<I", m.end)
         for b in batches:
             rows = []
-            for t in _texts(b.column(1)):
-                ids, ends, _ = m.encode(t)
+            for ids, ends, _ in m.encode_all(_texts(b.column(1))):
                 shas = (head + ids.tobytes() + tail, m.decode([m.begin, *ids.tolist(), m.end]).encode(), ends.astype("<u4").tobytes())
                 rows.append((len(ids) + 2, *(hashlib.sha256(x).hexdigest() for x in shas)))
             columns = [pa.array([r[k] for r in rows], pa.string() if k else pa.int64()) for k in range(4)]

@@ -37,6 +37,15 @@ def test_like_the_library(both):
         _like(*both, t)
 
 
+def test_parts_side_by_side_like_the_heap(both):
+    _, model = both
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("▁▁▁abethnio,.éé一aa") for _ in range(rng.randint(1, 40))) for _ in range(3000)] + ["▁" * n for n in range(1, 40)]
+    for part, packed in zip(parts, model.side_by_side(parts)):
+        assert packed is not None and packed == struct.pack(f"<{len(ids := model.plain(part))}I", *ids), part
+    assert model.side_by_side(["a", "a漢\U0001f9ff", "b"])[1] is None and model.side_by_side(["a"])[0]
+
+
 def test_ids_of_any_kind_are_decoded(both):
     theirs, model = both
     rng = random.Random(3)
@@ -46,6 +55,15 @@ def test_ids_of_any_kind_are_decoded(both):
         assert model.decode(ids) == theirs.decode(ids), ids
 
 
+def test_many_texts_like_one(both):
+    _, model = both
+    small = Model(open(PATH, "rb").read(), cached=10)
+    texts = [*_texts(500, 4), "", "▁", "a" * 5000]
+    for _ in range(2):
+        for one, (ids, ends, first) in zip(map(model.encode, texts), small.encode_all(texts)):
+            assert (one[0].tolist(), one[1].tolist(), one[2]) == (ids.tolist(), ends.tolist(), first)
+
+
 def test_whole_texts_merge_like_parts(both):
     _, model = both
     whole = Model(open(PATH, "rb").read())

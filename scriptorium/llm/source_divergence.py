@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .shared import maybe_broadcast, written
 
 #: Terms that a task holds before it gives on its counts; terms a chunk, groups a block (about), chunks a segment.
-HELD, CHUNK, BLOCK, SEGMENT = 300_000, 4096, 32, 8
+HELD, CHUNK, BLOCK, SEGMENT = 500_000, 4096, 32, 8
 #: p is 1 and the floor of SCALE * (count + 2) / (N + 2 V); SCALE is the product of the two steps of the division.
 STEPS = (100_000, 10_000)
 _GROUP = ["lang", "source"]
@@ -60,9 +60,9 @@ def _counted(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Record
             if key not in groups:
                 groups[key] = (Counter(), Counter())
             n, df = groups[key]
-            found, before = Counter(terms(text.as_py())), len(n)
+            found, before = terms(text.as_py()), len(n)
             n.update(found)
-            df.update(found.keys())
+            df.update(set(found))
             held += len(n) - before
             if held >= most:
                 yield from given()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Strings that mean no value.
 BLANK = ("", "N/A", "None", "null")
@@ -76,16 +77,41 @@ def fingerprint(c: Column) -> Column:
     return F.substring(F.sha2(c, 256), 1, 16)
 
 
-def healed_json(raw: Column) -> Column:
-    """Without code fences, and with lone backslashes doubled."""
+#: Escapes that healing leaves as they are: those of JSON, or, where texts hold TeX, only quotes, backslashes and line ends.
+ESCAPES = {"json": r"[\"/bfnrt]|u[0-9a-fA-F]{4}", "tex": r"[\"n]"}
+
+
+def healed_json(raw: Column, keep: str = "json") -> Column:
+    r"""Without code fences, and with the backslash doubled wherever none of the kept escapes begins.
+
+    One pass, and no limit on how many: backslashes pair from the left of their run, so only the last of an odd run can begin an escape, and what follows
+    it decides: \underline, \u12 and a backslash at the end are doubled, A and \n are not."""
     s = F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?s)^\s*```(?:json)?\s*|\s*```\s*$", "")
-    return F.regexp_replace(s, r'(?<!\\)\\(?![\\"/bfnrtu])', r"\\\\")
+    return F.regexp_replace(s, rf"(?<!\\)((?:\\\\)*)\\(?!\\|{ESCAPES[keep]})", r"$1\\\\")
+
+
+def parsed_json(raw: Column, schema: str, keep: str = "json") -> Column:
+    """Parsed as it is, else healed; null if neither can be read.  Where TeX is kept, escapes that JSON has too are healed first."""
+    healed = healed_json(raw, keep)
+    read = F.when(F.try_parse_json(healed).isNotNull(), F.from_json(healed, schema))
+    return read if keep == "tex" else F.when(F.try_parse_json(raw).isNotNull(), F.from_json(raw, schema)).otherwise(read)
+
+
+#: Fixed value: how much of an answer that can't be read an error shows.
+PREVIEW = 500
 
 
-def parsed_json(raw: Column, schema: str) -> Column:
-    """Parsed as it is, else healed; null if neither can be read."""
-    healed = healed_json(raw)
-    return F.when(F.try_parse_json(raw).isNotNull(), F.from_json(raw, schema)).when(F.try_parse_json(healed).isNotNull(), F.from_json(healed, schema))
+def read_answer(raw: Column, schema: str, strict: bool, keep: str = "json") -> Column:
+    """Struct (value, error).  An answer that can't be read has an error (stage, reason, preview) if strict, else the empty value; a blank or null one
+    has the empty value either way: a struct with an empty list in each list and null elsewhere."""
+    found, healed = parsed_json(raw, schema, keep), healed_json(raw, keep)
+    lists = T.StructType.fromDDL(schema)
+    empty = F.from_json(F.lit("{" + ",".join(f'"{f.name}": []' for f in lists if isinstance(f.dataType, T.ArrayType)) + "}"), schema)
+    blank = F.trim(F.coalesce(raw, F.lit(""))) == ""
+    error = F.struct(F.lit("parse").alias("stage"), F.lit("json_decode_error").alias("reason"), F.substring(healed, 1, PREVIEW).alias("preview"))
+    bad = found.isNull() & ~blank
+    value = F.when(blank, empty).when(bad, F.lit(None) if strict else empty).otherwise(found)
+    return F.struct(value.alias("value"), F.when(bad & F.lit(strict), error).alias("error"))
 
 
 #: US dollars a million tokens in and out, by model, and rupees a dollar.

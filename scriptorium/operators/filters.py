@@ -130,12 +130,39 @@ def crop_has_content(pixels: pd.Series, width: pd.Series, height: pd.Series) ->
     return pd.Series([one(p, w, h) for p, w, h in zip(pixels, width, height, strict=True)])
 
 
+#: Edges of a grid's cells grow by GROWTH a level, up to TOP levels.
+GROWTH, TOP = 4, 8
+
+
+def overlaps(left: DataFrame, right: DataFrame, keys: list[str], grid: float = 32.0) -> DataFrame:
+    """Pairs of rectangles (x0, y0, x1, y1) of left and right (d_x0, d_y0, d_x1, d_y1) with the same keys that overlap, with their area in common.
+
+    A rectangle lies at the level whose cells are at least as large as it is, so it touches at most four of them; it is also dealt to the cells of the
+    levels above.  Two meet at the larger one's level, in the cell that has the lower corner of what they share, so each pair is found once and a page of
+    many rectangles is dealt to many tasks.  Rectangles without an area, or with a null edge, overlap nothing."""
+
+    def dealt(df: DataFrame, name: str, top: int) -> DataFrame:
+        x0, y0, x1, y1 = (F.col(f"{name}{c}") for c in ("x0", "y0", "x1", "y1"))
+        size = F.greatest(x1 - x0, y1 - y0)
+        own = F.least(F.lit(top), F.greatest(F.lit(0), F.ceil(F.log(float(GROWTH), size / grid)))).cast("int")
+        df = df.where((x1 > x0) & (y1 > y0)).withColumn(f"{name}own", own).withColumn("level", F.explode(F.sequence(F.col(f"{name}own"), F.lit(top))))
+        at = lambda c: F.floor(c / (grid * F.pow(F.lit(GROWTH), "level")))
+        return df.withColumn("gx", F.explode(F.sequence(at(x0), at(x1)))).withColumn("gy", F.explode(F.sequence(at(y0), at(y1))))
+
+    edge = grid * F.pow(F.lit(GROWTH), "level")
+    low = [F.greatest(c, f"d_{c}") for c in ("x0", "y0")]
+    high = [F.least(c, f"d_{c}") for c in ("x1", "y1")]
+    one, other, on = dealt(left, "", TOP), dealt(right, "d_", TOP), [*keys, "level", "gx", "gy"]
+    met = one.where("level = own").join(other, on).unionByName(one.where("level > own").join(other.where("level = d_own"), on))
+    met = met.where((high[0] > low[0]) & (high[1] > low[1]) & (F.col("gx") == F.floor(low[0] / edge)) & (F.col("gy") == F.floor(low[1] / edge)))
+    return met.withColumn("common", (high[0] - low[0]) * (high[1] - low[1])).drop("level", "gx", "gy", "own", "d_own")
+
+
 def covered_area(cells: DataFrame, drawings: DataFrame, least: float = 800.0, thin: float = 6.0) -> DataFrame:
     """Cells (page, cell, x0, y0, x1, y1) with the area of drawings (page, x0, y0, x1, y1) inside them, if over least."""
     d = drawings.where((F.col("x1") - F.col("x0") >= thin) & (F.col("y1") - F.col("y0") >= thin)).toDF(*[c if c == "page" else f"d_{c}" for c in drawings.columns])
-    w = F.greatest(F.lit(0.0), F.least("x1", "d_x1") - F.greatest("x0", "d_x0"))
-    h = F.greatest(F.lit(0.0), F.least("y1", "d_y1") - F.greatest("y0", "d_y0"))
-    return cells.join(d, "page").groupBy("page", "cell").agg(F.sum(w * h).alias("area")).where(F.col("area") > least)
+    return overlaps(cells, d, ["page"]).groupBy("page", "cell").agg(F.sum("common").alias("area")).where(F.col("area") > least)
+
 
 
 def accepted_rescues(rescued: DataFrame, missing: DataFrame, rows: DataFrame, deep: bool = False) -> DataFrame:

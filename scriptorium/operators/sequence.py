@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from . import guarded
+
 _ROMANS = "i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx".split()
 #: Siblings that are tried; when stems are alike; how much of a text is searched and compared.
 TRIES, SAME_STEM, MARKER_REACH, STEM_REACH = 20, 0.58, 260, 160
@@ -147,30 +149,20 @@ class OrphanContext:
 
 
 class RootTracker:
-    """Roots never go back; a row without a root takes the current one; an orphan roman joins the last letter."""
+    """The guarded scan (see guarded) of one paper's rows, one after the other: a row's label, printed page and hint."""
 
     def __init__(self) -> None:
         self.root: int | None = None
-        self.context: list[str] = []
-
-    def __call__(self, label: str) -> tuple[str, bool]:
-        parts = (label or "").split(".")
-        if parts[0].isdigit():
-            if self.root is not None and int(parts[0]) < self.root:
-                return ".".join([str(self.root), *parts[1:]]), True  # a corrected row does not move the tracker
-            self.root, self.context = int(parts[0]), parts
-            return label, False
-        if self.root is None or not parts[0]:
-            return label, False
-        if parts[0] in _ROMANS and parts[0] not in "ivx" and len(self.context) >= 2:
-            base = self.context[:-1] if self.context[-1] in _ROMANS and len(self.context) > 2 else self.context
-            new = [*base, *parts]
-        elif parts[0] in "ivx" and len(self.context) >= 2:
-            new = [*self.context[:2], *parts]
-        else:
-            new = [str(self.root), *parts]
-        self.context = new
-        return ".".join(new), True
+        self.below: tuple[str, ...] = ()
+
+    def __call__(self, label: str, printed: int | None = None, hinted: bool = False) -> tuple[str, bool]:
+        parts, root = label.split(".") if label else [], self.root
+        self.root, kind, tail, change = guarded.step(root, parts, printed, hinted)
+        self.below = guarded.below(kind, tail, self.below)
+        new = {"keep": label, "reject": ""}.get(change)
+        if new is None:
+            new = ".".join([str(root), *(self.below if change == "join" else parts[1:])])
+        return new, new != label
 
 
 def ordered_pass(df: DataFrame, paper: str, order: list[str], values: str | list[str], guard: Callable[[], Callable[..., tuple[str, bool]]]) -> DataFrame:

@@ -474,15 +474,6 @@ papers(
     _pass(["label"], sequence.OrphanContext),
 )
 
-papers(
-    "tracked_roots",
-    [_lines(("3.a", "3.a"), ("2.b", "3.b"), ("ii", "3.a.ii"), ("4", "4"), ("a", "4.a")), _lines(("", ""), ("{k}", "{k}"), ("a", "{k}.a"), ("ii", "{k}.a.ii"), ("iii", "{k}.a.iii"))],
-    ["label"],
-    ["seq", "new_label"],
-    _pass(["label"], sequence.RootTracker),
-)
-
-
 def _shifted(rows: DataFrame) -> DataFrame:
     def run(paper: list[dict]) -> list[dict]:
         given = [{"label": r["label"], "text": r["body"], "marks": int(r["marks"]), "method": r["kind"] == "method", "answer": r["kind"] == "answer"} for r in paper]

@@ -12,7 +12,7 @@ from ..operators import aggregates as agg
 from ..operators import filters, joins, sequence, sets, validate, windows
 from ..sources import tables
 from ..streaming import ledger
-from . import cases, tables_cases  # noqa: F401  they register their queries
+from . import cases, state_cases, tables_cases  # noqa: F401  they register their queries
 from .registry import QUERIES, SQL, query  # noqa: F401
 
 def _label() -> Column:

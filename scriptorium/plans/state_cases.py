@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..operators import filters, guarded, sequence
 from ..sources import tables
+from ..streaming import expiring
 from .registry import query
 
 #: Orders as rows of papers: a customer's orders are a paper, 5,000 order numbers a page.
@@ -111,3 +114,29 @@ def overlapping_boxes(spark, d):
     boxes = boxes.select("id", "page", *(F.col(c).cast("double").alias(c) for c in ("x0", "y0")), (F.col("x0") + F.col("w")).cast("double").alias("x1"), (F.col("y0") + F.col("h")).cast("double").alias("y1"))
     marks = marks.select("d_id", "page", *(F.col(c).cast("double").alias(c) for c in ("d_x0", "d_y0")), (F.col("d_x0") + F.col("d_w")).cast("double").alias("d_x1"), (F.col("d_y0") + F.col("d_h")).cast("double").alias("d_y1"))
     return filters.overlaps(boxes, marks, ["page"], 8.0).select("id", "d_id", "common")
+
+
+#: Lives of a user's events: the first one's time, then that of the first event beyond the time to live.
+_LIVES_SQL = """WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS key, ts, event_type AS value FROM events),
+    b AS (SELECT key, min(ts) AS born FROM e GROUP BY 1 UNION ALL SELECT b.key, min(e.ts) FROM b JOIN e ON e.key = b.key AND e.ts {beyond} b.born + INTERVAL {hours} HOUR GROUP BY b.key, b.born),
+    w AS (SELECT max(ts) - INTERVAL 10 MINUTE AS now FROM e)"""
+
+
+def _lives(spark: SparkSession, d: str, seconds: int, last_instant: bool) -> DataFrame:
+    found = expiring.lives(tables.streamed(spark, d, "events"), "user_id", "ts", "event_type", seconds, last_instant)
+    return expiring.settled(found, f"{tables.workspace(spark)}/lives-{uuid.uuid4().hex}")
+
+
+@query(_LIVES_SQL.format(beyond=">", hours=1) + """ SELECT b.key, epoch_us(born) AS born, arg_max(value, {'ts': ts, 'value': value}) AS status, count(*) AS rows
+    FROM b JOIN w ON born + INTERVAL 1 HOUR < now JOIN e ON e.key = b.key AND ts BETWEEN born AND born + INTERVAL 1 HOUR GROUP BY 1, 2""")
+def jobs_expired(spark, d):
+    """Jobs that have expired, an hour after their first event, by a stream's watermark."""
+    ended = _lives(spark, d, expiring.JOB_SECONDS, True).where("kind = 'end'")
+    return ended.select("key", F.unix_micros("born").alias("born"), F.col("value").alias("status"), "rows")
+
+
+@query(_LIVES_SQL.format(beyond=">=", hours=4) + """ SELECT e.key, epoch_us(ts) AS at, count(b.born) = 0 AS hit FROM e JOIN w ON ts <= now LEFT JOIN b ON b.key = e.key AND b.born = e.ts GROUP BY e.key, ts""")
+def results_cached(spark, d):
+    """Requests that find their key's result younger than four hours, and those that make it."""
+    taken = _lives(spark, d, expiring.RESULT_SECONDS, False).where("kind <> 'end'")
+    return taken.groupBy("key", F.unix_micros("at").alias("at")).agg((F.min("kind") == "again").alias("hit"))

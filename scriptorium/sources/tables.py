@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +17,33 @@ def parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_own: list[str] = []
+
+
+def workspace(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which the driver and all executors share.  Only a local session may leave it unset, and gets a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not re.match(r"local(\[[^,]*(,\s*\d+)?\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="scriptorium-"))
+            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+        found = _own[0]
+    return found.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Rows that are used again, computed once: a checkpoint in the folder of spark.checkpoint.dir, or where none is set a cached table."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.persist()
+    """Rows that are used again, computed once: a checkpoint in the workspace."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(workspace(df.sparkSession))
+    return df.checkpoint()
+
+
+def streamed(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a stream of its files.  The pattern lets the table be one file, which a path of a stream may not be."""
+    return spark.readStream.schema(parquet(spark, folder, name).schema).parquet(f"{folder}/{name}.parque[t]")
 
 
 def requests(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -114,3 +114,43 @@ def test_overlaps_like_all_pairs(spark):
         want |= {(i, n + int(j)): w[j, 0] * w[j, 1] for j in np.flatnonzero((w > 0).all(axis=1)) if (size[i] > 0).all()}
     assert got.keys() == want.keys() and all(abs(got[k] - v) <= 1e-9 * max(1, v) for k, v in want.items())
     assert filters.overlaps(frame(0, n, "").limit(0), frame(n, 2 * n, "d_"), ["page"]).count() == 0
+
+
+def _lives(rows, seconds, last_instant):
+    """Kept rows and ended lives of one key, by a plain loop; times are seconds."""
+    taken, lives = [], []
+    for at, value in sorted(rows):
+        if not lives or not (at - lives[-1][0] <= seconds if last_instant else at - lives[-1][0] < seconds):
+            lives.append([at, value, 0])
+        lives[-1][1:] = [value, lives[-1][2] + 1]
+        taken.append((at, "again" if lives[-1][2] > 1 else "first", lives[-1][0]))
+    return taken, lives
+
+
+@pytest.mark.parametrize("seconds,last_instant", [(3600, True), (4 * 3600, False)])
+def test_lives_in_any_batches(spark, tmp_path, seconds, last_instant):
+    """Rows out of order in several files, a file a batch; what comes too late is dropped; lives that the watermark has not passed stay open."""
+    from datetime import datetime, timedelta
+
+    from scriptorium.streaming import expiring
+
+    rng, base = random.Random(6), datetime(2024, 1, 1)
+    rows = [(rng.choice(["a", "b", "c", None]), t + rng.randint(-200, 0) if rng.random() < 0.3 else t, rng.choice(["x", "y", None])) for t in range(0, 60_000, 97)]
+    rows += [("edge", 600, "x"), ("edge", 600 + seconds, "y"), ("edge", 600 + 2 * seconds + 1, "z")]
+    rows.sort(key=lambda r: r[1] + rng.randint(0, 300))
+    folder = tmp_path / "in"
+    for k in range(0, len(rows), 150):
+        part = spark.createDataFrame([(key, base + timedelta(seconds=t), v) for key, t, v in rows[k : k + 150]], "key string, ts timestamp, value string")
+        part.coalesce(1).write.mode("append").parquet(str(folder))
+    late = spark.createDataFrame([("a", base + timedelta(seconds=5), "late")], "key string, ts timestamp, value string")
+    late.coalesce(1).write.mode("append").parquet(str(folder))
+    stream = spark.readStream.schema(late.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    got = expiring.settled(expiring.lives(stream, "key", "ts", "value", seconds, last_instant), str(tmp_path / "out")).collect()
+    now = max(t for _, t, _ in rows) - 600
+    second = lambda x: int((x - base).total_seconds())
+    want = []
+    for key in {r[0] for r in rows}:
+        taken, lives = _lives([(t, v or "") for k, t, v in rows if k == key and t <= now], seconds, last_instant)
+        want += [(key or "", kind, at, born) for at, kind, born in taken]
+        want += [(key or "", "end", born + seconds, born) for born, _, _ in lives if born + seconds < now]
+    assert sorted((r.key, r.kind, second(r.at), second(r.born)) for r in got) == sorted(want)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..operators import filters, guarded, sequence
-from ..sources import tables
-from ..streaming import expiring
+from ..sources import store, tables
+from ..streaming import capture, expiring
 from .registry import query
 
 #: Orders as rows of papers: a customer's orders are a paper, 5,000 order numbers a page.
@@ -140,3 +140,30 @@ def results_cached(spark, d):
     """Requests that find their key's result younger than four hours, and those that make it."""
     taken = _lives(spark, d, expiring.RESULT_SECONDS, False).where("kind <> 'end'")
     return taken.groupBy("key", F.unix_micros("at").alias("at")).agg((F.min("kind") == "again").alias("hit"))
+
+
+@query("""WITH c AS (SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n, bool_or(event_type = 'signup') AS early FROM events GROUP BY 1)
+    SELECT key, CAST(n AS VARCHAR) AS answer, early AS first_hit, true AS again_hit FROM c""")
+def cache_written(spark, d):
+    """Counts of users' events through a store: a run for users who signed up, one for all of them, and that one again."""
+    events = tables.parquet(spark, d, "events").select(F.col("user_id").cast("string").alias("key"), "event_type", "ts")
+    counts = lambda rest: events.join(rest.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).cast("string").alias("answer"))
+    now = F.lit(events.agg(F.max("ts")).first()[0])
+    kept = store.Store(spark, f"{tables.workspace(spark)}/store-{uuid.uuid4().hex}", 4)
+    kept.answered(events.where("event_type = 'signup'"), counts, now)
+    first = kept.answered(events, counts, now).select("key", "answer", F.col("hit").alias("first_hit"))
+    again = kept.answered(events, counts, now).select("key", "answer", F.col("hit").alias("again_hit"))
+    return first.join(again, ["key", "answer"])
+
+
+@query("""SELECT l_linestatus AS component, CASE WHEN l_returnflag = 'N' THEN 'other' ELSE l_returnflag END AS model, count(*) AS calls, CAST(sum(CASE WHEN l_discount < 0.03 THEN 0 ELSE l_quantity END) AS BIGINT) AS prompt_tokens,
+    CAST(sum(CASE WHEN l_discount < 0.03 THEN 0 ELSE l_linenumber END) AS BIGINT) AS output_tokens, count_if(l_discount < 0.03) AS failures FROM lineitem GROUP BY 1, 2""")
+def ledger_captured(spark, d):
+    """Lines as calls of two components, counted while they are written."""
+    calls = tables.parquet(spark, d, "lineitem").select("l_linestatus", "l_returnflag", F.col("l_quantity").cast("long").alias("prompt"), "l_linenumber", (F.col("l_discount") < 0.03).alias("failed"))
+    kept = capture.Ledger(spark, f"{tables.workspace(spark)}/ledger-{uuid.uuid4().hex}", ["A", "R"])
+    for component in ("F", "O"):
+        watched = kept.watch(calls.where(F.col("l_linestatus") == component), component, "l_returnflag", "prompt", "l_linenumber", "failed")
+        watched.write.format("noop").mode("overwrite").save()
+    kept.settle()
+    return kept.totals().drop("inr")

@@ -379,16 +379,16 @@ papers(
     "reconciled_ids",
     [
         (
-            [("5.a", "5(a) Some first part {k}", "", "", "5.a,5.b"), ("5.ii.a", "5(ii)(a) Draw image", "", "", ""), ("5.ii.b", "5(ii)(b) Draw image", "guard of {k}", "", "")],
-            [("0", "5.a", "5(a) Some first part {k}", "", "", "false"), ("1", "5.b.ii.a", "5(b)(ii)(a) Draw image", "", "", "false"), ("2", "5.b.ii.b", "5(b)(ii)(b) Draw image", "guard of {k}", "", "true")],
+            [("5.a", "5(a) Write the ratio {k}", "", "", "5.a,5.b"), ("5.ii.a", "5(ii)(a) Mark the midpoint", "", "", ""), ("5.ii.b", "5(ii)(b) Mark the midpoint", "guard of {k}", "", "")],
+            [("0", "5.a", "5(a) Write the ratio {k}", "", "", "false"), ("1", "5.b.ii.a", "5(b)(ii)(a) Mark the midpoint", "", "", "false"), ("2", "5.b.ii.b", "5(b)(ii)(b) Mark the midpoint", "guard of {k}", "", "true")],
         ),
-        ([("7", "7 Information table {k}. (a) Calculate an estimate.", "", "", "7.a,7.c.i")], [("0", "7.a", "7(a) Information table {k}. (a) Calculate an estimate.", "", "", "false")]),
+        ([("7", "7 Heights of {k} trees. (a) Estimate the median.", "", "", "7.a,7.c.i")], [("0", "7.a", "7(a) Heights of {k} trees. (a) Estimate the median.", "", "", "false")]),
         (
-            [("7", "7 Information about masses {k}.", "", "diagram-{k}", "7.a"), ("7.a", "7(a) Calculate the mean.", "", "own", "")],
-            [("1", "7.a", "7(a) Information about masses {k}. Calculate the mean.", "", "own|diagram-{k}", "false")],
+            [("7", "7 A pond holds {k} fish.", "", "diagram-{k}", "7.a"), ("7.a", "7(a) Give the range.", "", "own", "")],
+            [("1", "7.a", "7(a) A pond holds {k} fish. Give the range.", "", "own|diagram-{k}", "false")],
         ),
-        ([("5.i", "5(i) Ambiguous {k}", "", "", "5.a.i,5.b.i")], [("0", "5.i", "5(i) Ambiguous {k}", "", "", "false")]),
-        ([("5.b.i", "5(b)(i) Existing", "", "", "5.b.i,5.b.ii"), ("5.i", "5(i) Would collide {k}", "", "", "")], [("0", "5.b.i", "5(b)(i) Existing", "", "", "false"), ("1", "5.i", "5(i) Would collide {k}", "", "", "false")]),
+        ([("5.i", "5(i) Either half {k}", "", "", "5.a.i,5.b.i")], [("0", "5.i", "5(i) Either half {k}", "", "", "false")]),
+        ([("5.b.i", "5(b)(i) Sketch it", "", "", "5.b.i,5.b.ii"), ("5.i", "5(i) Taken already {k}", "", "", "")], [("0", "5.b.i", "5(b)(i) Sketch it", "", "", "false"), ("1", "5.i", "5(i) Taken already {k}", "", "", "false")]),
         ([("5.i", "5(i) Text", "QP embedded subpart guard corrected 5.a to 5.i.", "", "5.b.i")], [("0", "5.b.i", "5(b)(i) Text", "", "", "false")]),
         ([("5.b", "5(b) One", "", "", "5.a.ii,5.b.ii"), ("5.ii", "5(ii) Two {k}", "", "", "")], [("0", "5.b", "5(b) One", "", "", "false"), ("1", "5.a.ii", "5(a)(ii) Two {k}", "", "", "false")]),
         ([("6", "6 Alone {k}", "w", "", "")], [("0", "6", "6 Alone {k}", "w", "", "true")]),

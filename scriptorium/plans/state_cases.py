@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import coerce
-from ..operators import filters, guarded, sequence
+from ..operators import filters, guarded, rescue, sequence, validate
 from ..sources import store, tables
 from ..streaming import capture, expiring
 from .registry import query
@@ -167,3 +167,58 @@ def ledger_captured(spark, d):
         watched.write.format("noop").mode("overwrite").save()
     kept.settle()
     return kept.totals().drop("inr")
+
+
+#: A customer's orders as pages of a paper; a page shows a question with parts three and four deep.
+_ASKED_SQL = """WITH o AS (SELECT o_custkey AS paper, o_orderkey AS page, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r, o_orderkey % 3 AS k, o_orderpriority AS a, o_orderkey % 4 AS m FROM orders),
+    q AS (SELECT *, CASE WHEN m = 0 THEN 'no.' ELSE 'Find the order of ' || a || '.' END AS t1, 'Show that it is ' || CAST(page AS VARCHAR) || ' of f(x).' AS t2, 'Explain why ' || a || ' is so.' AS t3 FROM o WHERE r < 100)"""
+
+
+@query(_ASKED_SQL + """ SELECT paper, r || '.a' AS label, 'given' AS body, 0 AS round FROM q WHERE k != 0
+    UNION ALL SELECT paper, r || '.a.i', r || '(a)(i) ' || t1, 1 FROM q WHERE k != 0 AND m != 0
+    UNION ALL SELECT paper, r || '.a.ii.b', r || '(a)(ii)(b) ' || t2, 1 FROM q WHERE k != 0
+    UNION ALL SELECT paper, r || '.a.ii.b.i', r || '(a)(ii)(b)(i) ' || t3, 2 FROM q WHERE k != 0""")
+def rows_rescued(spark, d):
+    """Rows for missing ids, split from page texts in rounds: a part of a part is found when the part has been."""
+    o = tables.parquet(spark, d, "orders")
+    r = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).cast("string")
+    k, a = F.col("o_orderkey"), F.col("o_orderpriority")
+    first = F.when(k % 4 == 0, "no.").otherwise(F.concat(F.lit("Find the order of "), a, F.lit(".")))
+    shown = F.concat(F.col("r"), F.lit("(a)\n"), F.col("r"), F.lit("(a) (i)  "), first, F.lit("\n"), F.col("r"), F.lit(" (a)(ii)(b) Show  that it is "), k.cast("string"), F.lit(" of f(x).\n(i) Explain why "), a, F.lit(" is so."))
+    q = o.withColumn("r", r).where(F.col("r").cast("int") < 100).select(F.col("o_custkey").alias("paper"), k.alias("page"), "r", (k % 3 != 0).alias("given"), shown.alias("page_text"))
+    none = F.array().cast("array<string>")
+    rows = q.where("given").select("paper", F.col("page").alias("seq"), F.concat("r", F.lit(".a")).alias("label"), F.lit("given").alias("body"), none.alias("urls"), none.alias("warnings"), F.lit(False).alias("needs_review"))
+    ends = F.array(*map(F.lit, (".a", ".a.i", ".a.ii", ".a.ii.b", ".a.ii.b.i")))
+    expected = q.select("paper", F.explode(F.transform(ends, lambda x: F.concat("r", x))).alias("id"))
+    return rescue.rescued(rows, expected, q.select("paper", "page", "page_text")).select("paper", "label", "body", "round")
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, p_name AS a, p_type AS b, CAST(p_size AS VARCHAR) AS c, p_partkey % 4 AS m FROM part)
+    SELECT k, CAST(leaf AS INTEGER) AS leaf, CASE WHEN leaf = 0 THEN CASE WHEN m = 3 THEN '8' ELSE '8.a' END ELSE '8.a.' || ['i', 'ii', 'iii'][leaf] END AS label,
+           CASE WHEN leaf = 0 THEN CASE m WHEN 0 THEN '(i) ' || a || ' only (i) twice' ELSE 'M1 (i) ' || a || chr(10) || '(ii) ' || b || ' see (i) (iii) ' || c END
+                ELSE [a, b || ' see (i)', c][leaf] END AS body, leaf > 0 AS warned
+    FROM p JOIN (SELECT unnest([0, 1, 2, 3]) AS leaf) ON (m IN (0, 3)) = (leaf = 0)""")
+def scheme_leaves(spark, d):
+    """Grouped entries of schemes as a row for each leaf."""
+    p = tables.parquet(spark, d, "part")
+    k, m = F.col("p_partkey"), F.col("p_partkey") % 4
+    three = F.concat(F.lit("M1 (i) "), F.col("p_name"), F.lit("\n(ii) "), F.col("p_type"), F.lit(" see (i) (iii) "), F.col("p_size").cast("string"))
+    one = F.concat(F.lit("(i) "), F.col("p_name"), F.lit(" only (i) twice"))
+    rows = p.select(k.alias("k"), F.when(m == 3, "8").otherwise("8.a").alias("label"), F.when(m == 0, one).otherwise(three).alias("body"), F.lit(None).cast("array<string>").alias("warnings"))
+    return rescue.group_leaves(rows, "label", "body", "warnings").select("k", "leaf", "label", "body", F.col("warnings").isNotNull().alias("warned"))
+
+
+@query(r"""WITH n AS (SELECT count(*) AS n FROM benchmark), p AS (SELECT doc_id, d.text AS a, b.text AS b FROM documents d JOIN n ON true JOIN (SELECT row_number() OVER (ORDER BY item_id) - 1 AS at, text FROM benchmark) b ON b.at = doc_id % n),
+    s AS (SELECT doc_id, 0 AS side, unnest(regexp_extract_all(lower(coalesce(a, '')), '([a-z]{3,}|\d+)')) AS word FROM p UNION ALL SELECT doc_id, 1, unnest(regexp_extract_all(lower(coalesce(b, '')), '([a-z]{3,}|\d+)')) FROM p),
+    c AS (SELECT doc_id, word, CAST(count_if(side = 0) AS DOUBLE) AS n0, CAST(count_if(side = 1) AS DOUBLE) AS n1 FROM s GROUP BY 1, 2),
+    w AS (SELECT word, ln((1 + 2 * (SELECT count(*) FROM p)) / (1 + CAST(sum(CAST(n0 > 0 AS INT) + CAST(n1 > 0 AS INT)) AS DOUBLE))) + 1 AS w FROM c GROUP BY 1),
+    g AS (SELECT doc_id, sum(n0 * n1 * w * w) AS ab, sum(n0 * n0 * w * w) AS aa, sum(n1 * n1 * w * w) AS bb, count_if(n0 > 0 AND n1 > 0) AS terms, count_if(n0 = 0 AND n1 > 0 AND regexp_matches(word, '^\d')) AS unmet FROM c JOIN w USING (word) GROUP BY 1),
+    r AS (SELECT doc_id, round(coalesce(CASE WHEN aa > 0 AND bb > 0 THEN ab / sqrt(aa * bb) END, 0), 6) AS cosine, coalesce(terms, 0) AS terms, coalesce(unmet, 0) = 0 AS numbers FROM p LEFT JOIN g USING (doc_id))
+    SELECT *, CASE WHEN cosine < 0.05 THEN 'block' WHEN cosine < 0.3 OR NOT numbers THEN 'review' ELSE 'ok' END AS verdict FROM r""")
+def semantic_consistency(spark, d):
+    """Documents against items of the benchmark, dealt by turns: cosines of weighed words."""
+    bench = tables.parquet(spark, d, "benchmark")
+    n = bench.count()
+    numbered = bench.select((F.row_number().over(Window.orderBy("item_id")) - 1).alias("at"), F.col("text").alias("b"))
+    docs = tables.parquet(spark, d, "documents").select("doc_id", F.col("text").alias("a"), (F.col("doc_id") % n).alias("at"))
+    return validate.semantic_consistency(docs.join(numbered, "at"), "doc_id", "a", "b")

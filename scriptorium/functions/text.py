@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import functools
 import re
 
 import pandas as pd
@@ -33,6 +34,50 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(*tidy, strict=True)])
 
 
+#: Classes of characters that are counted: as large together as a text.
+LETTERS = "abcdefghijklmnopqrstuvwxyz "
+
+
+def letter_counts(t: Column) -> Column:
+    """How often each letter and the space occur, and everything else together."""
+    each = [F.length(t) - F.length(F.replace(t, F.lit(c), F.lit(""))) for c in LETTERS]
+    return F.array(*each, F.length(F.regexp_replace(t, "[a-z ]+", "")))
+
+
+def counts_in_common(a: Column, b: Column) -> Column:
+    """No two texts with such counts have more characters in common."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+
+
+@functools.lru_cache(maxsize=4096)
+def _places(t: str) -> dict[str, int]:
+    found: dict[str, int] = {}
+    for k, c in enumerate(t):
+        found[c] = found.get(c, 0) | 1 << k
+    return found
+
+
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence, all of a's places at once: a bit is zero where the subsequence grows."""
+    places, every = _places(a), (1 << len(a)) - 1
+    rows = every
+    for c in b:
+        met = rows & places.get(c, 0)
+        rows = (rows + met | rows - met) & every
+    return len(a) - rows.bit_count()
+
+
+def reaches(a: str, b: str, least: float) -> bool:
+    """Whether two tidy texts may be so alike: matching blocks are a common subsequence, so their ratio is at most its."""
+    return bool(a and b) and 2 * common_subsequence(a, b) >= least * (len(a) + len(b)) - 1e-9
+
+
+@F.pandas_udf(T.DoubleType())
+def similarity_from(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
+    """The matching-blocks ratio of tidy texts where it may reach the least, else null."""
+    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() if reaches(x, y, t) else None for x, y, t in zip(a, b, least, strict=True)], dtype="float64")
+
+
 #: Fixed value: labels within a text, with or without a number before them.
 _LABELS = r"(?i)(?:\b\d{1,2}\s*)?(?:\(\s*(?:xviii|xvii|xvi|xiv|xiii|xii|xi|viii|vii|vi|iv|ix|iii|ii|i|xx|xix|xv|x|v|[a-z])\s*\)\s*)+"
 

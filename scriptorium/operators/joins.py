@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,12 +99,22 @@ def regions_kept(raster: DataFrame, vector: DataFrame, near: float = 3.0) -> Dat
 
 
 def alike(left: DataFrame, right: DataFrame, block: str, least: float) -> DataFrame:
-    """Pairs of left (l_id, l_text) and right (r_id, r_text) of a block, a paper's tens of rows, that are at least so similar.  A ratio is at most
-    what the lengths allow, so other pairs are not compared."""
-    size = lambda c: F.char_length(text.squeezed(F.col(c)))
-    met = left.join(right, block).withColumns({"__l": size("l_text"), "__r": size("r_text")})
-    met = met.where(2 * F.least("__l", "__r") >= F.lit(least) * (F.col("__l") + F.col("__r")) - 1e-9).drop("__l", "__r")
-    return met.withColumn("ratio", text.similarity("l_text", "r_text")).where(F.col("ratio") >= least)
+    """Pairs of left (l_id, l_text) and right (r_id, r_text) of a block that are at least so similar (over 0, at most 1), with their ratio.
+
+    Every step drops only pairs that can't reach the ratio: texts meet in buckets of their lengths' logarithm, as wide as a ratio allows; then the letters
+    that they can have in common bound it; then their longest common subsequence; the ratio is computed for what is left."""
+    step = max(math.log((2 - least) / least) * 1.0001, 0.01)
+
+    def sized(df: DataFrame, side: str) -> DataFrame:
+        tidy = df.withColumn(f"__{side}", text.squeezed(F.col(f"{side}_text"))).withColumn(f"__{side}n", F.length(f"__{side}")).where(F.col(f"__{side}n") > 0)
+        return tidy.withColumns({f"__{side}c": text.letter_counts(F.col(f"__{side}")), "__size": F.floor(F.log(f"__{side}n") / step)})
+
+    around = sized(left, "l").withColumn("__size", F.explode(F.array(*(F.col("__size") + k for k in (-1, 0, 1)))))
+    met = around.join(sized(right, "r"), [block, "__size"])
+    enough = F.lit(least) * (F.col("__ln") + F.col("__rn")) - 1e-9
+    met = met.where((2 * F.least("__ln", "__rn") >= enough) & (2 * text.counts_in_common(F.col("__lc"), F.col("__rc")) >= enough))
+    met = met.withColumn("ratio", text.similarity_from("__l", "__r", F.lit(least))).where(F.col("ratio") >= least)
+    return met.drop("__size", *(f"__{side}{c}" for side in "lr" for c in ("", "n", "c")))
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, block: str, least: float) -> DataFrame:
@@ -125,7 +137,8 @@ def match_cascade(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
     texts = alike(l_rest.where(signal("l_text")), r_rest.where(signal("r_text")), block, FUZZY).select(block, "l_id", "r_id", F.col("ratio").alias("score"), F.lit(1).alias("tier"))
     tail = lambda c: F.nullif(F.regexp_replace(c, r"^[^.]*\.?", ""), F.lit(""))
     ends = l_rest.withColumn("__end", tail("l_label")).join(r_rest.withColumn("__end", tail("r_label")), [block, "__end"])
-    ends = ends.withColumn("score", 0.5 + 0.5 * text.similarity("l_text", "r_text")).where(F.col("score") >= SUFFIX).select(block, "l_id", "r_id", "score", F.lit(2).alias("tier"))
+    ratio = text.similarity_from(text.squeezed(F.col("l_text")), text.squeezed(F.col("r_text")), F.lit(2 * SUFFIX - 1))
+    ends = ends.withColumn("score", 0.5 + 0.5 * ratio).where(F.col("score") >= SUFFIX).select(block, "l_id", "r_id", "score", F.lit(2).alias("tier"))
     once = texts.unionByName(ends)
     # a match stands if it is the best of both its rows
     for key in ("l_id", "r_id"):

@@ -77,50 +77,60 @@ def then(kind: str, tail: tuple[str, ...], after: str, more: tuple[str, ...]) ->
     return after, more
 
 
-def composed(table: list[Effect], effect: Callable[[int | None], tuple[int | None, str, tuple[str, ...], tuple[str, ...] | None]]) -> list[Effect]:
+#: What a run of rows does: the different effects, and which of them holds at each root (none first).  Most runs soon come to do one thing.
+Table = tuple[list[Effect], list[int]]
+
+
+def composed(table: Table, effect: Callable[[int | None], tuple[int | None, str, tuple[str, ...], tuple[str, ...] | None]]) -> Table:
     """A table after one more effect, given by the root: the root after, what happens below, its tail, and (None: by those) what becomes of nothing."""
-    known: dict[Effect, Effect] = {}
-    for entry in set(table):
-        root, empty, kind, tail = entry
+    kinds, at = table
+    new = []
+    for root, empty, kind, tail in kinds:
         after, k, t, from_empty = effect(root)
         at_nothing = below(k, t, ()) if from_empty is None else from_empty
         new_empty = below(k, t, empty) if empty else at_nothing
-        known[entry] = (after, new_empty, *(("new", at_nothing) if (kind, tail) == ("new", ()) else then(kind, tail, k, t)))
-    return [known[entry] for entry in table]
+        new.append((after, new_empty, *(("new", at_nothing) if (kind, tail) == ("new", ()) else then(kind, tail, k, t))))
+    if len(new) > 1:
+        place = {x: k for k, x in enumerate(dict.fromkeys(new))}
+        if len(place) < len(new):
+            moved = [place[x] for x in new]
+            new, at = list(place), [moved[k] for k in at]
+    return new, at
 
 
-def identity() -> list[Effect]:
-    return [(root, (), "same", ()) for root in (None, *range(MOST_ROOT + 1))]
+def identity() -> Table:
+    return [(root, (), "same", ()) for root in (None, *range(MOST_ROOT + 1))], list(range(MOST_ROOT + 2))
 
 
 def _at(root: int | None) -> int:
     return 0 if root is None else root + 1
 
 
-def joined(first: list[Effect], second: list[Effect]) -> list[Effect]:
+def effect_at(table: Table, root: int | None) -> Effect:
+    return table[0][table[1][_at(root)]]
+
+
+def joined(first: Table, second: Table) -> Table:
     """What two runs of rows do, one after the other."""
 
     def effect(root: int | None) -> tuple[int | None, str, tuple[str, ...], tuple[str, ...]]:
-        after, empty, kind, tail = second[_at(root)]
+        after, empty, kind, tail = effect_at(second, root)
         return after, kind, tail, empty
 
     return composed(first, effect)
 
 
-def _dumped(table: list[Effect]) -> str:
-    """What there is, and which of it stands at each root; most runs come to do one thing wherever they begin."""
-    kinds = list(dict.fromkeys(table))
-    return json.dumps([kinds, [] if len(kinds) == 1 else [kinds.index(x) for x in table]])
+def _dumped(table: Table) -> str:
+    return json.dumps(table if len(table[0]) > 1 else [table[0], []])
 
 
-def _loaded(raw: str) -> list[Effect]:
+def _loaded(raw: str) -> Table:
     kinds, at = json.loads(raw)
-    kinds = [(root, tuple(empty), kind, tuple(tail)) for root, empty, kind, tail in kinds]
-    return [kinds[k] for k in at] if at else kinds * (MOST_ROOT + 2)
+    return [(root, tuple(empty), kind, tuple(tail)) for root, empty, kind, tail in kinds], at or [0] * (MOST_ROOT + 2)
 
 
-def _entered(table: list[Effect], root: int | None, was: tuple[str, ...]) -> tuple[int | None, tuple[str, ...]]:
-    after, empty, kind, tail = table[_at(root)]
+def _entered(table: Table, root: int | None, was: tuple[str, ...]) -> tuple[int | None, tuple[str, ...]]:
+    after, empty, kind, tail = effect_at(table, root)
     return after, below(kind, tail, was) if was else empty
 
 

@@ -26,7 +26,11 @@ def page_segments(missing: DataFrame, pages: DataFrame) -> DataFrame:
     p = F.split("id", r"\.")
     want = missing.select("paper", "id", F.get(p, F.lit(0)).alias("root"), p.alias("p")).where(F.col("root").rlike(r"^\d{1,2}$"))
     numbers = F.array_distinct(F.regexp_extract_all("page_text", F.lit(r"(?<!\d)(\d{1,2})(?!\d)"), F.lit(1)))
-    met = want.join(pages.select("paper", "page", "page_text", F.explode(numbers).alias("root")), ["paper", "root"])
+    squeezed = F.regexp_replace(F.lower("page_text"), r"\s+", "")
+    met = want.join(pages.select("paper", "page", "page_text", squeezed.alias("__squeezed"), F.explode(numbers).alias("root")), ["paper", "root"])
+    # Patterns are tried where a page has the label, or the label above a deep one, whatever is around it.
+    printed = lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x: F.concat(F.lit("("), F.lower(x), F.lit(")"))), ""))
+    met = met.where(F.contains(F.col("__squeezed"), printed(F.when(F.size("p") >= DEEP, F.slice("p", F.lit(1), F.size("p") - 1)).otherwise(F.col("p")))))
     above = F.slice("p", F.lit(1), F.size("p") - 1)
     end = F.concat(F.lit(r"(?<![A-Za-z0-9])\(\s*"), F.element_at("p", -1), F.lit(r"\s*\)(?![A-Za-z0-9])"))
     behind = rf"\s*(.*?)\s*(?={_LABEL}|\z)"

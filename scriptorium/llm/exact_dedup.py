@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import maybe_broadcast, ordered_id, shown_id, written
+from .shared import maybe_broadcast, ordered_id, row_hash, shown_id, written
 
 CAPACITY = 4096
 SALTS = 16
@@ -85,7 +85,7 @@ def _marked(rows: DataFrame, chain: DataFrame, again: DataFrame) -> DataFrame:
     if again.take(1):  # one of the rows that repeat the kept id stays
         side = maybe_broadcast(again.select(F.col("key").alias(_P + "key"), F.col("sha").alias(_P + "sha"), F.lit(True).alias(_P + "again")))
         rows = rows.join(side, [_P + "key", _P + "sha"], "left").withColumn(_P + "again", F.coalesce(_P + "again", F.lit(False)) & kept)
-        one = Window.partitionBy(_P + "key", _P + "sha").orderBy(_P + "id")
+        one = Window.partitionBy(_P + "key", _P + "sha").orderBy(row_hash(rows))
         rows = rows.where(F.col(_P + "again")).withColumn(_P + "kept", F.row_number().over(one) == 1).unionByName(rows.where(~F.col(_P + "again")).withColumn(_P + "kept", kept)).drop(_P + "again")
     else:
         rows = rows.withColumn(_P + "kept", kept)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .rolling import grouped, joined, mix, word_hashes
-from .shared import maybe_broadcast, ordered_id, shown_id, written
+from .shared import maybe_broadcast, ordered_id, row_hash, shown_id, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -340,6 +340,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = rows.join(maybe_broadcast(written(gone.distinct(), "gone")), ["__near_id", "__near_key"], "left_anti")
     again = found.where("rows > 1").where(F.struct("id", "key") == F.col("least")).groupBy("id", "key").count().where("count > 1")
     if again.take(1):  # rows that repeat a kept one
-        one = F.row_number().over(Window.partitionBy("__near_id", "__near_key").orderBy(F.lit(0)))
+        one = F.row_number().over(Window.partitionBy("__near_id", "__near_key").orderBy(row_hash(docs)))
         rows = rows.withColumn("__near_turn", one).where("__near_turn = 1")
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -75,6 +75,11 @@ def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if found <= (limit or BROADCAST_BYTES) else df.hint("merge")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns that can be hashed, by which rows that tie otherwise are ordered alike in every run."""
+    return F.xxhash64(F.lit(0), *[F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
 def ordered_id(col: Column) -> Column:
     return F.coalesce(col.cast("long"), F.lit(NO_ID))
 

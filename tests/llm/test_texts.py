@@ -75,33 +75,83 @@ def test_mixing_meets_targets(spark):
 
 
 def test_mixing_goes_on_after_a_large_document(spark):
-    u = mixing.uniform(7, F.col("id") + 100_000, F.xxhash64(F.lit(7), F.lit("w " * 12_000)))
+    u = mixing.uniform(7, F.lit("a"), F.col("id") + 100_000, F.xxhash64(F.lit(7), F.lit("w " * 12_000)))
     large = spark.range(1000).where((u > 0.36) & (u < 0.45)).first().id + 100_000
     rows = [(i, "w w", "a") for i in range(12_000)] + [(large, "w " * 12_000, "a")] + [(20_000 + i, "w " * 12, "b") for i in range(2000)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).groupBy("source_size").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
     assert len(got) == 2 and all(r.target - 12 < r.taken <= r.target for r in got)
 
 
-def test_mixing_like_one_pass(spark, monkeypatch):
-    rng = random.Random(11)
-    rows = [(i, "w " * rng.choice([3, 5, 8, 400, 900]), f"s{rng.randrange(3)}") for i in range(900)]
-    rows += [rows[k] for k in range(0, 900, 9)] * 4
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    key = F.xxhash64(F.lit(7), "text")
-    order = {r.doc_id: r.u for r in df.select("doc_id", mixing.uniform(7, F.col("doc_id"), key).alias("u")).collect()}
+def _plain_mix(rows, order):
+    """Words taken of each (id, source), by a Pareto sample of each source: q, ranked whole, one document after another."""
     sizes = {}
     for _, t, s in rows:
         sizes[s] = sizes.get(s, 0) + len(t.split())
     want, target = {}, _targets(sizes)
     for s, n in sizes.items():
-        left = target[s] - target[s] // n * n
-        for i, t, _ in sorted((r for r in rows if r[2] == s), key=lambda r: order[r[0]]):
-            size = len(t.split())
+        own = [(i, len(t.split())) for i, t, x in rows if x == s]
+        whole = int(target[s] / n + 1e-12)
+        room = target[s] - whole * n
+        low, high = 0.0, 1.0  # of c in p = min(1, c * digits)
+        for _ in range(200):
+            c = (low + high) / 2
+            low, high = (c, high) if sum(min(1, c * size.bit_length()) * size for _, size in own) < room else (low, c)
+        sure = {size for _, size in own if low * size.bit_length() > 1 - 1e-9}
+        left = room - sum(size for _, size in own if size in sure)
+        ranked = []
+        for i, size in own:
+            p, u = min(1, low * size.bit_length()), order[i, s]
+            want[i, s] = want.get((i, s), 0) + size * (whole + (size in sure))
+            if size not in sure:
+                ranked.append((u / (1 - u) / (p / (1 - p)), i, size))
+        for _, i, size in sorted(ranked):
             more = size <= left
             left -= size * more
-            want[i] = want.get(i, 0) + size * int(target[s] // n + more)
+            want[i, s] += size * more
+    return want
+
+
+def _uniforms(df):
+    return {(r.doc_id, r.source): r.u for r in df.select("doc_id", "source", mixing.uniform(7, F.col("source"), F.col("doc_id"), F.xxhash64(F.lit(7), "text")).alias("u")).collect()}
+
+
+def test_mixing_like_one_pass(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(i, "w " * rng.choice([3, 5, 8, 400, 900]), f"s{rng.randrange(3)}") for i in range(900)]
+    rows += [rows[k] for k in range(0, 900, 9)] * 4
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     monkeypatch.setattr(mixing, "TRY", 20)  # many rounds
-    assert {r.doc_id: r.taken for r in mixing.mix(df).groupBy("doc_id").agg(F.sum("taken").alias("taken")).collect()} == want
+    got = {(r.doc_id, r.source): r.taken for r in mixing.with_copies(df).groupBy("doc_id", "source").agg(F.sum(F.col("__mix_copies") * F.col("__mix_size")).alias("taken")).collect()}
+    assert got == _plain_mix(rows, _uniforms(df))
+
+
+def test_mixing_of_ids_in_two_sources(spark):
+    """The same ids and texts in two sources, rows in two orders, and rows that differ in another column only."""
+    rows = [(i, "w " * (i + 1), "a", "x") for i in range(400)] + [(i, "w " * (i + 1), "b", "x") for i in range(100, 300)]
+    rows += [(i, "w " * (i + 1), "b", lang) for i in range(100, 300, 3) for lang in "yz"]
+    schema = "doc_id long, text string, source string, lang string"
+    one, two = (spark.createDataFrame(r, schema).repartition(n) for r, n in ((rows, 2), (rows[::-1], 5)))
+    first = sorted(mixing.repeat(one).collect())
+    assert first == sorted(mixing.repeat(two).collect())
+    sums = mixing.mix(one).groupBy("source_size").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert len(sums) == 2 and all(r.target - 400 < r.taken <= r.target + 1e-6 for r in sums)
+    got = {}
+    for i, t, s, _ in first:
+        got[i, s] = got.get((i, s), 0) + len(t.split())
+    want = _plain_mix([r[:3] for r in rows], _uniforms(one))
+    assert got == {k: n for k, n in want.items() if n}
+
+
+def test_mixing_includes_by_odds(spark):
+    """Documents of a size are taken as often as their inclusion probability says, up to chance (five deviations)."""
+    rows = [(i, "w " * (1 + i % 4 * 20), "a") for i in range(8000)] + [(10_000 + i, "w " * 31, "b") for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mean = {r["__mix_size"]: r.n for r in mixing.with_copies(df).where("source = 'a'").groupBy("__mix_size").agg(F.avg("__mix_copies").alias("n")).collect()}
+    target = (2000 * 124 + 8000 * 31) / 3
+    c = target / (2000 * sum(n * n.bit_length() for n in (1, 21, 41, 61)))
+    for n in (1, 21, 41, 61):
+        p = c * n.bit_length()
+        assert abs(mean[n] - p) < 5 * (p * (1 - p) / 2000) ** 0.5, (n, mean, p)
 
 
 def test_quality(odd, odd_rows, labels, nothing):

@@ -7,14 +7,15 @@ the expected number of toxic words among those of at least FLOOR, and of the odd
 likely word are ordered too.  Words of at least a half, joined to runs, are the spans.
 
 Words are labelled from document labels: a feature that many toxic training documents and almost no clean one
-have marks its words in toxic documents; all other words are clean.  The field is fitted to whole texts, every word of them, by
+have marks its words in toxic documents; all other words are clean.  The field is fitted to whole texts, each as one chain, by
 the gradient of the likelihood: marginals against labels for weights, pair marginals against pairs for transitions.
-The fit uses at most SAMPLE toxic and SAMPLE clean documents (by a hash of their ids) of at most LONGEST bytes, brought to the driver;
-scoring is one pass over all texts without a shuffle.
+The fit uses a sample of labelled rows, brought to the driver, which two parameters bound: about ``sample`` documents of each label, by a
+hash of their ids, and ``most_bytes`` of text in all, taken in the order of a hash of id and text, passing over what no longer fits.  No text
+is left out for its length, unless it is larger than most_bytes by itself.  Scoring is one pass over all texts without a shuffle.
 
 Defined results: a null text is the empty text and has no toxic words; without labelled rows of both kinds every
-score is next to 0; of several labels for a doc_id the largest counts; rows that repeat an id are scored each; texts with the same
-words have the same score; very long texts are scored whole; an empty table gives an empty result; columns other than doc_id and text are
+score is next to 0; of several labels for a doc_id the largest counts; rows that repeat an id are scored each, and rows that repeat id and
+text are learnt from once; texts with the same words have the same score, so they tie, and the order of rows decides nothing; very long texts are scored whole; an empty table gives an empty result; columns other than doc_id and text are
 not read, whatever their names.
 """
 
@@ -33,16 +34,16 @@ from pyspark.sql import functions as F
 
 from .rolling import grouped
 
-#: Documents of each label that the field is fitted on, at most.
+#: Documents of each label that the field is fitted on, about, and half again at most; a parameter of ``fit`` and ``predictions``.
 SAMPLE = 3000
-#: Bytes of a text that the field is fitted on, at most.
-LONGEST = 1 << 17
+#: Bytes of the texts that the field is fitted on, at most; a parameter likewise.
+MOST_BYTES = 64 << 20
 SLOTS = 1 << 18
 CACHE_WORDS = 200_000
 FLOOR = 0.5
 CUT = 0.3
 GROUP_BYTES = 2 << 20
-WINDOW = 32  # words that are learnt from as one sequence
+STEP_WORDS = 1 << 14  # words of whole texts that one step learns from; a longer text is a step by itself
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -150,8 +151,9 @@ def _scan(maps: np.ndarray) -> np.ndarray:
     return out.T.ravel()[:n]
 
 
-def _chained(e: np.ndarray, first: np.ndarray, moves: np.ndarray, start: float) -> np.ndarray:
-    """P(toxic) at each place of sequences in one array that begin at first."""
+def _odds(e: np.ndarray, first: np.ndarray, moves: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """exp(e), and the odds of toxic to clean at each place of sequences in one array that begin at first: from what comes up to
+    the place, and from what follows it."""
     x = np.exp(np.clip(e, -25, 25))
     (cc, ct), (tc, tt) = moves
     ahead = np.stack([tt * x, ct * x, np.full_like(x, tc), np.full_like(x, cc)], 1)
@@ -160,26 +162,21 @@ def _chained(e: np.ndarray, first: np.ndarray, moves: np.ndarray, start: float)
     behind[first] = [0.0, 1.0, 0.0, 1.0]
     # the odds that place t has from what follows it: the map of place t + 1
     behind = np.concatenate([[[0.0, 1.0, 0.0, 1.0]], behind[:0:-1]])
-    odds = _scan(ahead) * _scan(behind)[::-1]
+    return x, _scan(ahead), _scan(behind)[::-1]
+
+
+def _chained(e: np.ndarray, first: np.ndarray, moves: np.ndarray, start: float) -> np.ndarray:
+    """P(toxic) at each place."""
+    _, forward, behind = _odds(e, first, moves, start)
+    odds = forward * behind
     return odds / (1 + odds)
 
 
-def _chains(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
-    """P(toxic) at each place of padded columns, by forward and backward odds of toxic to clean; and P(tag, next tag)."""
-    x = np.exp(np.clip(e, -25, 25))
-    n = len(x)
+def _pairs(e: np.ndarray, first: np.ndarray, moves: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic) at each place, and P(tag, next tag) at each place but the last; what spans two sequences means nothing."""
+    x, forward, behind = _odds(e, first, moves, start)
     (cc, ct), (tc, tt) = moves
-    forward, behind = np.empty_like(x), np.ones_like(x)
-    r = start * x[0]
-    forward[0] = r
-    for t in range(1, n):
-        r = x[t] * (ct + r * tt) / (cc + r * tc)
-        forward[t] = r
-    for t in range(n - 1, 0, -1):
-        y = x[t] * behind[t]
-        behind[t - 1] = np.where(t < lengths, (tc + tt * y) / (cc + ct * y), 1.0)
-    odds = forward * behind
-    ahead = x[1:] * behind[1:]
+    odds, ahead = forward * behind, x[1:] * behind[1:]
     pairs = np.array([[np.full_like(ahead, cc), ct * ahead], [forward[:-1] * tc, forward[:-1] * tt * ahead]])
     return odds / (1 + odds), pairs / pairs.sum((0, 1))
 
@@ -238,40 +235,34 @@ def train_weights(toxic: list[str], clean: list[str], epochs: int = 4, rate: flo
     telling = np.array([any(f in marks for f in fs) for fs in found] + [False])
     counts = np.array([len(words) for words in (*bad, *good)], np.int64)
     tagged = telling[tokens] & np.repeat(np.arange(len(counts)) < len(bad), counts)
-    # whole texts as windows, the last of a text filled up
-    each = -(-counts // WINDOW)
-    if not each.sum():
+    if not len(tokens):
         return Field(np.zeros(SLOTS), np.array([[0.0, -30.0], [0.0, -30.0]]), -30.0)
-    owner = np.repeat(np.arange(len(counts)), each)
-    first = (np.arange(len(owner)) - (np.cumsum(each) - each)[owner]) * WINDOW
-    lengths = np.minimum(WINDOW, counts[owner] - first)
-    at = ((np.cumsum(counts) - counts)[owner] + first)[:, None] + np.arange(WINDOW)
-    inside = np.arange(WINDOW) < lengths[:, None]
-    at = np.minimum(at, len(tokens) - 1)
-    token, tag = np.where(inside, tokens[at], len(found)), tagged[at] & inside
+    offsets = np.cumsum(counts) - counts
     w, seen = np.zeros(SLOTS + 1), np.full(SLOTS + 1, 1e-3)
     moves, start = np.array([[0.0, -4.0], [0.0, -2.0]]), -4.0
     for _ in range(epochs):
-        order = rng.permutation(len(owner))
-        for b in range(0, len(order), 512):
-            part = order[b : b + 512]
-            n = int(lengths[part].max())
-            x, y, on = slots[token[part, :n].T], tag[part, :n].T.astype(float), inside[part, :n].T
-            p, q = _chains(w[x].sum(2), lengths[part], np.exp(moves), np.exp(start))
-            g = (p - y) * on
-            grad = np.bincount(x.ravel(), np.repeat(g.ravel(), x.shape[2]), minlength=SLOTS + 1) / len(part)
+        order = rng.permutation(np.flatnonzero(counts))
+        for a, z in grouped(counts[order].tolist(), STEP_WORDS):
+            part = order[a:z]
+            at = np.concatenate([np.arange(offsets[d], offsets[d] + counts[d]) for d in part])
+            first = np.cumsum(counts[part]) - counts[part]
+            x, y = slots[tokens[at]], tagged[at].astype(float)
+            p, q = _pairs(w[x].sum(1), first, np.exp(moves), np.exp(start))
+            grad = np.bincount(x.ravel(), np.repeat(p - y, x.shape[1]), minlength=SLOTS + 1) * (32 / len(at))
             grad[SLOTS] = 0.0
             hit = np.flatnonzero(grad)
             grad[hit] += 1e-6 * w[hit]
             seen[hit] += grad[hit] ** 2
             w[hit] -= rate * grad[hit] / np.sqrt(seen[hit])
-            # transitions by the given and the expected counts of neighbours
-            both = on[1:]
+            # transitions by the given and the expected counts of neighbours in a text
+            both = np.ones(len(at), bool)
+            both[first] = False
+            both = both[1:]
             scale = 0.5 / max(1.0, both.sum() / 20)
-            for a in (0, 1):
-                given = ((y[:-1] if a else 1 - y[:-1]) * y[1:])[both].sum()
-                moves[a, 1] += scale * (given - q[a, 1][both].sum())
-            start += 0.5 * (y[0].sum() - p[0].sum()) / len(part)
+            for tag in (0, 1):
+                given = ((y[:-1] if tag else 1 - y[:-1]) * y[1:])[both].sum()
+                moves[tag, 1] += scale * (given - q[tag, 1][both].sum())
+            start += 0.5 * (y[first].sum() - p[first].sum()) / len(part)
             moves, start = np.clip(moves, -9, 3), float(np.clip(start, -9, 0))
     return Field(w[:SLOTS], moves, start)
 
@@ -280,17 +271,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Field:
-    """From labels (doc_id, toxic) that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_bytes: int = MOST_BYTES) -> Field:
+    """From labels (doc_id, toxic) that are not held out: about sample documents of each label, of most_bytes in all."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     part = F.lit(0.0)
     for value, n in counts.items():
-        part = F.when(F.col("toxic") == value, F.lit(min(1.0, SAMPLE / n))).otherwise(part)
+        part = F.when(F.col("toxic") == value, F.lit(min(1.0, sample / n))).otherwise(part)
     share = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(13)), 11).cast("double") / float(1 << 53)
-    picked = known.where(share < part)  # about 2 * SAMPLE rows
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= LONGEST)
-    rows = texts.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id", "text")).limit(3 * SAMPLE).select("text", "toxic").collect()
+    picked = known.where(share < part)  # about 2 * sample rows
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.octet_length(text).alias("size"), F.xxhash64("doc_id", text).alias("at")).join(F.broadcast(picked), "doc_id")
+    chosen, left = [], most_bytes
+    for r in rows.select("at", "size").distinct().orderBy("at").limit(3 * sample).collect():
+        if r["size"] <= left:
+            chosen.append((r["at"],))
+            left -= r["size"]
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(chosen, "at long"))  # at most 3 * sample numbers
+    rows = rows.join(chosen, "at").groupBy("at").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).orderBy("at").collect()
     return train([r["text"] for r in rows if r["toxic"] == 1], [r["text"] for r in rows if r["toxic"] == 0])
 
 
@@ -313,9 +311,9 @@ def text_spans(text: str, p: np.ndarray) -> list[tuple[int, int, float]]:
     return [tuple(x) for x in out]
 
 
-def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def predictions(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_bytes: int = MOST_BYTES) -> DataFrame:
     """doc_id, held_out, score, predicted, spans: array of (start, end, probability), offsets in code points."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample, most_bytes))
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

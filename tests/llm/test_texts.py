@@ -226,6 +226,26 @@ def test_toxicity_tables(odd, odd_rows, labels, nothing):
     assert sorted(map(str, crf_toxicity.predictions(odd, both).collect())) == sorted(map(str, got))
 
 
+def _chains(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic) at each place of padded columns, by forward and backward odds of toxic to clean; and P(tag, next tag)."""
+    x = np.exp(np.clip(e, -25, 25))
+    n = len(x)
+    (cc, ct), (tc, tt) = moves
+    forward, behind = np.empty_like(x), np.ones_like(x)
+    r = start * x[0]
+    forward[0] = r
+    for t in range(1, n):
+        r = x[t] * (ct + r * tt) / (cc + r * tc)
+        forward[t] = r
+    for t in range(n - 1, 0, -1):
+        y = x[t] * behind[t]
+        behind[t - 1] = np.where(t < lengths, (tc + tt * y) / (cc + ct * y), 1.0)
+    odds = forward * behind
+    ahead = x[1:] * behind[1:]
+    pairs = np.array([[np.full_like(ahead, cc), ct * ahead], [forward[:-1] * tc, forward[:-1] * tt * ahead]])
+    return odds / (1 + odds), pairs / pairs.sum((0, 1))
+
+
 def test_marginals_by_enumeration():
     import itertools
 
@@ -237,8 +257,8 @@ def test_marginals_by_enumeration():
     seqs = [rng.normal(-2, 5, n) for n in rng.integers(1, 300, 30)]
     ends = np.cumsum([len(s) for s in seqs])
     p = crf_toxicity._chained(np.concatenate(seqs), ends - [len(s) for s in seqs], moves, start)
-    assert np.allclose(p, np.concatenate([crf_toxicity._chains(s[:, None], np.array([len(s)]), moves, start)[0][:, 0] for s in seqs]))
-    p, q = crf_toxicity._chains(np.stack([e, np.where(np.arange(8) < 5, e, 9.0)], 1), np.array([8, 5]), moves, start)
+    assert np.allclose(p, np.concatenate([_chains(s[:, None], np.array([len(s)]), moves, start)[0][:, 0] for s in seqs]))
+    p, q = _chains(np.stack([e, np.where(np.arange(8) < 5, e, 9.0)], 1), np.array([8, 5]), moves, start)
     assert np.allclose(p[:, 0], want)
     total = sum(w for _, w in every)
     for t in range(7):
@@ -260,6 +280,30 @@ def test_training_learns_late_words():
     assert p[2] > 0.5 > max(p[[0, 1, 3]])
 
 
+def test_pairs_of_whole_chains():
+    rng = np.random.default_rng(4)
+    moves, sizes = np.exp(rng.normal(size=(2, 2))), [1, 70, 3, 200]
+    seqs = [rng.normal(size=n) * 3 for n in sizes]
+    first = np.cumsum(sizes) - sizes
+    p, q = crf_toxicity._pairs(np.concatenate(seqs), first, moves, 0.3)
+    for s, a in zip(seqs, first):
+        one, two = _chains(s[:, None], np.array([len(s)]), moves, 0.3)
+        assert np.allclose(p[a : a + len(s)], one[:, 0]) and np.allclose(q[:, :, a : a + len(s) - 1], two[..., 0])
+
+
+def test_toxicity_learns_from_very_long_texts(spark):
+    """The only texts that name a word as toxic have over a megabyte; too few bytes for them leave it unknown."""
+    rng = random.Random(6)
+    prose = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(rng.randrange(40)) for _ in range(n))
+    rows = [(i, prose(170_000) + "".join(f" {prose(3)} vile {prose(1)}" for _ in range(30)), 1) for i in range(8)] + [(100 + i, prose(60), 0) for i in range(80)]
+    assert all(len(t) > 1 << 20 for _, t, y in rows if y)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(8)
+    marks = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    slot = [k for k in crf_toxicity.features("vile")]
+    assert crf_toxicity.fit(docs, marks).weights[slot].sum() > 1
+    assert not crf_toxicity.fit(docs, marks, most_bytes=1 << 20).weights[slot].any()
+
+
 def test_spans():
     p = np.array([0.1, 0.9, 0.7, 0.2, 0.6])
     assert crf_toxicity.text_spans("a bad word is  here", p) == [(2, 10, 0.9), (15, 19, 0.6)]

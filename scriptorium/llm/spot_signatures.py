@@ -1,9 +1,10 @@
 """Document fingerprints by SpotSigs (DataFrame operations only).
 
-A spot is a run of common words (anchors) followed by a content word.  Its signature is the last anchor of the
-run and the chain of the next two content words, whatever anchors stand between them.  Every pair of neighbouring
-words, and the last word, is a signature as well, in every text, so that texts with few anchors or none can be told apart and an edit
-changes only the signatures that hold it.  The fingerprint is the set of a text's signatures, as 32-bit hashes in
+A spot is a run of common words (anchors); the text's beginning counts as an anchor, so every text has one.  The
+content words that follow a spot, up to the next one, are a chain, cut into links of two words; a link that holds one word
+takes the next content word as well, across the anchors between them.  A signature is the last anchor of the spot and a link.  A text's last word counts as a content
+word.  So an edit changes the signatures from its place to the next spot at most, and texts without common words have
+one chain of all their words.  The fingerprint is the set of a text's signatures, as 32-bit hashes in
 order.  Likeness is the Jaccard similarity of two sets.
 
 ``similar`` finds all pairs of fingerprints at a threshold: sets are dealt to partitions by length, such that a
@@ -52,29 +53,31 @@ def _any_of(words: list[str]) -> str:
     return "" if not branches else f"(?:{'|'.join(branches)})" + "?" * ends
 
 
-def _spots(words: Column, anchors: list[str]) -> Column:
-    """Hashes of the signatures of all spots.  No pattern repeats a group, as those recurse in the JVM."""
-    marked = F.regexp_replace(words, rf"(?<![^ ])({_any_of(sorted(set(anchors)))})(?= )", "\u0001$1")
-    spots = F.regexp_replace(marked, "\u0001[^ ]+ (?=\u0001)", "")
-    chains = F.regexp_replace(spots, "\u0001([^ ]+) ([^ ]+)(?= (?:\u0001[^ ]+ )?([^ ]+))", "\u0002$1 $2 $3\u0003")
-    return F.transform(F.regexp_extract_all(chains, F.lit("\u0002([^\u0003]*)\u0003"), F.lit(1)), lambda x: F.hash(x))
-
-
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with the value computed once however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _links(chain: Column) -> Column:
+    """Hashes of an anchor and two words each, of a chain "anchor word word ... following", whose last word begins no link."""
+    s = F.split(chain, " ")
+    return _let(s, lambda w: F.filter(F.transform(w, lambda x, i: F.when((i % 2 == 1) & (i < F.size(w) - 1), F.hash(F.get(w, F.lit(0)), x, F.get(w, i + 1)))), lambda h: h.isNotNull()))
+
+
+def _spots(words: Column, anchors: list[str]) -> Column:
+    """Hashes of the signatures of all spots.  No pattern repeats a group, as those recurse in the JVM."""
+    marked = F.regexp_replace(words, rf"(?<![^ ])({_any_of(sorted(set(anchors)))})(?= )", "\u0001$1")
+    spots = F.regexp_replace(F.concat(F.lit(" "), marked, F.lit(" \u0002")), "\u0001[^ ]+ (?=\u0001)", "")
+    # each chain also takes the first word of the next one, and the last chain a mark of the end
+    chains = F.regexp_replace(spots, " \u0001([^ ]+) ([^ ]+)", " $2\u0001$1 $2")
+    return F.flatten(F.transform(F.split(chains, "\u0001"), _links))
+
+
 def signatures(text: Column, anchors: list[str] = ANCHORS) -> Column:
     """The sorted set of a text's signatures."""
     none = F.array().cast("array<int>")
-
-    def pairs(words: Column) -> Column:
-        every = _let(F.split(words, " "), lambda s: F.zip_with(s, F.slice(s, F.lit(2), F.size(s)), lambda a, b: F.hash(a, b)))
-        return F.when(words == "", none).otherwise(every)
-
     words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    found = _let(words, lambda w: F.concat(_spots(w, anchors), pairs(w)))
+    found = _let(words, lambda w: F.when(w == "", none).otherwise(_spots(w, anchors)))
     return F.array_sort(F.array_distinct(found))
 
 

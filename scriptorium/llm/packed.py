@@ -222,7 +222,8 @@ def pieces(texts: list, overlap: int) -> tuple[list, np.ndarray, np.ndarray]:
 
 
 class Places:
-    """Places of keys in a task's documents, each key once for tasks elsewhere; places that the task itself finds shared are known.
+    """Places of keys in a task's documents: those that the task itself finds shared are known, and one of them goes to tasks elsewhere; of a key
+    that it does not find shared all places go, as one document, or rows with one id, may hold it several times.
 
     A key is 48 bits of a hash: keys that collide are shared by mistake, which costs work and no result, as what is
     shared is compared afterwards."""
@@ -253,6 +254,7 @@ class Places:
         known = np.repeat(several, size)
         n = np.zeros(len(hashes), np.int64)
         n[first] = np.where(several, np.maximum(np.add.reduceat(docs, first, dtype=np.int64), 2), 1)
+        n[~known] = 1  # all places of a key that only documents elsewhere may share
         asked = np.flatnonzero(n > 0)
         yield from split(KEYS, of_hash(hashes, self.buckets), [hashes, ids, keys, places, n], asked)
         mine = np.flatnonzero(known)

@@ -75,6 +75,18 @@ def _words_brute(rows):
     return out
 
 
+def test_word_windows_twice_in_a_later_document(spark):
+    """A passage that stands twice in a document, a multiple of the period apart, or in two rows of one id, goes each time where another task has the smaller id."""
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    passage = words(63)
+    tasks = [[(1, words(40) + passage)], [(5, words(17) + passage + words(92) + passage + words(5))], [(7, passage + words(33)), (7, words(186) + passage)]]
+    rows = [[(i, " ".join(w)) for i, w in task] for task in tasks]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3).flatMap(lambda task: task), "doc_id long, text string")
+    got = Counter((_id(r.doc_id), *r[1:]) for r in word_windows.digests(docs).collect())
+    assert got == _words_brute([r for task in rows for r in task])
+
+
 def test_word_windows(odd, odd_rows, nothing):
     got = Counter((_id(r.doc_id), *r[1:]) for r in word_windows.digests(odd).collect())
     assert got == _words_brute(odd_rows)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import coerce, labels, text
+from ..sources import tables
 
 
 def declared(df: DataFrame, schema: dict[str, str]) -> DataFrame:
@@ -153,7 +154,7 @@ def overlaps(left: DataFrame, right: DataFrame, keys: list[str], grid: float = 3
     low = [F.greatest(c, f"d_{c}") for c in ("x0", "y0")]
     high = [F.least(c, f"d_{c}") for c in ("x1", "y1")]
     one, other, on = dealt(left, "", TOP), dealt(right, "d_", TOP), [*keys, "level", "gx", "gy"]
-    met = one.where("level = own").join(other, on).unionByName(one.where("level > own").join(other.where("level = d_own"), on))
+    met = one.where("level = own").join(tables.shuffled(other), on).unionByName(one.where("level > own").join(tables.shuffled(other.where("level = d_own")), on))
     met = met.where((high[0] > low[0]) & (high[1] > low[1]) & (F.col("gx") == F.floor(low[0] / edge)) & (F.col("gy") == F.floor(low[1] / edge)))
     return met.withColumn("common", (high[0] - low[0]) * (high[1] - low[1])).drop("level", "gx", "gy", "own", "d_own")
 

@@ -41,6 +41,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that is never sent whole through the driver: of rows that were exploded or cut, Spark guesses the size from the files
+    that they came from, which is many times too small."""
+    return df.hint("merge")
+
+
 def streamed(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table as a stream of its files.  The pattern lets the table be one file, which a path of a stream may not be."""
     return spark.readStream.schema(parquet(spark, folder, name).schema).parquet(f"{folder}/{name}.parque[t]")

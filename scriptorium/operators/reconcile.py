@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions import labels
+from ..sources import tables
 
 #: X alone is a letter here; what a guard wrote that the scheme may settle; how much of a text counts.
 ROMANS = frozenset(labels.ROMANS) - {"x"}
@@ -167,7 +168,7 @@ def reconciled(rows: DataFrame, expected: DataFrame) -> DataFrame:
     back; texts of moved rows get the new label; guards' warnings go where the scheme confirms the id."""
     lists = expected.groupBy("paper").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("expected"))
     held = rows.select("paper", "seq", "label", "body", "urls", "warnings", "needs_review")
-    joined = held.join(lists, "paper", "left").withColumn("expected", F.coalesce("expected", F.array().cast("array<string>")))
+    joined = held.join(tables.shuffled(lists), "paper", "left").withColumn("expected", F.coalesce("expected", F.array().cast("array<string>")))
     joined = joined.withColumns({"rest": labels.remainder(F.col("body")), "span": F.trim(labels.span(F.col("body")))})
     schema = T.StructType([*held.schema.fields, T.StructField("rest", T.StringType()), T.StructField("span", T.StringType()), T.StructField("stem", T.StringType()), T.StructField("moved", T.BooleanType())])
 
@@ -189,7 +190,7 @@ def split_hints(rows: DataFrame, missing: DataFrame) -> DataFrame:
     want = missing.select("paper", "id", labels.immediate_parent(p).alias("parent"), labels.terminal_rank(F.element_at(p, -1)).alias("rank"), labels.shown(p).alias("shown"))
     q = labels.parts(F.col("label"))
     have = rows.select("paper", "seq", F.col("label").alias("source_id"), "body", labels.immediate_parent(q).alias("parent"), labels.terminal_rank(F.element_at(q, -1)).alias("source_rank"))
-    met = want.join(have, ["paper", "parent"]).where("source_id <> id")
+    met = want.join(tables.shuffled(have), ["paper", "parent"]).where("source_id <> id")
     squeezed = lambda c: F.regexp_replace(c, r"\s+", "")
     near = (F.col("rank.kind") == F.col("source_rank.kind")) & (F.abs(F.col("rank.rank") - F.col("source_rank.rank")) <= 2)
     met = met.withColumn("tier", F.when(F.contains(squeezed(F.col("body")), F.col("shown")), 1).when(near, 2)).where("tier is not null")
@@ -201,7 +202,7 @@ def split_warnings(rows: DataFrame, hints: DataFrame) -> DataFrame:
     """rows with a warning for each id that a hint says they hold; the row is to be reviewed."""
     message = F.concat(F.lit("may also hold "), F.col("missing_id"))
     found = hints.groupBy("paper", F.col("source_id").alias("label")).agg(F.array_sort(F.collect_set(message)).alias("__said"))
-    out = rows.join(found, ["paper", "label"], "left")
+    out = rows.join(tables.shuffled(found), ["paper", "label"], "left")
     said = F.coalesce("__said", F.array().cast("array<string>"))
     return out.withColumns({"warnings": F.array_union(F.coalesce("warnings", F.array().cast("array<string>")), said), "needs_review": F.coalesce("needs_review", F.lit(False)) | (F.size(said) > 0)}).drop("__said")
 
@@ -215,6 +216,6 @@ def rescue_sources(rows: DataFrame, missing: DataFrame) -> DataFrame:
     own = F.split("label", r"\.")
     above = F.array_join(F.slice(own, F.lit(1), F.greatest(F.size(own) - 1, F.lit(0))), ".")
     have = rows.select("paper", "seq", "label", F.explode(F.array(F.struct(F.lit(True).alias("sibling"), above.alias("key")), F.struct(F.lit(False).alias("sibling"), F.col("label").alias("key")))).alias("x")).select("paper", "seq", "label", "x.*").where("key <> ''")
-    met = want.join(have, ["paper", "key", "sibling"]).where("label <> id")
+    met = want.join(tables.shuffled(have), ["paper", "key", "sibling"]).where("label <> id")
     w = Window.partitionBy("paper", "id").orderBy("tier", "seq")
     return met.withColumn("n", F.row_number().over(w)).where("n = 1").select("paper", F.col("id").alias("missing_id"), F.col("label").alias("source_id"), F.element_at(F.array(F.lit("sibling"), F.lit("parent"), F.lit("grandparent")), F.col("tier") + 1).alias("kind"))

@@ -27,7 +27,7 @@ def page_segments(missing: DataFrame, pages: DataFrame) -> DataFrame:
     want = missing.select("paper", "id", F.get(p, F.lit(0)).alias("root"), p.alias("p")).where(F.col("root").rlike(r"^\d{1,2}$"))
     numbers = F.array_distinct(F.regexp_extract_all("page_text", F.lit(r"(?<!\d)(\d{1,2})(?!\d)"), F.lit(1)))
     squeezed = F.regexp_replace(F.lower("page_text"), r"\s+", "")
-    met = want.join(pages.select("paper", "page", "page_text", squeezed.alias("__squeezed"), F.explode(numbers).alias("root")), ["paper", "root"])
+    met = want.join(tables.shuffled(pages.select("paper", "page", "page_text", squeezed.alias("__squeezed"), F.explode(numbers).alias("root"))), ["paper", "root"])
     # Patterns are tried where a page has the label, or the label above a deep one, whatever is around it.
     printed = lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x: F.concat(F.lit("("), F.lower(x), F.lit(")"))), ""))
     met = met.where(F.contains(F.col("__squeezed"), printed(F.when(F.size("p") >= DEEP, F.slice("p", F.lit(1), F.size("p") - 1)).otherwise(F.col("p")))))
@@ -49,7 +49,7 @@ def split_rows(rows: DataFrame, missing: DataFrame, pages: DataFrame) -> DataFra
     first = Window.partitionBy("paper", "label").orderBy("seq")
     held = rows.withColumn("__n", F.row_number().over(first)).where("__n = 1").select("paper", "seq", F.col("label").alias("source_id"), F.col("warnings").alias("before"))
     texts = page_segments(sources.select("paper", F.col("missing_id").alias("id")), pages).withColumnRenamed("id", "missing_id")
-    found = sources.join(texts, ["paper", "missing_id"]).join(held, ["paper", "source_id"])
+    found = sources.join(tables.shuffled(texts), ["paper", "missing_id"]).join(tables.shuffled(held), ["paper", "source_id"])
     said = F.concat(F.lit("split from "), F.col("source_id"), F.lit(" with page text"))
     return found.select(
         "paper", "seq", F.col("missing_id").alias("label"), F.concat_ws(" ", labels.shown(F.split("missing_id", r"\.")), "body").alias("body"), F.array().cast("array<string>").alias("urls"),
@@ -64,13 +64,13 @@ def rescued(rows: DataFrame, expected: DataFrame, pages: DataFrame, most_rounds:
     columns = ["paper", "seq", "label", "body", "urls", "warnings", "needs_review"]
     wanted = tables.cut(expected.select("paper", "id").where("id IS NOT NULL").distinct())
     every = tables.cut(rows.select(*columns, F.lit(0).alias("round")))
-    missing = tables.cut(wanted.join(every.select("paper", F.col("label").alias("id")), ["paper", "id"], "left_anti"))
+    missing = tables.cut(wanted.join(tables.shuffled(every.select("paper", F.col("label").alias("id"))), ["paper", "id"], "left_anti"))
     left = missing.count()
     for k in range(1, most_rounds + 1):
         if not left:
             break
         new = tables.cut(split_rows(every.select(*columns), missing, pages).withColumn("round", F.lit(k)))
-        now = tables.cut(missing.join(new.select("paper", F.col("label").alias("id")), ["paper", "id"], "left_anti"))
+        now = tables.cut(missing.join(tables.shuffled(new.select("paper", F.col("label").alias("id"))), ["paper", "id"], "left_anti"))
         n = now.count()
         if n == left:
             break

@@ -28,3 +28,11 @@ def test_boxes_are_not_sent_whole(filed):
     found = filters.overlaps(left, right, ["page"])
     assert "Broadcast" not in _plan(found) and [r.common for r in found.collect()] == [16.0]
 
+
+def test_missing_ids_are_not_sent_whole(filed):
+    rows = filed([(1, 0, "2.a", "2(a) both", [], [], False)], ROWS)
+    missing = filed([(1, "2.a.i")], "paper int, id string")
+    pages = filed([(1, 0, "2(a)(i) Find the whole angle.")], "paper int, page int, page_text string")
+    found = rescue.split_rows(rows, missing, pages)
+    assert "Broadcast" not in _plan(found) and [r.body for r in found.collect()] == ["2(a)(i) Find the whole angle."]
+

@@ -61,17 +61,21 @@ TASK, LONG_TASK, SAME_TASK = 8, 24, 0.96
 
 
 def copied_tasks(rescued: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rescued rows (paper, label, body) whose task a sibling among rows has too: equal, or nearly so if both are long."""
+    """paper, label, sibling, once each: rescued rows (paper, label, body) whose task a sibling among rows has too: equal, or nearly so if both are long.
+
+    Only the different tasks under a parent are compared, however many rows have them; labels come to the tasks that are alike."""
     def tasks(df: DataFrame, label: str, task: str) -> DataFrame:
         p = F.split("label", r"\.")
         out = df.select("paper", F.col("label").alias(label), F.array_join(F.slice(p, F.lit(1), F.size(p) - 1), ".").alias("parent"), text.task(F.col("body")).alias(task))
-        return out.where((F.col("parent") != "") & (F.char_length(task) >= TASK))
+        return out.where((F.col("parent") != "") & (F.char_length(task) >= TASK)).distinct()
 
-    met = tasks(rescued, "label", "task").join(tasks(rows, "sibling", "sibling_task"), ["paper", "parent"]).where("label <> sibling")
+    one, other, on = tasks(rescued, "label", "task"), tasks(rows, "sibling", "sibling_task"), ["paper", "parent"]
+    met = one.select(*on, "task").distinct().join(other.select(*on, "sibling_task").distinct(), on)
     # a ratio of 0.96 needs lengths that close
     near = F.least(F.char_length("task"), F.char_length("sibling_task")) >= F.greatest(F.lit(LONG_TASK), 0.92 * F.greatest(F.char_length("task"), F.char_length("sibling_task")))
     met = met.where((F.col("task") == F.col("sibling_task")) | near)
-    return met.where((F.col("task") == F.col("sibling_task")) | (text.similarity("task", "sibling_task") >= SAME_TASK)).select("paper", "label", "sibling")
+    met = met.where((F.col("task") == F.col("sibling_task")) | (text.similarity_from("task", "sibling_task", F.lit(SAME_TASK)) >= SAME_TASK))
+    return met.join(one, [*on, "task"]).join(other, [*on, "sibling_task"]).where("label <> sibling").select("paper", "label", "sibling").distinct()
 
 
 def expected_ids(raw: DataFrame) -> DataFrame:

@@ -36,3 +36,14 @@ def test_missing_ids_are_not_sent_whole(filed):
     found = rescue.split_rows(rows, missing, pages)
     assert "Broadcast" not in _plan(found) and [r.body for r in found.collect()] == ["2(a)(i) Find the whole angle."]
 
+
+TASK = "find the area of the whole shape"
+
+
+def test_copied_tasks_of_many_rows_are_one_link(spark):
+    """Rows that repeat a task are not met in pairs."""
+    rows = [(1, f"7.{c}", f"7({c}) {TASK}{end}") for c, end in (("a", ""), ("b", ""), ("c", "s"), ("d", " and of nothing else")) for _ in range(300)]
+    df = spark.createDataFrame([*rows, (2, "7.e", f"7(e) {TASK}"), (None, "7.f", f"7(f) {TASK}")], "paper int, label string, body string").cache()
+    got = sorted(tuple(r) for r in joins.copied_tasks(df.where("label <> '7.b'"), df).collect())
+    assert got == [(1, a, b) for a, b in (("7.a", "7.b"), ("7.a", "7.c"), ("7.c", "7.a"), ("7.c", "7.b"))]
+

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels, text
+from ..sources import tables
 from . import filters, sequence, sets
 
 #: How far from the left a root, a label and an orphan may begin; lines of context that a row takes along.
@@ -86,14 +87,14 @@ class Scan:
 def skeleton(lines: DataFrame, expected: DataFrame) -> DataFrame:
     """lines (paper, page, line_no, x0, y0, line) and expected (paper, pos, id) -> paper, pos, id, body: a row for each id that the lines show."""
     pages = lines.groupBy("paper", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), " ").alias("__text"))
-    shown = lines.join(pages.where(~filters.is_cover_page(F.col("__text"))).select("paper", "page"), ["paper", "page"], "left_semi")
+    shown = lines.join(tables.shuffled(pages.where(~filters.is_cover_page(F.col("__text"))).select("paper", "page")), ["paper", "page"], "left_semi")
     line = F.trim(F.regexp_replace("line", r"\s+", " "))
     shown = shown.withColumn("line", line).where(~filters.is_noise_line(F.col("line"), F.col("y0"), F.col("page") + 1) & (F.col("line") != ""))
     ordered = sets.reading_order(shown, ["paper"], ["page", "y0", "x0", "line_no"]).withColumn("parts", labels.parts(F.col("line")))
     tokens = labels.orphan_tokens(F.col("line"))
     tail = F.trim(F.regexp_replace("line", r"^(?:\s*\(\s*[A-Za-z]+\s*\)){1,5}", ""))
     lists = expected.groupBy("paper").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("expected"))
-    ready = ordered.join(lists, "paper").select("paper", "place", "line", "x0", F.when(labels.is_orphaned(F.col("parts")), "").otherwise(labels.canonical(F.col("parts"))).alias("own"), tokens.alias("tokens"), tail.alias("tail"), "expected")
+    ready = ordered.join(tables.shuffled(lists), "paper").select("paper", "place", "line", "x0", F.when(labels.is_orphaned(F.col("parts")), "").otherwise(labels.canonical(F.col("parts"))).alias("own"), tokens.alias("tokens"), tail.alias("tail"), "expected")
     scanned = sequence.ordered_pass(ready, "paper", ["place"], ["line", "x0", "own", "tokens", "tail", "expected"], Scan)
     part = F.split("new_label", "\x1f")
     rows = scanned.select("paper", "place", F.get(part, F.lit(0)).alias("id"), F.get(part, F.lit(1)).alias("line"), "expected").where("id <> ''")
@@ -101,7 +102,7 @@ def skeleton(lines: DataFrame, expected: DataFrame) -> DataFrame:
     found = rows.groupBy("paper", "id").agg(joined.alias("body"), F.first("expected").alias("expected"))
     found = found.withColumn("body", text.trimmed_siblings(F.col("body"), F.col("id"), F.col("expected")))
     first = expected.groupBy("paper", "id").agg(F.min("pos").alias("pos"))
-    return found.join(first, ["paper", "id"]).select("paper", "pos", "id", "body")
+    return found.join(tables.shuffled(first), ["paper", "id"]).select("paper", "pos", "id", "body")
 
 
 def page_roots(lines: DataFrame, expected: DataFrame, keep: int = 24) -> DataFrame:
@@ -109,9 +110,9 @@ def page_roots(lines: DataFrame, expected: DataFrame, keep: int = 24) -> DataFra
     p = labels.parts(F.col("line"))
     own = F.when((F.col("line_no") < 120) & (F.col("x0") <= ROOT_MARGIN) & ~labels.is_orphaned(p), F.get(p, F.lit(0)))
     roots = expected.select("paper", F.substring_index("id", ".", 1).alias("__root")).distinct()
-    heads = lines.withColumn("__root", own).join(roots, ["paper", "__root"], "left_semi").groupBy("paper", "page").agg(F.min_by("__root", F.struct("y0", "x0", "line_no")).alias("own"))
-    pages = lines.select("paper", "page").distinct().join(heads, ["paper", "page"], "left")
+    heads = lines.withColumn("__root", own).join(tables.shuffled(roots), ["paper", "__root"], "left_semi").groupBy("paper", "page").agg(F.min_by("__root", F.struct("y0", "x0", "line_no")).alias("own"))
+    pages = lines.select("paper", "page").distinct().join(tables.shuffled(heads), ["paper", "page"], "left")
     w = Window.partitionBy("paper").orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = pages.withColumn("root", F.last("own", ignorenulls=True).over(w)).where("root is not null").drop("own")
     ids = expected.groupBy("paper", F.substring_index("id", ".", 1).alias("root")).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]), 1, keep).alias("ids"))
-    return carried.join(ids, ["paper", "root"], "left").select("paper", "page", "root", "ids")
+    return carried.join(tables.shuffled(ids), ["paper", "root"], "left").select("paper", "page", "root", "ids")

@@ -17,13 +17,13 @@ def question_paper(lines: DataFrame, raw: DataFrame, answers: DataFrame) -> Data
     expected = tables.cut(joins.expected_ids(raw))
     local = tables.cut(skeleton.skeleton(lines, expected).select("paper", F.col("pos").cast("long").alias("seq"), F.col("id").alias("label"), "body"))
     known = expected.select("paper", F.col("id").alias("label"), F.col("pos").alias("place"))
-    more = answers.join(known, ["paper", "label"], "left_semi").join(local.select("paper", "label"), ["paper", "label"], "left_anti")
+    more = answers.join(tables.shuffled(known), ["paper", "label"], "left_semi").join(tables.shuffled(local.select("paper", "label")), ["paper", "label"], "left_anti")
     rows = sets.appended(local.withColumn("recovered", F.lit(False)), more.select("paper", "seq", "label", "body").withColumn("recovered", F.lit(True)))
     rows = rows.withColumns({"urls": F.array().cast("array<string>"), "warnings": F.array().cast("array<string>"), "needs_review": F.col("recovered")})
     rows = tables.cut(reconcile.reconciled(rows, expected.select("paper", "pos", "id")))
-    missing = expected.select("paper", F.col("id")).join(rows.select("paper", F.col("label").alias("id")), ["paper", "id"], "left_anti")
+    missing = expected.select("paper", F.col("id")).join(tables.shuffled(rows.select("paper", F.col("label").alias("id"))), ["paper", "id"], "left_anti")
     rows = reconcile.split_warnings(rows, reconcile.split_hints(rows, missing))
-    rows = rows.join(known, ["paper", "label"], "left").withColumns({"seq": F.coalesce(F.col("place"), F.lit(1 << 30)), "root": F.substring_index("label", ".", 1).try_cast("int")})
+    rows = rows.join(tables.shuffled(known), ["paper", "label"], "left").withColumns({"seq": F.coalesce(F.col("place"), F.lit(1 << 30)), "root": F.substring_index("label", ".", 1).try_cast("int")})
     return agg.envelope(rows, "paper", "root", ["label", "body", "warnings", "needs_review"])
 
 

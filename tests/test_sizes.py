@@ -47,3 +47,16 @@ def test_copied_tasks_of_many_rows_are_one_link(spark):
     got = sorted(tuple(r) for r in joins.copied_tasks(df.where("label <> '7.b'"), df).collect())
     assert got == [(1, a, b) for a, b in (("7.a", "7.b"), ("7.a", "7.c"), ("7.c", "7.a"), ("7.c", "7.b"))]
 
+
+def test_papers_are_not_sent_whole(filed):
+    rows = filed([(1, 0, "2.a", "2(a) both (b) too", [], [], False)], ROWS)
+    expected = filed([(1, 0, "2.a"), (1, 1, "2.b")], "paper int, pos int, id string")
+    lines = filed([(1, 0, 0, 50.0, 10.0, "2(a) Find the angle")], "paper int, page int, line_no int, x0 double, y0 double, line string")
+    hints = reconcile.split_hints(rows, expected.where("id = '2.b'"))
+    plans = [skeleton.skeleton(lines, expected), skeleton.page_roots(lines, expected), reconcile.reconciled(rows, expected), hints, reconcile.split_warnings(rows, hints)]
+    assert not [k for k, df in enumerate(plans) if "Broadcast" in _plan(df)]
+    raw = filed([(1, 0, "2(a)")], "paper int, pos int, value string")
+    answers = filed([(1, 9, "2.a", "2(a) again")], "paper int, seq int, label string, body string")
+    out = lifecycle.question_paper(lines, raw, answers)
+    assert "Broadcast" not in _plan(out) and [[q.body for q in r.questions] for r in out.collect()] == [["2(a) Find the angle"]]
+

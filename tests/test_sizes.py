@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from scriptorium.operators import filters, joins, reconcile, rescue, skeleton
@@ -60,3 +62,13 @@ def test_papers_are_not_sent_whole(filed):
     out = lifecycle.question_paper(lines, raw, answers)
     assert "Broadcast" not in _plan(out) and [[q.body for q in r.questions] for r in out.collect()] == [["2(a) Find the angle"]]
 
+
+def test_rescues_meet_the_different_tasks_only(spark):
+    """Before the tasks of rows meet, they are made distinct."""
+    rescued = spark.createDataFrame([(1, 0, f"7.{c}", f"7({c}) {t}", ["u"], [], False) for c, t in (("a", "find the first area"), ("b", "find the second area"), ("b", "find the second area"))], ROWS)
+    rows = spark.createDataFrame([(1, "7.c", "7(c) Find the first area!")] * 50, "paper int, label string, body string")
+    missing = spark.createDataFrame([(1, "7.a"), (1, "7.b")], "paper int, id string")
+    found = filters.accepted_rescues(rescued, missing, rows)
+    assert sorted(r.label for r in found.collect()) == ["7.b", "7.b"]
+    assert re.search(r"Aggregate \[paper#\d+, parent#\d+, sibling_task#\d+\]", found._jdf.queryExecution().optimizedPlan().toString())
+

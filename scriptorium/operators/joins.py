@@ -179,10 +179,11 @@ def baseline(lines: DataFrame, tolerance: float = 2.5, margin: float = 90.0, gap
 
 
 def consumed_once(wanted: DataFrame, coords: DataFrame, key: str) -> DataFrame:
-    """Each coord with the wanted row of the lowest (seq, priority) among its candidate keys."""
-    met = wanted.join(coords, key)
+    """Each coord with the wanted row of the lowest (seq, priority) among its candidate keys; of a key only its lowest row meets the coords."""
+    rest = [c for c in wanted.columns if c != key]
+    lowest = wanted.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct("seq", "priority")).alias("__row")).select(key, "__row.*")
     w = Window.partitionBy("coord_id").orderBy("seq", "priority")
-    return met.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    return lowest.join(coords, key).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
 #: What hints of a page are worth for a wanted id.

@@ -72,3 +72,14 @@ def test_rescues_meet_the_different_tasks_only(spark):
     assert sorted(r.label for r in found.collect()) == ["7.b", "7.b"]
     assert re.search(r"Aggregate \[paper#\d+, parent#\d+, sibling_task#\d+\]", found._jdf.queryExecution().optimizedPlan().toString())
 
+
+def test_coords_meet_the_lowest_row_of_a_key(spark):
+    """Of a key one row goes into the join, not all of them with all of its coords."""
+    wanted = spark.createDataFrame([("k", s, p, f"{s}-{p}") for s in (9, 4, 4, 7) for p in (2, 1)] + [("l", 3, None, "l"), ("m", 1, 1, "m"), (None, 0, 0, "none")], "key string, seq int, priority int, name string")
+    coords = spark.createDataFrame([("k", 1), ("k", 2), ("l", 2), ("n", 3), (None, 4)], "key string, coord_id int")
+    found = joins.consumed_once(wanted, coords, "key")
+    assert sorted(found.columns) == ["coord_id", "key", "name", "priority", "seq"]
+    assert sorted((r.coord_id, r.key, r.seq, r.priority, r.name) for r in found.collect()) == [(1, "k", 4, 1, "4-1"), (2, "l", 3, None, "l")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" in plan and plan.index("Join") < plan.index("min_by")
+

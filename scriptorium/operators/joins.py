@@ -11,11 +11,13 @@ from ..functions import coerce, text
 
 
 def parity(qp: DataFrame, ms: DataFrame, key: str) -> DataFrame:
-    """Distinct ids of either side with status exact, missing (only in ms) or extra (only in qp).  Two anti joins
-    and a semi join: a side that is small enough is broadcast, which a full outer join rules out."""
-    a, b = qp.select(key).distinct(), ms.select(key).distinct()
-    status = lambda df, s: df.withColumn("status", F.lit(s))
-    return status(a.join(b, key, "left_semi"), "exact").unionByName(status(b.join(a, key, "left_anti"), "missing")).unionByName(status(a.join(b, key, "left_anti"), "extra"))
+    """Distinct ids of either side with status exact, missing (only in ms) or extra (only in qp).  One aggregate of both sides, which can spill:
+    no side is sent whole or joined.  Null ids equal no other."""
+    side = lambda df, q: df.select(key, F.lit(q).alias("__q"), F.lit(not q).alias("__m"))
+    met = side(qp, True).unionByName(side(ms, False)).groupBy(key).agg(F.max("__q").alias("__q"), F.max("__m").alias("__m"))
+    alone = F.array_compact(F.array(F.when(F.col("__m"), "missing"), F.when(F.col("__q"), "extra")))
+    both = F.col("__q") & F.col("__m") & F.col(key).isNotNull()
+    return met.select(key, F.explode(F.when(both, F.array(F.lit("exact"))).otherwise(alone)).alias("status"))
 
 
 def covered(ids: DataFrame, known: DataFrame, prefixes: Column, key: str, known_key: str) -> DataFrame:

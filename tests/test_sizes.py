@@ -83,3 +83,10 @@ def test_coords_meet_the_lowest_row_of_a_key(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "min_by" in plan and plan.index("Join") < plan.index("min_by")
 
+
+def test_parity_in_one_aggregate(filed):
+    ids = lambda *x: filed([(i,) for i in x], "k string")
+    found = joins.parity(ids("a", "b", "b", None), ids("b", "c", None, None), "k")
+    assert sorted(tuple(r) for r in found.where("k IS NOT NULL").collect()) == [("a", "extra"), ("b", "exact"), ("c", "missing")]
+    assert sorted(r.status for r in found.where("k IS NULL").collect()) == ["extra", "missing"]
+    assert "Join" not in _plan(found)

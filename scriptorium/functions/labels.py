@@ -128,12 +128,17 @@ def natural_key(p: Column) -> Column:
     return F.transform(p, terminal_rank)
 
 
+#: What follows a letter or a roman; a roman letter is a roman.
+_FOLLOWING = {chr(k): chr(k + 1) for k in range(ord("a"), ord("z"))} | dict(zip(ROMANS, ROMANS[1:], strict=False))
+
+
 def incremented(p: Column) -> Column:
-    """The next sibling's parts; null for roots, z and the last roman."""
+    """The next sibling's parts; null for roots, z and the last roman.  What follows is looked up, and named once, as each mention is computed again."""
     last = F.element_at(p, -1)
-    rank = _roman_rank(last)
-    following = F.when(rank.isNotNull(), F.get(F.array(*[F.lit(r) for r in ROMANS]), rank)).when(last.rlike("^[a-y]$"), F.char(F.ascii(last) + 1)).when(last.rlike(r"^\d+$"), (last.try_cast("int") + 1).cast("string"))
-    return F.when(F.size(p) > 1, F.when(following.isNotNull(), F.concat(F.slice(p, F.lit(1), F.size(p) - 1), F.array(following))))
+    known = F.create_map(*[F.lit(x) for pair in _FOLLOWING.items() for x in pair])
+    following = F.coalesce(F.element_at(known, last), F.when(last.rlike(r"^\d+$"), (last.try_cast("int") + 1).cast("string")))
+    # a split of null is null, and so is what it is put together to
+    return F.when(F.size(p) > 1, F.concat(F.slice(p, F.lit(1), F.size(p) - 1), F.split(following, r"\.")))
 
 
 def label_pattern(p: Column) -> Column:

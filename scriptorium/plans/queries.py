@@ -79,8 +79,8 @@ def label_increment(spark, d):
     rows = tables.parquet(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag").distinct()
     raw = F.concat(F.col("l_orderkey").cast("string"), F.lit("("), F.char(F.lit(96) + F.col("l_linenumber")), F.lit(") text of "), F.col("l_returnflag"))
     rows = rows.withColumn("raw", raw)
-    rows = rows.withColumns({"p": labels.parts(F.col("raw")), "span": labels.span(F.col("raw"))})
-    return rows.select("l_orderkey", "l_linenumber", labels.canonical(labels.incremented(F.col("p"))).alias("following"), labels.behind(F.col("raw"), F.col("span")).alias("remainder"))
+    rows = rows.withColumns({"p": labels.parts(F.col("raw")), "span": labels.span(F.col("raw"))}).withColumn("next", labels.incremented(F.col("p")))
+    return rows.select("l_orderkey", "l_linenumber", labels.canonical(F.col("next")).alias("following"), labels.behind(F.col("raw"), F.col("span")).alias("remainder"))
 
 
 @query("""SELECT o_orderkey, coalesce(CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END, o_orderpriority) AS segment, c_nationkey

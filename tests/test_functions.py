@@ -62,3 +62,10 @@ def test_may_be_is_no_month(spark):
 def test_numbers_that_are_no_years(spark):
     cases = {"other 2022": "ib_math_hl_s24_qp", "other 12022": "ib_math_hl_s24_qp", "math 12022": "ib_math_hl_s24_qp", "math 2022": "ib_math_hl_s22_qp", "x_SL_2019.pdf": "ib_math_sl_s19_qp", "may2023": "ib_math_hl_s23_qp"}
     assert _each(spark, list(cases), keys.course_key) == list(cases.values())
+
+
+def test_what_follows_is_named_once(spark):
+    following = {"a": "b", "h": "i", "i": "ii", "v": "vi", "x": "xi", "y": "z", "z": None, "xix": "xx", "xx": None, "7": "8", "iii": "iv", "w": "x", "u": "v"}
+    found = spark.createDataFrame([(k, ["4", k]) for k in following], "k string, p array<string>").select("k", F.array_join(labels.incremented(F.col("p")), "."))
+    assert dict(tuple(r) for r in found.collect()) == {k: v and f"4.{v}" for k, v in following.items()}
+    assert str(labels.incremented(F.col("p"))).lower().count("try_cast") <= 1 and str(labels.incremented(F.col("p"))).lower().count("rlike") == 1

@@ -68,7 +68,9 @@ def copied_tasks(rescued: DataFrame, rows: DataFrame) -> DataFrame:
     Only the different tasks under a parent are compared, however many rows have them; labels come to the tasks that are alike."""
     def tasks(df: DataFrame, label: str, task: str) -> DataFrame:
         p = F.split("label", r"\.")
-        out = df.select("paper", F.col("label").alias(label), F.array_join(F.slice(p, F.lit(1), F.size(p) - 1), ".").alias("parent"), text.task(F.col("body")).alias(task))
+        # rows that repeat a text go first; n keeps what is asked of the task from being asked of each of them
+        texts = df.groupBy("paper", "label", "body").agg(F.count(F.lit(1)).alias("n"))
+        out = texts.select("paper", F.col("label").alias(label), F.array_join(F.slice(p, F.lit(1), F.size(p) - 1), ".").alias("parent"), F.when(F.col("n") > 0, text.task(F.col("body"))).alias(task))
         return out.where((F.col("parent") != "") & (F.char_length(task) >= TASK)).distinct()
 
     one, other, on = tasks(rescued, "label", "task"), tasks(rows, "sibling", "sibling_task"), ["paper", "parent"]

@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import pytest
@@ -90,3 +91,15 @@ def test_parity_in_one_aggregate(filed):
     assert sorted(tuple(r) for r in found.where("k IS NOT NULL").collect()) == [("a", "extra"), ("b", "exact"), ("c", "missing")]
     assert sorted(r.status for r in found.where("k IS NULL").collect()) == ["extra", "missing"]
     assert "Join" not in _plan(found)
+
+
+def test_tasks_are_read_from_the_different_texts_only(spark):
+    """Labels are looked for once a text, not in each row that repeats it."""
+    df = spark.createDataFrame([(1, f"7.{c}", f"7({c}) {TASK}") for c in "ab" for _ in range(50)], "paper int, label string, body string")
+    found = joins.copied_tasks(df, df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(re.match(r"[\s:+-]*", line)[0])
+    once = [k for k, line in enumerate(plan) if re.search(r"Aggregate \[paper#\d+, label#\d+, body#\d+\]", line)]
+    under = [line for k in once for line in itertools.takewhile(lambda x, k=k: depth(x) > depth(plan[k]), plan[k + 1 :])]
+    assert once and under and not [line for line in under if "regexp_replace" in line]
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "7.a", "7.b"), (1, "7.b", "7.a")]

@@ -4,7 +4,7 @@ A row either keeps the root that the scan has reached, or moves it to its own, a
 things: nothing, a constant, a tail behind what they are without a last roman, or a tail behind the first of them.  Both kinds compose to the same kinds, and
 roots are at most MOST_ROOT, so what a run of rows does is a table of MOST_ROOT + 2 entries, whatever the run.  Chunks of rows (a page, or LINES lines
 of one) are summed up to such tables side by side; the tables are composed as a tree, which gives each chunk the state that it begins with; then
-each chunk is walked, side by side again.
+each chunk is walked, side by side again.  A paper of no more rows than a chunk may have is walked as it is.
 
 Rules for a row with a root, when the scan has one: a root over MOST_ROOT is a total of marks, and the row takes the scan's root; so does a root equal to
 the printed page if it is neither the scan's nor the next, or is followed by anything but the letter a; a root that the page's hints expect is
@@ -233,21 +233,19 @@ def guarded(rows: DataFrame, paper: str, page: str, line: str, parts: str, print
     label's, printed the page's number in print, hinted whether the page's hints expect the root.  change is keep, join, replace or reject.
 
     A null paper is a paper; null parts are no label (kept); a null printed page is no page; a null hint is none; equal lines of a page are taken in
-    any order.  Only keys and labels go through the passes, no texts."""
+    any order.  Only keys and labels go through the passes, no texts.  A paper of at most `lines` rows is one chunk, entered with nothing, and needs no tables."""
     block = F.least(F.floor(F.col(line) / lines), F.lit(LINE_BLOCKS - 1))
     key = F.when(F.col(paper).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(paper).cast("string")))
     taken = rows.select(key.alias("paper"), (F.col(page).cast("long") * LINE_BLOCKS + block).alias("at"), F.col(page).cast("long").alias("page"), F.col(line).cast("long").alias("line"),
                         F.coalesce(F.col(parts), F.array().cast("array<string>")).alias("parts"), F.col(printed).cast("int").alias("printed"), F.coalesce(F.col(hinted), F.lit(False)).alias("hinted"))
-    taken = cut(taken)
-    states = _entering(_summaries(taken), many)
     schema = pa.schema([("paper", pa.string()), ("page", pa.int64()), ("line", pa.int64()), ("label", pa.string()), ("change", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
             root, was = None, ()
-            for key, new, (line_, page_, parts_, printed_, hinted_, first, under) in _runs(batches, 2):
+            for key, new, (line_, page_, parts_, printed_, hinted_, *entered) in _runs(batches, 2):
                 if new:
-                    root, was = first, tuple(under)
+                    root, was = (entered[0], tuple(entered[1])) if entered else (None, ())
                 after, kind, tail, change = step(root, parts_, printed_, hinted_)
                 was = below(kind, tail, was)
                 label = parts_ if change == "keep" else [str(root), *was] if change == "join" else [str(root), *parts_[1:]] if change == "replace" else []
@@ -256,6 +254,14 @@ def guarded(rows: DataFrame, paper: str, page: str, line: str, parts: str, print
 
         yield from _batches(found(), schema)
 
-    walked = taken.join(states, ["paper", "at"]).select("paper", "at", "line", "page", "parts", "printed", "hinted", "root", "was")
-    out = _streamed(walked, ["paper", "at"], ["line"], run, "paper string, page long, line long, label string, change string")
+    columns, walks = ["line", "page", "parts", "printed", "hinted"], "paper string, page long, line long, label string, change string"
+    large = cut(taken.groupBy("paper").count().where(F.col("count") > lines).select("paper"))  # one in so many rows at most
+    if large.isEmpty():
+        whole, rest = taken, None
+    else:
+        whole, rest = taken.join(large, "paper", "left_anti"), cut(taken.join(large, "paper", "left_semi"))
+    out = _streamed(whole.select("paper", F.lit(0).alias("at"), *columns), ["paper"], ["page", "line"], run, walks)
+    if rest is not None:
+        walked = rest.join(_entering(_summaries(rest), many), ["paper", "at"]).select("paper", "at", *columns, "root", "was")
+        out = out.unionByName(_streamed(walked, ["paper", "at"], ["line"], run, walks))
     return out.select(F.when(F.col("paper") != "", F.substring("paper", 2, 1 << 30)).cast(rows.schema[paper].dataType).alias(paper), F.col("page").alias(page), F.col("line").alias(line), "label", "change")

@@ -66,6 +66,22 @@ def test_guarded_like_the_plain_loop(spark, many, lines):
     assert guarded.guarded(df.limit(0), "paper", "page", "line", "parts", "printed", "hinted", many, lines).count() == 0
 
 
+def test_papers_of_one_chunk_are_walked_as_they_are(spark):
+    """Without tables of what their rows do; a paper of more rows has them."""
+    rng = random.Random(3)
+    rows = [(paper, k // 2, k % 2, _parts(rng), rng.choice([None, 2]), rng.random() < 0.2) for paper, n in ((1, 8), (2, 9), (3, 1), (None, 8), (4, 60)) for k in range(n)]
+    df = spark.createDataFrame(rows, "paper int, page int, line int, parts array<string>, printed int, hinted boolean").repartition(3)
+    want, walks = set(), {}
+    for paper, page, line, parts, *other in rows:
+        want.add((paper, page, line, walks.setdefault(paper, sequence.RootTracker())(".".join(parts), *other)[0]))
+    whole = guarded.guarded(df.where("paper IS NULL OR paper IN (1, 3)"), "paper", "page", "line", "parts", "printed", "hinted", lines=8)
+    plan = whole._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan and whole.count() == 17
+    for many in (1, 4096):
+        got = guarded.guarded(df, "paper", "page", "line", "parts", "printed", "hinted", many=many, lines=8).collect()
+        assert len(got) == len(rows) and {tuple(r)[:4] for r in got} == want
+
+
 def _healed(text):
     """Doubles a backslash wherever the parser stops at an escape, until it stops no more."""
     while True:

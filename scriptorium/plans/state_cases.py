@@ -122,8 +122,8 @@ _LIVES_SQL = """WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS key, ts,
     w AS (SELECT max(ts) - INTERVAL 10 MINUTE AS now FROM e)"""
 
 
-def _lives(spark: SparkSession, d: str, seconds: int, last_instant: bool) -> DataFrame:
-    found = expiring.lives(tables.streamed(spark, d, "events"), "user_id", "ts", "event_type", seconds, last_instant)
+def _lives(spark: SparkSession, d: str, seconds: int, last_instant: bool, *kinds: str) -> DataFrame:
+    found = expiring.lives(tables.streamed(spark, d, "events"), "user_id", "ts", "event_type", seconds, last_instant, kinds=kinds)
     return expiring.settled(found, f"{tables.workspace(spark)}/lives-{uuid.uuid4().hex}")
 
 
@@ -131,14 +131,14 @@ def _lives(spark: SparkSession, d: str, seconds: int, last_instant: bool) -> Dat
     FROM b JOIN w ON born + INTERVAL 1 HOUR < now JOIN e ON e.key = b.key AND ts BETWEEN born AND born + INTERVAL 1 HOUR GROUP BY 1, 2""")
 def jobs_expired(spark, d):
     """Jobs that have expired, an hour after their first event, by a stream's watermark."""
-    ended = _lives(spark, d, expiring.JOB_SECONDS, True).where("kind = 'end'")
+    ended = _lives(spark, d, expiring.JOB_SECONDS, True, *expiring.KINDS).where("kind = 'end'")
     return ended.select("key", F.unix_micros("born").alias("born"), F.col("value").alias("status"), "rows")
 
 
 @query(_LIVES_SQL.format(beyond=">=", hours=4) + """ SELECT e.key, epoch_us(ts) AS at, count(b.born) = 0 AS hit FROM e JOIN w ON ts <= now LEFT JOIN b ON b.key = e.key AND b.born = e.ts GROUP BY e.key, ts""")
 def results_cached(spark, d):
     """Requests that find their key's result younger than four hours, and those that make it."""
-    taken = _lives(spark, d, expiring.RESULT_SECONDS, False).where("kind <> 'end'")
+    taken = _lives(spark, d, expiring.RESULT_SECONDS, False, "first", "again")
     return taken.groupBy("key", F.unix_micros("at").alias("at")).agg((F.min("kind") == "again").alias("hit"))
 
 

@@ -171,3 +171,44 @@ def test_lives_in_any_batches(spark, tmp_path, seconds, last_instant):
         want += [(key or "", kind, at, born) for at, kind, born in taken]
         want += [(key or "", "end", born + seconds, born) for born, _, _ in lives if born + seconds < now]
     assert sorted((r.key, r.kind, second(r.at), second(r.born)) for r in got) == sorted(want)
+
+
+def test_lives_in_few_calls_of_the_state():
+    """Rows of a key go to its state in packs, and only the kinds asked for come out."""
+    from types import SimpleNamespace as Told
+
+    from scriptorium.streaming import expiring
+
+    held, calls = {"waiting": [], "life": None}, []
+
+    class Held:
+        def __init__(self, name):
+            self.name = name
+
+        def appendValue(self, value):  # noqa: N802
+            calls.append("append")
+            held[self.name].append(value)
+
+        def get(self):
+            return iter(held[self.name]) if self.name == "waiting" else held[self.name]
+
+        def exists(self):
+            return held[self.name] is not None
+
+        def put(self, values):
+            held[self.name] = values
+
+        update = put
+
+        def clear(self):
+            held[self.name] = [] if self.name == "waiting" else None
+
+    handle = Told(getListState=lambda n, _: Held(n), getValueState=lambda n, _: Held(n), registerTimer=lambda ms: calls.append(ms))
+    lives = expiring.Lives(3600, True, ("end",))
+    lives.init(handle)
+    rows = [Told(micros=t * 1_000_000, value=None if t % 2 else "x") for t in range(0, 25_000, 10)]
+    assert list(lives.handleInputRows(("k",), iter(rows), None)) == []
+    assert calls == ["append"] * 3 + [0]
+    got = list(lives.handleExpiredTimer(("k",), Told(getCurrentWatermarkInMs=lambda: 10_000_000), None))
+    assert [(r.kind, r.born // 1_000_000, r.rows) for r in got] == [("end", 0, 361), ("end", 3610, 361)]
+    assert held["life"][:1] == (7_220_000_000,) and sum(len(m) for m, _ in held["waiting"]) == 1499 and len(held["waiting"]) == 2

@@ -131,7 +131,7 @@ def _lives(spark: SparkSession, d: str, seconds: int, last_instant: bool, *kinds
     FROM b JOIN w ON born + INTERVAL 1 HOUR < now JOIN e ON e.key = b.key AND ts BETWEEN born AND born + INTERVAL 1 HOUR GROUP BY 1, 2""")
 def jobs_expired(spark, d):
     """Jobs that have expired, an hour after their first event, by a stream's watermark."""
-    ended = _lives(spark, d, expiring.JOB_SECONDS, True, *expiring.KINDS).where("kind = 'end'")
+    ended = _lives(spark, d, expiring.JOB_SECONDS, True, "end")
     return ended.select("key", F.unix_micros("born").alias("born"), F.col("value").alias("status"), "rows")
 
 

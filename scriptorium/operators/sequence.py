@@ -165,12 +165,13 @@ class RootTracker:
         return new, new != label
 
 
-def ordered_pass(df: DataFrame, paper: str, order: list[str], values: str | list[str], guard: Callable[[], Callable[..., tuple[str, bool]]]) -> DataFrame:
-    """df with new_label and changed; the guard gets the values of a row (the label first), papers apart; a null paper is a paper."""
+def ordered_pass(df: DataFrame, paper: str, order: list[str], values: str | list[str], guard: Callable[[], Callable[..., tuple[str, bool]]], kept: list[str] | None = None) -> DataFrame:
+    """df, or its columns kept, with new_label and changed; the guard gets the values of a row (the label first), papers apart; a null paper is a paper."""
     from pyspark.sql import types as T
 
     columns = [values] if isinstance(values, str) else values
-    schema = T.StructType([*df.schema.fields, T.StructField("new_label", T.StringType()), T.StructField("changed", T.BooleanType())])
+    kept = df.columns if kept is None else kept
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField("new_label", T.StringType()), T.StructField("changed", T.BooleanType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state = object(), guard()
@@ -183,7 +184,7 @@ def ordered_pass(df: DataFrame, paper: str, order: list[str], values: str | list
                 x, c = state(*row)
                 new.append(x)
                 changed.append(c)
-            yield frame.assign(new_label=new, changed=changed)
+            yield frame[kept].assign(new_label=new, changed=changed)
 
     return df.repartition(paper).sortWithinPartitions(paper, *order).mapInPandas(run, schema)
 

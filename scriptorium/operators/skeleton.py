@@ -31,9 +31,12 @@ def options(tokens: list[str], at: list[str]) -> list[list[str]]:
 
 
 class Scan:
-    """For each line the id it belongs to and its text there; context lines belong to none until a row takes them along."""
+    """For each line the id it belongs to and its text there; context lines belong to none until a row takes them along.  The ids that are expected come
+    with the first line; with later ones only if they change."""
 
     def __init__(self) -> None:
+        self.want: list[str] = []
+        self.known: set[str] = set()
         self.used: set[str] = set()
         self.id = ""
         self.at: list[str] = []
@@ -62,8 +65,10 @@ class Scan:
         return f"{self.id}\x1f{' '.join([*before, line])}", True
 
     def __call__(self, line: str, x0: float, own: str, tokens: Iterable[str] | None, tail: str, expected: Iterable[str] | None) -> tuple[str, bool]:
-        want = list(expected) if expected is not None else []
-        known = {".".join(e.split(".")[: k + 1]) for e in want for k in range(len(e.split(".")))}
+        if expected is not None:
+            self.want = list(expected)
+            self.known = {".".join(e.split(".")[: k + 1]) for e in self.want for k in range(len(e.split(".")))}
+        want, known = self.want, self.known
         if own and own in known and x0 <= (ROOT_MARGIN if "." not in own else LABEL_MARGIN) and (own not in want or own not in self.used):
             return self.begin(own.split("."), line, own in want)
         wrapped = list(tokens) if tokens is not None else []
@@ -93,16 +98,17 @@ def skeleton(lines: DataFrame, expected: DataFrame) -> DataFrame:
     ordered = sets.reading_order(shown, ["paper"], ["page", "y0", "x0", "line_no"]).withColumn("parts", labels.parts(F.col("line")))
     tokens = labels.orphan_tokens(F.col("line"))
     tail = F.trim(F.regexp_replace("line", r"^(?:\s*\(\s*[A-Za-z]+\s*\)){1,5}", ""))
-    lists = expected.groupBy("paper").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("expected"))
-    ready = ordered.join(tables.shuffled(lists), "paper").select("paper", "place", "line", "x0", F.when(labels.is_orphaned(F.col("parts")), "").otherwise(labels.canonical(F.col("parts"))).alias("own"), tokens.alias("tokens"), tail.alias("tail"), "expected")
-    scanned = sequence.ordered_pass(ready, "paper", ["place"], ["line", "x0", "own", "tokens", "tail", "expected"], Scan)
+    lists = expected.groupBy("paper").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("listed"))
+    ids = F.transform("listed", lambda x: x["id"])
+    # A paper's list goes to its first line, not to each, and comes to the rows that were found, not through the scan.
+    ready = ordered.join(tables.shuffled(lists), "paper").select("paper", "place", "line", "x0", F.when(labels.is_orphaned(F.col("parts")), "").otherwise(labels.canonical(F.col("parts"))).alias("own"), tokens.alias("tokens"), tail.alias("tail"), F.when(F.col("place") == 1, ids).alias("expected"))
+    scanned = sequence.ordered_pass(ready, "paper", ["place"], ["line", "x0", "own", "tokens", "tail", "expected"], Scan, kept=["paper", "place"])
     part = F.split("new_label", "\x1f")
-    rows = scanned.select("paper", "place", F.get(part, F.lit(0)).alias("id"), F.get(part, F.lit(1)).alias("line"), "expected").where("id <> ''")
+    rows = scanned.select("paper", "place", F.get(part, F.lit(0)).alias("id"), F.get(part, F.lit(1)).alias("line")).where("id <> ''")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), " ")
-    found = rows.groupBy("paper", "id").agg(joined.alias("body"), F.first("expected").alias("expected"))
-    found = found.withColumn("body", text.trimmed_siblings(F.col("body"), F.col("id"), F.col("expected")))
-    first = expected.groupBy("paper", "id").agg(F.min("pos").alias("pos"))
-    return found.join(tables.shuffled(first), ["paper", "id"]).select("paper", "pos", "id", "body")
+    found = rows.repartition("paper").groupBy("paper", "id").agg(joined.alias("body")).join(tables.shuffled(lists), "paper")
+    pos = F.array_min(F.transform(F.filter("listed", lambda x: x["id"] == F.col("id")), lambda x: x["pos"]))
+    return found.select("paper", pos.alias("pos"), "id", text.trimmed_siblings(F.col("body"), F.col("id"), ids).alias("body"))
 
 
 def page_roots(lines: DataFrame, expected: DataFrame, keep: int = 24) -> DataFrame:

@@ -60,7 +60,8 @@ def papers(name: str, cases: list[tuple[list[tuple[Cell, ...]], list[tuple[Cell,
     def run(spark: SparkSession, d: str) -> DataFrame:
         rows = [(i, s, *r) for i, (have, _) in enumerate(cases) for s, r in enumerate(have)]
         rows = spark.createDataFrame(rows, "case_no int, seq long, " + ", ".join(f"{c} string" for c in given))
-        rows = _filled(_customers(spark, d, len(cases)).join(F.broadcast(rows), "case_no"), given)  # some rows for each case
+        # some rows for each case; customers are few files, so they are dealt to tasks before
+        rows = _filled(_customers(spark, d, len(cases)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "k").join(F.broadcast(rows), "case_no"), given)
         return make(rows.withColumnRenamed("k", "paper")).select(F.col("paper").alias("k"), *[F.col(c).cast("string").alias(c) for c in out])
 
     QUERIES[name] = run

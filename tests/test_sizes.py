@@ -103,3 +103,10 @@ def test_tasks_are_read_from_the_different_texts_only(spark):
     under = [line for k in once for line in itertools.takewhile(lambda x, k=k: depth(x) > depth(plan[k]), plan[k + 1 :])]
     assert once and under and not [line for line in under if "regexp_replace" in line]
     assert sorted(tuple(r) for r in found.collect()) == [(1, "7.a", "7.b"), (1, "7.b", "7.a")]
+
+
+def test_a_paper_is_told_its_ids_once():
+    """Of a paper's lines the first has the expected ids."""
+    scan = skeleton.Scan()
+    got = [scan(*line)[0] for line in (("1 Work it out", 40.0, "1", None, "1 Work it out", ["1", "1.a"]), ("(a) Find x", 50.0, "", ["a"], "Find x", None), ("9 no such", 40.0, "9", None, "9 no such", None))]
+    assert got == ["1\x1f1 Work it out", "1.a\x1f1 Work it out 1(a) Find x", "1.a\x1f9 no such"]

@@ -55,3 +55,18 @@ def test_consistency_like_plain_cosines(spark):
         norm = math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
         assert got[k].cosine == pytest.approx(sum(v * b.get(w, 0) for w, v in a.items()) / norm if norm else 0, abs=2e-6) and got[k].terms == len(a.keys() & b.keys())
     assert [got[k].verdict for k in (2, 3, 5)] == ["block", "block", "ok"] and not got[6].numbers and got[6].verdict == "review"
+
+
+@pytest.mark.parametrize("common", [(100_000, 40), (2, 40), (100_000, 4), (0, 40)])
+def test_consistency_with_few_common_words(spark, common):
+    """Which weights are sent to all tasks changes nothing, and words that all are common are not shuffled."""
+    rows = [(1, "the sum of 12 sines", "sines are 12"), (2, "the tangent", "the cosine 4"), (3, None, "the"), (4, "same words the the", "same words the")]
+    df = spark.createDataFrame(rows, "k int, a string, b string")
+    found = validate.semantic_consistency(df, "k", "a", "b", *common)
+    weight = {w: math.log(9 / (1 + n)) + 1 for w, n in Counter(w for r in rows for t in r[1:] for w in set(re.findall(r"[a-z]{3,}|\d+", t or ""))).items()}
+    for r in found.collect():
+        a, b = (Counter(re.findall(r"[a-z]{3,}|\d+", t or "")) for t in rows[r.k - 1][1:])
+        dot = lambda x, y: sum(n * y[w] * weight[w] ** 2 for w, n in x.items())
+        assert r.cosine == pytest.approx(dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)) if a and b else 0, abs=2e-6) and (r.terms, r.numbers) == (len(a.keys() & b.keys()), r.k != 2)
+    joins = re.findall(r"SortMergeJoin.*", found.select("terms")._jdf.queryExecution().sparkPlan().toString())
+    assert any("word" in j for j in joins) == (common != (100_000, 40))

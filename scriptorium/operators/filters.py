@@ -135,28 +135,50 @@ def crop_has_content(pixels: pd.Series, width: pd.Series, height: pd.Series) ->
 GROWTH, TOP = 4, 8
 
 
-def overlaps(left: DataFrame, right: DataFrame, keys: list[str], grid: float = 32.0) -> DataFrame:
-    """Pairs of rectangles (x0, y0, x1, y1) of left and right (d_x0, d_y0, d_x1, d_y1) with the same keys that overlap, with their area in common.
+def celled(left: DataFrame, right: DataFrame, grid: float) -> tuple[DataFrame, DataFrame]:
+    """Rectangles (x0, y0, x1, y1) of left and right (d_x0, d_y0, d_x1, d_y1) by the cells (__level, __x, __y) in which those that may overlap meet.
 
-    A rectangle lies at the level whose cells are at least as large as it is, so it touches at most four of them; it is also dealt to the cells of the
-    levels above.  Two meet at the larger one's level, in the cell that has the lower corner of what they share, so each pair is found once and a page of
-    many rectangles is dealt to many tasks.  Rectangles without an area, or with a null edge, overlap nothing."""
+    A rectangle has a level for its width and one for its height: that whose cells are half to twice as long, so it touches at most three of them a way.
+    Two meet in cells as wide as the wider one's level and as high as the higher one's, so long thin ones meet what is near them only, and a page of many
+    rectangles is dealt to many tasks.  Rectangles are dealt to the levels alone that the other side has.  __first_x and __first_y (__d_first_x, __d_first_y)
+    tell of a rectangle's first cell either way."""
 
-    def dealt(df: DataFrame, name: str, top: int) -> DataFrame:
+    def level(low: Column, high: Column) -> Column:
+        return F.least(F.lit(TOP), F.greatest(F.lit(0), F.floor(F.log(float(GROWTH), (high - low) / grid) + 0.5))).cast("int")
+
+    def sized(df: DataFrame, name: str) -> DataFrame:
         x0, y0, x1, y1 = (F.col(f"{name}{c}") for c in ("x0", "y0", "x1", "y1"))
-        size = F.greatest(x1 - x0, y1 - y0)
-        own = F.least(F.lit(top), F.greatest(F.lit(0), F.ceil(F.log(float(GROWTH), size / grid)))).cast("int")
-        df = df.where((x1 > x0) & (y1 > y0)).withColumn(f"{name}own", own).withColumn("level", F.explode(F.sequence(F.col(f"{name}own"), F.lit(top))))
-        at = lambda c: F.floor(c / (grid * F.pow(F.lit(GROWTH), "level")))
-        return df.withColumn("gx", F.explode(F.sequence(at(x0), at(x1)))).withColumn("gy", F.explode(F.sequence(at(y0), at(y1))))
-
-    edge = grid * F.pow(F.lit(GROWTH), "level")
-    low = [F.greatest(c, f"d_{c}") for c in ("x0", "y0")]
-    high = [F.least(c, f"d_{c}") for c in ("x1", "y1")]
-    one, other, on = dealt(left, "", TOP), dealt(right, "d_", TOP), [*keys, "level", "gx", "gy"]
-    met = one.where("level = own").join(tables.shuffled(other), on).unionByName(one.where("level > own").join(tables.shuffled(other.where("level = d_own")), on))
-    met = met.where((high[0] > low[0]) & (high[1] > low[1]) & (F.col("gx") == F.floor(low[0] / edge)) & (F.col("gy") == F.floor(low[1] / edge)))
-    return met.withColumn("common", (high[0] - low[0]) * (high[1] - low[1])).drop("level", "gx", "gy", "own", "d_own")
+        return df.where((x1 > x0) & (y1 > y0)).withColumn("__own", F.struct(level(x0, x1).alias("x"), level(y0, y1).alias("y")))
+
+    def dealt(df: DataFrame, others: DataFrame, name: str) -> DataFrame:
+        # Which side is the longer one is part of the level; the left one is where both are alike.
+        ours, own = name == "", F.col("__own")
+        longer = lambda c, o: own[c] >= o[c] if ours else own[c] > o[c]
+        met = lambda o: F.struct(*(F.greatest(own[c], o[c]).alias(c) for c in "xy"), *((longer(c, o) == F.lit(ours)).alias(f"left_{c}") for c in "xy"))
+        df = df.withColumn("__theirs", others.agg(F.collect_set("__own")).scalar())
+        df = df.withColumn("__at", F.explode(F.array_distinct(F.transform("__theirs", met)))).drop("__own", "__theirs")
+        for c in "xy":
+            at = lambda e, c=c: F.floor(F.col(f"{name}{c}{e}") / (grid * F.pow(F.lit(float(GROWTH)), F.col("__at")[c])))
+            df = df.withColumn(f"__{c}", F.explode(F.sequence(at(0), at(1)))).withColumn(f"__{name}first_{c}", F.col(f"__{c}") == at(0))
+        at = F.col("__at")
+        code = (at["x"] * (TOP + 1) + at["y"]) * 4 + at["left_x"].cast("int") * 2 + at["left_y"].cast("int")
+        return df.withColumn("__level", code).drop("__at")
+
+    one, other = sized(left, ""), sized(right, "d_")
+    return dealt(one, other, ""), dealt(other, one, "d_")
+
+
+def overlaps(left: DataFrame, right: DataFrame, keys: list[str], grid: float = 32.0) -> DataFrame:
+    """Pairs of rectangles (x0, y0, x1, y1) of left and right (d_x0, d_y0, d_x1, d_y1) with the same keys that overlap, with their area in common.
+
+    They meet in cells (celled).  Of the cells that two share, the one with the lower corner of what they have in common gives the pair, so each is found once:
+    it is the first one of either a way.  Rectangles without an area, or with a null edge, overlap nothing."""
+    one, other = celled(left, right, grid)
+    met = one.join(tables.shuffled(other), [*keys, "__level", "__x", "__y"])
+    for c in "xy":
+        met = met.where((F.col(f"{c}0") < F.col(f"d_{c}1")) & (F.col(f"d_{c}0") < F.col(f"{c}1")) & (F.col(f"__first_{c}") | F.col(f"__d_first_{c}")))
+    side = lambda c: F.least(f"{c}1", f"d_{c}1") - F.greatest(f"{c}0", f"d_{c}0")
+    return met.withColumn("common", side("x") * side("y")).drop("__level", *(f"__{k}{c}" for c in "xy" for k in ("", "first_", "d_first_")))
 
 
 def covered_area(cells: DataFrame, drawings: DataFrame, least: float = 800.0, thin: float = 6.0) -> DataFrame:

@@ -110,3 +110,14 @@ def test_a_paper_is_told_its_ids_once():
     scan = skeleton.Scan()
     got = [scan(*line)[0] for line in (("1 Work it out", 40.0, "1", None, "1 Work it out", ["1", "1.a"]), ("(a) Find x", 50.0, "", ["a"], "Find x", None), ("9 no such", 40.0, "9", None, "9 no such", None))]
     assert got == ["1\x1f1 Work it out", "1.a\x1f1 Work it out 1(a) Find x", "1.a\x1f9 no such"]
+
+
+def test_long_thin_boxes_meet_what_is_near(spark):
+    """Wide flat boxes and narrow tall ones share few cells with boxes that they do not overlap, also where both sides are the same table."""
+    sizes = "CASE id % 3 WHEN 0 THEN 700.0D WHEN 1 THEN 3.0D ELSE 12.0D END AS w", "CASE id % 3 WHEN 0 THEN 4.0D WHEN 1 THEN 900.0D ELSE 9.0D END AS h"
+    boxes = spark.range(3000).selectExpr("id", "0 AS page", "(id * 37 % 2000) * 1.0D AS x0", "(id * 91 % 3000) * 1.0D AS y0", *sizes).selectExpr("page", "id", "x0", "y0", "x0 + w AS x1", "y0 + h AS y1")
+    marks = boxes.toDF(*(c if c == "page" else f"d_{c}" for c in boxes.columns))
+    pairs = boxes.join(marks, "page").where("x0 < d_x1 AND d_x0 < x1 AND y0 < d_y1 AND d_y0 < y1").select("id", "d_id")
+    want, got = ({tuple(r) for r in df.collect()} for df in (pairs, filters.overlaps(boxes, marks, ["page"], 8.0).select("id", "d_id")))
+    one, other = filters.celled(boxes, marks, 8.0)
+    assert got == want and one.join(other, ["page", "__level", "__x", "__y"]).count() < 6 * len(want) < 3000 * 3000 // 2

@@ -121,3 +121,25 @@ def test_long_thin_boxes_meet_what_is_near(spark):
     want, got = ({tuple(r) for r in df.collect()} for df in (pairs, filters.overlaps(boxes, marks, ["page"], 8.0).select("id", "d_id")))
     one, other = filters.celled(boxes, marks, 8.0)
     assert got == want and one.join(other, ["page", "__level", "__x", "__y"]).count() < 6 * len(want) < 3000 * 3000 // 2
+
+
+def test_all_rounds_go_through_the_pages_once(filed):
+    """Ids, labels and pages are brought together once, not once a round; nothing is written on the way."""
+    rows = filed([(1, 0, "2.a", "2(a) both", [], None, False), (1, 1, "2.a", "again", [], ["w"], False)], ROWS)
+    expected = filed([(1, x) for x in ("2.a", "2.a.i", "2.a.ii.b", "2.a.ii.b.i", "2", "7.a")], "paper int, id string")
+    pages = filed([(1, None, "2(a)(i) Another page, without a number."), (1, 0, "2(a)(i) Find the angle. 2(a)(ii)(b) Show that it holds. (i) Explain the rule.")], "paper int, page int, page_text string")
+    found = rescue.rescued(rows, expected, pages)
+    plan = _plan(found)
+    assert len(re.findall(r"FileScan parquet \[[^\]]*page_text", plan)) == 1 and "Broadcast" not in plan and "ExistingRDD" not in plan
+    got = {r.label: r for r in found.where("round > 0").collect()}
+    assert {k: r.round for k, r in got.items()} == {"2.a.i": 1, "2.a.ii.b": 1, "2.a.ii.b.i": 2}
+    assert got["2.a.i"].body == "2(a)(i) Find the angle."
+    assert got["2.a.ii.b.i"].warnings == ["split from 2.a with page text", "split from 2.a.ii.b with page text"] and got["2.a.ii.b.i"].seq == 0
+
+
+def test_rounds_take_the_first_source():
+    """Siblings in order before parents, parents before grandparents, of the rows before the round."""
+    run = lambda held, ids, most=9: [(ids[x["n"]], x["round"], x["at"], x["sources"]) for x in rescue.in_rounds(held, ids, most)]
+    assert run(["2", "2.b", "2.a", "2.b"], ["2.c", "2.b", "2.b.i", "2.b.ii.c", "3", "3.a"]) == [("2.c", 1, 1, ["2.b"]), ("2.b.i", 1, 1, ["2.b"]), ("2.b.ii.c", 1, 1, ["2.b"])]
+    assert run(["2.a"], ["2.a.i.b.c.d", "2.a.i.b", "2.a.i.b.c", "2.a.i.b.i"]) == [("2.a.i.b", 1, 0, ["2.a"]), ("2.a.i.b.c.d", 2, 0, ["2.a", "2.a.i.b"]), ("2.a.i.b.c", 2, 0, ["2.a", "2.a.i.b"]), ("2.a.i.b.i", 2, 0, ["2.a", "2.a.i.b"])]
+    assert [x[0] for x in run(["2.a"], ["2.a.i.b", "2.a.i.b.c"], 1)] == ["2.a.i.b"] and run([], ["2.a"]) == run(["2.a"], []) == []
